@@ -11,7 +11,9 @@ from tessera.functions.text import initials, word_count
 from tessera.functions.web import extract_domain, url_part
 
 
-def _get(df: DataFrame | None, name: str, default) -> Column:
+def _get(df: DataFrame | None, name, default) -> Column:
+    if isinstance(name, Column):
+        return name
     if df is not None and name not in df.columns:
         return F.lit(default)
     return F.col(f"`{name}`")
@@ -27,7 +29,7 @@ def author_initials(author="author", df=None) -> Column:    # T11b
 
 def tag_count(tags="tags", df=None) -> Column:               # T11c
     c = _get(df, tags, [])
-    if df is not None and tags not in df.columns:
+    if df is not None and isinstance(tags, str) and tags not in df.columns:
         return F.lit(0).cast("long")
     return F.when(c.isNull(), F.lit(None)).otherwise(F.size(c)).cast("long")
 

@@ -17,6 +17,8 @@ from tessera.functions.convert import convert
 from tessera.operators import computed
 
 RAW_COL = "_raw"
+# conversions that cannot fail (str() and truthiness), so no raw value is tracked
+NEVER_FAILS = {"string", "bool"}
 CONV_ERRORS_COL = "_conv_errors"
 
 
@@ -58,6 +60,8 @@ def convert_types(df: DataFrame, conversions: dict[str, str] | None,
         if typed is None:
             continue
         new_cols[field] = typed
+        if type_name.lower() in NEVER_FAILS:
+            continue
         bad = c.isNotNull() & typed.isNull()
         raw = F.to_json(c) if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
         failed.append((field, bad, raw))
