@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,8 +64,37 @@ def strptime_to_spark(fmt: str) -> str:
     return "".join(out)
 
 
+_GUARD_TOKENS = [("yyyy", "[0-9]{4}"), ("MMMM", "[A-Za-z]+"), ("MMM", "[A-Za-z]{3,4}"),
+                 ("yy", "[0-9]{2}"), ("SSSSSS", "[0-9]{6}"), ("M", "[0-9]{1,2}"), ("d", "[0-9]{1,2}"),
+                 ("H", "[0-9]{1,2}"), ("h", "[0-9]{1,2}"), ("m", "[0-9]{1,2}"), ("s", "[0-9]{1,2}"),
+                 ("D", "[0-9]{1,3}"), ("a", "[AaPp][Mm]")]
+
+
+def shape_regex(pattern: str) -> str:
+    """A cheap regular expression that every string the pattern can parse matches.
+    Used as a guard so that ``try_to_timestamp`` (which fails through exceptions)
+    only sees strings of the right shape."""
+    out, i = [], 0
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            out.append(re.escape(pattern[i + 1:j]))
+            i = j + 1
+            continue
+        for tok, rx in _GUARD_TOKENS:
+            if pattern.startswith(tok, i):
+                out.append(rx)
+                i += len(tok)
+                break
+        else:
+            out.append(re.escape(pattern[i]))
+            i += 1
+    return "^" + "".join(out) + "$"
+
+
 def _first_match(v: Column, patterns) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(v, F.lit(p)) for p in patterns]).cast("timestamp_ntz")
+    return F.coalesce(*[F.when(v.rlike(shape_regex(p)), F.try_to_timestamp(v, F.lit(p)))
+                        for p in patterns]).cast("timestamp_ntz")
 
 
 def parse_date(c, formats: list[str] | None = None) -> Column:

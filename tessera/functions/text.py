@@ -18,18 +18,34 @@ from tessera.functions._util import col
 # LINE SEPARATOR, PARAGRAPH SEPARATOR, NARROW NBSP, MEDIUM MATH SPACE, IDEOGRAPHIC SPACE.
 WS = (r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+# The same set as a plain character list (for btrim/translate, which are much
+# cheaper than a regular expression over long texts).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+            "\u2028\u2029\u202f\u205f\u3000")
 # Control characters removed by string cleaning: below 0x20 except TAB and LF.
 CONTROL = r"[\x{00}-\x{08}\x{0B}-\x{1F}]"
+CONTROL_CHARS = "".join(chr(i) for i in range(0x20) if chr(i) not in "\t\n")
+
+
+def _to_spaces(c) -> Column:
+    """Every whitespace character -> ' ' (one code point each, no regex)."""
+    return F.translate(col(c), WS_CHARS, " " * len(WS_CHARS))
 
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: leading and trailing Unicode whitespace."""
-    return F.regexp_replace(col(c), rf"\A[{WS}]+|[{WS}]+\z", "")
+    return F.btrim(col(c), F.lit(WS_CHARS))
+
+
+def collapse_ws(c) -> Column:
+    """``re.sub(r'\\s+', ' ', text)``: every whitespace run -> one space."""
+    return F.regexp_replace(_to_spaces(c), " {2,}", " ")
 
 
 def split_ws(c) -> Column:
     """Python ``str.split()`` with no argument: array of non-empty tokens."""
-    return F.filter(F.split(col(c), f"[{WS}]+"), lambda x: x != "")
+    return F.filter(F.split(_to_spaces(c), " +"), lambda x: x != "")
 
 
 def clean_string(c) -> Column:
@@ -37,7 +53,7 @@ def clean_string(c) -> Column:
     except LF and TAB (0x7F stays). No second strip. Null stays null."""
     s = strip_ws(c)
     s = F.regexp_replace(s, " {2,}", " ")
-    return F.regexp_replace(s, CONTROL, "")
+    return F.translate(s, CONTROL_CHARS, "")
 
 
 def to_text(c) -> Column:
@@ -48,9 +64,8 @@ def to_text(c) -> Column:
 def clean_text(c) -> Column:
     """Null -> '', strip, every whitespace run -> one space, drop control
     characters, straighten curly double and single quotes."""
-    s = strip_ws(to_text(c))
-    s = F.regexp_replace(s, f"[{WS}]+", " ")
-    s = F.regexp_replace(s, CONTROL, "")
+    s = collapse_ws(strip_ws(to_text(c)))
+    s = F.translate(s, CONTROL_CHARS, "")
     # Curly quotes U+201C U+201D U+2018 U+2019 -> ASCII " " ' '
     return F.translate(s, "“”‘’", "\"\"''")
 
@@ -60,8 +75,8 @@ def slugify(c) -> Column:
     hyphens or whitespace -> '-', trim hyphens, empty -> 'untitled'."""
     s = strip_ws(F.lower(col(c)))
     s = F.regexp_replace(s, rf"[^\p{{L}}\p{{N}}_{WS}-]", "")
-    s = F.regexp_replace(s, rf"[-{WS}]+", "-")
-    s = F.regexp_replace(s, r"\A-+|-+\z", "")
+    s = F.regexp_replace(F.translate(s, WS_CHARS, "-" * len(WS_CHARS)), "-{2,}", "-")
+    s = F.btrim(s, F.lit("-"))
     return F.when(s == "", F.lit("untitled")).otherwise(s)
 
 
@@ -83,7 +98,7 @@ def safe_filename(c) -> Column:
         F.greatest(F.length(stem) + keep, F.lit(0)))
     capped = F.concat(stem.substr(F.lit(1), stem_len), ext)
     s = F.when(n > 255, capped).otherwise(s)
-    s = F.regexp_replace(s, r"\A[ .]+|[ .]+\z", "")
+    s = F.btrim(s, F.lit(" ."))
     return F.when(s == "", F.lit("unnamed")).otherwise(s)
 
 
@@ -93,5 +108,8 @@ def initials(c) -> Column:
 
 
 def word_count(c) -> Column:
-    """T11e: ``len(text.split())``."""
-    return F.size(split_ws(c))
+    """T11e: ``len(text.split())`` = number of separators in the collapsed, stripped
+    text plus one (no array is built)."""
+    t = F.btrim(collapse_ws(c), F.lit(" "))
+    n = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 1
+    return F.when(t == "", F.lit(0)).otherwise(n)

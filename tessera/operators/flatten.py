@@ -3,11 +3,9 @@
 
 Runs JVM-side: the JSON is parsed once to VARIANT and unrolled level by level
 (object -> MAP<STRING,VARIANT>, array -> ARRAY<VARIANT>, then explode). The number
-of levels is the exact maximum nesting depth, read from one
-``schema_of_variant_agg`` aggregate (partial aggregation, one small row); when
-mixed-type containers hide the depth, each level is checkpointed and the loop stops
-at the first level without containers. No row is left unflattened and no
-recursion limit applies.
+of levels is the exact maximum nesting depth, computed by one aggregate over the
+JSON text (string literals removed, brackets folded); no row is left unflattened
+and no recursion limit applies.
 """
 
 from __future__ import annotations
@@ -15,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
 
 
 def _schema_depth(schema: str) -> int:
@@ -29,6 +26,29 @@ def _schema_depth(schema: str) -> int:
     return best
 
 
+_STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
+
+
+def json_depth(c: Column) -> Column:
+    """Nesting depth of a JSON text: string literals removed, then a fold over the
+    remaining brackets (short) keeps the running and the maximum depth."""
+    brackets = F.regexp_replace(F.regexp_replace(c, _STRING_LITERAL, ""), r"[^\[\]{}]", "")
+    init = F.struct(F.lit(0).alias("d"), F.lit(0).alias("m"))
+
+    def step(acc, ch):
+        opening = (ch == "[") | (ch == "{")
+        return F.when(opening, F.struct((acc["d"] + 1).alias("d"), F.greatest(acc["m"], acc["d"] + 1).alias("m"))) \
+            .otherwise(F.struct((acc["d"] - 1).alias("d"), acc["m"].alias("m")))
+
+    return F.aggregate(F.split(brackets, ""), init, step, lambda acc: acc["m"])
+
+
+def max_json_depth(df: DataFrame, c: Column) -> int:
+    """One aggregate (partial per task, one small row to the driver)."""
+    m = df.select(json_depth(c).alias("d")).agg(F.max("d")).first()[0]
+    return int(m or 0)
+
+
 def flatten_json(df: DataFrame, json_col: str | Column, id_cols: list[str],
                  separator: str = ".", max_depth: int | None = None) -> DataFrame:
     """Rows (id_cols..., path, value STRING). Leaf values: strings unquoted, other
@@ -37,43 +57,25 @@ def flatten_json(df: DataFrame, json_col: str | Column, id_cols: list[str],
     base = df.select(*id_cols, F.try_parse_json(src).alias("_v")).filter(F.col("_v").isNotNull())
     known = max_depth
     if known is None:
-        schema = base.agg(F.schema_of_variant_agg("_v").alias("s")).first()["s"] or ""
-        # mixed-type containers merge to VARIANT, which hides their depth
-        known = None if "VARIANT" in schema else _schema_depth(schema)
-    if known is None:
-        checkpoint_dir(df.sparkSession)
+        known = max_json_depth(df, src)
     rows = base.select(*id_cols, F.lit(None).cast("string").alias("path"), "_v")
-    leaves = []
-    level = 0
-    while True:
+    # one linear chain of generate steps: containers are replaced by their entries,
+    # leaves pass through unchanged (as a one-entry array with a null key)
+    for _ in range(known):
         as_map = F.try_variant_get("_v", "$", "map<string,variant>")
         as_arr = F.try_variant_get("_v", "$", "array<variant>")
-        kind = F.when(as_map.isNotNull(), "o").when(as_arr.isNotNull(), "a").otherwise("l")
-        rows = rows.withColumn("_k", kind)
-        leaves.append(rows.filter(F.col("_k") == "l").select(
-            *id_cols, "path", F.try_variant_get("_v", "$", "string").alias("value")))
-        objs = rows.filter(F.col("_k") == "o").select(
-            *id_cols, "path", F.explode(as_map).alias("_key", "_child"))
-        arrs = rows.filter(F.col("_k") == "a").select(
-            *id_cols, "path", F.posexplode(as_arr).alias("_key", "_child"))
-        children = objs.unionByName(arrs.withColumn("_key", F.col("_key").cast("string")))
-        children = children.select(
+        entry = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
+        entries = (F.when(as_map.isNotNull(),
+                          F.transform(F.map_entries(as_map), lambda e: entry(e["key"], e["value"])))
+                   .when(as_arr.isNotNull(),
+                         F.transform(as_arr, lambda x, i: entry(i.cast("string"), x)))
+                   .otherwise(F.array(entry(F.lit(None).cast("string"), F.col("_v")))))
+        rows = rows.select(*id_cols, "path", F.explode(entries).alias("_e")).select(
             *id_cols,
-            F.when(F.col("path").isNull(), F.col("_key"))
-             .otherwise(F.concat(F.col("path"), F.lit(separator), F.col("_key"))).alias("path"),
-            F.col("_child").alias("_v"))
-        if known is not None:
-            if level >= known:
-                break
-        else:
-            # depth unknown: materialise the level (reliable checkpoint) and stop
-            # when no container is left
-            children = children.checkpoint(eager=True)
-            if children.isEmpty():
-                break
-        rows = children
-        level += 1
-    out = leaves[0]
-    for part in leaves[1:]:
-        out = out.unionByName(part)
-    return out.filter(F.col("path").isNotNull() | F.col("value").isNotNull())
+            F.when(F.col("_e.k").isNull(), F.col("path"))
+             .when(F.col("path").isNull(), F.col("_e.k"))
+             .otherwise(F.concat(F.col("path"), F.lit(separator), F.col("_e.k"))).alias("path"),
+            F.col("_e.v").alias("_v"))
+    # a scalar at the root has the empty path, as in the reference
+    return rows.select(*id_cols, F.coalesce(F.col("path"), F.lit("")).alias("path"),
+                       F.try_variant_get("_v", "$", "string").alias("value"))
