@@ -61,16 +61,17 @@ def flatten_json(df: DataFrame, json_col: str | Column, id_cols: list[str],
     rows = base.select(*id_cols, F.lit(None).cast("string").alias("path"), "_v")
     # one linear chain of generate steps: containers are replaced by their entries,
     # leaves pass through unchanged (as a one-entry array with a null key)
+    entry = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
     for _ in range(known):
-        as_map = F.try_variant_get("_v", "$", "map<string,variant>")
-        as_arr = F.try_variant_get("_v", "$", "array<variant>")
-        entry = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
-        entries = (F.when(as_map.isNotNull(),
-                          F.transform(F.map_entries(as_map), lambda e: entry(e["key"], e["value"])))
-                   .when(as_arr.isNotNull(),
-                         F.transform(as_arr, lambda x, i: entry(i.cast("string"), x)))
-                   .otherwise(F.array(entry(F.lit(None).cast("string"), F.col("_v")))))
-        rows = rows.select(*id_cols, "path", F.explode(entries).alias("_e")).select(
+        # cast once per level into columns; the entry expression only reads them
+        typed = rows.select(*id_cols, "path", "_v",
+                            F.try_variant_get("_v", "$", "map<string,variant>").alias("_m"),
+                            F.try_variant_get("_v", "$", "array<variant>").alias("_a"))
+        entries = F.coalesce(
+            F.transform(F.map_entries("_m"), lambda e: entry(e["key"], e["value"])),
+            F.transform("_a", lambda x, i: entry(i.cast("string"), x)),
+            F.array(entry(F.lit(None).cast("string"), F.col("_v"))))
+        rows = typed.select(*id_cols, "path", F.explode(entries).alias("_e")).select(
             *id_cols,
             F.when(F.col("_e.k").isNull(), F.col("path"))
              .when(F.col("path").isNull(), F.col("_e.k"))

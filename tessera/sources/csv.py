@@ -36,13 +36,15 @@ def write_csv(df: DataFrame, path: str, *, delimiter: str = ",", quote_all: bool
 
 def read_csv(spark: SparkSession, path: str, *, delimiter: str = ",", encoding: str = "utf-8",
              limit: int | None = None, revive_json: bool = False) -> DataFrame:
-    """S3: every column a string; quoted empty cells read back as ''. With
+    """S3: every column a string; empty cells (written for nulls) read back as ''. With
     ``revive_json`` cells starting with '{' or '[' become VARIANT values when they
     parse (``try_parse_json``), the other cells VARIANT strings."""
     df = (spark.read.option("header", "true").option("sep", delimiter).option("multiLine", "true")
           .option("quote", '"').option("escape", '"').option("encoding", encoding)
           .option("inferSchema", "false").option("emptyValue", "")
           .csv(path))
+    # CSV keeps no null: an empty cell reads back as '' (as the reference does)
+    df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
     if revive_json:
         def revive(c):
             starts = c.startswith("{") | c.startswith("[")

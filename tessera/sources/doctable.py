@@ -72,8 +72,9 @@ class DocumentTable:
             return parsed.drop("data")
         parsed = t.withColumn("_doc", F.from_json("data", schema))
         parsed = parsed.filter(F.col("_doc").isNotNull())
-        fields = [F.col("_doc").getField(f.name).alias(f.name) for f in schema.fields]
-        return parsed.select(*fields, "id", "created_at", "run_id", "target_name")
+        meta = ["id", "created_at", "run_id", "target_name"]
+        fields = [F.col("_doc").getField(f.name).alias(f.name) for f in schema.fields if f.name not in meta]
+        return parsed.select(*fields, *meta)
 
     def count(self) -> int:
         """S12."""
