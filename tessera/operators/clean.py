@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import clean_string
-from tessera.operators.dedupe import dedupe_first, dedupe_flag
+from tessera.operators.dedupe import dedupe_first
 from tessera.operators.validate import validate
 
 EMPTY_DEFAULT = object()
@@ -172,30 +172,39 @@ def clean(df: DataFrame, spec: dict, order_by=None) -> tuple[DataFrame, DataFram
 
 
 def cleaning_stats(df: DataFrame, spec: dict, order_by) -> DataFrame:
-    """C12 in one pass over the input: every row is flagged kept/removed by the same
-    rules as :func:`clean`, then one aggregate counts both (no second scan)."""
+    """C12 in one pass over the input. Every row is flagged kept (missing-value
+    rule) and valid (validation rule) by the same rules as :func:`clean`; with
+    de-duplication the rows are grouped by (keys, kept) and each group reports its
+    size and whether its first row (``min_by`` on the order) survives. Grouping is a
+    hash aggregate with map-side partial aggregation, so a key holding a third of
+    the rows is reduced in every map task before the shuffle."""
     rules = spec.get("field_validation") or {}
-    flagged = df.withColumn("_orig", F.lit(True))
     missing = spec.get("handle_missing")
     keep = F.lit(True)
+    flagged = df
     if missing and missing.get("strategy") == "drop":
         for f in required_fields(rules):
-            if f not in df.columns:
-                keep = F.lit(False)
-            else:
-                keep = keep & ~_is_missing(_q(f), df.schema[f].dataType)
+            keep = F.lit(False) if f not in df.columns else keep & ~_is_missing(_q(f), df.schema[f].dataType)
     else:
         flagged = handle_missing(flagged, missing, rules)
-    flagged = flagged.withColumn("_keep", keep)
-    if spec.get("remove_duplicates") and spec.get("duplicate_keys"):
-        # rows dropped for missing values form their own groups, so they never win
-        flagged = dedupe_flag(flagged, list(spec["duplicate_keys"]) + ["_keep"], order_by, "_first")
-        flagged = flagged.withColumn("_keep", F.col("_keep") & F.col("_first"))
+    valid = F.lit(True)
     if rules:
         from tessera.operators.validate import error_column
-        flagged = flagged.withColumn("_keep", F.col("_keep") & (F.size(error_column(flagged, rules)) == 0))
-    agg = flagged.agg(F.count(F.lit(1)).alias("original_count"),
-                      F.count_if("_keep").alias("cleaned_count"))
+        valid = F.size(error_column(flagged, rules)) == 0
+    flagged = flagged.withColumns({"_keep": keep, "_valid": valid})
+    if spec.get("remove_duplicates") and spec.get("duplicate_keys"):
+        order = order_by if isinstance(order_by, (list, tuple)) else [order_by]
+        order_key = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+        keys = [_q(k) if k in flagged.columns else F.lit(None).cast("string").alias(k)
+                for k in spec["duplicate_keys"]]
+        groups = flagged.groupBy(*keys, "_keep").agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min_by(F.col("_keep") & F.col("_valid"), order_key).alias("_first_ok"))
+        agg = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("original_count"),
+                         F.count_if("_first_ok").alias("cleaned_count"))
+    else:
+        agg = flagged.agg(F.count(F.lit(1)).alias("original_count"),
+                          F.count_if(F.col("_keep") & F.col("_valid")).alias("cleaned_count"))
     return agg.select(
         F.col("original_count").cast("long").alias("original_count"),
         F.col("cleaned_count").cast("long").alias("cleaned_count"),

@@ -40,15 +40,3 @@ def dedupe_first(df: DataFrame, keys: list[str], order_by) -> DataFrame:
     return (df.withColumn("_dedupe_rn", F.row_number().over(w))
               .filter(F.col("_dedupe_rn") == 1)
               .drop("_dedupe_rn"))
-
-
-def dedupe_flag(df: DataFrame, keys: list[str], order_by, name: str = "_is_first") -> DataFrame:
-    """Like :func:`dedupe_first` but keeps every row and marks the winners; used for
-    statistics that count kept and removed rows in one pass."""
-    present = set(df.columns)
-    key_cols = [F.col(k) if k in present else F.lit(None).cast("string") for k in keys]
-    long_keys = [F.col(k) for k in keys if k in present
-                 and isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType))]
-    part = ([F.xxhash64(*long_keys)] if long_keys else []) + key_cols
-    w = Window.partitionBy(*part).orderBy(*_order_cols(order_by))
-    return df.withColumn(name, F.row_number().over(w) == 1)

@@ -169,19 +169,22 @@ def pagination_walk(pages: DataFrame, start_urls: DataFrame, next_selector: str,
     Returns (url, depth) of every visited URL that exists in ``pages``."""
     from tessera.session import checkpoint_dir
     checkpoint_dir(pages.sparkSession)
+    # distinct edges and URLs: copies of one page (a hot URL) collapse in the
+    # map-side partial aggregation instead of skewing the joins below
     edges = (next_links(pages, next_selector, base_url=base_url, url_col=url_col,
                         html_col=html_col, keep=())
              .filter(F.col("next_url").isNotNull())
-             .select("url", "next_url").checkpoint(eager=True))
+             .select("url", "next_url").distinct().checkpoint(eager=True))
+    page_urls = pages.select(F.col(url_col).alias("url")).distinct().checkpoint(eager=True)
     frontier = (start_urls.select(F.col("url")).distinct()
-                .join(pages.select(F.col(url_col).alias("url")).distinct(), "url", "left_semi")
+                .join(page_urls, "url", "left_semi")
                 .withColumn("depth", F.lit(0)))
     visited = frontier.checkpoint(eager=True)
     frontier = visited
     for depth in range(1, max_pages):
         nxt = (frontier.join(edges, "url").select(F.col("next_url").alias("url")).distinct()
                .join(visited.select("url"), "url", "left_anti")
-               .join(pages.select(F.col(url_col).alias("url")), "url", "left_semi")
+               .join(page_urls, "url", "left_semi")
                .withColumn("depth", F.lit(depth))
                .checkpoint(eager=True))
         if nxt.isEmpty():
