@@ -80,3 +80,21 @@ def flatten_json(df: DataFrame, json_col: str | Column, id_cols: list[str],
     # a scalar at the root has the empty path, as in the reference
     return rows.select(*id_cols, F.coalesce(F.col("path"), F.lit("")).alias("path"),
                        F.try_variant_get("_v", "$", "string").alias("value"))
+
+
+def flatten_struct(df: DataFrame, separator: str = ".") -> DataFrame:
+    """U13 for typed struct columns: nested fields become top-level columns named
+    by their dotted path (schema walk on the driver, one projection)."""
+    from pyspark.sql import types as T
+    out = []
+
+    def walk(c: Column, dtype, path: str):
+        if isinstance(dtype, T.StructType) and dtype.fields:
+            for f in dtype.fields:
+                walk(c.getField(f.name), f.dataType, f"{path}{separator}{f.name}")
+        elif not (isinstance(dtype, T.StructType) and not dtype.fields):
+            out.append(c.alias(path))
+
+    for f in df.schema.fields:
+        walk(F.col(f"`{f.name}`"), f.dataType, f.name)
+    return df.select(*out)

@@ -73,3 +73,29 @@ def run_target(pages: DataFrame, spec: dict, run_id: str | None = None,
         "output_path": None if dry_run else path, "dry_run": dry_run, "error": err,
     }
     return result, record
+
+
+RUN_LOG_DDL = ("run_id string, target_name string, status string, duration_s double, processed_count long, "
+               "saved_count long, output_path string, dry_run boolean, error string, finished_at timestamp")
+
+
+def append_run_log(spark, records: list[dict], path: str) -> None:
+    """One ``run_log`` row per run, appended (the metrics in
+    ``tessera.operators.metrics`` aggregate this table)."""
+    import datetime as _dt
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    rows = [{**r, "finished_at": r.get("finished_at", now)} for r in records]
+    cols = [c.split()[0] for c in RUN_LOG_DDL.split(", ")]
+    spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], RUN_LOG_DDL) \
+        .write.mode("append").parquet(path)
+
+
+def run_all_targets(pages: DataFrame, specs: list[dict], run_id: str = "all") -> DataFrame:
+    """The same extraction for several targets in one plan; results are
+    stacked by name with a ``target_name`` column (``unionByName``, missing
+    columns null). Per-target statistics are a ``groupBy('target_name')``."""
+    out = None
+    for spec in specs:
+        part, _ = build_plan(pages, {**spec, "provenance": True}, run_id)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out

@@ -81,3 +81,24 @@ def storage_info(spark: SparkSession, path: str, name: str | None = None) -> Dat
                      F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("size_bytes"),
                      F.max("modificationTime").alias("modified")).select(
         label.alias("storage"), F.lit(True).alias("exists"), "files", "size_bytes", "modified")
+
+
+def clear(spark: SparkSession, path: str, kind: str, schema) -> None:
+    """S13 for CSV/JSONL/table: replace the contents by an empty data set."""
+    empty = spark.createDataFrame([], schema)
+    kind = kind.lower()
+    if kind == "csv":
+        write_csv(empty, path, mode="overwrite")
+    elif kind == "jsonl":
+        write_jsonl(empty, path, mode="overwrite")
+    elif kind in ("table", "sqlite"):
+        DocumentTable(spark, path).clear()
+    else:
+        raise ValueError(f"Unsupported storage type: {kind}")
+
+
+def table_info(df: DataFrame, name: str) -> DataFrame:
+    """S19 (table variant): column names and row count as one row."""
+    cols = ",".join(df.columns)
+    return df.agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(
+        F.lit(name).alias("table"), F.lit(cols).alias("columns"), "row_count")

@@ -95,3 +95,16 @@ def test_storage_info_and_naming(spark):
     assert rows(storage_info(spark, path + "_missing"))[0]["exists"] is False
     import datetime as dt
     assert output_path("out", "processed", "csv", dt.datetime(2024, 1, 2, 3, 4, 5)) == "out/processed_20240102_030405.csv"
+
+
+def test_clear_table_info_pages(spark):
+    from tessera.sources import clear, read_pages, split_fetched, table_info
+    df = items(spark)
+    p = write_csv(df, scratch_path(spark, "t_clear"))
+    clear(spark, p, "csv", df.schema)
+    assert read_csv(spark, p).count() == 0
+    assert rows(table_info(df, "items"))[0] == {"table": "items", "columns": "name,age,tags,active,run_id",
+                                                "row_count": 3}
+    pg = spark.createDataFrame([(1, "u", "<p>x</p>"), (2, "v", None)], "page_id long, url string, html string")
+    good, bad = split_fetched(pg)
+    assert good.count() == 1 and bad.count() == 1

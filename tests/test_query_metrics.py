@@ -96,3 +96,30 @@ def test_checks_and_quality(spark):
     assert suite["overall"]["status"] == "unhealthy"
     assert rows(metrics.quality_report(df))[0] == {"rows": 3, "null_cells": 1, "duplicate_rows": 1}
     assert rows(metrics.storage_health(df, "t"))[0] == {"storage": "t", "status": "healthy", "row_count": 3}
+
+
+def test_flatten_struct(spark):
+    from tessera.operators.flatten import flatten_struct
+    df = spark.createDataFrame([(1, ((1,), [1, 2]))], "id int, a struct<b:struct<c:int>, x:array<int>>")
+    out = flatten_struct(df)
+    assert out.columns == ["id", "a.b.c", "a.x"]
+    assert tuple(out.first()) == (1, 1, [1, 2])
+
+
+def test_run_log_and_all_targets(spark):
+    from tessera.plans.runner import append_run_log, run_all_targets, run_target
+    from tessera.session import scratch_path
+    from tests.test_extract import TWO_QUOTES, ITEM_PAGE, pages
+    pg = pages(spark, ("https://example.com", TWO_QUOTES), ("https://example.com/x", ITEM_PAGE))
+    quotes = {"name": "quotes", "extract": {"item_selector": "div.quote",
+                                             "fields": {"text": "span.text::text", "author": "small.author::text"}}}
+    items = {"name": "items", "extract": {"item_selector": "div.item", "fields": {"title": "h2.title::text"}}}
+    both = run_all_targets(pg, [quotes, items])
+    per = {r["target_name"]: r["count"] for r in both.groupBy("target_name").count().collect()}
+    assert per == {"quotes": 2, "items": 2}
+    out, rec = run_target(pg, quotes, run_id="r9", dry_run=True)
+    assert rec["status"] == "success" and rec["processed_count"] == 2 and rec["saved_count"] == 0
+    path = scratch_path(spark, "run_log")
+    append_run_log(spark, [rec], path)
+    log = spark.read.parquet(path)
+    assert rows(metrics.job_counts(log, F.col("status") == "success"))[0]["successful_runs"] == 1
