@@ -15,13 +15,15 @@ from tessera.functions._util import col
 from tessera.functions.dates import to_datetime
 from tessera.functions.text import WS, strip_ws
 
-# Python float() syntax for finite numbers (digits may be grouped by '_'), with
-# surrounding whitespace allowed; Java-only forms such as "1.0d" or "0x1p3" fail it.
+# Python float() syntax for finite numbers (digits may be grouped by '_'); Java-only
+# forms such as "1.0d" or "0x1p3" fail it. FLOAT_RE allows surrounding whitespace
+# (used by the oracle); the Spark side strips first and matches FLOAT_CORE.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
-FLOAT_RE = (rf"\A[{WS}]*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
-            rf"(?:[eE][+-]?{_DIGITS})?[{WS}]*\z")
+FLOAT_CORE = rf"[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+FLOAT_RE = rf"\A[{WS}]*{FLOAT_CORE}[{WS}]*\z"
 # Python float() also accepts these words (any case, optional sign).
 NONFINITE_RE = rf"(?i)\A[{WS}]*([+-]?)(inf|infinity|nan)[{WS}]*\z"
+NONFINITE_WORDS = [s + w for s in ("", "+", "-") for w in ("inf", "infinity", "nan")]
 
 # Strings that convert to True (compared after lower-casing).
 TRUE_WORDS = ["true", "1", "yes", "on"]
@@ -31,15 +33,21 @@ def _is_string(dtype) -> bool:
     return isinstance(dtype, T.StringType)
 
 
+def is_float_text(v: Column) -> Column:
+    """Would Python's float() accept the string (finite or inf/nan words)?"""
+    t = strip_ws(v)
+    return t.rlike(f"^{FLOAT_CORE}$") | F.lower(t).isin(*NONFINITE_WORDS)
+
+
 def _str_to_double(v: Column) -> Column:
-    finite = F.when(v.rlike(FLOAT_RE),
-                    F.regexp_replace(strip_ws(v), "_", "").try_cast("double"))
-    sign = F.regexp_extract(v, NONFINITE_RE, 1)
-    word = F.lower(F.regexp_extract(v, NONFINITE_RE, 2))
-    special = (F.when(word == "nan", F.lit(float("nan")))
-               .when(sign == "-", F.lit(float("-inf")))
+    t = strip_ws(v)
+    word = F.lower(t)
+    special = (F.when(F.contains(word, F.lit("nan")), F.lit(float("nan")))
+               .when(t.startswith("-"), F.lit(float("-inf")))
                .otherwise(F.lit(float("inf"))))
-    return F.when(v.rlike(NONFINITE_RE), special).otherwise(finite)
+    finite = F.regexp_replace(t, "_", "").try_cast("double")
+    return (F.when(t.rlike(f"^{FLOAT_CORE}$"), finite)
+             .when(word.isin(*NONFINITE_WORDS), special))
 
 
 def to_string(c, dtype=None) -> Column:
@@ -56,7 +64,8 @@ def to_int(c, dtype=None) -> Column:
     """Strings through float then truncation toward zero; numbers truncated."""
     v = col(c)
     if dtype is None or _is_string(dtype):
-        d = F.when(v.rlike(FLOAT_RE), _str_to_double(v))
+        t = strip_ws(v)
+        d = F.when(t.rlike(f"^{FLOAT_CORE}$"), F.regexp_replace(t, "_", "").try_cast("double"))
         return d.try_cast("long")
     if isinstance(dtype, T.BooleanType):
         return v.cast("long")

@@ -92,9 +92,18 @@ def shape_regex(pattern: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def _parse_ntz(v: Column, pattern: str) -> Column:
+    """Wall-clock parse independent of the session time zone. ``try_to_timestamp``
+    only decides validity (it never raises); the value comes from
+    ``to_timestamp_ntz``, which is evaluated only for valid rows, so ANSI mode never
+    sees an unparsable value and no DST gap can shift the result."""
+    fmt = F.lit(pattern)
+    return F.when(v.rlike(shape_regex(pattern)) & F.try_to_timestamp(v, fmt).isNotNull(),
+                  F.to_timestamp_ntz(v, fmt))
+
+
 def _first_match(v: Column, patterns) -> Column:
-    return F.coalesce(*[F.when(v.rlike(shape_regex(p)), F.try_to_timestamp(v, F.lit(p)))
-                        for p in patterns]).cast("timestamp_ntz")
+    return F.coalesce(*[_parse_ntz(v, p) for p in patterns])
 
 
 def parse_date(c, formats: list[str] | None = None) -> Column:

@@ -46,12 +46,15 @@ def convert_types(df: DataFrame, conversions: dict[str, str] | None,
                   keep_raw: bool = True) -> DataFrame:
     """Convert each named column; unknown type names leave it as is.
     A value whose conversion fails becomes null and, with ``keep_raw``, its original
-    text is kept in ``_raw[field]`` and the field listed in ``_conv_errors``."""
+    text is kept in ``_raw[field]`` and the field listed in ``_conv_errors``.
+
+    Two projections: the typed values are computed once (code-generated), the
+    bookkeeping columns then only read column references."""
     if not conversions:
         return df
-    new_cols: dict[str, Column] = {}
-    failed: list[tuple[str, Column, Column]] = []
-    for field, type_name in conversions.items():
+    typed_cols: dict[str, Column] = {}
+    tracked: list[tuple[str, str, Column]] = []
+    for i, (field, type_name) in enumerate(conversions.items()):
         if field not in df.columns:
             continue
         dtype = df.schema[field].dataType
@@ -59,20 +62,24 @@ def convert_types(df: DataFrame, conversions: dict[str, str] | None,
         typed = convert(c, type_name, dtype)
         if typed is None:
             continue
-        new_cols[field] = typed
-        if type_name.lower() in NEVER_FAILS:
+        if not keep_raw or type_name.lower() in NEVER_FAILS:
+            typed_cols[field] = typed
             continue
-        bad = c.isNotNull() & typed.isNull()
+        tmp = f"__typed_{i}"
+        typed_cols[tmp] = typed
         raw = F.to_json(c) if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
-        failed.append((field, bad, raw))
-    if keep_raw and failed:
-        raw_map = F.map_filter(
-            F.create_map(*[x for f, bad, raw in failed for x in (F.lit(f), F.when(bad, raw))]),
-            lambda k, v: v.isNotNull())
-        errs = F.array_compact(F.array(*[F.when(bad, F.lit(f)) for f, bad, _ in failed]))
-        new_cols[RAW_COL] = raw_map
-        new_cols[CONV_ERRORS_COL] = errs
-    return df.withColumns(new_cols)
+        tracked.append((field, tmp, raw))
+    if not tracked:
+        return df.withColumns(typed_cols)
+    step = df.withColumns(typed_cols)
+    bad = {f: _q(f).isNotNull() & F.col(tmp).isNull() for f, tmp, _ in tracked}
+    raw_map = F.map_filter(
+        F.create_map(*[x for f, _, raw in tracked for x in (F.lit(f), F.when(bad[f], raw))]),
+        lambda k, v: v.isNotNull())
+    errs = F.array_compact(F.array(*[F.when(bad[f], F.lit(f)) for f, _, _ in tracked]))
+    out = step.withColumns({RAW_COL: raw_map, CONV_ERRORS_COL: errs})
+    out = out.withColumns({f: F.col(tmp) for f, tmp, _ in tracked})
+    return out.drop(*[tmp for _, tmp, _ in tracked])
 
 
 class FunctionRegistry:

@@ -7,12 +7,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.convert import FLOAT_RE, NONFINITE_RE
-from tessera.functions.text import WS
+from tessera.functions.convert import is_float_text
+from tessera.functions.text import WS, strip_ws
 
 ERRORS_COL = "_errors"
 
-INT_RE = rf"\A[{WS}]*[+-]?[0-9]+(?:_[0-9]+)*[{WS}]*\z"
+INT_CORE = r"[+-]?[0-9]+(?:_[0-9]+)*"
+INT_RE = rf"\A[{WS}]*{INT_CORE}[{WS}]*\z"
 # Strings the validator accepts as booleans (any case).
 BOOL_WORDS = ["0", "off", "f", "false", "n", "no", "1", "on", "t", "true", "y", "yes"]
 ISO_DATETIME_RE = (r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?"
@@ -25,11 +26,11 @@ def _coercible(c: Column, dtype: T.DataType, type_name: str) -> Column:
     is_str = isinstance(dtype, T.StringType)
     if t == "int":
         if is_str:
-            return c.rlike(INT_RE)
+            return strip_ws(c).rlike(f"^{INT_CORE}$")
         return F.lit(isinstance(dtype, (T.NumericType, T.BooleanType)))
     if t == "float":
         if is_str:
-            return c.rlike(FLOAT_RE) | c.rlike(NONFINITE_RE)
+            return is_float_text(c)
         return F.lit(isinstance(dtype, (T.NumericType, T.BooleanType)))
     if t == "bool":
         if is_str:

@@ -140,3 +140,14 @@ def test_words_t11(spark):
     assert one(spark, "John Doe", tf.initials) == "JD"
     assert one(spark, "  one two\tthree\n", tf.word_count) == 3
     assert one(spark, "", tf.word_count) == 0
+
+
+def test_dates_ignore_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")   # DST began at midnight
+    try:
+        df = spark.createDataFrame([("1985-11-02",), ("13/13/2024",)], "s string")
+        got = [r[0] for r in df.select(tf.parse_date("s")).collect()]
+        assert got == [dt.datetime(1985, 11, 2), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
