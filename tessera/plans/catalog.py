@@ -23,7 +23,7 @@ from tessera.operators.transform import (CONV_ERRORS_COL, apply_field_mapping, c
                                          evaluate_expression, transform, transform_stats)
 from tessera.operators.validate import ERRORS_COL, error_counts, validate
 from tessera.plans.runner import plan_only
-from tessera.session import read_table, scratch_path
+from tessera.session import balance, read_table, scratch_path
 from tessera.sources.csv import count_csv, read_csv, write_csv
 from tessera.sources.doctable import DocumentTable
 from tessera.sources.jsonl import read_jsonl, write_jsonl
@@ -31,8 +31,15 @@ from tessera.sources.sinks import backup, export, storage_info
 from tessera.streaming.incremental import incremental_run, read_file_stream, stream_dedupe
 
 
-def _t(spark, d, name) -> DataFrame:
-    return read_table(spark, d, name)
+# tables whose registered queries do heavy per-row work (whole-text functions, HTML)
+_SPREAD = {"documents", "pages"}
+
+
+def _t(spark, d, name, spread: bool | None = None) -> DataFrame:
+    df = read_table(spark, d, name)
+    if spread if spread is not None else name in _SPREAD:
+        df = balance(df)
+    return df
 
 
 def _failed(c=CONV_ERRORS_COL):
@@ -92,7 +99,7 @@ def dedupe_events(spark, d):
 
 # ---------------------------------------------------------------- validation
 def _orders_for_validation(spark, d) -> DataFrame:
-    o = _t(spark, d, "orders")
+    o = _t(spark, d, "orders", spread=True)
     ck = o.o_custkey.cast("string")
     return o.select(
         "o_orderkey",
@@ -174,8 +181,8 @@ def field_mapping(spark, d):
 
 
 def convert_string(spark, d):
-    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
-                                         (F.col("l_returnflag") == "R").alias("is_return"))
+    li = _t(spark, d, "lineitem", spread=True).select("l_orderkey", "l_linenumber", "l_quantity",
+                                                      (F.col("l_returnflag") == "R").alias("is_return"))
     out = convert_types(li, {"l_quantity": "string", "is_return": "string", "l_linenumber": "String"})
     return out.select("l_orderkey", "l_linenumber", "l_quantity", "is_return")
 
@@ -195,7 +202,7 @@ def _numeric_text(li: DataFrame, kind: str) -> DataFrame:
 
 
 def _convert_numeric(spark, d, kind):
-    li = _numeric_text(_t(spark, d, "lineitem"), kind)
+    li = _numeric_text(_t(spark, d, "lineitem", spread=True), kind)
     out = convert_types(li.withColumn("value", F.col("raw")), {"value": kind})
     cols = ["l_orderkey", "l_linenumber", "raw", "value"]
     if kind != "bool":
@@ -229,14 +236,14 @@ def convert_array(spark, d):
 
 
 def convert_dict(spark, d):
-    e = _t(spark, d, "events")
+    e = _t(spark, d, "events", spread=True)
     raw = F.when(e.event_type == "error", F.concat(F.lit("oops "), e.props)).otherwise(e.props)
     out = convert_types(e.select("event_id", raw.alias("props")), {"props": "dict"})
     return out.select("event_id", F.col("props")["k"].alias("k"), _failed().alias("failed"))
 
 
 def convert_datetime(spark, d):
-    o = _t(spark, d, "orders")
+    o = _t(spark, d, "orders", spread=True)
     m = o.o_orderkey % 5
     dt = o.o_orderdate
     raw = (F.when(m == 0, F.date_format(dt, "yyyy-MM-dd HH:mm:ss")).when(m == 1, F.date_format(dt, "yyyy-MM-dd"))
@@ -319,7 +326,7 @@ _DATE_PRINT = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:
 
 
 def parse_date_orders(spark, d):
-    o = _t(spark, d, "orders")
+    o = _t(spark, d, "orders", spread=True)
     m = o.o_orderkey % 12
     raw = F.lit(None).cast("string")
     for i, p in enumerate(_DATE_PRINT):
@@ -380,7 +387,7 @@ def _nested_json(e: DataFrame):
 
 
 def flatten_events(spark, d):
-    e = _t(spark, d, "events")
+    e = _t(spark, d, "events", spread=True)
     return flatten_json(e.select("event_id", _nested_json(e).alias("j")), "j", ["event_id"])
 
 

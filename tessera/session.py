@@ -65,3 +65,39 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def plan_size_bytes(df) -> int:
+    """Catalyst's size estimate of a DataFrame (file sizes for a scan); no job runs."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return -1
+
+
+def byte_size(text: str) -> int:
+    """'134217728b', '128m', '1g' -> bytes."""
+    t = str(text).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = t[:-1] if t.endswith("b") else t
+    if t and t[-1] in units:
+        return int(float(t[:-1]) * units[t[-1]])
+    return int(t)
+
+
+def balance(df):
+    """Spread a small input over all cores before per-row heavy work.
+
+    A scan splits files into ``spark.sql.files.maxPartitionBytes`` pieces (and only at
+    row-group boundaries), so an input smaller than that times the parallelism may
+    arrive as a single non-empty partition. Only in that case — checked against the
+    plan's size estimate, never by running a job — rows are dealt round-robin to one
+    partition per core. Large inputs (the cluster case) are returned untouched: their
+    scan is already parallel and no shuffle is added."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = plan_size_bytes(df)
+    if 0 <= size < split * cores and cores > 1:
+        return df.repartition(cores)
+    return df
