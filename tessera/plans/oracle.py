@@ -355,3 +355,22 @@ SELECT page_id, item_pos, {cs('text')} AS text, {cs('href')} AS link, {netloc(cs
     "stream_incremental": f"""SELECT event_id, user_id, upper({cs('event_type')}) AS kind, value * 2 AS value_x2 FROM events""",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
+
+
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB's count_if returns HUGEINT; Spark's returns BIGINT. Cast every call."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
+SQL = {k: _bigint_count_if(v) for k, v in SQL.items()}
