@@ -33,6 +33,8 @@ class DocumentTable:
              .partitionBy("target_name").parquet(self.path))
 
     def _next_id(self) -> int:
+        """First free id: max(id) + 1 over the id column only (column-pruned, one
+        partial aggregate); 0 for a new table (no job)."""
         if not self.exists():
             return 0
         m = self.table().agg(F.max("id")).first()[0]
@@ -41,7 +43,6 @@ class DocumentTable:
     def save(self, df: DataFrame, run_id: str | None = None, target_name: str | None = None) -> str:
         """Each row -> JSON text in ``data``; ``run_id``/``target_name`` copied
         from the row (or the arguments), ``created_at`` = write time; appended."""
-        self.create_if_absent()
         cols = [F.col(f"`{c}`") for c in df.columns]
         run = F.col("run_id") if "run_id" in df.columns else F.lit(run_id)
         target = F.col("target_name") if "target_name" in df.columns else F.lit(target_name)
@@ -56,6 +57,8 @@ class DocumentTable:
         return self.path
 
     def table(self) -> DataFrame:
+        if not self.exists():
+            return self.spark.createDataFrame([], DOC_SCHEMA)
         return self.spark.read.schema(DOC_SCHEMA).parquet(self.path)
 
     def load(self, schema=None, limit: int | None = None, target_name: str | None = None) -> DataFrame:
