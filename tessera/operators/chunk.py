@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import checkpoint_dir
+
 
 def assign_chunks(df: DataFrame, n: int, order_by: list[str], partition_by: list[str] | None = None,
                   num_partitions: int | None = None, name: str = "chunk_id") -> DataFrame:
@@ -23,8 +25,13 @@ def assign_chunks(df: DataFrame, n: int, order_by: list[str], partition_by: list
     keys = list(partition_by or [])
     order = list(order_by)
     nparts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The range bounds come from sampling, and both branches below read the ranged
+    # rows: stamp the partition id into the rows and materialise them once (reliable
+    # checkpoint in the shared folder) so every branch sees the same assignment.
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(nparts, *[F.col(c) for c in keys + order])
-                .withColumn("_pid", F.spark_partition_id()))
+                .withColumn("_pid", F.spark_partition_id())
+                .checkpoint(eager=True))
     # rank inside (range partition, key); a group never exceeds one range partition
     w_local = Window.partitionBy("_pid", *keys).orderBy(*order)
     local = ranged.withColumn("_local", F.row_number().over(w_local))
