@@ -50,7 +50,8 @@ def max_json_depth(df: DataFrame, c: Column) -> int:
 
 
 def flatten_json(df: DataFrame, json_col: str | Column, id_cols: list[str],
-                 separator: str = ".", max_depth: int | None = None) -> DataFrame:
+                 separator: str = ".", max_depth: int | None = None,
+                 expand_arrays: bool = True) -> DataFrame:
     """Rows (id_cols..., path, value STRING). Leaf values: strings unquoted, other
     scalars as JSON text, JSON null as null."""
     src = F.col(json_col) if isinstance(json_col, str) else json_col
@@ -67,19 +68,22 @@ def flatten_json(df: DataFrame, json_col: str | Column, id_cols: list[str],
         typed = rows.select(*id_cols, "path", "_v",
                             F.try_variant_get("_v", "$", "map<string,variant>").alias("_m"),
                             F.try_variant_get("_v", "$", "array<variant>").alias("_a"))
-        entries = F.coalesce(
-            F.transform(F.map_entries("_m"), lambda e: entry(e["key"], e["value"])),
-            F.transform("_a", lambda x, i: entry(i.cast("string"), x)),
-            F.array(entry(F.lit(None).cast("string"), F.col("_v"))))
+        parts = [F.transform(F.map_entries("_m"), lambda e: entry(e["key"], e["value"]))]
+        if expand_arrays:
+            parts.append(F.transform("_a", lambda x, i: entry(i.cast("string"), x)))
+        parts.append(F.array(entry(F.lit(None).cast("string"), F.col("_v"))))
+        entries = F.coalesce(*parts)
         rows = typed.select(*id_cols, "path", F.explode(entries).alias("_e")).select(
             *id_cols,
             F.when(F.col("_e.k").isNull(), F.col("path"))
              .when(F.col("path").isNull(), F.col("_e.k"))
              .otherwise(F.concat(F.col("path"), F.lit(separator), F.col("_e.k"))).alias("path"),
             F.col("_e.v").alias("_v"))
-    # a scalar at the root has the empty path, as in the reference
-    return rows.select(*id_cols, F.coalesce(F.col("path"), F.lit("")).alias("path"),
-                       F.try_variant_get("_v", "$", "string").alias("value"))
+    # a scalar at the root has the empty path, as in the reference; unexpanded
+    # arrays are leaves carrying their JSON text
+    value = F.coalesce(F.try_variant_get("_v", "$", "string"), F.to_json(F.col("_v")))
+    value = F.when(F.is_variant_null("_v"), F.lit(None).cast("string")).otherwise(value)
+    return rows.select(*id_cols, F.coalesce(F.col("path"), F.lit("")).alias("path"), value.alias("value"))
 
 
 def flatten_struct(df: DataFrame, separator: str = ".") -> DataFrame:

@@ -18,6 +18,7 @@ from tessera.operators.clean import clean, clean_strings, cleaning_stats, handle
 from tessera.operators.dedupe import dedupe_first
 from tessera.operators.extract import extract_items, next_links, pagination_walk
 from tessera.operators.flatten import flatten_json
+from tessera.operators.merge import merge_versions
 from tessera.operators.search import filter_by_field, newest_first, search
 from tessera.operators.transform import (CONV_ERRORS_COL, apply_field_mapping, convert_types,
                                          evaluate_expression, transform, transform_stats)
@@ -391,6 +392,12 @@ def flatten_events(spark, d):
     return flatten_json(e.select("event_id", _nested_json(e).alias("j")), "j", ["event_id"])
 
 
+def merge_versions_events(spark, d):
+    e = _t(spark, d, "events", spread=True)
+    docs = e.select("user_id", "ts", _nested_json(e).alias("doc"))
+    return merge_versions(docs, ["user_id"], "doc", "ts")
+
+
 def redact_customer(spark, d):
     c = _t(spark, d, "customer")
     extra = F.create_map(F.lit("api_token"), c.c_name, F.lit("segment"), c.c_mktsegment)
@@ -658,6 +665,7 @@ QUERIES = {
     "merge_maps": merge_maps,
     "chunks": chunks,
     "flatten_json": flatten_events,
+    "merge_versions": merge_versions_events,
     "redact": redact_customer,
     "search_eq": search_eq,
     "filter_field": filter_field,

@@ -276,6 +276,12 @@ FROM c QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
     "flatten_json": f"""SELECT e.event_id, regexp_replace(regexp_replace(t.fullkey, '\\[(\\d+)\\]', '.\\1', 'g'), '^\\$\\.?', '') AS path,
   t.value ->> '$' AS value FROM (SELECT event_id, {NESTED} AS j FROM events) e, json_tree(e.j) t
   WHERE t.type NOT IN ('OBJECT', 'ARRAY')""",
+    "merge_versions": f"""SELECT user_id, path, value FROM (
+  SELECT e.user_id, e.ts, regexp_replace(t.fullkey, '^\\$\\.?', '') AS path,
+    CASE WHEN t.type = 'ARRAY' THEN CAST(t.value AS VARCHAR) ELSE t.value ->> '$' END AS value
+  FROM (SELECT user_id, ts, {NESTED} AS j FROM events) e, json_tree(e.j) t
+  WHERE t.type <> 'OBJECT' AND NOT contains(t.fullkey, '['))
+QUALIFY row_number() OVER (PARTITION BY user_id, path ORDER BY ts DESC) = 1""",
     "redact": """SELECT '***REDACTED***' AS c_custkey, c_name, '***REDACTED***' AS c_nationkey, c_acctbal, c_mktsegment,
   '***REDACTED***' AS api_token, c_mktsegment AS segment FROM customer""",
 

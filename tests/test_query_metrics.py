@@ -123,3 +123,45 @@ def test_run_log_and_all_targets(spark):
     append_run_log(spark, [rec], path)
     log = spark.read.parquet(path)
     assert rows(metrics.job_counts(log, F.col("status") == "success"))[0]["successful_runs"] == 1
+
+
+def test_merge_versions_matches_recursive_merge(spark):
+    import json
+    from tessera.operators.merge import merge_versions
+
+    def merge_dicts(*dicts):          # the documented semantics: recursive, later wins
+        result = {}
+        for d in dicts:
+            for k, v in d.items():
+                if k in result and isinstance(result[k], dict) and isinstance(v, dict):
+                    result[k] = merge_dicts(result[k], v)
+                else:
+                    result[k] = v
+        return result
+
+    def flat(d, p=""):
+        out = {}
+        for k, v in d.items():
+            key = f"{p}.{k}" if p else k
+            if isinstance(v, dict) and v:
+                out.update(flat(v, key))
+            elif not isinstance(v, dict):
+                out[key] = v
+        return out
+
+    versions = {
+        1: [{"a": {"b": 1, "c": 2}, "x": [1, 2, 3], "s": "keep"},
+            {"a": {"c": 3, "d": 4}, "x": [9]},
+            {"a": 5},
+            {"a": {"e": 6}, "t": True}],
+        2: [{"k": {"deep": {"z": 1}}}, {"k": {"deep": {"y": 2}}, "k2": None}],
+    }
+    rows_in = [(i, v, json.dumps(d)) for i, ds in versions.items() for v, d in enumerate(ds)]
+    df = spark.createDataFrame(rows_in, "id int, ver int, doc string")
+    got = {}
+    for r in merge_versions(df, ["id"], "doc", "ver").collect():
+        got.setdefault(r["id"], {})[r["path"]] = r["value"]
+    for i, ds in versions.items():
+        want = {k: (None if v is None else json.dumps(v, separators=(",", ":")) if isinstance(v, (list, bool)) else str(v))
+                for k, v in flat(merge_dicts(*ds)).items()}
+        assert got[i] == want
