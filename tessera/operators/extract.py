@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from tessera.operators.htmltree import compile_selector, parse, select, select_one
 
 _SUFFIX = re.compile(r"^(.*?)(?:::(text|attr\(([\w:-]+)\)))?\s*$", re.S)
+# Output rows per yielded pandas frame (memory bound independent of page sizes).
+OUTPUT_CHUNK_ROWS = 5000
 # Attributes holding URLs, made absolute against the page URL.
 URL_ATTRS = {"href", "src"}
 
@@ -69,12 +71,22 @@ def extract_items(pages: DataFrame, item_selector: str | None, fields: dict[str,
     schema = ", ".join(keep_ddl + ["source_url string", "item_pos int"] + fields_ddl + ["_error string"])
     src = pages.select(*keep, F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
 
+    cols = list(keep) + ["source_url", "item_pos"] + list(fields) + ["_error"]
+
+    def emit(rows):
+        out = pd.DataFrame(rows, columns=cols)
+        out["item_pos"] = out["item_pos"].astype("Int32")
+        return out
+
     def run(batches):
         item_sel = compile_selector(item_selector) if item_selector else None
         compiled = {k: (compile_selector(css) if css else None, attr) for k, (css, attr) in fspec.items()}
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
+                if len(rows) >= OUTPUT_CHUNK_ROWS:   # bound the memory of one output batch
+                    yield emit(rows)
+                    rows = []
                 base = {k: getattr(rec, k) if k.isidentifier() else rec[i]
                         for i, k in enumerate(keep)}
                 url, html = rec[len(keep)], rec[len(keep) + 1]
@@ -99,10 +111,7 @@ def extract_items(pages: DataFrame, item_selector: str | None, fields: dict[str,
                         row = {**base, "source_url": url, "item_pos": pos,
                                "_error": f"item: {type(e).__name__}: {e}"}
                     rows.append(row)
-            cols = list(keep) + ["source_url", "item_pos"] + list(fields) + ["_error"]
-            out = pd.DataFrame(rows, columns=cols)
-            out["item_pos"] = out["item_pos"].astype("Int32")
-            yield out
+            yield emit(rows)
 
     return src.mapInPandas(run, schema)
 

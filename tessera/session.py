@@ -26,6 +26,8 @@ def get_spark(master: str | None = None, app: str = "tessera",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # HTML pages can be large: keep one Arrow batch into the Python workers small
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
