@@ -46,3 +46,21 @@ def newest_first(df: DataFrame, ts: str = "created_at", tie: str | None = "id",
 def target_filter(df: DataFrame, target: str | None, column: str = "target_name") -> DataFrame:
     """Q5: equality on the target; on a table partitioned by it this prunes folders."""
     return df if target is None else df.filter(F.col(column) == F.lit(target))
+
+
+def search_json(df: DataFrame, variant_col: str, query: dict, limit: int | None = None) -> DataFrame:
+    """Q1 on schema-less rows (one VARIANT column, e.g. from ``read_jsonl`` without a
+    schema): every key must exist in the object; ``None`` matches an explicit JSON
+    null; other values compare as text."""
+    v = F.col(variant_col)
+    cond = F.lit(True)
+    for k, val in query.items():
+        path = "$." + k
+        node = F.try_variant_get(v, path, "variant")
+        exists = node.isNotNull()
+        if val is None:
+            cond = cond & exists & F.is_variant_null(node)
+        else:
+            lit = "true" if val is True else "false" if val is False else str(val)
+            cond = cond & exists & (F.try_variant_get(v, path, "string") == F.lit(lit))
+    return apply_limit(df.filter(cond), limit)

@@ -43,15 +43,28 @@ def apply_field_mapping(df: DataFrame, mapping: dict[str, str] | None) -> DataFr
 
 
 def convert_types(df: DataFrame, conversions: dict[str, str] | None,
-                  keep_raw: bool = True) -> DataFrame:
+                  keep_raw: bool | str = True) -> DataFrame:
     """Convert each named column; unknown type names leave it as is.
     A value whose conversion fails becomes null and, with ``keep_raw``, its original
     text is kept in ``_raw[field]`` and the field listed in ``_conv_errors``.
+    ``keep_raw='variant'`` instead keeps the value in place: each converted column
+    becomes VARIANT holding the converted value, or the original where it failed.
 
     Two projections: the typed values are computed once (code-generated), the
     bookkeeping columns then only read column references."""
     if not conversions:
         return df
+    if keep_raw == "variant":
+        cols = {}
+        for field, type_name in conversions.items():
+            if field not in df.columns:
+                continue
+            c = _q(field)
+            typed = convert(c, type_name, df.schema[field].dataType)
+            if typed is not None:
+                cols[field] = F.when(c.isNotNull() & typed.isNull(), c.cast("variant")).otherwise(
+                    typed.cast("variant"))
+        return df.withColumns(cols)
     typed_cols: dict[str, Column] = {}
     tracked: list[tuple[str, str, Column]] = []
     for i, (field, type_name) in enumerate(conversions.items()):

@@ -165,3 +165,21 @@ def test_merge_versions_matches_recursive_merge(spark):
         want = {k: (None if v is None else json.dumps(v, separators=(",", ":")) if isinstance(v, (list, bool)) else str(v))
                 for k, v in flat(merge_dicts(*ds)).items()}
         assert got[i] == want
+
+
+def test_search_json_absent_vs_null(spark):
+    from tessera.operators.search import search_json
+    df = spark.createDataFrame([('{"a": 1, "b": null}',), ('{"a": 1}',), ('{"a": 2, "b": "x"}',)], "j string") \
+        .select(F.parse_json("j").alias("v"))
+    assert search_json(df, "v", {"b": None}).count() == 1          # explicit null only, absent key excluded
+    assert search_json(df, "v", {"a": 1}).count() == 2
+    assert search_json(df, "v", {"a": 2, "b": "x"}).count() == 1
+    assert search_json(df, "v", {"zzz": 1}).count() == 0
+
+
+def test_convert_variant_mode(spark):
+    from tessera.operators.transform import convert_types
+    df = spark.createDataFrame([("42",), ("not_a_number",)], "n string")
+    out = convert_types(df, {"n": "int"}, keep_raw="variant").select(
+        F.schema_of_variant("n").alias("t"), F.to_json("n").alias("j")).collect()
+    assert [(r["t"], r["j"]) for r in out] == [("BIGINT", "42"), ("STRING", '"not_a_number"')]
