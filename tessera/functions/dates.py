@@ -119,3 +119,50 @@ def to_datetime(c) -> Column:
     """First of five formats (month-first before day-first), no trimming;
     no match -> null (the caller keeps the original text, see T10)."""
     return _first_match(col(c), [s for _, s in CONVERT_DATETIME_FORMATS])
+
+
+_TIME_TOKENS = {"HH": ("hour", 2), "mm": ("minute", 2), "ss": ("second", 2), "SSSSSS": ("micros", 6),
+                "SSS": ("millis", 3)}
+
+
+def _time_field(c: Column, name: str) -> Column:
+    if name == "hour":
+        return F.hour(c)
+    if name == "minute":
+        return F.minute(c)
+    if name == "second":
+        return F.second(c)
+    frac = F.extract(F.lit("SECOND"), c) - F.second(c)           # decimal fraction of the second
+    return (frac * (1_000_000 if name == "micros" else 1_000)).cast("long")
+
+
+def format_ntz(c, pattern: str) -> Column:
+    """Print a TIMESTAMP_NTZ with a Spark datetime pattern without any time-zone
+    conversion (``date_format`` goes through the session zone, which moves wall
+    times that do not exist there, e.g. midnight on a DST-start day). Date fields
+    come from the DATE part, HH/mm/ss/SSS/SSSSSS from the time fields."""
+    c = col(c)
+    pieces, date_run, i = [], [], 0
+
+    def flush():
+        if date_run:
+            pieces.append(F.date_format(c.cast("date"), "".join(date_run)))
+            date_run.clear()
+
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            date_run.append(pattern[i:j + 1])
+            i = j + 1
+            continue
+        tok = next((t for t in ("SSSSSS", "SSS", "HH", "mm", "ss") if pattern.startswith(t, i)), None)
+        if tok:
+            flush()
+            name, width = _TIME_TOKENS[tok]
+            pieces.append(F.lpad(_time_field(c, name).cast("string"), width, "0"))
+            i += len(tok)
+        else:
+            date_run.append(pattern[i])
+            i += 1
+    flush()
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.concat(*pieces))

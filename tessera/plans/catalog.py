@@ -247,12 +247,12 @@ def convert_datetime(spark, d):
     o = _t(spark, d, "orders", spread=True)
     m = o.o_orderkey % 5
     dt = o.o_orderdate
-    raw = (F.when(m == 0, F.date_format(dt, "yyyy-MM-dd HH:mm:ss")).when(m == 1, F.date_format(dt, "yyyy-MM-dd"))
-           .when(m == 2, F.date_format(dt, "MM/dd/yyyy")).when(m == 3, F.date_format(dt, "dd/MM/yyyy"))
-           .otherwise(F.date_format(dt, "d.M.yyyy")))
+    raw = (F.when(m == 0, tf.format_ntz(dt, "yyyy-MM-dd HH:mm:ss")).when(m == 1, tf.format_ntz(dt, "yyyy-MM-dd"))
+           .when(m == 2, tf.format_ntz(dt, "MM/dd/yyyy")).when(m == 3, tf.format_ntz(dt, "dd/MM/yyyy"))
+           .otherwise(tf.format_ntz(dt, "d.M.yyyy")))
     out = convert_types(o.select("o_orderkey", raw.alias("raw")).withColumn("parsed", F.col("raw")),
                         {"parsed": "datetime"})
-    return out.select("o_orderkey", "raw", F.date_format("parsed", "yyyy-MM-dd HH:mm:ss").alias("parsed"),
+    return out.select("o_orderkey", "raw", tf.format_ntz("parsed", "yyyy-MM-dd HH:mm:ss").alias("parsed"),
                       _failed().alias("failed"))
 
 
@@ -331,11 +331,11 @@ def parse_date_orders(spark, d):
     m = o.o_orderkey % 12
     raw = F.lit(None).cast("string")
     for i, p in enumerate(_DATE_PRINT):
-        raw = F.when(m == i, F.date_format(o.o_orderdate, p)).otherwise(raw)
+        raw = F.when(m == i, tf.format_ntz(o.o_orderdate, p)).otherwise(raw)
     raw = F.when(o.o_orderkey % 2 == 1, F.concat(F.lit(" "), raw, F.lit(" "))).otherwise(raw)
     # the input is projected once; the parser reads the column (not 12 copies of the expression)
     texts = o.select("o_orderkey", raw.alias("raw"))
-    return texts.select("o_orderkey", F.date_format(tf.parse_date("raw"), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+    return texts.select("o_orderkey", tf.format_ntz(tf.parse_date("raw"), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
 def file_size(spark, d):
@@ -419,7 +419,7 @@ def filter_field(spark, d):
 def newest_topk(spark, d):
     e = _t(spark, d, "events")
     return newest_first(e, "ts", "event_id", limit=10).select(
-        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+        "event_id", tf.format_ntz("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 
 
 ORDER_DOC_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
@@ -473,7 +473,7 @@ def export_target(spark, d):
     back = read_jsonl(spark, out, T.StructType(ORDER_DOC_SCHEMA.fields + [T.StructField("run_id", T.StringType()),
                                                                           T.StructField("target_name", T.StringType())]))
     return back.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                       F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
+                       tf.format_ntz("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
                        "o_orderpriority", "run_id", "target_name")
 
 
@@ -529,7 +529,7 @@ def multi_target_extract(spark, d):
 def _log(spark, d) -> DataFrame:
     """events as a run log: event_type = operation, value = seconds, error = failed."""
     e = _t(spark, d, "events")
-    return e.withColumns({"run_day": F.date_format("ts", "yyyy-MM-dd"),
+    return e.withColumns({"run_day": tf.format_ntz("ts", "yyyy-MM-dd"),
                           "ok": F.col("event_type") != "error"})
 
 
@@ -551,8 +551,8 @@ def duration_histogram(spark, d):
 def last_run(spark, d):
     out = metrics.last_values(_log(spark, d), ["user_id"], "ts", "event_type", F.col("ok"))
     return out.select("user_id", "last_value",
-                      F.date_format("last_attempt", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_attempt"),
-                      F.date_format("last_success", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_success"))
+                      tf.format_ntz("last_attempt", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_attempt"),
+                      tf.format_ntz("last_success", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_success"))
 
 
 def run_summary(spark, d):

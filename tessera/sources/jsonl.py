@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.dates import format_ntz
+
 _NON_ASCII = re.compile(r"[^\x00-\x7f]")
 
 
@@ -22,11 +24,18 @@ def _ascii_json(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else _NON_ASCII.sub(_escape_char, x))
 
 
-def _iso(c: Column) -> Column:
-    """``datetime.isoformat()``: microseconds only when non-zero."""
-    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    frac = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(frac)
+def _iso(c: Column, ntz: bool = True) -> Column:
+    """``datetime.isoformat()``: microseconds only when non-zero. Naive timestamps
+    are printed without any time-zone conversion."""
+    if ntz:
+        whole = format_ntz(c, "yyyy-MM-dd'T'HH:mm:ss")
+        frac = format_ntz(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        micro = format_ntz(c, "SSSSSS")
+    else:
+        whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+        frac = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        micro = F.date_format(c, "SSSSSS")
+    return F.when(micro == "000000", whole).otherwise(frac)
 
 
 def _prepare(df: DataFrame) -> DataFrame:
@@ -34,7 +43,7 @@ def _prepare(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = _iso(c)
+            c = _iso(c, ntz=isinstance(f.dataType, T.TimestampNTZType))
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))

@@ -151,3 +151,17 @@ def test_dates_ignore_session_time_zone(spark):
         assert got == [dt.datetime(1985, 11, 2), None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_format_ntz_ignores_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2000, 10, 8, 0, 0, 0),), (dt.datetime(2024, 1, 2, 3, 4, 5, 60),)],
+                                   "t timestamp_ntz")
+        out = [tuple(r) for r in df.select(tf.format_ntz("t", "yyyy-MM-dd HH:mm:ss"),
+                                           tf.format_ntz("t", "MMM dd, yyyy'T'HH:mm:ss.SSSSSS")).collect()]
+        assert out == [("2000-10-08 00:00:00", "Oct 08, 2000T00:00:00.000000"),
+                       ("2024-01-02 03:04:05", "Jan 02, 2024T03:04:05.000060")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
