@@ -42,11 +42,17 @@ def get_spark(master: str | None = None, app: str = "tessera",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only when unset."""
+    """The cluster's shared checkpoint folder. Only in local mode, and only when
+    nothing is configured (as in tests), a temp folder is created and registered."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            # executors on other machines cannot see a local temp folder
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                               "for checkpoints and scratch tables on a cluster")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     # RDD/Dataset.checkpoint() needs the context-level setting as well
