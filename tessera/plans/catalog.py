@@ -409,7 +409,7 @@ def redact_customer(spark, d):
 # ---------------------------------------------------------------- search (Q1-Q5)
 def search_eq(spark, d):
     e = _t(spark, d, "events")
-    return search(e, {"event_type": "purchase", "user_id": 7}).select("event_id", "user_id", "event_type", "value")
+    return search(e, {"event_type": "error", "props": '{"k": 69}'}).select("event_id", "user_id", "event_type", "value")
 
 
 def filter_field(spark, d):

@@ -285,7 +285,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, path ORDER BY ts DESC) = 1""",
     "redact": """SELECT '***REDACTED***' AS c_custkey, c_name, '***REDACTED***' AS c_nationkey, c_acctbal, c_mktsegment,
   '***REDACTED***' AS api_token, c_mktsegment AS segment FROM customer""",
 
-    "search_eq": "SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'purchase' AND user_id = 7",
+    "search_eq": """SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'error' AND props = '{"k": 69}'""",
     "filter_field": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
     "newest_topk": f"SELECT event_id, strftime(ts, {TS6}) AS ts FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 10",
     "target_filter": "SELECT o_orderkey, o_totalprice, o_orderpriority AS target_name FROM orders WHERE o_orderpriority = '2-HIGH'",
