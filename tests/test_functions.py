@@ -165,3 +165,18 @@ def test_format_ntz_ignores_session_time_zone(spark):
                        ("2024-01-02 03:04:05", "Jan 02, 2024T03:04:05.000060")]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_edge_rows_from_fixtures(spark):
+    from pyspark.sql import types as T
+    # JSON list with trailing text is not a list for Python's json.loads -> split on ','
+    assert one(spark, "[1, 2] x", tf.to_array) == ["[1", "2] x"]
+    # single-digit dates and month-first for ambiguous day/month
+    df = spark.createDataFrame([("2024-1-5",), ("3/4/2024",), ("2024-01-15T10:30:00",)], "s string")
+    assert [r[0] for r in df.select(tf.to_datetime("s")).collect()] == [
+        dt.datetime(2024, 1, 5), dt.datetime(2024, 3, 4), dt.datetime(2024, 1, 15, 10, 30)]
+    # URL with a space and with user:port; NBSP, tabs and newlines in text
+    assert one(spark, "http://u:p@h.org:81/a b", tf.extract_domain) == "u:p@h.org:81"
+    assert one(spark, " a\tb  c\n", tf.clean_string) == "a\tb c"
+    assert one(spark, " a\tb  c\n", tf.clean_text) == "a b c"
+    assert one(spark, "1.0d", tf.to_float) is None and one(spark, "1_000", tf.to_int) == 1000

@@ -108,3 +108,17 @@ def test_clear_table_info_pages(spark):
     pg = spark.createDataFrame([(1, "u", "<p>x</p>"), (2, "v", None)], "page_id long, url string, html string")
     good, bad = split_fetched(pg)
     assert good.count() == 1 and bad.count() == 1
+
+
+def test_csv_dialect_options(spark):
+    df = spark.createDataFrame([("a;b", 1), ('say "hi"', 2)], "t string, n int")
+    path = write_csv(df, scratch_path(spark, "t_dialect"), delimiter=";", quote_all=False)
+    text = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.endswith(".csv"))
+    assert text.splitlines()[0] == "n;t"
+    assert '"a;b"' in text and '"say ""hi"""' in text and "1;" in text      # minimal quoting
+    back = read_csv(spark, path, delimiter=";")
+    assert sorted(r["t"] for r in back.collect()) == ["a;b", 'say "hi"']
+    # append keeps one header per file and the union of columns stays aligned
+    more = spark.createDataFrame([(3, "x", "extra")], "n int, t string, z string")
+    write_csv(more, path, delimiter=";", quote_all=False, mode="append")
+    assert read_csv(spark, path, delimiter=";").count() >= 3
