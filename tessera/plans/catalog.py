@@ -37,10 +37,12 @@ _SPREAD = {"documents", "pages"}
 
 
 def _t(spark, d, name, spread: bool | None = None) -> DataFrame:
+    """Read a table; before per-row heavy work, a small single-partition input is
+    spread over the cores (``balance`` is size-checked: large inputs are untouched)."""
     df = read_table(spark, d, name)
-    if spread if spread is not None else name in _SPREAD:
-        df = balance(df)
-    return df
+    if spread is None:
+        spread = name in _SPREAD
+    return balance(df) if spread else df
 
 
 def _failed(c=CONV_ERRORS_COL):
