@@ -53,6 +53,14 @@ def _field_value(scope, css_compiled, attr, page_url, multi):
     return vals[0] if vals else None
 
 
+def _validate(selectors) -> None:
+    """Compile every selector once on the driver so a malformed one fails while the
+    plan is built, not inside a Python worker."""
+    for sel in selectors:
+        if sel:
+            compile_selector(sel)
+
+
 def _spark_type(dtype: T.DataType) -> str:
     return dtype.simpleString()
 
@@ -66,6 +74,7 @@ def extract_items(pages: DataFrame, item_selector: str | None, fields: dict[str,
     rows. A failing item gives a row with ``_error`` set and null fields."""
     keep = tuple(keep)
     fspec = {k: parse_field_selector(v) for k, v in fields.items()}
+    _validate([item_selector] + [css for css, _ in fspec.values()])
     fields_ddl = [f"`{k}` {'array<string>' if k in multi else 'string'}" for k in fields]
     keep_ddl = [f"`{k}` {_spark_type(pages.schema[k].dataType)}" for k in keep]
     schema = ", ".join(keep_ddl + ["source_url string", "item_pos int"] + fields_ddl + ["_error string"])
@@ -74,7 +83,8 @@ def extract_items(pages: DataFrame, item_selector: str | None, fields: dict[str,
     cols = list(keep) + ["source_url", "item_pos"] + list(fields) + ["_error"]
 
     def emit(rows):
-        out = pd.DataFrame(rows, columns=cols)
+        # every key present (missing fields must be None, not a float NaN column)
+        out = pd.DataFrame([{c: r.get(c) for c in cols} for r in rows], columns=cols, dtype=object)
         out["item_pos"] = out["item_pos"].astype("Int32")
         return out
 
@@ -116,6 +126,78 @@ def extract_items(pages: DataFrame, item_selector: str | None, fields: dict[str,
     return src.mapInPandas(run, schema)
 
 
+def extract_targets(pages: DataFrame, targets: dict[str, dict], *, url_col: str = "url",
+                    html_col: str = "html", keep: tuple = ("page_id",)) -> DataFrame:
+    """E10 in one pass: every page is parsed once and all targets' selectors run on
+    the same tree. ``targets`` maps a target name to ``{"item_selector": ...,
+    "fields": {...}, "multi": (...)}``; output = ``target_name`` + the columns of
+    :func:`extract_items` with the union of all fields (null where a target lacks
+    a field)."""
+    keep = tuple(keep)
+    specs = {}
+    field_types: dict[str, str] = {}
+    for name, t in targets.items():
+        multi = tuple(t.get("multi", ()))
+        specs[name] = (t.get("item_selector"), {k: parse_field_selector(v) for k, v in t["fields"].items()}, multi)
+        for k in t["fields"]:
+            typ = "array<string>" if k in multi else "string"
+            if field_types.setdefault(k, typ) != typ:
+                raise ValueError(f"field {k!r} is multi-valued in one target and not in another")
+    fields = list(field_types)
+    _validate([sel for sel, fs, _ in specs.values()] + [css for _, fs, _ in specs.values() for css, _ in fs.values()])
+    keep_ddl = [f"`{k}` {_spark_type(pages.schema[k].dataType)}" for k in keep]
+    schema = ", ".join(keep_ddl + ["target_name string", "source_url string", "item_pos int"]
+                       + [f"`{k}` {t}" for k, t in field_types.items()] + ["_error string"])
+    src = pages.select(*keep, F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
+    cols = list(keep) + ["target_name", "source_url", "item_pos"] + fields + ["_error"]
+
+    def emit(rows):
+        # every key present (missing fields must be None, not a float NaN column)
+        out = pd.DataFrame([{c: r.get(c) for c in cols} for r in rows], columns=cols, dtype=object)
+        out["item_pos"] = out["item_pos"].astype("Int32")
+        return out
+
+    def run(batches):
+        compiled = {name: (compile_selector(sel) if sel else None,
+                           {k: (compile_selector(css) if css else None, attr) for k, (css, attr) in fs.items()},
+                           multi)
+                    for name, (sel, fs, multi) in specs.items()}
+        for pdf in batches:
+            rows = []
+            for rec in pdf.itertuples(index=False):
+                if len(rows) >= OUTPUT_CHUNK_ROWS:
+                    yield emit(rows)
+                    rows = []
+                base = dict(zip(keep, rec[:len(keep)]))
+                url, html = rec[len(keep)], rec[len(keep) + 1]
+                if html is None:
+                    continue
+                try:
+                    root = parse(html)                       # once per page, for all targets
+                except Exception as e:
+                    rows.append({**base, "target_name": None, "source_url": url, "item_pos": None,
+                                 "_error": f"page: {type(e).__name__}: {e}"})
+                    continue
+                for name, (item_sel, fs, multi) in compiled.items():
+                    if item_sel is None:
+                        continue
+                    for pos, el in enumerate(select(root, item_sel)):
+                        row = {**base, "target_name": name, "source_url": url, "item_pos": pos, "_error": None}
+                        try:
+                            for k, (cs, attr) in fs.items():
+                                if cs is None:
+                                    row[k] = el.get_text(strip=True) if attr is None else el.get(attr)
+                                else:
+                                    row[k] = _field_value(el, cs, attr, url, k in multi)
+                        except Exception as e:
+                            row = {**base, "target_name": name, "source_url": url, "item_pos": pos,
+                                   "_error": f"item: {type(e).__name__}: {e}"}
+                        rows.append(row)
+            yield emit(rows)
+
+    return src.mapInPandas(run, schema)
+
+
 def split_errors(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without ``_error``, rejected rows)."""
     return (items.filter(F.col("_error").isNull()).drop("_error"),
@@ -137,6 +219,7 @@ def next_links(pages: DataFrame, next_selector: str, *, base_url: str | None = N
     ``base_url`` (the page URL when none). The selector may carry ``::attr(x)``
     or ``::text`` (D11)."""
     css, attr = parse_field_selector(next_selector)
+    _validate([css])
     keep = tuple(keep)
     keep_ddl = [f"`{k}` {_spark_type(pages.schema[k].dataType)}" for k in keep]
     schema = ", ".join(keep_ddl + ["url string", "next_url string"])

@@ -16,7 +16,7 @@ from tessera.operators import computed, metrics
 from tessera.operators.chunk import assign_chunks
 from tessera.operators.clean import clean, clean_strings, cleaning_stats, handle_missing
 from tessera.operators.dedupe import dedupe_first
-from tessera.operators.extract import extract_items, next_links, pagination_walk
+from tessera.operators.extract import extract_items, extract_targets, next_links, pagination_walk
 from tessera.operators.flatten import flatten_json
 from tessera.operators.merge import merge_versions
 from tessera.operators.search import filter_by_field, newest_first, search
@@ -521,9 +521,8 @@ def pagination_walk_pages(spark, d):
 
 def multi_target_extract(spark, d):
     pg = _t(spark, d, "pages")
-    titles = extract_items(pg, "html", {"title": "h1::text"}).withColumn("target_name", F.lit("titles"))
-    ads = extract_items(pg, "div.ad", {"ad_text": "::text"}).withColumn("target_name", F.lit("ads"))
-    both = titles.unionByName(ads, allowMissingColumns=True)
+    both = extract_targets(pg, {"titles": {"item_selector": "html", "fields": {"title": "h1::text"}},
+                                "ads": {"item_selector": "div.ad", "fields": {"ad_text": "::text"}}})
     return both.select("target_name", "page_id", "item_pos", "title", "ad_text")
 
 

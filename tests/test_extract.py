@@ -146,3 +146,23 @@ def test_run_target_writes_sink_and_records(spark):
     assert {r["target_name"] for r in back.collect()} == {"Test Target"}
     bad, rec2 = run_target(pg, {**spec, "storage": {"type": "xml", "path": "/tmp/x"}}, run_id="r2")
     assert rec2["status"] == "failed" and "Unsupported storage type" in rec2["error"]
+
+
+def test_extract_targets_single_pass(spark):
+    from tessera.operators.extract import extract_targets
+    pg = pages(spark, ("https://example.com", TWO_QUOTES), ("https://example.com/x", ITEM_PAGE))
+    out = extract_targets(pg, {"quotes": {"item_selector": "div.quote", "fields": FIELDS},
+                               "items": {"item_selector": "div.item", "fields": {"title": "h2.title::text",
+                                                                                  "author": "span.author::text"}}})
+    got = sorted((r["target_name"], r["page_id"], r["item_pos"], r["text"], r["title"], r["author"])
+                 for r in out.collect())
+    assert got == [("items", 1, 0, None, "First Title", "Author 1"), ("items", 1, 1, None, "Second Title", "Author 2"),
+                   ("quotes", 0, 0, "Test quote 1", None, "Author 1"), ("quotes", 0, 1, "Test quote 2", None, "Author 2")]
+
+
+def test_bad_selector_fails_on_driver(spark):
+    import pytest
+    from tessera.operators import extract as ex
+    pg = pages(spark, ("https://e.com", TWO_QUOTES))
+    with pytest.raises(ValueError):
+        ex.extract_items(pg, "div.quote", {"text": "span.text::text", "author": "small[author"})
