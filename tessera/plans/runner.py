@@ -91,11 +91,28 @@ def append_run_log(spark, records: list[dict], path: str) -> None:
 
 
 def run_all_targets(pages: DataFrame, specs: list[dict], run_id: str = "all") -> DataFrame:
-    """The same extraction for several targets in one plan; results are
-    stacked by name with a ``target_name`` column (``unionByName``, missing
-    columns null). Per-target statistics are a ``groupBy('target_name')``."""
+    """The same run for several targets. Every page is parsed once for all
+    targets (``extract_targets``); the extracted rows are materialised once (reliable
+    checkpoint) and each target's clean/transform reads its own rows. Results are
+    stacked by name with a ``target_name`` column (``unionByName``, missing columns
+    null); per-target statistics are a ``groupBy('target_name')``."""
+    from tessera.operators.extract import extract_targets
+    from tessera.session import checkpoint_dir
+    checkpoint_dir(pages.sparkSession)
+    keep = ("page_id",)
+    targets = {s["name"]: {"item_selector": s["extract"].get("item_selector"),
+                           "fields": s["extract"]["fields"], "multi": s["extract"].get("multi", ())}
+               for s in specs}
+    items = extract_targets(pages, targets, keep=keep).checkpoint(eager=True)
+    good_all, _ = split_errors(items)
     out = None
     for spec in specs:
-        part, _ = build_plan(pages, {**spec, "provenance": True}, run_id)
+        cols = list(keep) + ["source_url", "item_pos"] + list(spec["extract"]["fields"])
+        good = good_all.filter(F.col("target_name") == spec["name"]).select(*cols)
+        good = with_provenance(good, run_id, spec["name"])
+        check_spec(good, spec)
+        order = [F.col(c) for c in spec.get("order_by", ["page_id", "item_pos"])]
+        cleaned, _ = clean(good, spec.get("cleaner") or {}, order_by=order)
+        part = transform(cleaned, spec.get("transformer") or {})
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
