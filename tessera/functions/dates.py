@@ -165,4 +165,6 @@ def format_ntz(c, pattern: str) -> Column:
             date_run.append(pattern[i])
             i += 1
     flush()
-    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.concat(*pieces))
+    # concat is null when its input is null; apply to a column (or a cheap
+    # expression): the input is referenced once per field
+    return F.concat(*pieces)

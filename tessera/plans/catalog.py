@@ -337,7 +337,8 @@ def parse_date_orders(spark, d):
     raw = F.when(o.o_orderkey % 2 == 1, F.concat(F.lit(" "), raw, F.lit(" "))).otherwise(raw)
     # the input is projected once; the parser reads the column (not 12 copies of the expression)
     texts = o.select("o_orderkey", raw.alias("raw"))
-    return texts.select("o_orderkey", tf.format_ntz(tf.parse_date("raw"), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+    parsed = texts.select("o_orderkey", tf.parse_date("raw").alias("parsed"))
+    return parsed.select("o_orderkey", tf.format_ntz("parsed", "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
 def file_size(spark, d):
