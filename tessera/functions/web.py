@@ -15,9 +15,16 @@ from tessera.functions._util import col
 NETLOC_RE = r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 
+# Characters urlsplit removes before parsing — leading C0 controls and
+# space (stripped from the left) and TAB, CR, LF (deleted anywhere).
+URL_LEADING = "".join(chr(i) for i in range(0x21))
+URL_DELETED = "\t\r\n"
+
+
 def extract_domain(c) -> Column:
     """The netloc part of the URL, '' when the URL has no '//' authority."""
-    return F.regexp_extract(col(c), NETLOC_RE, 1)
+    u = F.ltrim(F.translate(col(c), URL_DELETED, ""), F.lit(URL_LEADING))
+    return F.regexp_extract(u, NETLOC_RE, 1)
 
 
 @F.pandas_udf(T.StringType())

@@ -45,7 +45,10 @@ def unescape(e: str) -> str:
 
 
 def netloc(e: str) -> str:
-    return f"regexp_extract({e}, {_lit(NETLOC_RE)}, 1)"
+    deleted = _lit(r"[\x{09}\x{0A}\x{0D}]")
+    leading = _lit(r"^[\x{00}-\x{20}]+")
+    cleaned = f"regexp_replace(regexp_replace({e}, {deleted}, '', 'g'), {leading}, '')"
+    return f"regexp_extract({cleaned}, {_lit(NETLOC_RE)}, 1)"
 
 
 def host_prefix(e: str) -> str:

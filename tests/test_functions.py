@@ -180,3 +180,12 @@ def test_edge_rows_from_fixtures(spark):
     assert one(spark, " a\tb  c\n", tf.clean_string) == "a\tb c"
     assert one(spark, " a\tb  c\n", tf.clean_text) == "a b c"
     assert one(spark, "1.0d", tf.to_float) is None and one(spark, "1_000", tf.to_int) == 1000
+
+
+def test_extract_domain_like_urlsplit(spark):
+    # expected values from urllib.parse.urlparse(u).netloc
+    cases = {" http://x.com/a": "x.com", "ht\ttp://ex\nample.com/p": "example.com",
+             "\x01\x02 //cdn.x.org/a": "cdn.x.org", "HTTP://Up.Org:8080/x": "Up.Org:8080",
+             "mailto:a@b.c": "", "http:/x": ""}
+    df = spark.createDataFrame([(k,) for k in cases], "u string")
+    assert {r["u"]: r["d"] for r in df.select("u", tf.extract_domain("u").alias("d")).collect()} == cases
