@@ -149,10 +149,11 @@ def drop_empty_rows(df: DataFrame, ignore: list[str] | None = None) -> DataFrame
     return df.filter(cond)
 
 
-def clean(df: DataFrame, spec: dict, order_by=None) -> tuple[DataFrame, DataFrame | None]:
+def clean(df: DataFrame, spec: dict, order_by=None, on_checked=None) -> tuple[DataFrame, DataFrame | None]:
     """C11: the cleaning chain. ``spec`` keys: handle_missing, remove_duplicates,
     duplicate_keys, field_validation, clean_before_dedupe, drop_empty_rows.
-    Returns (good, rejected-by-validation or None)."""
+    Returns (good, rejected-by-validation or None); ``on_checked`` is passed to
+    :func:`validate`."""
     rules = spec.get("field_validation") or {}
     df = handle_missing(df, spec.get("handle_missing"), rules)
     if spec.get("clean_before_dedupe"):
@@ -163,7 +164,7 @@ def clean(df: DataFrame, spec: dict, order_by=None) -> tuple[DataFrame, DataFram
         df = dedupe_first(df, spec["duplicate_keys"], order_by)
     rejected = None
     if rules:
-        df, rejected = validate(df, rules)
+        df, rejected = validate(df, rules, on_checked)
     if not spec.get("clean_before_dedupe"):
         df = clean_strings(df)
     if spec.get("drop_empty_rows"):

@@ -78,9 +78,13 @@ def with_errors(df: DataFrame, rules: dict) -> DataFrame:
     return df.withColumn(ERRORS_COL, error_column(df, rules))
 
 
-def validate(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
-    """(valid rows without the error column, rejected rows with it)."""
+def validate(df: DataFrame, rules: dict, on_checked=None) -> tuple[DataFrame, DataFrame]:
+    """(valid rows without the error column, rejected rows with it).
+    ``on_checked`` may wrap the checked rows before the split (e.g. an ``observe``
+    counting rejects in the same pass as the write of the valid rows)."""
     checked = with_errors(df, rules)
+    if on_checked is not None:
+        checked = on_checked(checked)
     valid = checked.filter(F.size(ERRORS_COL) == 0).drop(ERRORS_COL)
     rejected = checked.filter(F.size(ERRORS_COL) > 0)
     return valid, rejected

@@ -28,17 +28,31 @@ def check_spec(df: DataFrame, spec: dict) -> None:
             raise ValueError(f"duplicate key {k!r} not in {sorted(cols)}")
 
 
-def build_plan(pages: DataFrame, spec: dict, run_id: str) -> tuple[DataFrame, DataFrame]:
-    """(result, rejected) DataFrames for one target, both lazy."""
+def build_plan(pages: DataFrame, spec: dict, run_id: str,
+               observations: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(result, rejected) DataFrames for one target, both lazy. With
+    ``observations`` (name -> Observation) the extraction and validation steps
+    count their rows inside the same plan ('extract': extracted and failed items,
+    'validate': rejected rows)."""
     ex = spec["extract"]
     items = extract_items(pages, ex.get("item_selector"), ex["fields"],
                           keep=tuple(ex.get("keep", ("page_id",))), multi=tuple(ex.get("multi", ())))
+    if observations and "extract" in observations:
+        items = items.observe(observations["extract"],
+                              F.count_if(F.col("_error").isNull()).alias("scraped"),
+                              F.count_if(F.col("_error").isNotNull()).alias("extract_failed"))
     good, bad = split_errors(items)
     if spec.get("provenance", True):
         good = with_provenance(good, run_id, spec["name"])
     check_spec(good, spec)
     order = [F.col(c) for c in spec.get("order_by", ["page_id", "item_pos"])]
-    cleaned, rejected = clean(good, spec.get("cleaner") or {}, order_by=order)
+    cleaner = spec.get("cleaner") or {}
+    on_checked = None
+    if observations and "validate" in observations and cleaner.get("field_validation"):
+        from tessera.operators.validate import ERRORS_COL
+        on_checked = lambda df: df.observe(
+            observations["validate"], F.count_if(F.size(ERRORS_COL) > 0).alias("rejected"))
+    cleaned, rejected = clean(good, cleaner, order_by=order, on_checked=on_checked)
     result = transform(cleaned, spec.get("transformer") or {})
     return result, (rejected if rejected is not None else bad)
 
@@ -50,12 +64,16 @@ def plan_only(pages: DataFrame, spec: dict, run_id: str = "dry-run") -> DataFram
 
 def run_target(pages: DataFrame, spec: dict, run_id: str | None = None,
                dry_run: bool = False) -> tuple[DataFrame, dict]:
-    """Execute one run; returns (result DataFrame, run-log record)."""
+    """Execute one run; returns (result DataFrame, run-log record). One action: the
+    sink write (``noop`` for a dry run). Scraped, failed (extraction errors and
+    validation rejects, A4) and processed counts are observed during that action."""
     run_id = run_id or f"run_{uuid.uuid4().hex[:12]}"
     start = time.time()
-    result, _ = build_plan(pages, spec, run_id)
-    obs = Observation(f"run_{run_id}")
-    observed = result.observe(obs, F.count(F.lit(1)).alias("processed"))
+    obs = {"extract": Observation(f"extract_{run_id}"), "out": Observation(f"out_{run_id}")}
+    if (spec.get("cleaner") or {}).get("field_validation"):
+        obs["validate"] = Observation(f"validate_{run_id}")
+    result, _ = build_plan(pages, spec, run_id, obs)
+    observed = result.observe(obs["out"], F.count(F.lit(1)).alias("processed"))
     storage = spec.get("storage") or {"type": "noop"}
     kind = "noop" if dry_run else storage.get("type", "noop")
     path = storage.get("path", "")
@@ -64,19 +82,26 @@ def run_target(pages: DataFrame, spec: dict, run_id: str | None = None,
         status, err = "success", None
     except Exception as e:  # failure record, never re-raised (reference contract)
         status, err = "failed", f"{type(e).__name__}: {e}"
-    metrics = obs.get if status == "success" else {}
+    m = {}
+    if status == "success":
+        for o in obs.values():
+            m.update(o.get)
+    processed = int(m.get("processed", 0))
     record = {
         "run_id": run_id, "target_name": spec["name"], "status": status,
         "duration_s": round(time.time() - start, 3),
-        "processed_count": int(metrics.get("processed", 0)),
-        "saved_count": 0 if dry_run or status != "success" else int(metrics.get("processed", 0)),
+        "scraped_count": int(m.get("scraped", 0)),
+        "failed_count": int(m.get("extract_failed", 0)) + int(m.get("rejected", 0)),
+        "processed_count": processed,
+        "saved_count": 0 if dry_run or status != "success" else processed,
         "output_path": None if dry_run else path, "dry_run": dry_run, "error": err,
     }
     return result, record
 
 
-RUN_LOG_DDL = ("run_id string, target_name string, status string, duration_s double, processed_count long, "
-               "saved_count long, output_path string, dry_run boolean, error string, finished_at timestamp")
+RUN_LOG_DDL = ("run_id string, target_name string, status string, duration_s double, scraped_count long, "
+               "failed_count long, processed_count long, saved_count long, output_path string, dry_run boolean, "
+               "error string, finished_at timestamp")
 
 
 def append_run_log(spark, records: list[dict], path: str) -> None:

@@ -141,6 +141,12 @@ def test_run_target_writes_sink_and_records(spark):
     pg = pages(spark, ("https://example.com", TWO_QUOTES), ("https://example.com/dup", TWO_QUOTES))
     _, rec = run_target(pg, spec, run_id="r1")
     assert rec["status"] == "success" and rec["processed_count"] == 2 and rec["saved_count"] == 2
+    assert rec["scraped_count"] == 4 and rec["failed_count"] == 0
+    # validation rejects are counted in the same action
+    strict = {**spec, "storage": {"type": "noop"},
+              "cleaner": {**spec["cleaner"], "field_validation": {"author": {"type": "int"}}}}
+    _, rec3 = run_target(pg, strict, run_id="r3")
+    assert rec3["processed_count"] == 0 and rec3["failed_count"] == 2
     back = read_csv(spark, rec["output_path"])
     assert sorted(r["quote"] for r in back.collect()) == ["Test quote 1", "Test quote 2"]
     assert {r["target_name"] for r in back.collect()} == {"Test Target"}
