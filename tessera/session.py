@@ -45,19 +45,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder. Only in local mode, and only when
     nothing is configured (as in tests), a temp folder is created and registered."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # sessions without a SparkContext handle (e.g. Connect)
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             # executors on other machines cannot see a local temp folder
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
                                "for checkpoints and scratch tables on a cluster")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    # RDD/Dataset.checkpoint() needs the context-level setting as well
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    # Dataset.checkpoint() needs the context-level setting as well
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -103,8 +107,11 @@ def balance(df):
     partition per core. Large inputs (the cluster case) are returned untouched: their
     scan is already parallel and no shuffle is added."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        split = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    except Exception:          # no SparkContext handle: leave the plan as it is
+        return df
     size = plan_size_bytes(df)
     if 0 <= size < split * cores and cores > 1:
         return df.repartition(cores)
