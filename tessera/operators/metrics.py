@@ -74,19 +74,36 @@ def job_counts(log: DataFrame, success: Column) -> DataFrame:
 
 
 def check_suite(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """Each check is an aggregate counting failing rows (0 = healthy); all checks
-    run in one aggregate over ``df``. Output one row per check plus 'overall'."""
-    names = list(checks)
-    agg = df.agg(*[checks[n].cast("long").alias(f"c{i}") for i, n in enumerate(names)])
-    stack = ", ".join(f"'{n}', c{i}" for i, n in enumerate(names))
-    rows = agg.selectExpr(f"stack({len(names)}, {stack}) as (check_name, failing)")
+    """Each check is an aggregate counting failing rows (0 = healthy); all
+    checks run in one aggregate over ``df``. A check that cannot be evaluated (it
+    fails analysis on the driver, no job runs) gets status 'error'. Output one row
+    per check plus 'overall' (healthy iff every check is healthy)."""
+    usable, broken = {}, {}
+    for name, c in checks.items():
+        try:
+            df.agg(c.alias("_probe")).schema          # analysis only
+            usable[name] = c
+        except Exception as e:
+            broken[name] = f"{type(e).__name__}"
+    names = list(usable)
+    rows = None
+    if names:
+        agg = df.agg(*[usable[n].cast("long").alias(f"c{i}") for i, n in enumerate(names)])
+        stack = ", ".join(f"'{n}', c{i}" for i, n in enumerate(names))
+        rows = agg.selectExpr(f"stack({len(names)}, {stack}) as (check_name, failing)")
+    else:
+        agg = df.sparkSession.range(1).select()
+    errs = [F.struct(F.lit(n).alias("check_name"), F.lit(None).cast("long").alias("failing")) for n in broken]
+    if errs:
+        err_rows = agg.select(F.explode(F.array(*errs)).alias("e")).select("e.check_name", "e.failing")
+        rows = err_rows if rows is None else rows.unionByName(err_rows)
     per = rows.select("check_name", "failing",
-                      F.when(F.col("failing") == 0, "healthy").otherwise("unhealthy").alias("status"))
+                      F.when(F.col("failing").isNull(), "error")
+                       .when(F.col("failing") == 0, "healthy").otherwise("unhealthy").alias("status"))
+    total = sum((F.col(f"c{i}") for i in range(len(names))), F.lit(0))
     overall = agg.select(
-        F.lit("overall").alias("check_name"),
-        sum((F.col(f"c{i}") for i in range(len(names))), F.lit(0)).cast("long").alias("failing"),
-        F.when(sum((F.col(f"c{i}") for i in range(len(names))), F.lit(0)) == 0, "healthy")
-         .otherwise("unhealthy").alias("status"))
+        F.lit("overall").alias("check_name"), total.cast("long").alias("failing"),
+        F.when((total == 0) & F.lit(not broken), "healthy").otherwise("unhealthy").alias("status"))
     return per.unionByName(overall)
 
 

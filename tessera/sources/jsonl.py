@@ -82,6 +82,20 @@ def read_jsonl(spark: SparkSession, path: str, schema=None, *, limit: int | None
     return df.limit(limit) if limit else df
 
 
+def read_jsonl_with_rejects(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataFrame]:
+    """S7 with the warning count: (parsed rows, malformed lines). Lines are read as
+    text (blank ones skipped) and parsed with ``from_json``; a malformed line keeps
+    its raw text in ``_corrupt_record``."""
+    full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
+    lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
+    parsed = lines.select(F.from_json("value", full, {"mode": "PERMISSIVE",
+                                                      "columnNameOfCorruptRecord": "_corrupt_record"}).alias("d"))
+    good = parsed.filter(F.col("d._corrupt_record").isNull()).select(
+        *[F.col("d").getField(f.name).alias(f.name) for f in schema.fields])
+    bad = parsed.filter(F.col("d._corrupt_record").isNotNull()).select(F.col("d._corrupt_record").alias("line"))
+    return good, bad
+
+
 def count_jsonl(spark: SparkSession, path: str) -> int:
     """Non-blank lines (malformed ones included)."""
     return spark.read.text(path).filter(F.trim(F.col("value")) != "").count()

@@ -122,3 +122,12 @@ def test_csv_dialect_options(spark):
     more = spark.createDataFrame([(3, "x", "extra")], "n int, t string, z string")
     write_csv(more, path, delimiter=";", quote_all=False, mode="append")
     assert read_csv(spark, path, delimiter=";").count() >= 3
+
+
+def test_jsonl_rejects(spark):
+    from tessera.sources.jsonl import read_jsonl_with_rejects
+    path = write_jsonl(items(spark), scratch_path(spark, "t_rej"))
+    with open(os.path.join(path, "extra.json"), "w") as fh:
+        fh.write('{broken\n\n{"name": "Zed", "age": 1}\n')
+    good, bad = read_jsonl_with_rejects(spark, path, items(spark).schema)
+    assert good.count() == 4 and bad.count() == 1

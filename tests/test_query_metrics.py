@@ -183,3 +183,10 @@ def test_convert_variant_mode(spark):
     out = convert_types(df, {"n": "int"}, keep_raw="variant").select(
         F.schema_of_variant("n").alias("t"), F.to_json("n").alias("j")).collect()
     assert [(r["t"], r["j"]) for r in out] == [("BIGINT", "42"), ("STRING", '"not_a_number"')]
+
+
+def test_check_suite_error_status(spark):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    suite = {x["check_name"]: x["status"] for x in rows(metrics.check_suite(df, {
+        "ok": F.count_if(F.col("k") < 0), "broken": F.count_if(F.col("missing_column") > 0)}))}
+    assert suite == {"ok": "healthy", "broken": "error", "overall": "unhealthy"}
