@@ -3,7 +3,7 @@ partitioned by ``target_name`` so target filters prune folders (Q5, S16)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,9 @@ DOC_SCHEMA = T.StructType([
 
 
 class DocumentTable:
+    """Append-only table with one writer at a time (ids continue from the ranges
+    recorded by earlier writes)."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
@@ -32,12 +35,25 @@ class DocumentTable:
             (self.spark.createDataFrame([], DOC_SCHEMA).write.mode("overwrite")
              .partitionBy("target_name").parquet(self.path))
 
+    @property
+    def _ids_path(self) -> str:
+        # '_'-prefixed folders are hidden from reads of the table itself
+        return self.path.rstrip("/") + "/_id_ranges"
+
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
     def _next_id(self) -> int:
-        """First free id: max(id) + 1 over the id column only (column-pruned, one
-        partial aggregate); 0 for a new table (no job)."""
+        """First free id. Every write records its highest id in a tiny side table, so
+        this reads one row per earlier write instead of scanning the id column; a
+        table written without it falls back to max(id) (column-pruned)."""
         if not self.exists():
             return 0
-        m = self.table().agg(F.max("id")).first()[0]
+        src = (self.spark.read.parquet(self._ids_path) if self._exists(self._ids_path)
+               else self.table().select(F.col("id").alias("max_id")))
+        m = src.agg(F.max("max_id")).first()[0]
         return 0 if m is None else int(m) + 1
 
     def save(self, df: DataFrame, run_id: str | None = None, target_name: str | None = None) -> str:
@@ -53,7 +69,13 @@ class DocumentTable:
             F.current_timestamp().alias("created_at"),
             run.cast("string").alias("run_id"),
             target.cast("string").alias("target_name"))
+        obs = Observation(f"doctable_{id(out)}")
+        out = out.observe(obs, F.max("id").alias("max_id"), F.count(F.lit(1)).alias("n"))
         out.write.mode("append").partitionBy("target_name").parquet(self.path)
+        m = obs.get
+        if m.get("n"):
+            (self.spark.createDataFrame([(int(m["max_id"]),)], "max_id long")
+             .write.mode("append").parquet(self._ids_path))
         return self.path
 
     def table(self) -> DataFrame:

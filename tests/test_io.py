@@ -64,6 +64,9 @@ def test_document_table(spark):
     t.save(items(spark), target_name="people")
     t.save(items(spark).limit(1).withColumn("name", F.lit("Zed")), target_name="people")
     assert t.count() == 4
+    ids = [r["id"] for r in t.table().collect()]
+    assert len(set(ids)) == 4                                        # unique across writes
+    assert os.path.isdir(os.path.join(path, "_id_ranges"))           # no id-column scan per write
     newest = rows(t.load(items(spark).schema, limit=1))[0]
     assert newest["name"] == "Zed" and newest["target_name"] == "people"
     assert t.load(items(spark).schema, target_name="people").count() == 4
