@@ -56,9 +56,19 @@ class DocumentTable:
         m = src.agg(F.max("max_id")).first()[0]
         return 0 if m is None else int(m) + 1
 
-    def save(self, df: DataFrame, run_id: str | None = None, target_name: str | None = None) -> str:
+    def _has_batch(self, batch_key: str) -> bool:
+        if not self._exists(self._ids_path):
+            return False
+        return not self.spark.read.parquet(self._ids_path).filter(F.col("batch_key") == batch_key).isEmpty()
+
+    def save(self, df: DataFrame, run_id: str | None = None, target_name: str | None = None,
+             batch_key: str | None = None) -> str:
         """Each row -> JSON text in ``data``; ``run_id``/``target_name`` copied
-        from the row (or the arguments), ``created_at`` = write time; appended."""
+        from the row (or the arguments), ``created_at`` = write time; appended.
+        With ``batch_key`` (a streaming micro-batch) a key already stored is skipped,
+        so a replayed batch does not add its rows twice."""
+        if batch_key is not None and self._has_batch(batch_key):
+            return self.path          # a replayed micro-batch: already stored
         cols = [F.col(f"`{c}`") for c in df.columns]
         run = F.col("run_id") if "run_id" in df.columns else F.lit(run_id)
         target = F.col("target_name") if "target_name" in df.columns else F.lit(target_name)
@@ -74,7 +84,7 @@ class DocumentTable:
         out.write.mode("append").partitionBy("target_name").parquet(self.path)
         m = obs.get
         if m.get("n"):
-            (self.spark.createDataFrame([(int(m["max_id"]),)], "max_id long")
+            (self.spark.createDataFrame([(int(m["max_id"]), batch_key)], "max_id long, batch_key string")
              .write.mode("append").parquet(self._ids_path))
         return self.path
 

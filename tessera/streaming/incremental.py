@@ -31,8 +31,9 @@ def incremental_run(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], sin
                     wait: bool = True) -> StreamingQuery:
     """``fn`` (the same DataFrame function used in batch) applied to every
     micro-batch; parquet sink = exactly-once file sink, csv/jsonl/table via
-    ``foreachBatch`` writing one folder per batch id (a retried batch overwrites its
-    own folder, so replays do not duplicate rows)."""
+    ``foreachBatch``: csv/jsonl write one folder per batch id (a retried batch
+    overwrites its own folder), the table sink skips batch keys it already stored —
+    replays do not duplicate rows."""
     out = fn(stream)
     if sink == "parquet":
         w = out.writeStream.format("parquet").option("path", sink_path)
@@ -42,7 +43,7 @@ def incremental_run(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], sin
         def per_batch(batch: DataFrame, batch_id: int) -> None:
             target = f"{sink_path.rstrip('/')}/batch_id={batch_id}"
             if sink == "table":
-                write_sink(batch, sink, sink_path)
+                write_sink(batch, sink, sink_path, batch_key=f"{checkpoint}#{batch_id}")
             else:
                 write_sink(batch, sink, target, mode="overwrite")
 
