@@ -37,10 +37,11 @@ def wc(e: str) -> str:
 
 
 def unescape(e: str) -> str:
-    # The entities present in the pages, '&amp;' last.
-    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
-        e = f"replace({e}, {_lit(a)}, {_lit(b)})"
+    # The entities present in the pages; as in HTML's legacy named
+    # references the ';' is optional; '&amp' last so '&amp;lt;' yields '&lt;'.
+    for a, b in [("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;?", "'"),
+                 ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")]:
+        e = f"regexp_replace({e}, {_lit(a)}, {_lit(b)}, 'g')"
     return e
 
 
