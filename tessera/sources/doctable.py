@@ -93,13 +93,17 @@ class DocumentTable:
             return self.spark.createDataFrame([], DOC_SCHEMA)
         return self.spark.read.schema(DOC_SCHEMA).parquet(self.path)
 
-    def load(self, schema=None, limit: int | None = None, target_name: str | None = None) -> DataFrame:
+    def load(self, schema=None, limit: int | None = None, target_name: str | None = None,
+             ordered: bool = False) -> DataFrame:
         """Newest first (id breaks ties, D25); rows whose JSON does not parse are
-        skipped. With ``schema`` the JSON becomes typed columns, else one VARIANT."""
+        skipped. With ``schema`` the JSON becomes typed columns, else one VARIANT.
+        A limit reads the newest rows (per-task top-k, no full sort); without one the
+        rows come unordered unless ``ordered=True`` asks for the global sort."""
         t = self.table()
         if target_name is not None:
             t = t.filter(F.col("target_name") == target_name)
-        t = t.orderBy(F.col("created_at").desc(), F.col("id").desc())
+        if limit or ordered:
+            t = t.orderBy(F.col("created_at").desc(), F.col("id").desc())
         if limit:
             t = t.limit(limit)
         if schema is None:
