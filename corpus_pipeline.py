@@ -7,13 +7,18 @@ it again as the next one's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import exact, packing
 from tessera.llm.common import written
-from tessera.llm.queries import WORD_BPE
+from tessera.llm.queries import QUALITY_AT, WORD_BPE, quality_scores
 from tessera.session import read_table
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_scores(spark, docs, sf_dir).where(F.col("_score") >= QUALITY_AT).drop("_score")
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact_copies(docs, exact.DigestIndex(spark))
 
@@ -22,7 +27,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, WORD_BPE, 2048).drop("_row")
 
 
-STAGES = [("exact_dedup", exact_dedup), ("packing", pack)]
+STAGES = [("quality", good_quality), ("exact_dedup", exact_dedup), ("packing", pack)]
 
 #: The first stage is a trained model, which SQL cannot express.
 ORACLE_SQL = None

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact, packing, shards
+from tessera.llm import bpe, covertree, exact, packing, quality, shards
 from tessera.session import read_table
 
 #: Files of public tokenizers; the operators take them as parameters.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: Score from which a document counts as good.
+QUALITY_AT = 0.7
 
 
 def op2_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,25 @@ def op2_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def held_out() -> Column:
+    """The fold that labels are never learnt from."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` plus _score: the chance that labels.quality is 1, learnt outside the held-out fold."""
+    labels = read_table(spark, sf_dir, "labels").where(~held_out())
+    machine = quality.fit(docs, labels, meta=("n_chars",))
+    return quality.score(docs, machine, meta=("n_chars",), out="_score")
+
+
+def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return quality_scores(spark, docs, sf_dir).select(
+        "doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= QUALITY_AT).cast("int").alias("predicted"))
+
+
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return exact.DigestIndex(spark).dedup(docs).select(
@@ -28,6 +49,11 @@ def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_cover_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return covertree.topk(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     sized = read_table(spark, sf_dir, "documents").select(
@@ -47,7 +73,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_vector_best_fit, op4_digest_index, op7_sampled_splitters, op10_byte_bpe)}
+    op2_vector_best_fit, op3_factorisation_machine, op4_digest_index, op5_cover_trees, op7_sampled_splitters, op10_byte_bpe)}
 
 SQL = {
     "op4_digest_index": r"""
@@ -61,4 +87,15 @@ SQL = {
                doc_id = first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(t) DESC, doc_id) AS kept,
                text_sha256
         FROM d""",
+    "op5_cover_trees": """
+        WITH u AS (
+            SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+        bad AS (SELECT DISTINCT vec_id FROM u WHERE x IS NULL OR NOT isfinite(x)),
+        e AS (SELECT vec_id, i, floor(256 * x)::HUGEINT AS c FROM u WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+        s AS (
+            SELECT q.vec_id AS query_id, r.vec_id, sum(q.c * r.c)::BIGINT AS score
+            FROM e q JOIN e r ON q.i = r.i AND q.vec_id <> r.vec_id
+            WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+        t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM t WHERE rank <= 5""",
 }
