@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact, packing
+from tessera.llm import exact, neardup, packing
 from tessera.llm.common import written
 from tessera.llm.queries import QUALITY_AT, WORD_BPE, quality_scores
 from tessera.session import read_table
@@ -23,11 +23,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact_copies(docs, exact.DigestIndex(spark))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.drop_near_duplicates(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, WORD_BPE, 2048).drop("_row")
 
 
-STAGES = [("quality", good_quality), ("exact_dedup", exact_dedup), ("packing", pack)]
+STAGES = [("quality", good_quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", pack)]
 
 #: The first stage is a trained model, which SQL cannot express.
 ORACLE_SQL = None

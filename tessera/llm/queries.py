@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, covertree, exact, packing, quality, shards
+from tessera.llm import bpe, covertree, exact, neardup, packing, quality, shards
 from tessera.session import read_table
 
 #: Files of public tokenizers; the operators take them as parameters.
@@ -64,6 +64,12 @@ def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return neardup.near_duplicates(docs, percent=85).select(
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id", (F.col("_id") == F.col("component_id")).alias("kept"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, BYTE_BPE, PATTERN).select("doc_id", "ids")
@@ -73,7 +79,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_vector_best_fit, op3_factorisation_machine, op4_digest_index, op5_cover_trees, op7_sampled_splitters, op10_byte_bpe)}
+    op2_vector_best_fit, op3_factorisation_machine, op4_digest_index, op5_cover_trees, op7_sampled_splitters,
+    op9_lsh_forest, op10_byte_bpe)}
 
 SQL = {
     "op4_digest_index": r"""
@@ -98,4 +105,27 @@ SQL = {
             WHERE q.vec_id % 50 = 0 GROUP BY ALL),
         t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, rank::INT AS rank, vec_id, score FROM t WHERE rank <= 5""",
+    "op9_lsh_forest": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents),
+        sh AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+            FROM sh a JOIN sh b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        edge AS (
+            SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * both >= 85 * (x.n + y.n - both)),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, edge.b FROM reach JOIN edge ON edge.a = reach.b),
+        least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM least LEFT JOIN n USING (doc_id)""",
 }
