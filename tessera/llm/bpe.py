@@ -214,7 +214,7 @@ def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text",
     """
     def make():
         codec = _codec(rank_file, pattern)
-        return lambda texts: [pa.array([codec.encode(t) for t in texts], pa.binary())]
+        return lambda texts: [pa.array([codec.encode(t) for t in texts.to_pylist()], pa.binary())]
 
     return with_python_columns(df, text_col, make, StructType([StructField(out, BinaryType())]))
 
@@ -226,6 +226,6 @@ def decode(df: DataFrame, rank_file: str, ids_col: str = "ids", out: str = "deco
     """
     def make():
         codec = _codec(rank_file, None)
-        return lambda ids: [pa.array([codec.decode(x) for x in ids], pa.binary())]
+        return lambda ids: [pa.array([codec.decode(x) for x in ids.to_pylist()], pa.binary())]
 
     return with_python_columns(df, ids_col, make, StructType([StructField(out, BinaryType())]))

@@ -32,6 +32,11 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def slices(batch: pa.RecordBatch, sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """(start, stop) row ranges of about ``limit`` bytes, one row at least."""
     start = held = 0
@@ -50,12 +55,12 @@ def text_bytes(batch: pa.RecordBatch, name: str) -> list[int]:
     return pc.fill_null(pc.binary_length(batch.column(name)), 0).to_pylist()
 
 
-def with_python_columns(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[pa.Array]]],
-                        fields: StructType) -> DataFrame:
+def with_python_columns(df: DataFrame, column: str, make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+                        fields: StructType, limit: int = SLICE_BYTES) -> DataFrame:
     """``df`` plus ``fields``, computed from ``column`` by Arrow batches.
 
-    ``make()`` runs once in each task and returns the function that turns a list of
-    values into one Arrow array per field. Large batches are cut by bytes, so a task
+    ``make()`` runs once in each task and returns the function that turns an array of
+    values into one array per field. Large batches are cut by bytes, so a task
     holds a few MB of values and results at a time whatever the batch size is.
     """
     out = StructType([*df.schema.fields, *fields.fields])
@@ -63,9 +68,9 @@ def with_python_columns(df: DataFrame, column: str, make: Callable[[], Callable[
     def run(batches):
         work = make()
         for batch in batches:
-            for a, b in slices(batch, text_bytes(batch, column)):
+            for a, b in slices(batch, text_bytes(batch, column), limit):
                 part = batch.slice(a, b - a)
-                arrays = work(part.column(column).to_pylist())
+                arrays = work(part.column(column))
                 yield pa.RecordBatch.from_arrays([*part.columns, *arrays],
                                                  names=[*part.schema.names, *fields.names])
 
@@ -85,3 +90,14 @@ def kept_rows(docs: DataFrame, keep: DataFrame, id_col: str, tag: Column) -> Dat
     met = rows.join(keep, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_has") == F.col("_tag")))
     one = met.withColumn("_n", F.row_number().over(Window.partitionBy("_doc", "_has").orderBy(F.lit(1))))
     return one.where("_n = 1").select("_row.*")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written.
+
+    It does so when the driver's memory is collected, by itself only every half hour
+    (spark.cleaner.periodicGC.interval), which can be later than the disk is full.
+    """
+    import gc
+    gc.collect()
+    spark._jvm.System.gc()

@@ -12,11 +12,14 @@ the data, and packs each group in one task; only a group's last sequences stay o
 
 from __future__ import annotations
 
+import gc
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -25,57 +28,114 @@ from tessera.llm.common import with_python_columns, written
 
 #: Pieces that one task packs.
 GROUP_PIECES = 32_768
-CACHE_WORDS = 400_000
-#: White space on which a tokenizer's and Python's idea may differ: such texts are tokenized whole.
-ODD_SPACE = "[\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]"
+CACHE_WORDS, CACHE_PARTS = 400_000, 300_000       # words as they stand, and their letters or signs
+#: Bytes of text whose distinct words are looked up together.
+SLICE = 8 << 20
+#: ASCII signs that make a token of their own when they follow a word of letters only.
+TAIL = b".,|$%&*#!?;:"
+
+
+class Cache(dict):
+    """Two generations of ``most`` entries; what is longer than 64 bytes is not remembered."""
+
+    def __init__(self, most: int):
+        self.most, self.older = most, {}
+
+    def look(self, key: bytes) -> bytes | None:
+        found = self.get(key)
+        if found is None and (found := self.older.get(key)) is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: bytes, value: bytes) -> None:
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
 
 
 class Words:
-    """Ids of texts by a tokenizer that never joins across white space, word by word.
+    """Ids of texts by a tokenizer that drops white space and never joins across it.
 
-    A word's ids are remembered (in two generations of bounded size). A text with white
-    space other than blank, tab and line ends, or with one of the tokenizer's special
-    strings, is given to the tokenizer whole.
+    Texts are cut at ASCII white space, and each distinct word is tokenized once. A word
+    of Latin letters with signs behind it is looked up as its letters, in lower case if
+    the tokenizer lower-cases, and its signs.
     """
 
     def __init__(self, tokenizer_file: str):
         import os
-        import re
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True     # in a text these strings are text
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([ODD_SPACE, *map(re.escape, special)])).search
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [[t] if self.whole(t) else t.split() for t in texts]
-        known, older = self.words, self.older
-        new = {w for ws in split for w in ws if w not in known}
-        if new:
-            ask = []
-            fresh = {}
-            for w in new:
-                ids = older.get(w)
+        trial = self.tokenizer.encode_batch_fast(["Ab", "ab"], add_special_tokens=False)
+        self.lower = trial[0].ids == trial[1].ids
+        self.words, self.parts = Cache(CACHE_WORDS), Cache(CACHE_PARTS)
+        # letters can go straight to the merges of a byte-level model, if that comes to the same
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        self.signs = {b: b if b in plain else next(rest) for b in range(256)}
+        trial = [w.encode() for w in ("word", "größe", "ñandú", "été", "åøæ")]
+        self.direct = [self.merged(w) for w in trial] == [e.ids for e in self.ask(trial)]
+
+    def ask(self, words: list[bytes]) -> list:
+        return self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+
+    def merged(self, letters: bytes) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(letters.decode("latin-1").translate(self.signs))]
+
+    def split(self, word: bytes) -> tuple[bytes, bytes, bool]:
+        """A word's letters, the signs behind them, and that they are Latin letters; or the whole word."""
+        core = word.rstrip(TAIL)
+        if core.isalpha():
+            return (core.lower() if self.lower else core), word[len(core):], self.direct
+        try:
+            text = core.decode()
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return word, b"", False
+        if not text.isalpha():
+            return word, b"", False
+        return (text.lower().encode() if self.lower else core), word[len(core):], self.direct
+
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids of words; their letters and signs are looked up, or tokenized and remembered."""
+        look, keep = self.parts.look, self.parts.keep
+        cut, known, ask = [], {b"": b""}, set()
+        for w in words:
+            core, tail, latin = at = self.split(w)
+            cut.append(at)
+            if core not in known:
+                ids = look(core)
+                if ids is None and latin:
+                    ids = array("I", self.merged(core)).tobytes()
+                    keep(core, ids)
                 if ids is None:
-                    ask.append(w)
+                    ask.add(core)
                 else:
-                    fresh[w] = ids
-            fresh.update(zip(ask, self.ids(ask)))
-            if len(known) + len(fresh) > CACHE_WORDS:
-                self.older = {w: x for w, x in known.items() if len(w) < 64}
-                self.words = known = {w: known[w] for ws in split for w in ws if w in known}
-            known.update(fresh)
-        out = [b"".join(map(known.__getitem__, ws)) for ws in split]
-        for w in [w for w in new if len(w) >= 64]:
-            del known[w]
-        return out
+                    known[core] = ids
+        ask |= {t for _, t, _ in cut} - known.keys()
+        for part, e in zip(some := list(ask), self.ask(some)):
+            known[part] = array("I", e.ids).tobytes()
+            keep(part, known[part])
+        return {w: known[core] + known[tail] for w, (core, tail, _) in zip(words, cut)}
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of texts, as an array of binaries."""
+        texts = pc.fill_null(texts, "")
+        rows = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self.lower else texts)
+        coded = rows.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        found = list(map(self.words.look, distinct))
+        new = self.learn([w for w, ids in zip(distinct, found) if ids is None])
+        for w, ids in new.items():
+            self.words.keep(w, ids)
+        each = pa.array([new[w] if ids is None else ids for w, ids in zip(distinct, found)], pa.binary()).take(coded.indices)
+        # a row's words lie side by side, so its ids are one stretch of their bytes
+        ends = np.frombuffer(each.buffers()[1], np.int32)[each.offset:each.offset + len(each) + 1] if len(each) else np.zeros(1, np.int32)
+        at = rows.offsets.to_numpy() - rows.offsets[0].as_py()
+        return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends[at].copy()), each.buffers()[2]])
 
 
 _words: dict[str, Words] = {}
@@ -91,11 +151,20 @@ def tokenize(df: DataFrame, tokenizer_file: str, text_col: str = "text", out: st
     def make():
         if tokenizer_file not in _words:
             _words[tokenizer_file] = Words(tokenizer_file)
-        end = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
-        encode = _words[tokenizer_file].encode
-        return lambda texts: [pa.array([x + end for x in encode([t or "" for t in texts])], pa.binary())]
 
-    return with_python_columns(df, text_col, make, StructType([StructField(out, BinaryType())]))
+        def work(texts: pa.Array) -> list[pa.Array]:
+            gc.disable()                    # many small objects and no cycles
+            try:
+                return [_words[tokenizer_file].encode(texts)]
+            finally:
+                gc.enable()
+
+        return work
+
+    ids = with_python_columns(df, text_col, make, StructType([StructField(out, BinaryType())]), SLICE)
+    if end_id is None:
+        return ids
+    return ids.withColumn(out, F.concat(F.col(f"`{out}`"), F.lit(end_id.to_bytes(4, "little"))))
 
 
 def cut(ids: Column, most: int) -> Column:
