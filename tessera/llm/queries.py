@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, covertree, exact, neardup, packing, quality, shards
+from tessera.llm import bpe, covertree, exact, neardup, packing, quality, shards, suffix
 from tessera.session import read_table
 
 #: Files of public tokenizers; the operators take them as parameters.
@@ -17,6 +17,14 @@ PATTERN = public_tokenizers.PATTERN
 QUALITY_AT = 0.7
 
 
+def op1_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, length=200).select(
+        "_record.doc_id", F.col("_bytes").alias("n_bytes"),
+        F.aggregate("_removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size("_removed").cast("long").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op2_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, WORD_BPE, 2048).select(
@@ -79,7 +87,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_vector_best_fit, op3_factorisation_machine, op4_digest_index, op5_cover_trees, op7_sampled_splitters,
+    op1_suffix_family, op2_vector_best_fit, op3_factorisation_machine, op4_digest_index, op5_cover_trees, op7_sampled_splitters,
     op9_lsh_forest, op10_byte_bpe)}
 
 SQL = {
