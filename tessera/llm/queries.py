@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, covertree, exact, neardup, packing, quality, shards, suffix
+from tessera.llm import bpe, covertree, exact, lines, neardup, packing, quality, shards, suffix, warc
 from tessera.session import read_table
 
 #: Files of public tokenizers; the operators take them as parameters.
@@ -62,6 +62,12 @@ def op5_cover_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.topk(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op6_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated_chunks(docs).select(
+        F.col("_id").alias("doc_id"), "n_chunks", "n_removed", "lines_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     sized = read_table(spark, sf_dir, "documents").select(
@@ -72,6 +78,13 @@ def op7_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return warc.derive(warc.responses(pages)).select(
+        F.col("source_id").alias("page_id"), "record_id", "type", "refers_to", "uri", "date", "content_type", "content_length",
+        "block_digest", "source_digest", "header", "block")
+
+
 def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return neardup.near_duplicates(docs, percent=85).select(
@@ -87,8 +100,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_family, op2_vector_best_fit, op3_factorisation_machine, op4_digest_index, op5_cover_trees, op7_sampled_splitters,
-    op9_lsh_forest, op10_byte_bpe)}
+    op1_suffix_family, op2_vector_best_fit, op3_factorisation_machine, op4_digest_index, op5_cover_trees, op6_line_chunks,
+    op7_sampled_splitters, op8_warc_derivatives, op9_lsh_forest, op10_byte_bpe)}
 
 SQL = {
     "op4_digest_index": r"""
