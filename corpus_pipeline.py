@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import exact, neardup, packing, suffix
-from tessera.llm.common import written
+from tessera.llm.common import new_name, written
 from tessera.llm.queries import QUALITY_AT, WORD_BPE, quality_scores
 from tessera.session import read_table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_scores(spark, docs, sf_dir).where(F.col("_score") >= QUALITY_AT).drop("_score")
+    score = new_name(docs, "score")
+    return quality_scores(spark, docs, sf_dir, score).where(F.col(score) >= QUALITY_AT).drop(score)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,8 +26,7 @@ from tessera.llm.common import with_python_columns
 
 #: Pre-tokens (in each of two generations) and byte pairs that one Python worker remembers, and the
 #: longest pre-token it does.
-CACHE_WORDS, CACHE_PAIRS, CACHE_CHARS = 400_000, 500_000, 64
-BLOCK = 256
+CACHE_WORDS, CACHE_PAIRS, CACHE_CHARS = 600_000, 500_000, 64
 #: A letter, a digit, a white space and a sign that no pattern singles out, as Unicode has had them for long.
 STAND_INS = {r"\p{L}": "\u2135", r"\p{N}": "\u00b2", r"\s": "\u2003", "": "\u2603"}
 
@@ -99,7 +98,7 @@ class Codec:
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         rank = [-1] * n                     # of the pair that begins at a position
         buckets: dict[int, list[int]] = {}
-        top, blocks = 0, {}                 # bits of blocks; of each block, bits of its ranks
+        top, blocks = 0, {}                 # a bit for each block in use; of each block, one for each of 256 ranks
 
         def put(r: int, i: int) -> None:
             nonlocal top
@@ -108,21 +107,28 @@ class Codec:
                 heappush(q, i)
             else:
                 buckets[r] = [i]
-                hi, lo = divmod(r, BLOCK)
+                hi = r >> 8
                 top |= 1 << hi
-                blocks[hi] = blocks.get(hi, 0) | 1 << lo
+                blocks[hi] = blocks.get(hi, 0) | 1 << (r & 255)
 
-        for i in range(n - 1):
-            r = known((ids[i], ids[i + 1]))
+        for i, key in enumerate(zip(ids, ids[1:])):
+            r = known(key)
             if r is None:
-                r = pair(ids[i], ids[i + 1])
+                r = pair(*key)
             if r >= 0:
                 rank[i] = r
-                put(r, i)
+                q = buckets.get(r)
+                if q is None:
+                    buckets[r] = [i]
+                    hi = r >> 8
+                    top |= 1 << hi
+                    blocks[hi] = blocks.get(hi, 0) | 1 << (r & 255)
+                else:
+                    q.append(i)             # from left to right: a heap as it is
         while top:
             hi = (top & -top).bit_length() - 1
             bits = blocks[hi]
-            r = hi * BLOCK + (bits & -bits).bit_length() - 1
+            r = (hi << 8) + (bits & -bits).bit_length() - 1
             q = buckets[r]
             i = heappop(q)
             if not q:

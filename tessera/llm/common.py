@@ -32,6 +32,14 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def new_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
@@ -59,10 +67,13 @@ def with_python_columns(df: DataFrame, column: str, make: Callable[[], Callable[
                         fields: StructType, limit: int = SLICE_BYTES) -> DataFrame:
     """``df`` plus ``fields``, computed from ``column`` by Arrow batches.
 
+    Columns of ``df`` with the names of ``fields`` give way to them.
+
     ``make()`` runs once in each task and returns the function that turns an array of
     values into one array per field. Large batches are cut by bytes, so a task
     holds a few MB of values and results at a time whatever the batch size is.
     """
+    df = df.drop(*(f for f in fields.names if f != column))
     out = StructType([*df.schema.fields, *fields.fields])
 
     def run(batches):

@@ -201,8 +201,10 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text", meta: tuple
     """``docs`` plus ``out``, the chance of label 1 by the machine, from 0 to 1.
 
     Null and empty texts are scored by their statistics, all 0; a missing metadata value
-    has weights of its own. Each row is scored by itself; an empty table gives no rows.
+    has weights of its own. Each row is scored by itself; an empty table gives no rows. A
+    column named ``out`` gives way to the score.
     """
+    docs = docs.drop(out)
     model = docs.sparkSession.sparkContext.broadcast(machine)
     schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
     meta = list(meta)

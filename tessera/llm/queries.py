@@ -36,18 +36,18 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` plus _score: the chance that labels.quality is 1, learnt outside the held-out fold."""
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str, out: str = "score") -> DataFrame:
+    """``docs`` plus ``out``: the chance that labels.quality is 1, learnt outside the held-out fold."""
     labels = read_table(spark, sf_dir, "labels").where(~held_out())
     machine = quality.fit(docs, labels, meta=("n_chars",))
-    return quality.score(docs, machine, meta=("n_chars",), out="_score")
+    return quality.score(docs, machine, meta=("n_chars",), out=out)
 
 
 def op3_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return quality_scores(spark, docs, sf_dir).select(
-        "doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= QUALITY_AT).cast("int").alias("predicted"))
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
 
 
 def op4_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
