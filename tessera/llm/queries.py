@@ -128,20 +128,20 @@ SQL = {
         SELECT query_id, rank::INT AS rank, vec_id, score FROM t WHERE rank <= 5""",
     "op9_lsh_forest": r"""
         WITH RECURSIVE w AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(
+            SELECT doc_id, regexp_extract_all(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+                '[^\x20\x09-\x0D]+') AS words
             FROM documents),
         sh AS (
             SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
             FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)),
         n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
         common AS (
-            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
             FROM sh a JOIN sh b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
         edge AS (
             SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-            WHERE 100 * both >= 85 * (x.n + y.n - both)),
+            WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
         reach AS (
             SELECT doc_id AS a, doc_id AS b FROM documents
             UNION

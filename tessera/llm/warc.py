@@ -29,7 +29,7 @@ _head_title = re.compile(rf"<title\b{_inside}>(.*?)</title\s*>", re.S | re.I)
 _block = re.compile(rf"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b{_inside}>", re.I)
 _tag = re.compile(rf"<[!/?a-z]{_inside}>", re.I)
 _broken = re.compile(r"<[!/?a-z][^<>]*>?", re.I)
-_link = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_link = re.compile(r"""<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _lang = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
 _blank = re.compile(r"[^\S\n]+")
 
