@@ -23,13 +23,14 @@ from tessera.llm.common import slices, text_bytes
 
 VERSION, END = "WARC/1.1", "\r\n"
 
-_inside = r"""(?:[^>"']+|"[^"]*"|'[^']*')*+"""
-_dropped = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b{_inside}>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_head_title = re.compile(rf"<title\b{_inside}>(.*?)</title\s*>", re.S | re.I)
-_block = re.compile(rf"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b{_inside}>", re.I)
-_tag = re.compile(rf"<[!/?a-z]{_inside}>", re.I)
-_broken = re.compile(r"<[!/?a-z][^<>]*>?", re.I)
-_link = re.compile(r"""<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+# a tag goes on to its end or the text's: each pattern passes over a text once, whatever it holds
+_inside = r"""(?:[^>=]+|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|=)*+"""
+_dropped = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b{_inside}(?:>|\Z).*?(?:</\1\s*>|\Z)", re.S | re.I)
+_head_title = re.compile(rf"<title\b{_inside}>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+_block = re.compile(rf"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b{_inside}(?:>|\Z)", re.I)
+_tag = re.compile(rf"<[!/?a-z]{_inside}(?:>|\Z)", re.I)
+_anchor = re.compile(rf"<a\s{_inside}(?:>|\Z)", re.I)
+_attribute = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>"']+))?""")
 _lang = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
 _blank = re.compile(r"[^\S\n]+")
 
@@ -38,7 +39,7 @@ def plain_text(page: str) -> str:
     """A page's text: a line for each block, without markup, scripts, styles and comments."""
     text = _block.sub("\n", _dropped.sub(" ", page))
     if "<" in text:
-        text = _broken.sub("", _tag.sub("", text))
+        text = _tag.sub("", text)
     lines = (_blank.sub(" ", x).strip() for x in html.unescape(text).split("\n"))
     return "\n".join(x for x in lines if x)
 
@@ -50,8 +51,10 @@ def title(page: str) -> str:
 
 def links(page: str) -> list[str]:
     """Targets of a page's links as they stand, in order, each once."""
-    found = (html.unescape(x.strip("\"'")).strip() for x in _link.findall(_dropped.sub(" ", page)))
-    return list(dict.fromkeys(x for x in found if x))
+    found = (value for tag in _anchor.findall(_dropped.sub(" ", page))
+             for value in [next((v for k, v in _attribute.findall(tag[2:]) if k.lower() == "href"), "")])
+    clean = (html.unescape(x[1:].rstrip(x[0]) if x[:1] in ("'", '"') else x).strip() for x in found)
+    return list(dict.fromkeys(x for x in clean if x))
 
 
 def sha1(data: bytes) -> str:
