@@ -1,95 +1,103 @@
-"""U13 flatten: nested JSON/VARIANT -> one row per leaf with a dotted path
-(list positions as path parts, empty containers vanish).
-
-Runs JVM-side: the JSON is parsed once to VARIANT and unrolled level by level
-(object -> MAP<STRING,VARIANT>, array -> ARRAY<VARIANT>, then explode). The number
-of levels is the exact maximum nesting depth, computed by one aggregate over the
-JSON text (string literals removed, brackets folded); no row is left unflattened
-and no recursion limit applies.
+"""U13 flatten: nested JSON -> one row per leaf with a dotted path (list positions as
+path parts, empty containers vanish).
+
+One pass: each row is parsed once in its task and its leaves are walked with a stack of
+their own, so the work of a row depends on that row alone, however deep another one is.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# rows of one batch are turned into leaves this many at a time
+_ROWS = 256
 
 
-def _schema_depth(schema: str) -> int:
-    depth = best = 0
-    for ch in schema:
-        if ch == "<":
-            depth += 1
-            best = max(best, depth)
-        elif ch == ">":
-            depth -= 1
-    return best
-
-
-_STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
+def _no_constant(name: str):
+    raise ValueError(name)          # NaN and Infinity are not JSON
 
 
-def json_depth(c: Column) -> Column:
-    """Nesting depth of a JSON text: string literals removed, then a fold over the
-    remaining brackets (short) keeps the running and the maximum depth."""
-    brackets = F.regexp_replace(F.regexp_replace(c, _STRING_LITERAL, ""), r"[^\[\]{}]", "")
-    init = F.struct(F.lit(0).alias("d"), F.lit(0).alias("m"))
+def parse(text: str | None):
+    """(value, True), or (None, False) for null and for what is no JSON text. A text
+    nested deeper than the parser goes (some thousand levels) counts as no JSON."""
+    if text is None:
+        return None, False
+    try:
+        return json.loads(text, parse_constant=_no_constant), True
+    except (ValueError, RecursionError):
+        return None, False
 
-    def step(acc, ch):
-        opening = (ch == "[") | (ch == "{")
-        return F.when(opening, F.struct((acc["d"] + 1).alias("d"), F.greatest(acc["m"], acc["d"] + 1).alias("m"))) \
-            .otherwise(F.struct((acc["d"] - 1).alias("d"), acc["m"].alias("m")))
 
-    return F.aggregate(F.split(brackets, ""), init, step, lambda acc: acc["m"])
+def as_text(v) -> str | None:
+    """A leaf's text: strings as they are, null as null, everything else as JSON."""
+    if v is None or isinstance(v, str):
+        return v
+    return json.dumps(v, ensure_ascii=False, separators=(",", ":"))
 
 
-def max_json_depth(df: DataFrame, c: Column) -> int:
-    """One aggregate (partial per task, one small row to the driver)."""
-    m = df.select(json_depth(c).alias("d")).agg(F.max("d")).first()[0]
-    return int(m or 0)
+def leaves(doc, expand_arrays: bool = True, max_depth: int | None = None,
+           empty_objects: bool = False) -> Iterator[tuple[list[str], object]]:
+    """(path, value) of every leaf in document order. Containers at ``max_depth`` are
+    leaves; empty ones vanish, unless ``empty_objects`` keeps ``{}``."""
+    stack: list[tuple[list[str], object]] = [([], doc)]
+    while stack:
+        path, v = stack.pop()
+        opened = max_depth is None or len(path) < max_depth
+        if isinstance(v, dict) and opened and (v or not empty_objects):
+            stack.extend(([*path, k], x) for k, x in reversed(v.items()))
+        elif isinstance(v, list) and opened and expand_arrays:
+            stack.extend(([*path, str(i)], v[i]) for i in range(len(v) - 1, -1, -1))
+        else:
+            yield path, v
 
 
 def flatten_json(df: DataFrame, json_col: str | Column, id_cols: list[str],
                  separator: str = ".", max_depth: int | None = None,
-                 expand_arrays: bool = True) -> DataFrame:
+                 expand_arrays: bool = True, path_parts: bool = False,
+                 empty_objects: bool = False) -> DataFrame:
     """Rows (id_cols..., path, value STRING). Leaf values: strings unquoted, other
-    scalars as JSON text, JSON null as null."""
+    scalars as JSON text, JSON null as null; a scalar at the root has the empty path.
+    Rows whose text is no JSON give none. ``path_parts`` returns the path as an array
+    (keys that hold the separator stay apart). ``empty_objects`` keeps empty objects as
+    leaves and adds the column ``object``, true for them alone."""
     src = F.col(json_col) if isinstance(json_col, str) else json_col
-    base = df.select(*id_cols, F.try_parse_json(src).alias("_v")).filter(F.col("_v").isNotNull())
-    known = max_depth
-    if known is None:
-        known = max_json_depth(df, src)
-    rows = base.select(*id_cols, F.lit(None).cast("string").alias("path"), "_v")
-    # one linear chain of generate steps: containers are replaced by their entries,
-    # leaves pass through unchanged (as a one-entry array with a null key)
-    entry = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
-    for _ in range(known):
-        # cast once per level into columns; the entry expression only reads them
-        typed = rows.select(*id_cols, "path", "_v",
-                            F.try_variant_get("_v", "$", "map<string,variant>").alias("_m"),
-                            F.try_variant_get("_v", "$", "array<variant>").alias("_a"))
-        parts = [F.transform(F.map_entries("_m"), lambda e: entry(e["key"], e["value"]))]
-        if expand_arrays:
-            parts.append(F.transform("_a", lambda x, i: entry(i.cast("string"), x)))
-        parts.append(F.array(entry(F.lit(None).cast("string"), F.col("_v"))))
-        entries = F.coalesce(*parts)
-        rows = typed.select(*id_cols, "path", F.explode(entries).alias("_e")).select(
-            *id_cols,
-            F.when(F.col("_e.k").isNull(), F.col("path"))
-             .when(F.col("path").isNull(), F.col("_e.k"))
-             .otherwise(F.concat(F.col("path"), F.lit(separator), F.col("_e.k"))).alias("path"),
-            F.col("_e.v").alias("_v"))
-    # a scalar at the root has the empty path, as in the reference; unexpanded
-    # arrays are leaves carrying their JSON text
-    value = F.coalesce(F.try_variant_get("_v", "$", "string"), F.to_json(F.col("_v")))
-    value = F.when(F.is_variant_null("_v"), F.lit(None).cast("string")).otherwise(value)
-    return rows.select(*id_cols, F.coalesce(F.col("path"), F.lit("")).alias("path"), value.alias("value"))
+    base = df.select(*id_cols, src.alias("_json"))
+    ids = base.schema.fields[:-1]
+    kind = T.ArrayType(T.StringType()) if path_parts else T.StringType()
+    schema = T.StructType([*ids, T.StructField("path", kind), T.StructField("value", T.StringType())])
+    if empty_objects:
+        schema = schema.add("object", T.BooleanType())
+    arrow = pa.list_(pa.string()) if path_parts else pa.string()
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(start, _ROWS)
+                at, paths, values, objects = [], [], [], []
+                for i, text in enumerate(part.column("_json").to_pylist()):
+                    doc, ok = parse(text)
+                    if ok:
+                        for path, v in leaves(doc, expand_arrays, max_depth, empty_objects):
+                            at.append(i)
+                            paths.append(path if path_parts else separator.join(path))
+                            values.append(as_text(v))
+                            objects.append(isinstance(v, dict))
+                rows = part.select(range(len(ids))).take(pa.array(at, pa.int32()))
+                found = [*rows.columns, pa.array(paths, arrow), pa.array(values, pa.string()), pa.array(objects, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(found[:len(schema.names)], names=schema.names)
+
+    return base.mapInArrow(run, schema)
 
 
 def flatten_struct(df: DataFrame, separator: str = ".") -> DataFrame:
     """U13 for typed struct columns: nested fields become top-level columns named
     by their dotted path (schema walk on the driver, one projection)."""
-    from pyspark.sql import types as T
     out = []
 
     def walk(c: Column, dtype, path: str):

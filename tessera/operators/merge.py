@@ -1,49 +1,93 @@
 """U11 for many record versions: recursive merge where later versions win.
 
-Per record id, every version is flattened to (path, value) leaves (objects are
-descended into, lists are leaves: a later list replaces an earlier one whole).
-The newest leaf per path wins (``max_by`` on the version order, partial
-aggregation). A leaf is then dropped when a newer version holds a value at one of
-its ancestors (a newer scalar replaced the sub-object) or below it (a newer
-sub-object replaced the scalar) — the outcome of merging the versions one after
-another. All steps are aggregations and equi-joins on (id, path); nothing is
-collected per record.
+Every version is flattened to (path, value) leaves (objects are descended into, lists
+are leaves: a later list replaces an earlier one whole; an empty object is a leaf of its
+own). The newest leaf of each path is found first, by an aggregate with partial results
+on the map side: an id with a large share of all versions is spread over its paths there.
+What is left of an id, one leaf for each path it ever had, is then folded in the order of
+versions: a leaf replaces what stands at its path or above it, an object replaces a
+scalar and joins an object.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.flatten import flatten_json
-from tessera.session import checkpoint_dir
-
-
-def _proper_prefixes(path):
-    parts = F.split(path, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))),
-                       lambda i: F.array_join(F.slice(parts, 1, i), "."))
-
-
-def merge_versions(df: DataFrame, id_cols: list[str], json_col: str, order_by: str) -> DataFrame:
-    """Rows (id_cols..., path, value) of the merged document of each id."""
-    flat = flatten_json(df.select(*id_cols, F.col(order_by).alias("_ver"), json_col), json_col,
-                        [*id_cols, "_ver"], expand_arrays=False)
-    # newest leaf per path; three branches read it, so it is materialised once
-    # (reliable checkpoint in the shared folder) instead of being recomputed
-    checkpoint_dir(df.sparkSession)
-    latest = flat.groupBy(*id_cols, "path").agg(
-        F.max_by("value", "_ver").alias("value"), F.max("_ver").alias("_ver")).checkpoint(eager=True)
-    pref = (latest.filter(F.instr("path", ".") > 0)
-            .select(*id_cols, "path", "_ver", F.explode(_proper_prefixes(F.col("path"))).alias("_node")))
-    # newest leaf strictly below each node
-    below = pref.groupBy(*id_cols, "_node").agg(F.max("_ver").alias("_below"))
-    # newest leaf at any ancestor of each path
-    at_nodes = latest.select(*id_cols, F.col("path").alias("_node"), F.col("_ver").alias("_node_ver"))
-    above = (pref.join(at_nodes, [*id_cols, "_node"])
-             .groupBy(*id_cols, "path").agg(F.max("_node_ver").alias("_above")))
-    out = (latest.join(below.withColumnRenamed("_node", "path"), [*id_cols, "path"], "left")
-                 .join(above, [*id_cols, "path"], "left"))
-    alive = (F.coalesce(F.col("_below"), F.lit(None)).isNull() | (F.col("_below") <= F.col("_ver"))) & \
-            (F.col("_above").isNull() | (F.col("_above") <= F.col("_ver")))
-    return out.filter(alive).select(*id_cols, "path", "value")
+
+_OBJECT = "{}"
+
+
+def fold(found: list[dict]) -> list[tuple[list[str], str | None]]:
+    """(path, value) of the merged document. ``found``: path, value, object (an empty
+    object stood there) in the order of versions."""
+    root: dict = {}
+    whole: list = []                # a version that is no object replaces the document
+    for leaf in found:
+        path = leaf["path"]
+        if not path:
+            if leaf["object"]:
+                whole = []
+            else:
+                root, whole = {}, [leaf["value"]]
+            continue
+        whole, node = [], root
+        for part in path[:-1]:
+            below = node.get(part)
+            if not isinstance(below, dict):
+                below = node[part] = {}
+            node = below
+        if not leaf["object"]:
+            node[path[-1]] = (leaf["value"],)
+        elif not isinstance(node.get(path[-1]), dict):
+            node[path[-1]] = {}
+    if whole:
+        return [([], whole[0])]
+    out: list[tuple[list[str], str | None]] = []
+    stack: list[tuple[list[str], object]] = [([], root)]
+    while stack:
+        path, v = stack.pop()
+        if isinstance(v, tuple):
+            out.append((path, v[0]))
+        elif v or not path:
+            stack.extend(([*path, k], x) for k, x in reversed(v.items()))
+        else:
+            out.append((path, _OBJECT))
+    return out
+
+
+def merge_versions(df: DataFrame, id_cols: list[str], json_col: str, order_by: str | list[str],
+                   separator: str = ".") -> DataFrame:
+    """Rows (id_cols..., path, value) of the merged document of each id. ``order_by``
+    names the version columns, the last ones breaking ties; versions equal in all of
+    them are ordered by a hash of their text. An empty object has the value ``{}``. Keys
+    that hold the separator are merged by their own name. Texts that are no JSON count as
+    no version."""
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    rows = df.select(*id_cols, F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(order)],
+                                        F.xxhash64(json_col).alias("tie")).alias("_ver"), json_col)
+    flat = flatten_json(rows, json_col, [*id_cols, "_ver"], expand_arrays=False, path_parts=True, empty_objects=True)
+    newest = flat.groupBy(*id_cols, "path", "object").agg(
+        F.max_by("value", "_ver").alias("value"), F.max("_ver").alias("_ver"))
+    found = newest.groupBy(*id_cols).agg(
+        F.sort_array(F.collect_list(F.struct("_ver", "path", "object", "value"))).alias("_found"))
+    ids = found.schema.fields[:-1]
+    found = found.select(*id_cols, F.transform("_found", lambda x: F.struct(x["path"].alias("path"), x["object"].alias("object"),
+                                                                              x["value"].alias("value"))).alias("_found"))
+
+    def run(batches):
+        for batch in batches:
+            at, paths, values = [], [], []
+            for i, own in enumerate(batch.column("_found").to_pylist()):
+                for path, v in fold(own):
+                    at.append(i)
+                    paths.append(separator.join(path))
+                    values.append(v)
+            rows = batch.select(range(len(ids))).take(pa.array(at, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(paths, pa.string()), pa.array(values, pa.string())],
+                                             names=[*rows.schema.names, "path", "value"])
+
+    return found.mapInArrow(run, T.StructType([*ids, T.StructField("path", T.StringType()), T.StructField("value", T.StringType())]))

@@ -397,8 +397,27 @@ def flatten_events(spark, d):
 
 def merge_versions_events(spark, d):
     e = _t(spark, d, "events", spread=True)
-    docs = e.select("user_id", "ts", _nested_json(e).alias("doc"))
-    return merge_versions(docs, ["user_id"], "doc", "ts")
+    docs = e.select("user_id", "ts", "event_id", _nested_json(e).alias("doc"))
+    return merge_versions(docs, ["user_id"], "doc", ["ts", "event_id"])
+
+
+def flatten_documents(spark, d):
+    docs = _t(spark, d, "documents")
+    j = F.to_json(F.struct("doc_id", F.struct("text", "lang").alias("body"), F.array(F.struct("source"), F.struct(F.col("lang").alias("source"))).alias("meta"), "n_chars"))
+    return flatten_json(docs.select("doc_id", j.alias("j")), "j", ["doc_id"])
+
+
+def merge_versions_documents(spark, d):
+    """Scalars over objects, objects over scalars, empty objects, a dotted key, a tie."""
+    docs = _t(spark, d, "documents")
+    js = F.to_json
+    first = js(F.struct(F.struct(F.col("text").alias("t")).alias("a"), F.struct(F.lit(1).alias("y")).alias("x"),
+                        F.lit(2).alias("x.y"), F.lit("old").alias("s")))
+    versions = [(1, 0, first), (2, 0, F.when(F.col("doc_id") % 3 == 0, js(F.struct(F.col("source").alias("a"), F.lit("first").alias("s"))))),
+                (2, 1, F.lit('{"s":"second"}')), (3, 0, F.when(F.col("doc_id") % 2 == 0, F.lit('{"a":{}}')))]
+    every = F.array(*[F.struct(F.lit(v).alias("ver"), F.lit(t).alias("tie"), j.alias("doc")) for v, t, j in versions])
+    rows = docs.select("doc_id", F.explode(every).alias("e")).select("doc_id", "e.*").where("doc IS NOT NULL")
+    return merge_versions(rows, ["doc_id"], "doc", ["ver", "tie"])
 
 
 def redact_customer(spark, d):
@@ -668,6 +687,8 @@ QUERIES = {
     "chunks": chunks,
     "flatten_json": flatten_events,
     "merge_versions": merge_versions_events,
+    "flatten_documents": flatten_documents,
+    "merge_versions_documents": merge_versions_documents,
     "redact": redact_customer,
     "search_eq": search_eq,
     "filter_field": filter_field,

@@ -281,11 +281,20 @@ FROM c QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
   t.value ->> '$' AS value FROM (SELECT event_id, {NESTED} AS j FROM events) e, json_tree(e.j) t
   WHERE t.type NOT IN ('OBJECT', 'ARRAY')""",
     "merge_versions": f"""SELECT user_id, path, value FROM (
-  SELECT e.user_id, e.ts, regexp_replace(t.fullkey, '^\\$\\.?', '') AS path,
+  SELECT e.user_id, e.ts, e.event_id, regexp_replace(t.fullkey, '^\\$\\.?', '') AS path,
     CASE WHEN t.type = 'ARRAY' THEN CAST(t.value AS VARCHAR) ELSE t.value ->> '$' END AS value
-  FROM (SELECT user_id, ts, {NESTED} AS j FROM events) e, json_tree(e.j) t
-  WHERE t.type <> 'OBJECT' AND NOT contains(t.fullkey, '['))
-QUALIFY row_number() OVER (PARTITION BY user_id, path ORDER BY ts DESC) = 1""",
+  FROM (SELECT user_id, ts, event_id, {NESTED} AS j FROM events) e, json_tree(e.j) t
+  WHERE (t.type <> 'OBJECT' OR CAST(t.value AS VARCHAR) = '{{}}') AND NOT contains(t.fullkey, '['))
+QUALIFY row_number() OVER (PARTITION BY user_id, path ORDER BY ts DESC, event_id DESC) = 1""",
+    "flatten_documents": """SELECT doc_id, 'doc_id' AS path, CAST(doc_id AS VARCHAR) AS value FROM documents
+UNION ALL SELECT doc_id, 'body.text', text FROM documents UNION ALL SELECT doc_id, 'body.lang', lang FROM documents
+UNION ALL SELECT doc_id, 'meta.0.source', source FROM documents
+UNION ALL SELECT doc_id, 'meta.1.source', lang FROM documents
+UNION ALL SELECT doc_id, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents""",
+    "merge_versions_documents": """SELECT doc_id, 's' AS path, 'second' AS value FROM documents
+UNION ALL SELECT doc_id, 'x.y', '1' FROM documents UNION ALL SELECT doc_id, 'x.y', '2' FROM documents
+UNION ALL SELECT doc_id, 'a.t', text FROM documents WHERE doc_id % 3 <> 0
+UNION ALL SELECT doc_id, 'a', CASE WHEN doc_id % 2 = 0 THEN '{}' ELSE source END FROM documents WHERE doc_id % 3 = 0""",
     "redact": """SELECT '***REDACTED***' AS c_custkey, c_name, '***REDACTED***' AS c_nationkey, c_acctbal, c_mktsegment,
   '***REDACTED***' AS api_token, c_mktsegment AS segment FROM customer""",
 

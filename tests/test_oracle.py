@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle on the smallest tables
 (the driver's gate runs the same comparison at sf0.01)."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -18,12 +20,16 @@ def con():
     return c
 
 
+def own(keys):
+    """Keys of the library's own queries (the training-data ones have tests of their own)."""
+    return sorted(k for k in keys if not re.match(r"op\d+_|pipeline$", k))
+
+
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert not any(k.startswith("op") or "pipeline" in k for k in entry.queries())
+    assert own(entry.queries()) == own(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", own(entry.queries()))
 def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF001)
     srows = [tuple(r) for r in df.collect()]

@@ -145,8 +145,8 @@ def test_merge_versions_matches_recursive_merge(spark):
             key = f"{p}.{k}" if p else k
             if isinstance(v, dict) and v:
                 out.update(flat(v, key))
-            elif not isinstance(v, dict):
-                out[key] = v
+            else:
+                out[key] = v if v != {} else "{}"
         return out
 
     versions = {
@@ -155,6 +155,8 @@ def test_merge_versions_matches_recursive_merge(spark):
             {"a": 5},
             {"a": {"e": 6}, "t": True}],
         2: [{"k": {"deep": {"z": 1}}}, {"k": {"deep": {"y": 2}}, "k2": None}],
+        3: [{"o": 5, "p": {}, "q": {"r": 1}}, {"o": {}, "p": {"z": 0}, "q": {}}],
+        4: [{"a": {"b": 1}, "a.b": 2}, {"a": {"c": {}}}, {"a": {"c": 7}}],
     }
     rows_in = [(i, v, json.dumps(d)) for i, ds in versions.items() for v, d in enumerate(ds)]
     df = spark.createDataFrame(rows_in, "id int, ver int, doc string")
@@ -167,6 +169,24 @@ def test_merge_versions_matches_recursive_merge(spark):
         assert got[i] == want
 
 
+def test_flatten_long_strings_and_deep_nesting(spark):
+    import json
+    deep = "[" * 200 + "1" + "]" * 200
+    long = 'x\\"' * 300_000
+    rows_in = [(1, json.dumps({"a": long})), (2, deep), (3, '{"a":' * 200 + "{}" + "}" * 200), (4, "not json"), (5, None),
+               (6, '{"n": NaN}'), (7, "[" * 100_000), (8, '{"a.b": 1, "a": {"b": 2}}'), (9, '"root"'), (10, "1e3")]
+    out = rows(flatten_json(spark.createDataFrame(rows_in, "id int, j string"), "j", ["id"]))
+    by = {}
+    for r in out:
+        by.setdefault(r["id"], []).append((r["path"], r["value"]))
+    assert by[1] == [("a", long)]
+    assert by[2] == [(".".join(["0"] * 200), "1")]
+    assert set(by) == {1, 2, 8, 9, 10}
+    assert by[8] == [("a.b", "1"), ("a.b", "2")] and by[9] == [("", "root")] and by[10] == [("", "1000.0")]
+    cut = rows(flatten_json(spark.createDataFrame([(1, '{"a":{"b":[1,{"c":null}]}}')], "id int, j string"), "j", ["id"], max_depth=2))
+    assert [(r["path"], r["value"]) for r in cut] == [("a.b", '[1,{"c":null}]')]
+
+
 def test_search_json_absent_vs_null(spark):
     from tessera.operators.search import search_json
     df = spark.createDataFrame([('{"a": 1, "b": null}',), ('{"a": 1}',), ('{"a": 2, "b": "x"}',)], "j string") \
