@@ -16,8 +16,8 @@ from tessera.operators.extract import extract_items, extract_targets, next_links
 from tessera.operators.transform import transform
 from tessera.operators.validate import validate
 from tessera.plans.runner import plan_only, run_all_targets, run_target
-from tessera.session import balance, get_spark, scratch_path
+from tessera.session import get_spark, scratch_path
 
-__all__ = ["balance", "clean", "dedupe_first", "extract_items", "extract_targets", "get_spark",
+__all__ = ["clean", "dedupe_first", "extract_items", "extract_targets", "get_spark",
            "next_links", "pagination_walk", "plan_only", "run_all_targets", "run_target",
            "scratch_path", "transform", "validate"]

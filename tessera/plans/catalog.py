@@ -24,25 +24,16 @@ from tessera.operators.transform import (CONV_ERRORS_COL, apply_field_mapping, c
                                          evaluate_expression, transform, transform_stats)
 from tessera.operators.validate import ERRORS_COL, error_counts, validate
 from tessera.plans.runner import plan_only
-from tessera.session import balance, read_table, scratch_path
+from tessera.session import read_table, scratch_path, table_path
 from tessera.sources.csv import count_csv, read_csv, write_csv
 from tessera.sources.doctable import DocumentTable
 from tessera.sources.jsonl import read_jsonl, write_jsonl
 from tessera.sources.sinks import backup, export, storage_info
-from tessera.streaming.incremental import incremental_run, read_file_stream, stream_dedupe
+from tessera.streaming.incremental import dedupe_run, incremental_run, read_file_stream
 
 
-# tables whose registered queries do heavy per-row work (whole-text functions, HTML)
-_SPREAD = {"documents", "pages"}
-
-
-def _t(spark, d, name, spread: bool | None = None) -> DataFrame:
-    """Read a table; before per-row heavy work, a small single-partition input is
-    spread over the cores (``balance`` is size-checked: large inputs are untouched)."""
-    df = read_table(spark, d, name)
-    if spread is None:
-        spread = name in _SPREAD
-    return balance(df) if spread else df
+def _t(spark, d, name) -> DataFrame:
+    return read_table(spark, d, name)
 
 
 def _failed(c=CONV_ERRORS_COL):
@@ -102,7 +93,7 @@ def dedupe_events(spark, d):
 
 # ---------------------------------------------------------------- validation
 def _orders_for_validation(spark, d) -> DataFrame:
-    o = _t(spark, d, "orders", spread=True)
+    o = _t(spark, d, "orders")
     ck = o.o_custkey.cast("string")
     return o.select(
         "o_orderkey",
@@ -184,7 +175,7 @@ def field_mapping(spark, d):
 
 
 def convert_string(spark, d):
-    li = _t(spark, d, "lineitem", spread=True).select("l_orderkey", "l_linenumber", "l_quantity",
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
                                                       (F.col("l_returnflag") == "R").alias("is_return"))
     out = convert_types(li, {"l_quantity": "string", "is_return": "string", "l_linenumber": "String"})
     return out.select("l_orderkey", "l_linenumber", "l_quantity", "is_return")
@@ -205,7 +196,7 @@ def _numeric_text(li: DataFrame, kind: str) -> DataFrame:
 
 
 def _convert_numeric(spark, d, kind):
-    li = _numeric_text(_t(spark, d, "lineitem", spread=True), kind)
+    li = _numeric_text(_t(spark, d, "lineitem"), kind)
     out = convert_types(li.withColumn("value", F.col("raw")), {"value": kind})
     cols = ["l_orderkey", "l_linenumber", "raw", "value"]
     if kind != "bool":
@@ -239,14 +230,14 @@ def convert_array(spark, d):
 
 
 def convert_dict(spark, d):
-    e = _t(spark, d, "events", spread=True)
+    e = _t(spark, d, "events")
     raw = F.when(e.event_type == "error", F.concat(F.lit("oops "), e.props)).otherwise(e.props)
     out = convert_types(e.select("event_id", raw.alias("props")), {"props": "dict"})
     return out.select("event_id", F.col("props")["k"].alias("k"), _failed().alias("failed"))
 
 
 def convert_datetime(spark, d):
-    o = _t(spark, d, "orders", spread=True)
+    o = _t(spark, d, "orders")
     m = o.o_orderkey % 5
     dt = o.o_orderdate
     raw = (F.when(m == 0, tf.format_ntz(dt, "yyyy-MM-dd HH:mm:ss")).when(m == 1, tf.format_ntz(dt, "yyyy-MM-dd"))
@@ -329,7 +320,7 @@ _DATE_PRINT = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:
 
 
 def parse_date_orders(spark, d):
-    o = _t(spark, d, "orders", spread=True)
+    o = _t(spark, d, "orders")
     m = o.o_orderkey % 12
     raw = F.lit(None).cast("string")
     for i, p in enumerate(_DATE_PRINT):
@@ -391,12 +382,12 @@ def _nested_json(e: DataFrame):
 
 
 def flatten_events(spark, d):
-    e = _t(spark, d, "events", spread=True)
+    e = _t(spark, d, "events")
     return flatten_json(e.select("event_id", _nested_json(e).alias("j")), "j", ["event_id"])
 
 
 def merge_versions_events(spark, d):
-    e = _t(spark, d, "events", spread=True)
+    e = _t(spark, d, "events")
     docs = e.select("user_id", "ts", "event_id", _nested_json(e).alias("doc"))
     return merge_versions(docs, ["user_id"], "doc", ["ts", "event_id"])
 
@@ -625,8 +616,8 @@ def run_target_dry(spark, d):
 
 # ---------------------------------------------------------------- streaming
 def _events_stream(spark, d):
-    schema = _t(spark, d, "events").schema
-    return read_file_stream(spark, d, schema, glob="events.parquet")
+    path = table_path(d, "events")
+    return read_file_stream(spark, path, _t(spark, d, "events").schema)
 
 
 def _stream_fn(df):
@@ -643,9 +634,8 @@ def stream_incremental(spark, d):
 
 def stream_dedupe_events(spark, d):
     out = scratch_path(spark, "stream_dedupe_out")
-    fn = lambda s: stream_dedupe(s, ["user_id", "event_type"], "ts", "1 hour").select("user_id", "event_type")
-    incremental_run(_events_stream(spark, d), fn, out, scratch_path(spark, "stream_dedupe_ckpt"))
-    return spark.read.parquet(out)
+    dedupe_run(_events_stream(spark, d), ["user_id", "event_type"], ["ts", "event_id"], out, scratch_path(spark, "stream_dedupe_ckpt"))
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
 QUERIES = {

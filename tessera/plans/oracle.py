@@ -372,7 +372,8 @@ SELECT page_id, item_pos, {cs('text')} AS text, {cs('href')} AS link, {netloc(cs
   CAST(length({cs('text')}) AS BIGINT) AS text_length, 'dry' AS run_id, 'nav' AS target_name FROM d""",
 
     "stream_incremental": f"""SELECT event_id, user_id, upper({cs('event_type')}) AS kind, value * 2 AS value_x2 FROM events""",
-    "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_dedupe": """SELECT event_id, user_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""",
 }
 
 

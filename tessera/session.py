@@ -7,9 +7,12 @@ folder under the system temp directory is created and registered.
 
 from __future__ import annotations
 
+import atexit
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +40,7 @@ def get_spark(master: str | None = None, app: str = "tessera",
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    ship_package(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -65,10 +69,48 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_scratch: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, in a folder of this
+    application that is removed when its Python process ends. What must last longer
+    belongs at a path of the caller's own."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tessera/{spark.sparkContext.applicationId}"
+    if base not in _scratch:
+        _scratch.add(base)
+        atexit.register(_remove, spark, base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system holds it, if the JVM is still there."""
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+    except Exception:       # the gateway has gone first; the folder is the cluster's to clear
+        pass
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application, so that Python
+    steps run where it isn't installed (as ``spark.submit.pyFiles`` would)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:       # sessions without a SparkContext handle: install the wheel there
+        return
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = pathlib.Path(__file__).resolve().parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="tessera-package-")) / "tessera.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -76,43 +118,5 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
+    ship_package(spark)
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def plan_size_bytes(df) -> int:
-    """Catalyst's size estimate of a DataFrame (file sizes for a scan); no job runs."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return -1
-
-
-def byte_size(text: str) -> int:
-    """'134217728b', '128m', '1g' -> bytes."""
-    t = str(text).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    t = t[:-1] if t.endswith("b") else t
-    if t and t[-1] in units:
-        return int(float(t[:-1]) * units[t[-1]])
-    return int(t)
-
-
-def balance(df):
-    """Spread a small input over all cores before per-row heavy work.
-
-    A scan splits files into ``spark.sql.files.maxPartitionBytes`` pieces (and only at
-    row-group boundaries), so an input smaller than that times the parallelism may
-    arrive as a single non-empty partition. Only in that case — checked against the
-    plan's size estimate, never by running a job — rows are dealt round-robin to one
-    partition per core. Large inputs (the cluster case) are returned untouched: their
-    scan is already parallel and no shuffle is added."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        split = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    except Exception:          # no SparkContext handle: leave the plan as it is
-        return df
-    size = plan_size_bytes(df)
-    if 0 <= size < split * cores and cores > 1:
-        return df.repartition(cores)
-    return df

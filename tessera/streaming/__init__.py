@@ -1,5 +1,5 @@
 """Structured Streaming."""
 
-from tessera.streaming.incremental import incremental_run, stream_dedupe
+from tessera.streaming.incremental import dedupe_run, incremental_run
 
-__all__ = ["incremental_run", "stream_dedupe"]
+__all__ = ["dedupe_run", "incremental_run"]

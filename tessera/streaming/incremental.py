@@ -9,15 +9,23 @@ trigger); ``processing_time='30 minutes'`` is the interval job.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.operators.dedupe import dedupe_first
+
 
 def read_file_stream(spark: SparkSession, source_dir: str, schema, fmt: str = "parquet",
                      glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New files at ``source_dir``: a folder, or a single file (then its folder is
+    watched for files of that name, as a stream's source must be a folder)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(source_dir)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():
+        source_dir, glob = p.getParent().toString(), p.getName()
     r = spark.readStream.schema(schema).format(fmt)
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -56,12 +64,33 @@ def incremental_run(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], sin
     return q
 
 
-def stream_dedupe(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """C5 across micro-batches; a key is remembered until the watermark passes
-    its first event time + ``delay`` (bounded state). Rows later than the watermark
-    are dropped, as for any watermarked stream."""
-    ts = F.col(event_time).cast("timestamp")
-    return (stream.withColumn("_event_ts", ts)
-                  .withWatermark("_event_ts", delay)
-                  .dropDuplicatesWithinWatermark(keys)
-                  .drop("_event_ts"))
+def dedupe_run(stream: DataFrame, keys: list[str], order_by: list[str], sink_path: str, checkpoint: str,
+               *, processing_time: str | None = None, wait: bool = True) -> StreamingQuery:
+    """C5 across micro-batches. The first row of a key stays for ever, however late
+    the next one comes: rows of an earlier batch win, within a batch the first in
+    ``order_by``. Keys may be null. The sink holds one folder for each batch and is
+    itself the store of known keys; a replayed batch is held against the other folders
+    and overwrites its own."""
+    spark = stream.sparkSession
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        first = dedupe_first(batch, keys, order_by)
+        earlier = [f"{sink_path.rstrip('/')}/batch_id={i}" for i in range(batch_id)]
+        earlier = [p for p in earlier if _exists(spark, p)]
+        if earlier:
+            known = spark.read.schema(batch.schema).parquet(*earlier).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+            first = first.join(known, functools.reduce(lambda a, b: a & b, same), "left_anti")
+        first.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+
+    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    q = w.start()
+    if wait and not processing_time:
+        q.awaitTermination()
+    return q
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

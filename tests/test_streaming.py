@@ -1,10 +1,11 @@
 """The stream gives the batch result (events are in time order, no late rows)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.clean import clean_strings
 from tessera.session import scratch_path
-from tessera.streaming.incremental import incremental_run, read_file_stream, stream_dedupe
+from tessera.streaming.incremental import dedupe_run, incremental_run, read_file_stream
 from tests.conftest import SF001
 
 
@@ -15,7 +16,7 @@ def fn(df):
 def test_stream_equals_batch(spark):
     batch = spark.read.parquet(f"{SF001}/events.parquet")
     out = scratch_path(spark, "w1")
-    stream = read_file_stream(spark, SF001, batch.schema, glob="events.parquet")
+    stream = read_file_stream(spark, f"{SF001}/events.parquet", batch.schema)
     incremental_run(stream, fn, out, scratch_path(spark, "w1ck"))
     assert sorted(spark.read.parquet(out).collect()) == sorted(fn(batch).collect())
 
@@ -23,27 +24,53 @@ def test_stream_equals_batch(spark):
 def test_stream_foreach_batch_sink(spark):
     batch = spark.read.parquet(f"{SF001}/events.parquet")
     out = scratch_path(spark, "w1csv")
-    stream = read_file_stream(spark, SF001, batch.schema, glob="events.parquet")
+    stream = read_file_stream(spark, f"{SF001}/events.parquet", batch.schema)
     incremental_run(stream, fn, out, scratch_path(spark, "w1csvck"), sink="jsonl")
     back = spark.read.schema("event_id long, kind string, v2 double").json(out)
     assert back.count() == batch.count()
 
 
-def test_stream_dedupe_keys(spark):
+@pytest.mark.parametrize("files", [0, 6])
+def test_runs_are_the_same_for_a_file_and_a_folder(spark, files):
+    """0: the table as one file; 6: as a folder, one file for each trigger."""
     batch = spark.read.parquet(f"{SF001}/events.parquet")
+    path = f"{SF001}/events.parquet"
+    if files:
+        path = scratch_path(spark, "folder")
+        n = batch.count()
+        for k in range(files):         # by event id, which is the order of arrival
+            batch.where((F.col("event_id") * files / n).cast("int") == k).coalesce(1).write.mode("append").parquet(path)
+    read = lambda: read_file_stream(spark, path, batch.schema, max_files_per_trigger=1)
+    out = scratch_path(spark, "w1")
+    incremental_run(read(), fn, out, scratch_path(spark, "w1ck"))
+    assert sorted(spark.read.parquet(out).collect()) == sorted(fn(batch).collect())
     out = scratch_path(spark, "w2")
-    stream = read_file_stream(spark, SF001, batch.schema, glob="events.parquet")
-    incremental_run(stream, lambda s: stream_dedupe(s, ["user_id", "event_type"], "ts", "1 hour"),
-                    out, scratch_path(spark, "w2ck"))
-    got = spark.read.parquet(out)
-    assert got.count() == batch.select("user_id", "event_type").distinct().count()
+    q = dedupe_run(read(), ["user_id", "event_type"], ["ts", "event_id"], out, scratch_path(spark, "w2ck"))
+    assert len([p for p in q.recentProgress if p.numInputRows]) == max(files, 1)
+    keys = spark.read.parquet(out).select("user_id", "event_type")
+    assert keys.count() == keys.distinct().count() == batch.select("user_id", "event_type").distinct().count()
+
+
+def test_first_batch_wins_and_late_rows_count(spark):
+    src = scratch_path(spark, "late")
+    schema = "event_id long, user_id long, event_type string, ts timestamp"
+    import datetime as dt
+    day = lambda k: dt.datetime(2024, 1, 1 + k)
+    batches = [[(1, 7, "a", day(20)), (2, 7, "a", day(19)), (3, None, "a", day(1))],
+               [(4, 7, "a", day(1)), (5, 8, "a", day(0)), (6, None, "a", day(0))],      # older than what came first
+               [(7, 8, "a", day(0)), (8, 9, None, day(0)), (9, 9, None, day(0))]]
+    out, check = scratch_path(spark, "late_out"), scratch_path(spark, "late_ck")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        dedupe_run(read_file_stream(spark, src, spark.read.parquet(src).schema), ["user_id", "event_type"], ["ts", "event_id"], out, check)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == [2, 3, 5, 8]
 
 
 def test_stream_table_sink_replay_safe(spark):
     from tessera.sources.doctable import DocumentTable
     batch = spark.read.parquet(f"{SF001}/events.parquet")
     out = scratch_path(spark, "w1table")
-    stream = read_file_stream(spark, SF001, batch.schema, glob="events.parquet")
+    stream = read_file_stream(spark, f"{SF001}/events.parquet", batch.schema)
     incremental_run(stream, fn, out, scratch_path(spark, "w1tableck"), sink="table")
     t = DocumentTable(spark, out)
     n = t.count()
@@ -52,20 +79,3 @@ def test_stream_table_sink_replay_safe(spark):
     t.save(fn(batch), run_id="x", target_name="t", batch_key="replayed#0")
     t.save(fn(batch), run_id="x", target_name="t", batch_key="replayed#0")
     assert t.count() == 2 * n
-
-
-def test_stream_dedupe_across_micro_batches(spark):
-    events = spark.read.parquet(f"{SF001}/events.parquet")
-    src = scratch_path(spark, "w2src")
-    mid = events.selectExpr("percentile_approx(event_id, 0.5)").first()[0]
-    # two files -> two micro-batches (one file per trigger), keys repeat across them
-    events.filter(F.col("event_id") <= mid).coalesce(1).write.parquet(src + "/part=1")
-    events.filter(F.col("event_id") > mid).coalesce(1).write.parquet(src + "/part=2")
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1")
-              .option("recursiveFileLookup", "true").parquet(src))
-    out = scratch_path(spark, "w2out")
-    q = incremental_run(stream, lambda s: stream_dedupe(s, ["user_id", "event_type"], "ts", "3650 days"),
-                        out, scratch_path(spark, "w2ck2"))
-    assert len(q.recentProgress) >= 2                       # really more than one micro-batch
-    got = spark.read.parquet(out)
-    assert got.count() == events.select("user_id", "event_type").distinct().count()
