@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import make_folder, release, remove, slices, text_bytes, written
@@ -118,8 +118,24 @@ def _sampled_batch(texts: list[bytes], length: int):
         yield owner + first, at - np.r_[0, ends][owner], h
 
 
+def _grouped(owner: np.ndarray, h: np.ndarray, c: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list]:
+    """(first of each group of places that agree in text, h and c, the others of its group or None)."""
+    order = np.lexsort((at, c, h, owner))
+    o, x, y = owner[order], h[order], c[order]
+    new = np.flatnonzero(np.r_[True, (o[1:] != o[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+    end = np.r_[new[1:], len(order)]
+    more: list = [None] * len(new)
+    for k in np.flatnonzero(end - new > 1).tolist():
+        more[k] = at[order[new[k] + 1:end[k]]]
+    return order[new], more
+
+
 def entries(docs: DataFrame, length: int) -> DataFrame:
-    """h, c, id, tag, at of the sampled suffixes of docs (id, tag, text)."""
+    """h, c, id, tag, at, more of the sampled suffixes of docs (id, tag, text).
+
+    Places of one text that agree in both fingerprints, as those of a line that it says
+    again and again, are one entry: the first place and, in ``more``, the others.
+    """
     reach = length - GRAM
 
     def run(batches):
@@ -129,12 +145,18 @@ def entries(docs: DataFrame, length: int) -> DataFrame:
                 texts = [(t or "").encode() for t in part.column("text").to_pylist()]
                 for owner, at, h in _sampled_batch(texts, length):
                     # the seed tells apart equal bytes that lie otherwise around the place
-                    c = [xxhash.xxh3_64_intdigest(texts[o][max(p - reach, 0):p + length], min(p, reach)) for o, p in zip(owner.tolist(), at.tolist())]
+                    c = np.array([xxhash.xxh3_64_intdigest(texts[o][max(p - reach, 0):p + length], min(p, reach))
+                                  for o, p in zip(owner.tolist(), at.tolist())], np.uint64)
+                    if not len(at):
+                        continue
+                    first, more = _grouped(owner, h, c, at)
+                    whose = pa.array(owner[first])
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(h.view(np.int64)), pa.array(np.array(c, np.uint64).view(np.int64)), part.column("id").take(pa.array(owner)),
-                        part.column("tag").take(pa.array(owner)), pa.array(at)], names=["h", "c", "id", "tag", "at"])
+                        pa.array(h[first].view(np.int64)), pa.array(c[first].view(np.int64)), part.column("id").take(whose),
+                        part.column("tag").take(whose), pa.array(at[first]), pa.array(more, pa.list_(pa.int64()))],
+                        names=["h", "c", "id", "tag", "at", "more"])
 
-    return docs.mapInArrow(run, "h long, c long, id long, tag int, at long")
+    return docs.mapInArrow(run, "h long, c long, id long, tag int, at long, more array<long>")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -143,6 +165,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.hash(text).alias("tag"), text.alias("text"))
 
 
+def times() -> Column:
+    """Places of an entry."""
+    return 1 + F.coalesce(F.size("more"), F.lit(0))
+
+
 class SuffixFamily:
     """Sparse suffix arrays of all batches so far, in one table with a partition for each run.
 
@@ -159,7 +186,7 @@ class SuffixFamily:
         self.path = path or scratch_path(spark, "suffix-family")
         self.table = "suffix_family_" + uuid.uuid4().hex
         make_folder(spark, self.path)
-        spark.sql(f"CREATE TABLE {self.table} (h BIGINT, c BIGINT, id BIGINT, tag INT, at BIGINT, run STRING) USING parquet "
+        spark.sql(f"CREATE TABLE {self.table} (h BIGINT, c BIGINT, id BIGINT, tag INT, at BIGINT, more ARRAY<BIGINT>, run STRING) USING parquet "
                   f"PARTITIONED BY (run) CLUSTERED BY (h) SORTED BY (h) INTO {int(buckets)} BUCKETS LOCATION '{self.path}'")
         spark.sql(f"MSCK REPAIR TABLE {self.table}")
         self.made = 0
@@ -175,7 +202,7 @@ class SuffixFamily:
     def _write(self, rows: DataFrame, rank: int) -> str:
         self.made += 1
         name = f"{rank}-{self.made}-{uuid.uuid4().hex[:8]}"
-        rows.select("h", "c", "id", "tag", "at", F.lit(name).alias("run")).write.insertInto(self.table)
+        rows.select("h", "c", "id", "tag", "at", "more", F.lit(name).alias("run")).write.insertInto(self.table)
         return name
 
     def forget(self, name: str) -> None:
@@ -183,12 +210,12 @@ class SuffixFamily:
         remove(self.spark, f"{self.path}/run={name}")
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Add documents (id, tag, text); returns h, c, id, tag, at of suffixes that met another."""
+        """Add documents (id, tag, text); returns h, c, id, tag, at, more of suffixes that met another."""
         older = self.runs()
         new = entries(batch, self.length)
         name = self._write(new.repartition(self.buckets, "h").sortWithinPartitions("h"), 0)
         own = self.run(name)
-        mine = own.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        mine = own.groupBy("h").agg(F.sum(times()).alias("n"))
         again = mine.where("n > 1").select("h")
         met = own.join(again.hint("merge"), "h", "left_semi")
         for _, other in older:              # scan each run of the family side by side with the new one
@@ -334,8 +361,19 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     # at the same place in the string: one string seen from two places of a text is one occurrence
     same = ["h", "o", "digest"]
     twice = every.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*same)
-    spans = F.collect_list(F.struct((-F.col("o")).alias("start"), (F.lit(length) - F.col("o")).alias("end")))
-    return every.join(twice, same).groupBy("h", "c").agg(spans.alias("spans"))
+    found = every.join(twice, same).groupBy("h", "c").agg(F.sort_array(F.collect_set("o")).alias("os"))
+
+    def joined(batches):
+        for batch in batches:
+            out = []
+            for os in batch.column("os").to_pylist():
+                row = np.zeros((1, length - GRAM + 1), bool)
+                row[0, os] = True
+                out.append([{"start": a, "end": b} for a, b in _spans(row, length)[0]])
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("c"), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                                             names=["h", "c", "spans"])
+
+    return found.mapInArrow(joined, f"h long, c long, spans {SPANS}")
 
 
 def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", batches: int = 2,
@@ -360,13 +398,13 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
         family.forget(name)
     spark.sql(f"DROP TABLE {family.table}")
     # a place that several batches met counts once; rows repeated with id and text are told by their number
-    own = hits.groupBy("h", "c", "id", "tag", "at").agg(F.count(F.lit(1)).alias("met"))
+    own = hits.groupBy("h", "c", "id", "tag", "at").agg(F.first("more").alias("more"))
     copies = rows.where(F.octet_length("text") >= length).groupBy("id", "tag").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     own = written(own.join(copies.select(F.col("id").alias("i"), F.col("tag").alias("t"), "rows"),
                            F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t")), "left")
-                  .select("h", "c", "id", "tag", "at", F.coalesce("rows", F.lit(1)).alias("rows")), "hits")
+                  .select("h", "c", "id", "tag", "at", "more", (F.coalesce("rows", F.lit(1)) * times()).alias("n")), "hits")
     release(spark)
-    kinds = written(own.groupBy("h", "c").agg(F.sum("rows").alias("n"), F.min(F.struct(F.col("id").isNull(), "id", "tag", "at")).alias("one")), "contexts")
+    kinds = written(own.groupBy("h", "c").agg(F.sum("n").alias("n"), F.min(F.struct(F.col("id").isNull(), "id", "tag", "at")).alias("one")), "contexts")
     sizes = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
     kinds = written(kinds.join(sizes, "h"), "kinds")
     some = written(_contexts(kinds.where("kinds > 1").select("h", "c", "one.id", "one.tag", "one.at"), rows, length), "bytes")
@@ -380,9 +418,12 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
         rest = rest.unionByName(_counted(some.join(many, "h", "left_semi"), length))
     around = written(whole.unionByName(rest.where(F.size("spans") > 0)), "spans")
     release(spark)
-    found = own.select("h", "c", "id", "tag", "at").join(around, ["h", "c"]).select("id", "tag", F.explode(F.transform("spans", lambda s: F.struct(
-        F.greatest(F.col("at") + s["start"], F.lit(0)).alias("start"), (F.col("at") + s["end"]).alias("end")))).alias("span"))
-    result = written(found.groupBy("id", "tag").agg(F.array_sort(F.collect_set("span")).alias("spans")), "repeats")
+    # spans of every place of an entry, counted from the text's begin
+    places_ = F.concat(F.array("at"), F.coalesce("more", F.array().cast("array<bigint>")))
+    moved = F.flatten(F.transform(places_, lambda p: F.transform("spans", lambda s: F.struct(
+        F.greatest(p + s["start"], F.lit(0)).alias("start"), (p + s["end"]).alias("end")))))
+    found = own.join(around, ["h", "c"]).select("id", "tag", moved.alias("spans"))
+    result = written(found.groupBy("id", "tag").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")), "repeats")
     release(spark)
     return result
 
