@@ -29,6 +29,34 @@ NONFINITE_WORDS = [s + w for s in ("", "+", "-") for w in ("inf", "infinity", "n
 TRUE_WORDS = ["true", "1", "yes", "on"]
 
 
+def py_double(c) -> Column:
+    """A double as Python's ``str`` prints it: plain digits from 1e-4 up to 1e16,
+    otherwise an exponent of at least two digits; nan, inf, -inf."""
+    v = col(c).cast("double")
+    s = v.cast("string")
+    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    shape = r"^-?([0-9])\.([0-9]+)E(-?[0-9]+)$"
+    digits = F.concat(F.regexp_extract(s, shape, 1), F.regexp_replace(F.regexp_extract(s, shape, 2), "^0$", ""))
+    exp = F.regexp_extract(s, shape, 3).try_cast("int")
+    whole = F.rpad(digits, exp + 1, "0")
+    part = F.substring(digits, exp + 2, F.lit(20))
+    plain = F.concat(sign, whole, F.lit("."), F.when(part == "", "0").otherwise(part))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    rest = F.substring(digits, 2, 20)
+    sci = F.concat(sign, F.substring(digits, 1, 1), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"),
+                   F.when(exp < 0, "-").otherwise("+"), F.lpad(F.abs(exp).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exp).cast("string"))), "0"))
+    return (F.when(v.isNull(), F.lit(None).cast("string")).when(F.isnan(v), "nan")
+            .when(F.abs(v) == float("inf"), F.concat(sign, F.lit("inf")))
+            .when(~F.contains(s, F.lit("E")), s).when(exp.between(0, 15), plain).when(exp.between(-4, -1), small).otherwise(sci))
+
+
+def _one_json(v: Column) -> Column:
+    """The whole text is one JSON value. Parsers stop after the first one and pass over
+    what follows, so the text is put into an array with one more element: only a single
+    value makes it an array of two."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), v, F.lit(",1]"))) == 2, F.lit(False))
+
+
 def _is_string(dtype) -> bool:
     return isinstance(dtype, T.StringType)
 
@@ -57,6 +85,8 @@ def to_string(c, dtype=None) -> Column:
         return F.when(v.isNull(), F.lit(None).cast("string")).when(v, "True").otherwise("False")
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(v)
+    if isinstance(dtype, T.DoubleType):
+        return py_double(v)
     return v.cast("string")
 
 
@@ -100,7 +130,7 @@ def to_array(c, dtype=None) -> Column:
     if dtype is None or _is_string(dtype):
         t = strip_ws(v)
         looks_list = t.startswith("[") & t.endswith("]")
-        parsed = F.when(looks_list, F.from_json(v, "array<string>"))
+        parsed = F.when(looks_list & _one_json(v), F.from_json(v, "array<string>"))
         pieces = F.transform(F.split(v, ",", -1), lambda x: strip_ws(x))
         return F.when(v.isNull(), F.lit(None).cast("array<string>")).otherwise(
             F.coalesce(parsed, pieces))
@@ -115,7 +145,7 @@ def to_dict(c, dtype=None) -> Column:
     v = col(c)
     if dtype is None or _is_string(dtype):
         t = strip_ws(v)
-        return F.when(t.startswith("{") & t.endswith("}"),
+        return F.when(t.startswith("{") & t.endswith("}") & _one_json(v),
                       F.from_json(v, "map<string,string>"))
     if isinstance(dtype, T.MapType):
         return v

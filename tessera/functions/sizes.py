@@ -13,24 +13,11 @@ UNITS = ["B", "KB", "MB", "GB", "TB"]
 
 def format_file_size(c) -> Column:
     """0 -> '0B'; otherwise divide by 1024 while >= 1024 (up to TB) and print one
-    decimal. Integer byte counts are rounded exactly (half to even on the exact
-    quotient, as Python's float formatting does); no float re-formatting involved."""
-    n = col(c)
-    as_long = n.cast("long")
-    # unit index: how many times the value can be divided by 1024 (capped at TB)
-    k = F.lit(0)
+    decimal, half to even as Python's float formatting does."""
+    n = col(c).cast("long")
+    div, unit = F.lit(1), F.lit(UNITS[0])
     for i in range(1, len(UNITS)):
-        k = F.when(F.abs(as_long) >= F.lit(1024 ** i), F.lit(i)).otherwise(k)
-    k = F.when(as_long < 0, F.lit(0)).otherwise(k)
-    div = F.pow(F.lit(1024), k).cast("long")
-    tenths = (as_long.cast("decimal(38,0)") * 10)
-    q = F.floor(tenths / div).cast("decimal(38,0)")
-    r = tenths - q * div
-    up = (r * 2 > div) | ((r * 2 == div) & (q % 2 != 0))
-    q = F.when(up, q + 1).otherwise(q)
-    whole = F.floor(q / 10).cast("long")
-    frac = (q - whole * 10).cast("long")
-    text = F.concat(whole.cast("string"), F.lit("."), frac.cast("string"))
-    unit = F.element_at(F.array(*[F.lit(u) for u in UNITS]), k + 1)
-    exact = F.concat(text, unit)
-    return F.when(n.isNull(), F.lit(None).cast("string")).when(n == 0, F.lit("0B")).otherwise(exact)
+        div = F.when(n >= F.lit(1024 ** i), F.lit(1024 ** i)).otherwise(div)
+        unit = F.when(n >= F.lit(1024 ** i), F.lit(UNITS[i])).otherwise(unit)
+    text = F.concat(F.format_string("%.1f", F.bround(n / div, 1)), unit)
+    return F.when(n.isNull(), F.lit(None).cast("string")).when(n == 0, F.lit("0B")).otherwise(text)

@@ -80,26 +80,26 @@ def slugify(c) -> Column:
     return F.when(s == "", F.lit("untitled")).otherwise(s)
 
 
+def _with(c: Column, body) -> Column:
+    """``body`` over a value that is computed once (copied into an expression it would
+    be computed wherever it is named)."""
+    return F.element_at(F.transform(F.array(c), body), 1)
+
+
 def safe_filename(c) -> Column:
     """Unsafe characters -> '_', drop C0/DEL/C1 controls, cap at 255 characters
     keeping the extension, strip spaces and dots, empty -> 'unnamed'."""
     s = F.regexp_replace(col(c), r'[<>:"/\\|?*]', "_")
     s = F.regexp_replace(s, r"[\x{00}-\x{1F}\x{7F}-\x{9F}]", "")
-    n = F.length(s)
-    back = F.instr(F.reverse(s), ".")
-    last_dot = n - back + 1  # 1-based position of the last '.'
-    has_ext = (back > 0) & (last_dot > 1) & (last_dot < n)
-    ext = F.when(has_ext, F.substring_index(s, ".", -1)).otherwise(F.lit(""))
-    ext = F.when(has_ext, F.concat(F.lit("."), ext)).otherwise(ext)
-    stem = F.when(has_ext, s.substr(F.lit(1), last_dot - 1)).otherwise(s)
-    keep = F.lit(255) - F.length(ext)
+
     # Python slicing name[:k] with a negative k drops |k| characters from the end
-    stem_len = F.when(keep >= 0, F.least(keep, F.length(stem))).otherwise(
-        F.greatest(F.length(stem) + keep, F.lit(0)))
-    capped = F.concat(stem.substr(F.lit(1), stem_len), ext)
-    s = F.when(n > 255, capped).otherwise(s)
-    s = F.btrim(s, F.lit(" ."))
-    return F.when(s == "", F.lit("unnamed")).otherwise(s)
+    ext = lambda x: F.regexp_extract(x, r"(?s)^.+(\.[^.]+)$", 1)
+    stem = lambda x, e: x.substr(F.lit(1), F.length(x) - F.length(e))
+    keep = lambda st, e: F.when(F.length(e) <= 255, F.least(F.lit(255) - F.length(e), F.length(st))).otherwise(
+        F.greatest(F.length(st) + 255 - F.length(e), F.lit(0)))
+    cut = lambda x, e: F.concat(stem(x, e).substr(F.lit(1), keep(stem(x, e), e)), e)
+    s = _with(s, lambda x: F.when(F.length(x) > 255, _with(ext(x), lambda e: cut(x, e))).otherwise(x))
+    return _with(F.btrim(s, F.lit(" .")), lambda x: F.when(x == "", F.lit("unnamed")).otherwise(x))
 
 
 def initials(c) -> Column:

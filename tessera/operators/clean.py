@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,7 +101,9 @@ def interpolate_missing(df: DataFrame, defaults: dict, method: str | None = None
     ``method='ffill'`` (extension) a null takes the last non-null value of the same
     partition in ``order_by`` order before defaults apply; the window is always
     partitioned so no single task sees the whole table."""
-    if method == "ffill" and partition_by and order_by is not None:
+    if method == "ffill":
+        if not partition_by or order_by is None:
+            raise ValueError("ffill needs partition_by and order_by")
         from pyspark.sql import Window
         w = (Window.partitionBy(*partition_by).orderBy(order_by)
              .rowsBetween(Window.unboundedPreceding, 0))
@@ -192,6 +196,13 @@ def cleaning_stats(df: DataFrame, spec: dict, order_by) -> DataFrame:
     if rules:
         from tessera.operators.validate import error_column
         valid = F.size(error_column(flagged, rules)) == 0
+    if spec.get("clean_before_dedupe"):
+        cleaned = clean_strings(flagged)            # validation sees cleaned strings as well
+        if rules:
+            valid = F.size(error_column(cleaned, rules)) == 0
+        flagged = cleaned
+    if spec.get("drop_empty_rows"):
+        valid = valid & functools.reduce(lambda a, b: a | b, [_q(c).isNotNull() for c in flagged.columns])
     flagged = flagged.withColumns({"_keep": keep, "_valid": valid})
     if spec.get("remove_duplicates") and spec.get("duplicate_keys"):
         order = order_by if isinstance(order_by, (list, tuple)) else [order_by]
@@ -211,5 +222,5 @@ def cleaning_stats(df: DataFrame, spec: dict, order_by) -> DataFrame:
         F.col("cleaned_count").cast("long").alias("cleaned_count"),
         (F.col("original_count") - F.col("cleaned_count")).cast("long").alias("removed_count"),
         F.when(F.col("original_count") > 0,
-               F.round((F.col("original_count") - F.col("cleaned_count")) / F.col("original_count"), 6))
+               (F.col("original_count") - F.col("cleaned_count")) / F.col("original_count"))
          .otherwise(F.lit(0.0)).alias("removal_rate"))

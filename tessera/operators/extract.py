@@ -32,22 +32,19 @@ def parse_field_selector(sel: str):
     return css, (attr if kind and kind.startswith("attr") else None)
 
 
+def _node_value(n, attr, page_url):
+    """An element's text, or its attribute (URLs made absolute, empty ones missing)."""
+    if attr is None:
+        return n.get_text(strip=True)
+    v = n.get(attr, "")
+    if not v:
+        return None
+    return urljoin(page_url or "", v) if attr in URL_ATTRS else v
+
+
 def _field_value(scope, css_compiled, attr, page_url, multi):
     nodes = select(scope, css_compiled) if multi else [select_one(scope, css_compiled)]
-    vals = []
-    for n in nodes:
-        if n is None:
-            continue
-        if attr is None:
-            vals.append(n.get_text(strip=True))
-        else:
-            v = n.get(attr, "")
-            if not v:
-                vals.append(None)
-            elif attr in URL_ATTRS:
-                vals.append(urljoin(page_url, v))
-            else:
-                vals.append(v)
+    vals = [_node_value(n, attr, page_url) for n in nodes if n is not None]
     if multi:
         return [v for v in vals if v is not None]
     return vals[0] if vals else None
@@ -71,59 +68,9 @@ def extract_items(pages: DataFrame, item_selector: str | None, fields: dict[str,
     """One row per element matching ``item_selector`` (in
     document order, ``item_pos`` from 0); per field the first match's text or
     attribute (``multi`` fields: all matches as an array). No item selector -> no
-    rows. A failing item gives a row with ``_error`` set and null fields."""
-    keep = tuple(keep)
-    fspec = {k: parse_field_selector(v) for k, v in fields.items()}
-    _validate([item_selector] + [css for css, _ in fspec.values()])
-    fields_ddl = [f"`{k}` {'array<string>' if k in multi else 'string'}" for k in fields]
-    keep_ddl = [f"`{k}` {_spark_type(pages.schema[k].dataType)}" for k in keep]
-    schema = ", ".join(keep_ddl + ["source_url string", "item_pos int"] + fields_ddl + ["_error string"])
-    src = pages.select(*keep, F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
-
-    cols = list(keep) + ["source_url", "item_pos"] + list(fields) + ["_error"]
-
-    def emit(rows):
-        # every key present (missing fields must be None, not a float NaN column)
-        out = pd.DataFrame([{c: r.get(c) for c in cols} for r in rows], columns=cols, dtype=object)
-        out["item_pos"] = out["item_pos"].astype("Int32")
-        return out
-
-    def run(batches):
-        item_sel = compile_selector(item_selector) if item_selector else None
-        compiled = {k: (compile_selector(css) if css else None, attr) for k, (css, attr) in fspec.items()}
-        for pdf in batches:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                if len(rows) >= OUTPUT_CHUNK_ROWS:   # bound the memory of one output batch
-                    yield emit(rows)
-                    rows = []
-                base = {k: getattr(rec, k) if k.isidentifier() else rec[i]
-                        for i, k in enumerate(keep)}
-                url, html = rec[len(keep)], rec[len(keep) + 1]
-                if item_sel is None or html is None:
-                    continue
-                try:
-                    root = parse(html)
-                    items = select(root, item_sel)
-                except Exception as e:  # a page that cannot be parsed: one error row
-                    rows.append({**base, "source_url": url, "item_pos": None,
-                                 "_error": f"page: {type(e).__name__}: {e}"})
-                    continue
-                for pos, el in enumerate(items):
-                    row = {**base, "source_url": url, "item_pos": pos, "_error": None}
-                    try:
-                        for k, (cs, attr) in compiled.items():
-                            if cs is None:
-                                row[k] = el.get_text(strip=True) if attr is None else el.get(attr)
-                            else:
-                                row[k] = _field_value(el, cs, attr, url, k in multi)
-                    except Exception as e:
-                        row = {**base, "source_url": url, "item_pos": pos,
-                               "_error": f"item: {type(e).__name__}: {e}"}
-                    rows.append(row)
-            yield emit(rows)
-
-    return src.mapInPandas(run, schema)
+    rows. A failing item or page gives a row with ``_error`` set and null fields."""
+    target = {"item_selector": item_selector, "fields": fields, "multi": multi}
+    return extract_targets(pages, {"": target}, url_col=url_col, html_col=html_col, keep=keep).drop("target_name")
 
 
 def extract_targets(pages: DataFrame, targets: dict[str, dict], *, url_col: str = "url",
@@ -157,42 +104,51 @@ def extract_targets(pages: DataFrame, targets: dict[str, dict], *, url_col: str
         out["item_pos"] = out["item_pos"].astype("Int32")
         return out
 
+    def item(el, fs, multi, url):
+        """The fields of one item. A selector without a path means the item itself."""
+        out = {}
+        for k, (cs, attr) in fs.items():
+            if cs is not None:
+                out[k] = _field_value(el, cs, attr, url, k in multi)
+                continue
+            value = _node_value(el, attr, url)
+            out[k] = value if k not in multi else [] if value is None else [value]
+        return out
+
     def run(batches):
         compiled = {name: (compile_selector(sel) if sel else None,
                            {k: (compile_selector(css) if css else None, attr) for k, (css, attr) in fs.items()},
                            multi)
-                    for name, (sel, fs, multi) in specs.items()}
+                    for name, (sel, fs, multi) in specs.items() if sel}
         for pdf in batches:
             rows = []
             for rec in pdf.itertuples(index=False):
-                if len(rows) >= OUTPUT_CHUNK_ROWS:
-                    yield emit(rows)
-                    rows = []
                 base = dict(zip(keep, rec[:len(keep)]))
                 url, html = rec[len(keep)], rec[len(keep) + 1]
+                root, failed = None, None
                 if html is None:
                     continue
                 try:
                     root = parse(html)                       # once per page, for all targets
                 except Exception as e:
-                    rows.append({**base, "target_name": None, "source_url": url, "item_pos": None,
-                                 "_error": f"page: {type(e).__name__}: {e}"})
-                    continue
+                    failed = e
                 for name, (item_sel, fs, multi) in compiled.items():
-                    if item_sel is None:
+                    place = {**base, "target_name": name, "source_url": url}
+                    try:
+                        if failed is not None:
+                            raise failed
+                        found = select(root, item_sel)
+                    except Exception as e:                   # no items of this target: one error row
+                        rows.append({**place, "item_pos": None, "_error": f"page: {type(e).__name__}: {e}"})
                         continue
-                    for pos, el in enumerate(select(root, item_sel)):
-                        row = {**base, "target_name": name, "source_url": url, "item_pos": pos, "_error": None}
+                    for pos, el in enumerate(found):
                         try:
-                            for k, (cs, attr) in fs.items():
-                                if cs is None:
-                                    row[k] = el.get_text(strip=True) if attr is None else el.get(attr)
-                                else:
-                                    row[k] = _field_value(el, cs, attr, url, k in multi)
+                            rows.append({**place, "item_pos": pos, "_error": None, **item(el, fs, multi, url)})
                         except Exception as e:
-                            row = {**base, "target_name": name, "source_url": url, "item_pos": pos,
-                                   "_error": f"item: {type(e).__name__}: {e}"}
-                        rows.append(row)
+                            rows.append({**place, "item_pos": pos, "_error": f"item: {type(e).__name__}: {e}"})
+                        if len(rows) >= OUTPUT_CHUNK_ROWS:   # bound the memory of one output batch
+                            yield emit(rows)
+                            rows = []
             yield emit(rows)
 
     return src.mapInPandas(run, schema)
@@ -281,6 +237,6 @@ def pagination_walk(pages: DataFrame, start_urls: DataFrame, next_selector: str,
                .checkpoint(eager=True))
         if nxt.isEmpty():
             break
-        visited = visited.unionByName(nxt).checkpoint(eager=True)
+        visited = visited.unionByName(nxt)      # both parts are checkpointed: nothing is written again
         frontier = nxt
     return visited

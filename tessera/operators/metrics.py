@@ -6,7 +6,9 @@ shuffle of at most #groups rows per task); nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Upper bounds (seconds) of the duration histogram buckets; +Inf follows.
@@ -38,17 +40,17 @@ def duration_histogram(log: DataFrame, labels: list[str], duration: str,
     d = F.col(duration)
     aggs = [F.count_if(d <= F.lit(b)).cast("long").alias(_bucket_name(b)) for b in buckets]
     aggs += [F.count(d).cast("long").alias("le_inf"),
-             F.round(F.sum(d), 4).alias("duration_sum"),
+             F.sum(d).alias("duration_sum"),
              F.count(d).cast("long").alias("duration_count")]
     return log.groupBy(*labels).agg(*aggs)
 
 
 def last_values(log: DataFrame, labels: list[str], ts: str, value: str,
-                success: Column) -> DataFrame:
-    """Last value by time (set -> last wins), last attempt and last success
-    (two columns, D21)."""
+                success: Column, tie: tuple[str, ...] = ()) -> DataFrame:
+    """Last value by time (set -> last wins; ``tie`` columns settle equal times),
+    last attempt and last success (two columns, D21)."""
     return log.groupBy(*labels).agg(
-        F.max_by(F.col(value), F.col(ts)).alias("last_value"),
+        F.max_by(F.col(value), F.struct(ts, *tie)).alias("last_value"),
         F.max(ts).alias("last_attempt"),
         F.max(F.when(success, F.col(ts))).alias("last_success"))
 
@@ -61,9 +63,9 @@ def run_summary(log: DataFrame, success: Column, saved: Column, duration: str) -
         F.count_if(success).cast("long").alias("completed"),
         F.count_if(~success).cast("long").alias("failed"),
         F.sum(F.when(success, saved).otherwise(F.lit(0))).cast("long").alias("total_saved"),
-        F.round(F.coalesce(F.sum(F.when(success, d)), F.lit(0.0)), 4).alias("total_duration"),
-        F.round(F.coalesce(F.try_divide(F.sum(F.when(success, d)), F.count_if(success)),
-                           F.lit(0.0)), 4).alias("avg_duration"))
+        F.coalesce(F.sum(F.when(success, d)), F.lit(0.0)).alias("total_duration"),
+        F.coalesce(F.try_divide(F.sum(F.when(success, d)), F.count_if(success)),
+                   F.lit(0.0)).alias("avg_duration"))
 
 
 def job_counts(log: DataFrame, success: Column) -> DataFrame:
@@ -107,19 +109,34 @@ def check_suite(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return per.unionByName(overall)
 
 
-def storage_health(df: DataFrame, name: str) -> DataFrame:
-    """Status and row count of a stored table."""
-    return df.agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(
-        F.lit(name).alias("storage"), F.lit("healthy").alias("status"), "row_count")
+def storage_health(read: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """One row with the status of a stored table: 'healthy' and its row count, or
+    'unhealthy' and what went wrong when it is read (``read`` is run here, and counted
+    with one job)."""
+    try:
+        found = (name, "healthy", read().count(), None)
+    except Exception as e:
+        found = (name, "unhealthy", None, type(e).__name__)
+    return spark.createDataFrame([found], "storage string, status string, row_count long, error string")
+
+
+def active_runs(log: DataFrame, started: Column, ended: Column, run_id: str = "run_id") -> DataFrame:
+    """A7 gauges from a run log: runs that have begun and not ended, and their number
+    (the queue of a log that holds both)."""
+    runs = log.groupBy(run_id).agg(F.bool_or(started).alias("_begun"), F.bool_or(ended).alias("_ended"))
+    return runs.agg(F.count_if(F.col("_begun") & ~F.col("_ended")).cast("long").alias("active_runs"),
+                    F.count_if(~F.col("_begun") & ~F.col("_ended")).cast("long").alias("queue_size"))
 
 
 def quality_report(df: DataFrame) -> DataFrame:
-    """Rows, total null cells and duplicated rows. One shuffle: group identical
-    rows (partial aggregation first), then sum over the groups."""
+    """Rows, total null cells and duplicated rows. One shuffle, of a 256-bit digest
+    for each row rather than its cells (partial aggregation first)."""
     cols = [F.col(f"`{c}`") for c in df.columns]
     nulls = sum((c.isNull().cast("long") for c in cols), F.lit(0))
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).withColumn("_nulls", nulls)
+    digest = F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
+    groups = df.select(digest.alias("_row"), nulls.alias("_nulls")).groupBy("_row").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"))
     return groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
-        F.coalesce(F.sum(F.col("_n") * F.col("_nulls")), F.lit(0)).cast("long").alias("null_cells"),
+        F.coalesce(F.sum("_nulls"), F.lit(0)).cast("long").alias("null_cells"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))

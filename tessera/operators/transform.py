@@ -7,6 +7,7 @@ driver from the schema, never a chain of ``withColumn`` calls.
 
 from __future__ import annotations
 
+import contextlib
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -135,18 +136,35 @@ def _resolve(df: DataFrame, fn) -> Column:
     return fn(df)
 
 
+@contextlib.contextmanager
+def null_on_error(df: DataFrame):
+    """Expressions resolved within give null where they fail (division by zero, a text
+    that is no number, an index out of bounds) instead of ending the job: whether an
+    operation raises is settled when it is resolved. Whole numbers beyond 64 bits wrap."""
+    conf, key = df.sparkSession.conf, "spark.sql.ansi.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        yield
+    finally:
+        conf.set(key, before)
+
+
 def add_computed_columns(df: DataFrame, functions) -> DataFrame:
     """Every function sees the same input row (not each other's output); a
-    result may overwrite an existing column. One projection."""
+    result may overwrite an existing column; a failing one is null in that row. One
+    projection."""
     if not functions:
         return df
     items = functions.items() if hasattr(functions, "items") else functions
-    return df.withColumns({name: _resolve(df, fn) for name, fn in items})
+    with null_on_error(df):
+        return df.withColumns({name: _resolve(df, fn) for name, fn in items})
 
 
 def evaluate_expression(df: DataFrame, expr: str, name: str = "result") -> DataFrame:
-    """A SQL expression over the row's columns."""
-    return df.withColumn(name, F.expr(expr))
+    """A SQL expression over the row's columns; null where it fails."""
+    with null_on_error(df):
+        return df.withColumn(name, F.expr(expr))
 
 
 def transform(df: DataFrame, spec: dict, registry: FunctionRegistry | None = None) -> DataFrame:

@@ -14,21 +14,21 @@ from pyspark.sql import types as T
 from tessera import functions as tf
 from tessera.operators import computed, metrics
 from tessera.operators.chunk import assign_chunks
-from tessera.operators.clean import clean, clean_strings, cleaning_stats, handle_missing
+from tessera.operators.clean import clean, clean_strings, cleaning_stats, drop_empty_rows, handle_missing
 from tessera.operators.dedupe import dedupe_first
 from tessera.operators.extract import extract_items, extract_targets, next_links, pagination_walk
 from tessera.operators.flatten import flatten_json
 from tessera.operators.merge import merge_versions
 from tessera.operators.search import filter_by_field, newest_first, search
-from tessera.operators.transform import (CONV_ERRORS_COL, apply_field_mapping, convert_types,
+from tessera.operators.transform import (CONV_ERRORS_COL, FunctionRegistry, apply_field_mapping, convert_types,
                                          evaluate_expression, transform, transform_stats)
 from tessera.operators.validate import ERRORS_COL, error_counts, validate
-from tessera.plans.runner import plan_only
+from tessera.plans.runner import append_run_log, build_plan, failures, plan_only, run_all_targets, run_target
 from tessera.session import read_table, scratch_path, table_path
 from tessera.sources.csv import count_csv, read_csv, write_csv
 from tessera.sources.doctable import DocumentTable
-from tessera.sources.jsonl import read_jsonl, write_jsonl
-from tessera.sources.sinks import backup, export, storage_info
+from tessera.sources.jsonl import count_jsonl, read_jsonl, write_jsonl
+from tessera.sources.sinks import backup, clear, export, output_path, storage_info, write_sink
 from tessera.streaming.incremental import dedupe_run, incremental_run, read_file_stream
 
 
@@ -150,7 +150,8 @@ def clean_string_arrays(spark, d):
 # ---------------------------------------------------------------- statistics
 def cleaning_stats_documents(spark, d):
     docs = _t(spark, d, "documents")
-    return cleaning_stats(docs, {"remove_duplicates": True, "duplicate_keys": ["text"]}, "doc_id")
+    out = cleaning_stats(docs, {"remove_duplicates": True, "duplicate_keys": ["text"]}, "doc_id")
+    return out.withColumn("removal_rate", F.round("removal_rate", 6))
 
 
 def transform_spec() -> dict:
@@ -477,7 +478,7 @@ def table_roundtrip(spark, d):
     c = _t(spark, d, "customer")
     path = scratch_path(spark, "customer_table")
     DocumentTable(spark, path).save(c.withColumn("target_name", F.col("c_mktsegment")), run_id="r1")
-    return DocumentTable(spark, path).load(c.schema).drop("id", "created_at")
+    return DocumentTable(spark, path).load(c.schema).drop("_id", "created_at")
 
 
 def export_target(spark, d):
@@ -499,6 +500,143 @@ def backup_convert(spark, d):
     return read_csv(spark, out)
 
 
+def csv_append_union(spark, d):
+    """Files of other columns appended to a CSV folder."""
+    c = _t(spark, d, "customer")
+    path = write_csv(c.select("c_custkey", "c_name"), scratch_path(spark, "union_csv"))
+    write_csv(c.select(F.lit("x").alias("a"), "c_custkey", (F.col("c_acctbal") * 1e6).alias("c_big")), path, mode="append")
+    write_csv(c.select("c_custkey", "c_name"), path, mode="append")
+    return read_csv(spark, path).select("a", F.round(F.col("c_big").cast("double"), 2).alias("c_big"), "c_custkey", "c_name",
+                                        F.length("c_big").alias("digits"))
+
+
+def csv_dialect(spark, d):
+    """Another delimiter, minimal quoting, cells that hold the delimiter and quotes."""
+    o = _t(spark, d, "orders").select("o_orderkey", F.concat(F.lit('a;"b"; '), "o_orderpriority").alias("note"))
+    return read_csv(spark, write_csv(o, scratch_path(spark, "dialect_csv"), delimiter=";", quote_all=False), delimiter=";")
+
+
+def table_own_id(spark, d):
+    """An item's own id comes back."""
+    c = _t(spark, d, "customer").select((F.col("c_custkey") * 3).alias("id"), "c_name")
+    t = DocumentTable(spark, scratch_path(spark, "own_id"))
+    t.save(c, target_name="t")
+    return t.load(c.schema).select("id", "c_name", "target_name")
+
+
+def table_bad_json(spark, d):
+    """Rows whose JSON is cut off are counted, and skipped when read."""
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    t = DocumentTable(spark, scratch_path(spark, "bad_json"))
+    t.save(c, target_name="t", batch_key="b")
+    cut = F.when(F.get_json_object("data", "$.c_custkey").cast("long") % 4 == 0, F.expr("substring(data, 1, length(data) - 3)")).otherwise(F.col("data"))
+    bad = scratch_path(spark, "bad_json_cut")
+    t.table().withColumn("data", cut).drop("batch").write.partitionBy("target_name").parquet(bad + "/batch=b")
+    t = DocumentTable(spark, bad)
+    return t.load(c.schema).select("c_custkey", "c_name").withColumn("stored", F.lit(t.count()).cast("long"))
+
+
+def counts_and_clear(spark, d):
+    """Records counted by kind of sink, and after clearing."""
+    c, out = _t(spark, d, "customer"), []
+    for kind in ("csv", "jsonl", "table"):
+        path = write_sink(c, kind, scratch_path(spark, f"count_{kind}"))
+        count = {"csv": count_csv, "jsonl": count_jsonl, "table": lambda s, p: DocumentTable(s, p).count()}[kind]
+        n = count(spark, path)
+        clear(spark, path, kind, c.schema)
+        out.append((kind, n, count(spark, path)))
+    new = DocumentTable(spark, scratch_path(spark, "new_table"))
+    new.create_if_absent()
+    out.append(("new table", int(new.exists()), new.count()))
+    return spark.createDataFrame(out, "kind string, stored long, after_clear long")
+
+
+def output_names(spark, d):
+    """A path for each market segment's output."""
+    import datetime as dt
+    when = dt.datetime(2024, 5, 6, 7, 8, 9)
+    named = lambda c: F.regexp_replace(F.lit(output_path("out", "TARGET", "csv", when, "r1")), "TARGET", c)
+    return _t(spark, d, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).withColumn("path", named(F.col("c_mktsegment")))
+
+
+def drop_empty(spark, d):
+    """Rows without any value go."""
+    o = _t(spark, d, "orders").select(*[F.when(F.col("o_orderkey") % 3 > 0, F.col(c)).alias(c) for c in ("o_orderkey", "o_totalprice")])
+    return drop_empty_rows(o).select("o_orderkey", "o_totalprice")
+
+
+def cleaning_stats_cleaned(spark, d):
+    """C12 under cleaning before the dedupe, as the flagship does it."""
+    docs = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("  "), F.substring("text", 1, 1), F.repeat(F.lit(" "), (F.col("doc_id") % 3).cast("int"))).alias("t"))
+    out = cleaning_stats(docs, {"remove_duplicates": True, "duplicate_keys": ["t"], "clean_before_dedupe": True}, "doc_id")
+    return out.withColumn("removal_rate", F.round("removal_rate", 6))
+
+
+def convert_large_and_unknown(spark, d):
+    """Numbers of ten million and more as Python prints them; an unknown type changes nothing."""
+    o = _t(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") * 1e7 + 0.5).alias("big"), F.col("o_orderstatus").alias("same"))
+    return convert_types(o, {"big": "string", "same": "decimal128"}).select("o_orderkey", "big", "same")
+
+
+def convert_json_whole(spark, d):
+    """A text must be one JSON value."""
+    e = _t(spark, d, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("[1],["), F.col("user_id").cast("string"), F.lit("]")))
+                                      .otherwise(F.concat(F.lit("["), F.col("user_id").cast("string"), F.lit("]"))).alias("a"),
+                                      F.when(F.col("event_id") % 2 == 0, F.concat("props", F.lit(" "), "props")).otherwise(F.col("props")).alias("p"))
+    out = convert_types(e, {"a": "array", "p": "dict"})
+    return out.select("event_id", F.array_join("a", "|").alias("a"), F.col("p")["k"].alias("k"), _failed().alias("failed"))
+
+
+def null_on_error(spark, d):
+    """An expression that fails is null in that row."""
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    out = evaluate_expression(li, "l_orderkey / (l_linenumber - 2)", "ratio")
+    return transform(out, {"custom_functions": {"as_int": "cast(l_returnflag AS int)", "third": "element_at(array(1, 2), l_linenumber)"}}).select(
+        "l_orderkey", "l_linenumber", F.round("ratio", 6).alias("ratio"), "as_int", "third")
+
+
+def registry_functions(spark, d):
+    """Functions added by name, one of them removed again."""
+    reg = FunctionRegistry({"twice": "n_chars * 2"})
+    reg.add("tail", "substring(text, -3, 3)")
+    reg.add("gone", "doc_id")
+    reg.remove("gone")
+    return transform(_t(spark, d, "documents").select("doc_id", "text", "n_chars"), {}, reg).drop("text")
+
+
+def bad_urls(spark, d):
+    """Invalid authorities and references of many shapes."""
+    pg = _t(spark, d, "pages")
+    m = pg.page_id % 6
+    n = pg.page_id.cast("string")
+    u = (F.when(m == 0, F.concat(F.lit("//[x"), n)).when(m == 1, F.concat(F.lit("../"), n)).when(m == 2, F.concat(F.lit("?q="), n))
+         .when(m == 3, F.concat(F.lit("./a//b/../"), n)).when(m == 4, F.concat(F.lit("//other.example/"), n)).otherwise(F.concat(F.lit("/r/"), n)))
+    return pg.select("page_id", tf.extract_domain(u).alias("domain"), tf.normalize_url(u, "https://base.example/x/y/z?k=1").alias("norm"))
+
+
+def scrape_counters(spark, d):
+    """A1-A4: items scraped, saved, processed and failed by label."""
+    log = _log(spark, d)
+    by = lambda value, name: metrics.counter(log, ["event_type"], value, name)
+    out = by(None, "scraped")
+    for value, name in (((F.col("event_type") == "purchase").cast("long"), "saved"), (F.col("ok").cast("long"), "processed"),
+                        ((~F.col("ok")).cast("long"), "failed")):
+        out = out.join(by(value, name), "event_type")
+    return out
+
+
+def active_runs(spark, d):
+    """Runs begun and not ended, by user as run."""
+    e = _t(spark, d, "events")
+    return metrics.active_runs(e, F.col("event_type") == "click", F.col("event_type") == "purchase", "user_id")
+
+
+def processed_at(spark, d):
+    """T11i: the time is the run's; its presence is what can be compared."""
+    docs = _t(spark, d, "documents").select("doc_id")
+    return transform(docs, {"custom_functions": {"at": "processed_at"}}).select("doc_id", F.col("at").isNotNull().alias("has_time"))
+
+
 def storage_info_customer(spark, d):
     c = _t(spark, d, "customer")
     path = write_csv(c, scratch_path(spark, "customer_info"))
@@ -509,6 +647,88 @@ def storage_info_customer(spark, d):
 
 
 # ---------------------------------------------------------------- HTML extraction
+SITE = "http://site.example/p/"
+
+
+def _chained(spark, d) -> DataFrame:
+    """Pages under chained addresses: the first link of a page leads to the next id."""
+    pg = _t(spark, d, "pages")
+    link = lambda e: F.concat(F.lit(SITE), e.cast("string"))
+    return pg.select("page_id", link(pg.page_id).alias("url"),
+                     F.concat(F.lit('<nav><a class="next" href="'), link(pg.page_id + 1), F.lit('">on</a></nav>'), pg.html).alias("html"))
+
+
+def pagination_chain(spark, d):
+    """Walks of at most 5 pages, from every page whose id ends in 0."""
+    pg = _chained(spark, d)
+    return pagination_walk(pg, pg.where("page_id % 10 = 0").select("url"), "a.next::attr(href)", max_pages=5)
+
+
+def extract_plain_selector(spark, d):
+    """A selector without suffix is the element's text."""
+    return extract_items(_chained(spark, d), "nav", {"text": "a.next", "self": "a.next::text"}).where("text = 'on'").select(
+        "page_id", "item_pos", "text", "self")
+
+
+RECORD_SPEC = {
+    "name": "records",
+    "extract": {"item_selector": "div.rec", "fields": {"num": "b::text", "link": "a::attr(href)", "own": "::attr(data-n)"}},
+    "cleaner": {"field_validation": {"num": {"type": "int", "required": True}}},
+    "transformer": {"type_conversions": {"num": "int"}, "custom_functions": {"ratio": "12 / (num - 3)"}},
+}
+
+
+def _record_pages(spark, d) -> DataFrame:
+    """Pages with one record in front: a number, or n/a in every fifth; an address, or
+    an invalid one in every seventh."""
+    pg = _t(spark, d, "pages")
+    num = F.when(pg.page_id % 5 == 0, F.lit("n/a")).otherwise(pg.page_id.cast("string"))
+    href = F.when(pg.page_id % 7 == 0, F.lit("//[x")).otherwise(F.concat(F.lit("r/"), pg.page_id.cast("string")))
+    html = F.concat(F.lit('<div class="rec" data-n="d'), pg.page_id.cast("string"), F.lit('"><b>'), num, F.lit('</b><a href="'), href,
+                    F.lit('">x</a></div>'), pg.html)
+    return pg.select("page_id", F.lit("http://h.example/a/b").alias("url"), html.alias("html"))
+
+
+def run_result(spark, d):
+    out = plan_only(_record_pages(spark, d), {**RECORD_SPEC, "transformer": {
+        "type_conversions": {"num": "int"}, "custom_functions": {"ratio": "12 / (num - 3)", "as_int": "cast(link AS int)"}}})
+    return out.select("page_id", "item_pos", "num", "link", "own", "ratio", "as_int")
+
+
+def run_rejected(spark, d):
+    """Rejected rows and failed items of a run."""
+    _, rejected, errors = build_plan(_record_pages(spark, d), {**RECORD_SPEC, "transformer": {}}, "r")
+    return failures(rejected, errors, "records").select("target_name", "page_id", "item_pos", "stage", "reason")
+
+
+def _two_targets(spark, d):
+    heads = {"name": "heads", "extract": {"item_selector": "html", "fields": {"title": "h1::text"}}}
+    wrong = {"name": "wrong", "extract": {"fields": {}}}
+    return run_all_targets(_record_pages(spark, d), [{**RECORD_SPEC, "transformer": {}}, heads, wrong])
+
+
+def run_all_targets_results(spark, d):
+    return _two_targets(spark, d)[0].select("target_name", "page_id", "item_pos", "num", "title")
+
+
+def run_all_targets_failures(spark, d):
+    return _two_targets(spark, d)[1].groupBy("target_name", "stage").agg(F.count(F.lit(1)).alias("n"))
+
+
+def run_record(spark, d):
+    """Two runs append to one CSV; the log has a row for each, and for a noop run."""
+    path, log = scratch_path(spark, "run_csv"), scratch_path(spark, "run_log")
+    spec = {**RECORD_SPEC, "transformer": {}, "storage": {"type": "csv", "path": path, "delimiter": ";"}}
+    pages = _record_pages(spark, d)
+    records = [run_target(pages, spec, run_id=f"r{i}")[1] for i in (1, 2)]
+    records.append(run_target(pages, {**spec, "storage": {"type": "noop"}}, run_id="r3")[1])
+    append_run_log(spark, records, log)
+    stored = read_csv(spark, path, delimiter=";").groupBy("run_id").agg(F.count(F.lit(1)).alias("stored"))
+    return spark.read.parquet(log).join(stored, "run_id", "left").select(
+        "run_id", "target_name", "status", "scraped_count", "failed_count", "processed_count", "saved_count",
+        F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
 def extract_title(spark, d):
     pg = _t(spark, d, "pages")
     return extract_items(pg, "html", {"title": "h1::text"}).select("page_id", "title")
@@ -557,11 +777,12 @@ def requests_by_status(spark, d):
 
 
 def duration_histogram(spark, d):
-    return metrics.duration_histogram(_log(spark, d), ["event_type"], "value")
+    out = metrics.duration_histogram(_log(spark, d), ["event_type"], "value")
+    return out.withColumn("duration_sum", F.round("duration_sum", 4))
 
 
 def last_run(spark, d):
-    out = metrics.last_values(_log(spark, d), ["user_id"], "ts", "event_type", F.col("ok"))
+    out = metrics.last_values(_log(spark, d), ["user_id"], "ts", "event_type", F.col("ok"), ("event_id",))
     return out.select("user_id", "last_value",
                       tf.format_ntz("last_attempt", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_attempt"),
                       tf.format_ntz("last_success", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_success"))
@@ -569,7 +790,8 @@ def last_run(spark, d):
 
 def run_summary(spark, d):
     log = _log(spark, d)
-    return metrics.run_summary(log, F.col("ok"), (F.col("event_type") == "purchase").cast("long"), "value")
+    out = metrics.run_summary(log, F.col("ok"), (F.col("event_type") == "purchase").cast("long"), "value")
+    return out.withColumns({c: F.round(c, 4) for c in ("total_duration", "avg_duration")})
 
 
 def job_counts(spark, d):
@@ -589,7 +811,9 @@ def check_suite(spark, d):
 
 
 def storage_health(spark, d):
-    return metrics.storage_health(_t(spark, d, "customer"), "customer")
+    there = metrics.storage_health(lambda: _t(spark, d, "customer"), spark, "customer")
+    gone = metrics.storage_health(lambda: _t(spark, d, "no_such_table"), spark, "no_such_table")
+    return there.unionByName(gone).drop("error")
 
 
 def quality_report(spark, d):
@@ -680,6 +904,29 @@ QUERIES = {
     "flatten_documents": flatten_documents,
     "merge_versions_documents": merge_versions_documents,
     "redact": redact_customer,
+    "pagination_chain": pagination_chain,
+    "extract_plain_selector": extract_plain_selector,
+    "run_result": run_result,
+    "run_rejected": run_rejected,
+    "run_all_targets": run_all_targets_results,
+    "run_all_failures": run_all_targets_failures,
+    "run_record": run_record,
+    "csv_append_union": csv_append_union,
+    "csv_dialect": csv_dialect,
+    "table_own_id": table_own_id,
+    "table_bad_json": table_bad_json,
+    "counts_and_clear": counts_and_clear,
+    "output_names": output_names,
+    "drop_empty": drop_empty,
+    "cleaning_stats_cleaned": cleaning_stats_cleaned,
+    "convert_large_and_unknown": convert_large_and_unknown,
+    "convert_json_whole": convert_json_whole,
+    "null_on_error": null_on_error,
+    "registry_functions": registry_functions,
+    "bad_urls": bad_urls,
+    "scrape_counters": scrape_counters,
+    "active_runs": active_runs,
+    "processed_at": processed_at,
     "search_eq": search_eq,
     "filter_field": filter_field,
     "newest_topk": newest_topk,

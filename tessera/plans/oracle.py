@@ -7,11 +7,19 @@ DuckDB take backslashes verbatim.
 
 from __future__ import annotations
 
-from tessera.functions.contacts import EMAIL_RE, PHONE_INTL_RE, PHONE_US_RE
-from tessera.functions.convert import FLOAT_RE, NONFINITE_RE
-from tessera.functions.text import CONTROL, WS
-from tessera.functions.web import NETLOC_RE
-from tessera.operators.validate import BOOL_WORDS, INT_RE
+# Patterns stated here from the definitions they check (white space as Python's str.strip
+# and \s have it; float() and int() texts; control characters; e-mails and telephone numbers).
+WS = r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+CONTROL = r"[\x{00}-\x{08}\x{0B}-\x{1F}]"
+_N = r"[0-9]+(_[0-9]+)*"
+INT_RE = rf"\A[{WS}]*[+-]?{_N}[{WS}]*\z"
+FLOAT_RE = rf"\A[{WS}]*[+-]?({_N}(\.({_N})?)?|\.{_N})([eE][+-]?{_N})?[{WS}]*\z"
+NONFINITE_RE = rf"(?i)\A[{WS}]*([+-]?)(inf|infinity|nan)[{WS}]*\z"
+BOOL_WORDS = ["1", "t", "true", "y", "yes", "on", "0", "f", "false", "n", "no", "off"]
+EMAIL_RE = r"(?i)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+PHONE_US_RE = rf"\+?1?[-.{WS}]?\(?[0-9]{{3}}\)?[-.{WS}]?[0-9]{{3}}[-.{WS}]?[0-9]{{4}}"
+PHONE_INTL_RE = rf"\+?[0-9]{{1,3}}[-.{WS}]?[0-9]{{3,4}}[-.{WS}]?[0-9]{{3,4}}[-.{WS}]?[0-9]{{4}}"
+NETLOC_RE = r"\A([A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 
 def _lit(s: str) -> str:
@@ -49,7 +57,7 @@ def netloc(e: str) -> str:
     deleted = _lit(r"[\x{09}\x{0A}\x{0D}]")
     leading = _lit(r"^[\x{00}-\x{20}]+")
     cleaned = f"regexp_replace(regexp_replace({e}, {deleted}, '', 'g'), {leading}, '')"
-    return f"regexp_extract({cleaned}, {_lit(NETLOC_RE)}, 1)"
+    return f"regexp_extract({cleaned}, {_lit(NETLOC_RE)}, 2)"
 
 
 def host_prefix(e: str) -> str:
@@ -295,6 +303,56 @@ UNION ALL SELECT doc_id, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents""",
 UNION ALL SELECT doc_id, 'x.y', '1' FROM documents UNION ALL SELECT doc_id, 'x.y', '2' FROM documents
 UNION ALL SELECT doc_id, 'a.t', text FROM documents WHERE doc_id % 3 <> 0
 UNION ALL SELECT doc_id, 'a', CASE WHEN doc_id % 2 = 0 THEN '{}' ELSE source END FROM documents WHERE doc_id % 3 = 0""",
+    "pagination_chain": """SELECT 'http://site.example/p/' || page_id AS url, CAST(page_id % 10 AS INTEGER) AS depth
+FROM pages p WHERE page_id % 10 < 5""",
+    "extract_plain_selector": "SELECT page_id, CAST(0 AS INTEGER) AS item_pos, 'on' AS text, 'on' AS self FROM pages",
+    "run_result": """SELECT page_id, CAST(0 AS INTEGER) AS item_pos, page_id AS num, 'http://h.example/a/r/' || page_id AS link,
+  'd' || page_id AS own, CASE WHEN page_id <> 3 THEN 12 / (page_id - 3) END AS ratio, CAST(NULL AS INTEGER) AS as_int
+FROM pages WHERE page_id % 5 <> 0 AND page_id % 7 <> 0""",
+    "run_rejected": """SELECT 'records' AS target_name, page_id, CAST(0 AS INTEGER) AS item_pos,
+  CASE WHEN page_id % 7 = 0 THEN 'extract' ELSE 'validate' END AS stage,
+  CASE WHEN page_id % 7 = 0 THEN 'item: ValueError: Invalid IPv6 URL' ELSE 'num:type_int' END AS reason
+FROM pages WHERE page_id % 5 = 0 OR page_id % 7 = 0""",
+    "run_all_targets": f"""SELECT 'records' AS target_name, page_id, CAST(0 AS INTEGER) AS item_pos, CAST(page_id AS VARCHAR) AS num,
+  CAST(NULL AS VARCHAR) AS title FROM pages WHERE page_id % 5 <> 0 AND page_id % 7 <> 0
+UNION ALL SELECT 'heads', page_id, 0, NULL, {cs(TITLE)} FROM pages""",
+    "run_all_failures": """SELECT 'records' AS target_name, 'extract' AS stage, count(*) AS n FROM pages WHERE page_id % 7 = 0
+UNION ALL SELECT 'records', 'validate', count(*) FROM pages WHERE page_id % 7 <> 0 AND page_id % 5 = 0
+UNION ALL SELECT 'wrong', 'spec', 1""",
+    "run_record": """WITH n AS (SELECT count_if(page_id % 7 <> 0) AS scraped, count_if(page_id % 7 = 0 OR page_id % 5 = 0) AS failed,
+  count_if(page_id % 7 <> 0 AND page_id % 5 <> 0) AS good FROM pages)
+SELECT r.run_id, 'records' AS target_name, 'success' AS status, scraped AS scraped_count, failed AS failed_count,
+  good AS processed_count, CASE WHEN r.run_id = 'r3' THEN 0 ELSE good END AS saved_count,
+  CASE WHEN r.run_id = 'r3' THEN 0 ELSE good END AS stored FROM n, (VALUES ('r1'), ('r2'), ('r3')) r(run_id)""",
+    "csv_append_union": """SELECT CAST(NULL AS VARCHAR) AS a, CAST(NULL AS DOUBLE) AS c_big, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+  CAST(NULL AS INTEGER) AS digits FROM customer, (VALUES (1), (2)) v(i)
+UNION ALL SELECT 'x', round(c_acctbal * 1e6, 2), CAST(c_custkey AS VARCHAR), NULL, len(CAST(c_acctbal * 1e6 AS VARCHAR)) FROM customer""",
+    "csv_dialect": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 'a;"b"; ' || o_orderpriority AS note FROM orders""",
+    "table_own_id": "SELECT c_custkey * 3 AS id, c_name, 't' AS target_name FROM customer",
+    "table_bad_json": """SELECT c_custkey, c_name, (SELECT count(*) FROM customer) AS stored FROM customer WHERE c_custkey % 4 <> 0""",
+    "counts_and_clear": """SELECT k.kind, count(*) AS stored, 0 AS after_clear FROM customer, (VALUES ('csv'), ('jsonl'), ('table')) k(kind)
+GROUP BY k.kind UNION ALL SELECT 'new table', 1, 0""",
+    "output_names": """SELECT c_mktsegment, count(*) AS n,
+  'out/target_name=' || c_mktsegment || '/run_id=r1/' || c_mktsegment || '_20240506_070809.csv' AS path FROM customer GROUP BY 1""",
+    "drop_empty": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 > 0",
+    "cleaning_stats_cleaned": f"""WITH n AS (SELECT count(*) AS n, count(DISTINCT {cs("'  ' || substr(text, 1, 1) || repeat(' ', CAST(doc_id % 3 AS INTEGER))")}) AS k FROM documents)
+SELECT n AS original_count, k AS cleaned_count, n - k AS removed_count, round((n - k) / n, 6) AS removal_rate FROM n""",
+    "convert_large_and_unknown": """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '0000000.5' AS big, o_orderstatus AS same FROM orders
+WHERE o_orderkey > 0 UNION ALL SELECT o_orderkey, '0.5', o_orderstatus FROM orders WHERE o_orderkey = 0""",
+    "convert_json_whole": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '[1]|[' || user_id || ']' ELSE CAST(user_id AS VARCHAR) END AS a,
+  CASE WHEN event_id % 2 = 1 THEN json_extract_string(props, '$.k') END AS k, event_id % 2 = 0 AS failed FROM events""",
+    "null_on_error": """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 2 THEN round(l_orderkey / (l_linenumber - 2), 6) END AS ratio,
+  CAST(NULL AS INTEGER) AS as_int, CASE WHEN l_linenumber <= 2 THEN CAST(l_linenumber AS INTEGER) END AS third FROM lineitem""",
+    "registry_functions": "SELECT doc_id, n_chars, n_chars * 2 AS twice, right(text, 3) AS tail FROM documents",
+    "bad_urls": """SELECT page_id, CASE page_id % 6 WHEN 0 THEN NULL WHEN 4 THEN 'other.example' ELSE '' END AS domain,
+  CASE page_id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'https://base.example/x/' || page_id WHEN 2 THEN 'https://base.example/x/y/z?q=' || page_id
+    WHEN 3 THEN 'https://base.example/x/y/a/' || page_id WHEN 4 THEN 'https://other.example/' || page_id
+    ELSE 'https://base.example/r/' || page_id END AS norm FROM pages""",
+    "scrape_counters": """SELECT event_type, count(*) AS scraped, count_if(event_type = 'purchase') AS saved,
+  count_if(event_type <> 'error') AS processed, count_if(event_type = 'error') AS failed FROM events GROUP BY 1""",
+    "active_runs": """WITH r AS (SELECT user_id, bool_or(event_type = 'click') AS b, bool_or(event_type = 'purchase') AS e FROM events GROUP BY 1)
+SELECT count_if(b AND NOT e) AS active_runs, count_if(NOT b AND NOT e) AS queue_size FROM r""",
+    "processed_at": "SELECT doc_id, true AS has_time FROM documents",
     "redact": """SELECT '***REDACTED***' AS c_custkey, c_name, '***REDACTED***' AS c_nationkey, c_acctbal, c_mktsegment,
   '***REDACTED***' AS api_token, c_mktsegment AS segment FROM customer""",
 
@@ -340,7 +398,7 @@ FROM (SELECT page_id, regexp_extract_all(html, '<div class="ad">([^<]*)</div>',
   count_if(value <= 10.0) AS le_10, count_if(value <= 25.0) AS le_25, count_if(value <= 50.0) AS le_50,
   count_if(value <= 100.0) AS le_100, count(value) AS le_inf, round(sum(value), 4) AS duration_sum,
   count(value) AS duration_count FROM events GROUP BY event_type""",
-    "last_run": f"""SELECT user_id, arg_max(event_type, ts) AS last_value, strftime(max(ts), {TS6}) AS last_attempt,
+    "last_run": f"""SELECT user_id, arg_max(event_type, row(ts, event_id)) AS last_value, strftime(max(ts), {TS6}) AS last_attempt,
   strftime(max(CASE WHEN event_type <> 'error' THEN ts END), {TS6}) AS last_success FROM events GROUP BY user_id""",
     "run_summary": """SELECT count_if(ok) AS completed, count_if(NOT ok) AS failed,
   CAST(sum(CASE WHEN ok THEN CAST(event_type = 'purchase' AS BIGINT) ELSE 0 END) AS BIGINT) AS total_saved,
@@ -359,7 +417,8 @@ UNION ALL SELECT 'orderkey_unique', c3, CASE WHEN c3 = 0 THEN 'healthy' ELSE 'un
 UNION ALL SELECT 'no_low_priority', c4, CASE WHEN c4 = 0 THEN 'healthy' ELSE 'unhealthy' END FROM a
 UNION ALL SELECT 'overall', c0 + c1 + c2 + c3 + c4,
   CASE WHEN c0 + c1 + c2 + c3 + c4 = 0 THEN 'healthy' ELSE 'unhealthy' END FROM a""",
-    "storage_health": "SELECT 'customer' AS storage, 'healthy' AS status, count(*) AS row_count FROM customer",
+    "storage_health": """SELECT 'customer' AS storage, 'healthy' AS status, count(*) AS row_count FROM customer
+UNION ALL SELECT 'no_such_table', 'unhealthy', NULL""",
     "quality_report": """SELECT count(*) AS rows,
   CAST(sum(CAST(doc_id IS NULL AS BIGINT) + CAST(text IS NULL AS BIGINT) + CAST(lang IS NULL AS BIGINT)
       + CAST(source IS NULL AS BIGINT) + CAST(n_chars IS NULL AS BIGINT)) AS BIGINT) AS null_cells,

@@ -14,34 +14,93 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.operators.clean import clean
-from tessera.operators.extract import extract_items, split_errors, with_provenance
+from tessera.operators.extract import (extract_items, extract_targets, parse_field_selector, split_errors,
+                                       with_provenance)
+from tessera.operators.htmltree import compile_selector
 from tessera.operators.transform import transform
-from tessera.sources.sinks import write_sink
+from tessera.operators.validate import ERRORS_COL
+from tessera.session import checkpoint_dir
+from tessera.sources.sinks import SINK_KINDS, write_sink
+
+
+# The parts of a spec and what they may hold.
+SPEC_KEYS = {"name", "extract", "provenance", "order_by", "cleaner", "transformer", "storage"}
+EXTRACT_KEYS = {"item_selector", "fields", "keep", "multi"}
+CLEANER_KEYS = {"remove_duplicates", "duplicate_keys", "handle_missing", "field_validation", "clean_before_dedupe",
+                "drop_empty_rows", "clean_strings"}
+TRANSFORMER_KEYS = {"field_mapping", "type_conversions", "custom_functions", "keep_raw"}
+STRATEGIES = {"drop", "default", "interpolate"}
+
+
+def spec_problems(spec: dict) -> list[str]:
+    """What is wrong with a spec, before anything runs."""
+    out = []
+
+    def known(part: str, keys: set) -> dict:
+        value = spec if not part else spec.get(part) or {}
+        if not isinstance(value, dict):
+            out.append(f"{part} must be a mapping")
+            return {}
+        out.extend(f"unknown key {part + '.' if part else ''}{k}" for k in value if k not in keys)
+        return value
+
+    known("", SPEC_KEYS)
+    if not spec.get("name"):
+        out.append("name is missing")
+    extract = known("extract", EXTRACT_KEYS)
+    fields = extract.get("fields")
+    if not isinstance(fields, dict) or not fields:
+        out.append("extract.fields must name at least one field")
+        fields = {}
+    for sel in [extract.get("item_selector"), *(parse_field_selector(f)[0] for f in fields.values())]:
+        try:
+            if sel:
+                compile_selector(sel)
+        except ValueError as e:
+            out.append(f"selector {sel!r}: {e}")
+    out.extend(f"extract.multi names no field: {k}" for k in extract.get("multi", ()) if k not in fields)
+    cleaner = known("cleaner", CLEANER_KEYS)
+    strategy = (cleaner.get("handle_missing") or {}).get("strategy", "default")
+    if strategy not in STRATEGIES:
+        out.append(f"unknown strategy {strategy!r}")
+    known("transformer", TRANSFORMER_KEYS)
+    storage = spec.get("storage") or {"type": "noop"}
+    if storage.get("type", "noop").lower() not in (*SINK_KINDS, "noop"):
+        out.append(f"Unsupported storage type: {storage.get('type')}")
+    elif storage.get("type", "noop") != "noop" and not storage.get("path"):
+        out.append("storage.path is missing")
+    return out
 
 
 def check_spec(df: DataFrame, spec: dict) -> None:
-    """Columns named in the spec must exist before anything runs."""
-    cols = set(df.columns)
-    cleaner = spec.get("cleaner") or {}
-    for k in cleaner.get("duplicate_keys") or []:
-        if k not in cols:
-            raise ValueError(f"duplicate key {k!r} not in {sorted(cols)}")
+    """The spec is well formed, and columns that it names exist, before anything runs."""
+    out, cols = spec_problems(spec), set(df.columns)
+    for what, names in (("duplicate key", (spec.get("cleaner") or {}).get("duplicate_keys") or []),
+                        ("order_by column", spec.get("order_by", ["page_id", "item_pos"]))):
+        out.extend(f"{what} {k!r} not in {sorted(cols)}" for k in names if k not in cols)
+    if out:
+        raise ValueError("; ".join(out))
 
 
 def build_plan(pages: DataFrame, spec: dict, run_id: str,
-               observations: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """(result, rejected) DataFrames for one target, both lazy. With
-    ``observations`` (name -> Observation) the extraction and validation steps
-    count their rows inside the same plan ('extract': extracted and failed items,
-    'validate': rejected rows)."""
+               observations: dict | None = None, items: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(result, rejected, errors) DataFrames for one target, all lazy: what passes, the
+    rows that validation rejects (None without validation) and the pages and items
+    whose extraction failed. With ``observations`` (name -> Observation) the extraction
+    and validation steps count their rows inside the same plan ('extract': extracted
+    and failed items, 'validate': rejected rows). ``items``: extracted rows at hand."""
+    problems = spec_problems(spec)
+    if problems:
+        raise ValueError("; ".join(problems))
     ex = spec["extract"]
-    items = extract_items(pages, ex.get("item_selector"), ex["fields"],
-                          keep=tuple(ex.get("keep", ("page_id",))), multi=tuple(ex.get("multi", ())))
+    if items is None:
+        items = extract_items(pages, ex.get("item_selector"), ex["fields"],
+                              keep=tuple(ex.get("keep", ("page_id",))), multi=tuple(ex.get("multi", ())))
     if observations and "extract" in observations:
         items = items.observe(observations["extract"],
                               F.count_if(F.col("_error").isNull()).alias("scraped"),
                               F.count_if(F.col("_error").isNotNull()).alias("extract_failed"))
-    good, bad = split_errors(items)
+    good, errors = split_errors(items)
     if spec.get("provenance", True):
         good = with_provenance(good, run_id, spec["name"])
     check_spec(good, spec)
@@ -49,12 +108,21 @@ def build_plan(pages: DataFrame, spec: dict, run_id: str,
     cleaner = spec.get("cleaner") or {}
     on_checked = None
     if observations and "validate" in observations and cleaner.get("field_validation"):
-        from tessera.operators.validate import ERRORS_COL
         on_checked = lambda df: df.observe(
             observations["validate"], F.count_if(F.size(ERRORS_COL) > 0).alias("rejected"))
     cleaned, rejected = clean(good, cleaner, order_by=order, on_checked=on_checked)
     result = transform(cleaned, spec.get("transformer") or {})
-    return result, (rejected if rejected is not None else bad)
+    return result, rejected, errors
+
+
+def failures(rejected: DataFrame | None, errors: DataFrame, target_name: str, keep: tuple = ("page_id",)) -> DataFrame:
+    """Rejected rows and extraction errors as one log: target_name, ``keep``, source_url,
+    item_pos, stage ('extract' or 'validate') and reason."""
+    place = [F.lit(target_name).alias("target_name"), *keep, "source_url", "item_pos"]
+    out = errors.select(*place, F.lit("extract").alias("stage"), F.col("_error").alias("reason"))
+    if rejected is not None:
+        out = out.unionByName(rejected.select(*place, F.lit("validate").alias("stage"), F.array_join(ERRORS_COL, ",").alias("reason")))
+    return out
 
 
 def plan_only(pages: DataFrame, spec: dict, run_id: str = "dry-run") -> DataFrame:
@@ -66,20 +134,24 @@ def run_target(pages: DataFrame, spec: dict, run_id: str | None = None,
                dry_run: bool = False) -> tuple[DataFrame, dict]:
     """Execute one run; returns (result DataFrame, run-log record). One action: the
     sink write (``noop`` for a dry run). Scraped, failed (extraction errors and
-    validation rejects, A4) and processed counts are observed during that action."""
+    validation rejects, A4) and processed counts are observed during that action.
+    ``storage`` takes the sink's own options; CSV and JSONL append to what earlier runs
+    have written unless it says ``mode: overwrite``."""
     run_id = run_id or f"run_{uuid.uuid4().hex[:12]}"
     start = time.time()
     obs = {"extract": Observation(f"extract_{run_id}"), "out": Observation(f"out_{run_id}")}
     if (spec.get("cleaner") or {}).get("field_validation"):
         obs["validate"] = Observation(f"validate_{run_id}")
-    result, _ = build_plan(pages, spec, run_id, obs)
-    observed = result.observe(obs["out"], F.count(F.lit(1)).alias("processed"))
-    storage = spec.get("storage") or {"type": "noop"}
-    kind = "noop" if dry_run else storage.get("type", "noop")
-    path = storage.get("path", "")
+    storage = dict(spec.get("storage") or {"type": "noop"})
+    kind = "noop" if dry_run else str(storage.pop("type", "noop")).lower()
+    storage.pop("type", None)
+    path = storage.pop("path", "")
+    if kind in ("csv", "jsonl"):
+        storage.setdefault("mode", "append")
+    result, status, err = None, "success", None
     try:
-        write_sink(observed, kind, path)
-        status, err = "success", None
+        result, _, _ = build_plan(pages, spec, run_id, obs)
+        write_sink(result.observe(obs["out"], F.count(F.lit(1)).alias("processed")), kind, path, **({} if kind == "noop" else storage))
     except Exception as e:  # failure record, never re-raised (reference contract)
         status, err = "failed", f"{type(e).__name__}: {e}"
     m = {}
@@ -88,13 +160,13 @@ def run_target(pages: DataFrame, spec: dict, run_id: str | None = None,
             m.update(o.get)
     processed = int(m.get("processed", 0))
     record = {
-        "run_id": run_id, "target_name": spec["name"], "status": status,
+        "run_id": run_id, "target_name": spec.get("name"), "status": status,
         "duration_s": round(time.time() - start, 3),
         "scraped_count": int(m.get("scraped", 0)),
         "failed_count": int(m.get("extract_failed", 0)) + int(m.get("rejected", 0)),
         "processed_count": processed,
-        "saved_count": 0 if dry_run or status != "success" else processed,
-        "output_path": None if dry_run else path, "dry_run": dry_run, "error": err,
+        "saved_count": 0 if kind == "noop" or status != "success" else processed,
+        "output_path": None if kind == "noop" else path, "dry_run": dry_run, "error": err,
     }
     return result, record
 
@@ -115,29 +187,40 @@ def append_run_log(spark, records: list[dict], path: str) -> None:
         .write.mode("append").parquet(path)
 
 
-def run_all_targets(pages: DataFrame, specs: list[dict], run_id: str = "all") -> DataFrame:
-    """The same run for several targets. Every page is parsed once for all
-    targets (``extract_targets``); the extracted rows are materialised once (reliable
-    checkpoint) and each target's clean/transform reads its own rows. Results are
-    stacked by name with a ``target_name`` column (``unionByName``, missing columns
-    null); per-target statistics are a ``groupBy('target_name')``."""
-    from tessera.operators.extract import extract_targets
-    from tessera.session import checkpoint_dir
+def _all_items(pages: DataFrame, specs: list[dict], keep: tuple) -> DataFrame:
+    """Extracted rows of all targets, errors included; every page is parsed once and the
+    rows are materialised once (reliable checkpoint)."""
     checkpoint_dir(pages.sparkSession)
-    keep = ("page_id",)
     targets = {s["name"]: {"item_selector": s["extract"].get("item_selector"),
                            "fields": s["extract"]["fields"], "multi": s["extract"].get("multi", ())}
                for s in specs}
-    items = extract_targets(pages, targets, keep=keep).checkpoint(eager=True)
-    good_all, _ = split_errors(items)
-    out = None
-    for spec in specs:
-        cols = list(keep) + ["source_url", "item_pos"] + list(spec["extract"]["fields"])
-        good = good_all.filter(F.col("target_name") == spec["name"]).select(*cols)
-        good = with_provenance(good, run_id, spec["name"])
-        check_spec(good, spec)
-        order = [F.col(c) for c in spec.get("order_by", ["page_id", "item_pos"])]
-        cleaned, _ = clean(good, spec.get("cleaner") or {}, order_by=order)
-        part = transform(cleaned, spec.get("transformer") or {})
+    return extract_targets(pages, targets, keep=keep).checkpoint(eager=True)
+
+
+def run_all_targets(pages: DataFrame, specs: list[dict], run_id: str = "all",
+                    keep: tuple = ("page_id",)) -> tuple[DataFrame, DataFrame]:
+    """The same run for several targets: (results, failures). Results are
+    stacked by name with a ``target_name`` column (missing columns null); failures are
+    the log of :func:`failures` for all targets. A target whose spec is wrong doesn't
+    stop the others: it has one failure row of stage 'spec'. Per-target statistics are a
+    ``groupBy('target_name')`` of either."""
+    sound = [s for s in specs if not spec_problems(s)]
+    items = _all_items(pages, sound, keep) if sound else None
+    out, log = None, None
+    log_schema = None
+    for spec in sound:
+        cols = [*keep, "source_url", "item_pos", *spec["extract"]["fields"], "_error"]
+        own = items.filter(F.col("target_name") == spec["name"]).select(*cols)
+        part, rejected, errors = build_plan(pages, spec, run_id, items=own)
+        failed = failures(rejected, errors, spec["name"], keep)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+        log = failed if log is None else log.unionByName(failed)
+        log_schema = log.schema
+    wrong = [(s.get("name"), "; ".join(spec_problems(s))) for s in specs if spec_problems(s)]
+    if wrong and log is not None:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in log_schema.fields if f.name not in ("target_name", "stage", "reason")]
+        log = log.unionByName(pages.sparkSession.createDataFrame(wrong, "target_name string, reason string").select(
+            "target_name", *nothing, F.lit("spec").alias("stage"), "reason"))
+    if out is None:
+        raise ValueError("; ".join(f"{n}: {r}" for n, r in wrong) or "no targets")
+    return out, log

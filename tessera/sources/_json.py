@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.convert import py_double
+
 
 def _quote(s: Column) -> Column:
     # to_json of a one-element array gives the JSON string literal between brackets
@@ -24,7 +26,7 @@ def py_json(c: Column, dtype: T.DataType) -> Column:
         body = c.cast("string")
     elif isinstance(dtype, T.FractionalType):
         body = F.when(F.isnan(c), "NaN").when(c == float("inf"), "Infinity").when(
-            c == float("-inf"), "-Infinity").otherwise(c.cast("string"))
+            c == float("-inf"), "-Infinity").otherwise(py_double(c.cast("string").cast("double")))
     elif isinstance(dtype, T.ArrayType):
         inner = F.array_join(F.transform(c, lambda x: F.coalesce(py_json(x, dtype.elementType), F.lit("null"))), ", ")
         body = F.concat(F.lit("["), inner, F.lit("]"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.convert import py_double
 from tessera.sources._json import py_json
 
 
@@ -16,35 +19,70 @@ def csv_cell(c: Column, dtype: T.DataType) -> Column:
         return py_json(c, dtype)
     if isinstance(dtype, T.BooleanType):
         return F.when(c.isNull(), F.lit(None).cast("string")).when(c, "True").otherwise("False")
+    if isinstance(dtype, T.DoubleType):
+        return py_double(c)
     return c.cast("string")
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """``path`` and its sub-folders of files with other columns (hidden from plain reads
+    by their underscore)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p) or fs.getFileStatus(p).isFile():
+        return [path]
+    more = [str(x.getPath()) for x in fs.listStatus(p) if x.isDirectory() and x.getPath().getName().startswith("_columns-")]
+    return [path, *sorted(more)]
+
+
+def _reader(spark: SparkSession, delimiter: str, encoding: str, multiline: bool):
+    # enforceSchema off: a file whose header differs from the first one's fails the read
+    return (spark.read.option("header", "true").option("sep", delimiter).option("multiLine", str(multiline).lower())
+            .option("quote", '"').option("escape", '"').option("encoding", encoding)
+            .option("inferSchema", "false").option("emptyValue", "").option("enforceSchema", "false"))
+
+
 def write_csv(df: DataFrame, path: str, *, delimiter: str = ",", quote_all: bool = True,
               encoding: str = "utf-8", header: bool = True, mode: str = "overwrite") -> str:
     """Columns in sorted order, every cell text, quote character doubled.
-    ``mode`` 'append' adds files next to the existing ones; each file carries its
-    own header, so appends with other columns stay aligned (D16)."""
+    ``mode`` 'append' adds files; files with other columns than the first ones go to a
+    sub-folder for those columns, so that every folder has one header (D16)."""
+    spark = df.sparkSession
     cols = sorted(df.columns)
     out = df.select(*[csv_cell(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in cols])
+    to = path
+    fs, p = _fs(spark, path)
+    if mode == "append" and header and fs.exists(p) and any(
+            x.isFile() and not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(p)):
+        if _reader(spark, delimiter, encoding, False).csv(path).columns != cols:
+            to = f"{path.rstrip('/')}/_columns-{hashlib.md5(repr(cols).encode()).hexdigest()[:12]}"
     (out.write.mode(mode)
         .option("header", str(header).lower()).option("sep", delimiter)
         .option("quoteAll", str(quote_all).lower()).option("quote", '"').option("escape", '"')
         .option("emptyValue", "").option("nullValue", "").option("encoding", encoding)
-        .csv(path))
+        .csv(to))
     return path
 
 
 def read_csv(spark: SparkSession, path: str, *, delimiter: str = ",", encoding: str = "utf-8",
-             limit: int | None = None, revive_json: bool = False) -> DataFrame:
-    """S3: every column a string; empty cells (written for nulls) read back as ''. With
-    ``revive_json`` cells starting with '{' or '[' become VARIANT values when they
-    parse (``try_parse_json``), the other cells VARIANT strings."""
-    df = (spark.read.option("header", "true").option("sep", delimiter).option("multiLine", "true")
-          .option("quote", '"').option("escape", '"').option("encoding", encoding)
-          .option("inferSchema", "false").option("emptyValue", "")
-          .csv(path))
-    # CSV keeps no null: an empty cell reads back as '' (as the reference does)
-    df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+             limit: int | None = None, revive_json: bool = False, multiline: bool = False) -> DataFrame:
+    """S3: every column a string; empty cells (written for nulls) read back as ''.
+    Files of other columns appended by ``write_csv`` are read by their own header and
+    stacked by name (null where a file lacks the column); foreign files that disagree
+    with the first header fail the read instead of shifting. ``multiline`` is for cells
+    that hold line breaks; it makes a file one task's work. With ``revive_json`` cells
+    starting with '{' or '[' become VARIANT values when they parse
+    (``try_parse_json``), the other cells VARIANT strings."""
+    df = None
+    for folder in _folders(spark, path):
+        part = _reader(spark, delimiter, encoding, multiline).csv(folder)
+        # CSV keeps no null: an empty cell reads back as '' (as the reference does)
+        part = part.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in part.columns])
+        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
     if revive_json:
         def revive(c):
             starts = c.startswith("{") | c.startswith("[")
@@ -55,6 +93,6 @@ def read_csv(spark: SparkSession, path: str, *, delimiter: str = ",", encoding:
     return df.limit(limit) if limit else df
 
 
-def count_csv(spark: SparkSession, path: str) -> int:
-    """S4 (D17): number of records, not physical lines."""
-    return read_csv(spark, path).count()
+def count_csv(spark: SparkSession, path: str, **how) -> int:
+    """S4 (D17): number of records, not physical lines (``how`` as for ``read_csv``)."""
+    return read_csv(spark, path, **how).count()

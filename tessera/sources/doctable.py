@@ -1,119 +1,111 @@
-"""Document table (S9-S13): rows stored as JSON text beside copied hot columns,
-partitioned by ``target_name`` so target filters prune folders (Q5, S16)."""
+"""Document table (S9-S13): rows stored as JSON text beside copied hot columns, in one
+folder for each batch, within it partitioned by ``target_name`` so that target filters
+prune folders (Q5, S16)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DOC_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
+DOC_FIELDS = [
+    T.StructField("seq", T.LongType()),
     T.StructField("data", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
     T.StructField("run_id", T.StringType()),
-    T.StructField("target_name", T.StringType()),
-])
+]
+PARTITIONS = [T.StructField("batch", T.StringType()), T.StructField("target_name", T.StringType())]
+_BAD = "_bad_json"
 
 
 class DocumentTable:
-    """Append-only table with one writer at a time (ids continue from the ranges
-    recorded by earlier writes)."""
+    """Append-only table. ``hot`` declares item fields that are stored beside the JSON
+    with their types, so that filters on them reach the files."""
+
+    def __init__(self, spark: SparkSession, path: str, hot: T.StructType | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.hot = list(hot.fields) if hot else []
+        self.schema = T.StructType([*DOC_FIELDS, *[T.StructField(f"hot_{f.name}", f.dataType) for f in self.hot], *PARTITIONS])
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def exists(self) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, p = self._fs(self.path)
         return fs.exists(p)
 
     def create_if_absent(self) -> None:
-        """An empty table with the fixed schema."""
-        if not self.exists():
-            (self.spark.createDataFrame([], DOC_SCHEMA).write.mode("overwrite")
-             .partitionBy("target_name").parquet(self.path))
-
-    @property
-    def _ids_path(self) -> str:
-        # '_'-prefixed folders are hidden from reads of the table itself
-        return self.path.rstrip("/") + "/_id_ranges"
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
-
-    def _next_id(self) -> int:
-        """First free id. Every write records its highest id in a tiny side table, so
-        this reads one row per earlier write instead of scanning the id column; a
-        table written without it falls back to max(id) (column-pruned)."""
-        if not self.exists():
-            return 0
-        src = (self.spark.read.parquet(self._ids_path) if self._exists(self._ids_path)
-               else self.table().select(F.col("id").alias("max_id")))
-        m = src.agg(F.max("max_id")).first()[0]
-        return 0 if m is None else int(m) + 1
-
-    def _has_batch(self, batch_key: str) -> bool:
-        if not self._exists(self._ids_path):
-            return False
-        return not self.spark.read.parquet(self._ids_path).filter(F.col("batch_key") == batch_key).isEmpty()
+        """An empty table."""
+        fs, p = self._fs(self.path)
+        fs.mkdirs(p)
 
     def save(self, df: DataFrame, run_id: str | None = None, target_name: str | None = None,
              batch_key: str | None = None) -> str:
         """Each row -> JSON text in ``data``; ``run_id``/``target_name`` copied
         from the row (or the arguments), ``created_at`` = write time; appended.
-        With ``batch_key`` (a streaming micro-batch) a key already stored is skipped,
-        so a replayed batch does not add its rows twice."""
-        if batch_key is not None and self._has_batch(batch_key):
-            return self.path          # a replayed micro-batch: already stored
+
+        A batch is written to a hidden folder, which then gets its name by one rename:
+        it is there as a whole or not at all. A ``batch_key`` (such as that of a
+        streaming micro-batch) that is already stored is skipped, so a replayed batch
+        does not add its rows twice."""
+        key = batch_key or uuid.uuid4().hex
+        name = "".join(c if c.isalnum() else f"~{ord(c):x}" for c in key)
+        done, to = self._fs(f"{self.path}/batch={name}")
+        if done.exists(to):
+            return self.path
         cols = [F.col(f"`{c}`") for c in df.columns]
         run = F.col("run_id") if "run_id" in df.columns else F.lit(run_id)
         target = F.col("target_name") if "target_name" in df.columns else F.lit(target_name)
-        offset = self._next_id()
+        hot = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f"hot_{f.name}")
+               for f in self.hot]
         out = df.select(
-            (F.monotonically_increasing_id() + F.lit(offset)).alias("id"),
+            F.monotonically_increasing_id().alias("seq"),
             F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("data"),
             F.current_timestamp().alias("created_at"),
-            run.cast("string").alias("run_id"),
+            run.cast("string").alias("run_id"), *hot,
             target.cast("string").alias("target_name"))
-        obs = Observation(f"doctable_{id(out)}")
-        out = out.observe(obs, F.max("id").alias("max_id"), F.count(F.lit(1)).alias("n"))
-        out.write.mode("append").partitionBy("target_name").parquet(self.path)
-        m = obs.get
-        if m.get("n"):
-            (self.spark.createDataFrame([(int(m["max_id"]), batch_key)], "max_id long, batch_key string")
-             .write.mode("append").parquet(self._ids_path))
+        staged = f"{self.path}/_staged-{uuid.uuid4().hex}"
+        # few files for each target, a large target split among tasks
+        out.hint("rebalance", "target_name").write.partitionBy("target_name").parquet(staged)
+        if not done.rename(self._fs(staged)[1], to) and not done.exists(to):
+            raise IOError(f"batch {key!r} could not be given its place in {self.path}")
         return self.path
 
     def table(self) -> DataFrame:
         if not self.exists():
-            return self.spark.createDataFrame([], DOC_SCHEMA)
-        return self.spark.read.schema(DOC_SCHEMA).parquet(self.path)
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def load(self, schema=None, limit: int | None = None, target_name: str | None = None,
-             ordered: bool = False) -> DataFrame:
-        """Newest first (id breaks ties, D25); rows whose JSON does not parse are
-        skipped. With ``schema`` the JSON becomes typed columns, else one VARIANT.
-        A limit reads the newest rows (per-task top-k, no full sort); without one the
-        rows come unordered unless ``ordered=True`` asks for the global sort."""
+             ordered: bool = False, where: dict | None = None) -> DataFrame:
+        """Newest first (``_id``, the batch and the row's number in it, breaks ties,
+        D25); rows whose JSON does not parse are skipped. With ``schema`` the JSON
+        becomes typed columns, the item's own ``id`` among them, else one VARIANT.
+        ``where`` (field -> value) compares hot columns. A limit reads the newest rows
+        (per-task top-k, no full sort); without one the rows come unordered unless
+        ``ordered=True`` asks for the global sort."""
         t = self.table()
         if target_name is not None:
             t = t.filter(F.col("target_name") == target_name)
+        for name, value in (where or {}).items():
+            t = t.filter(F.col(f"hot_{name}") == value)
         if limit or ordered:
-            t = t.orderBy(F.col("created_at").desc(), F.col("id").desc())
+            t = t.orderBy(F.col("created_at").desc(), F.col("batch").desc(), F.col("seq").desc())
         if limit:
             t = t.limit(limit)
+        t = t.withColumn("_id", F.concat_ws("-", "batch", F.col("seq").cast("string"))).drop("batch", "seq", *[f"hot_{f.name}" for f in self.hot])
         if schema is None:
             parsed = t.withColumn("value", F.try_parse_json("data")).filter(F.col("value").isNotNull())
             return parsed.drop("data")
-        parsed = t.withColumn("_doc", F.from_json("data", schema))
-        parsed = parsed.filter(F.col("_doc").isNotNull())
-        meta = ["id", "created_at", "run_id", "target_name"]
-        fields = [F.col("_doc").getField(f.name).alias(f.name) for f in schema.fields if f.name not in meta]
-        return parsed.select(*fields, *meta)
+        full = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+        parsed = t.withColumn("_doc", F.from_json("data", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}))
+        parsed = parsed.filter(F.col("_doc").isNotNull() & F.col(f"_doc.{_BAD}").isNull())
+        fields = [F.col("_doc").getField(f.name).alias(f.name) for f in schema.fields]
+        own = {f.name for f in schema.fields}
+        return parsed.select(*fields, *[c for c in ("_id", "created_at", "run_id", "target_name") if c not in own])
 
     def count(self) -> int:
         """S12."""
@@ -121,5 +113,6 @@ class DocumentTable:
 
     def clear(self) -> None:
         """Truncate to the empty table."""
-        (self.spark.createDataFrame([], DOC_SCHEMA).write.mode("overwrite")
-         .partitionBy("target_name").parquet(self.path))
+        fs, p = self._fs(self.path)
+        fs.delete(p, True)
+        fs.mkdirs(p)

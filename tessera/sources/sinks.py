@@ -48,7 +48,7 @@ def export(spark: SparkSession, table_path: str, fmt: str, out_path: str, schema
     src = DocumentTable(spark, table_path)
     df = src.load(schema=schema, target_name=target)
     if fmt == "table":
-        return DocumentTable(spark, out_path).save(df.drop("id", "created_at"))
+        return DocumentTable(spark, out_path).save(df.drop("_id", "created_at"))
     return write_sink(df, fmt, out_path)
 
 

@@ -1,5 +1,6 @@
-"""Cleaning (C1-C12) on the reference's cleaner fixtures."""
+"""Cleaning (C1-C12) on rows of a tool shed's stock list."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.clean import (clean, clean_strings, cleaning_stats, drop_empty_rows, drop_missing,
@@ -8,102 +9,102 @@ from tessera.operators.dedupe import dedupe_first, with_input_order
 from tessera.operators.validate import error_counts, validate
 from tests.conftest import rows
 
-ITEMS = [
-    (0, "Hello World", "John Doe", ["test"], 30),
-    (1, "  Hello   World  ", None, [], 25),
-    (2, "Hello World", "John Doe", ["test"], 30),
-    (3, "", "Jane Smith", None, 35),
-    (4, "Another quote", "Bob", ["inspiration"], 40),
+SCHEMA = "line int, tool string, shelf string, uses array<string>, grams int"
+STOCK = [
+    (10, "plane", "B2", ["wood"], 1450),
+    (11, " brace   and  bit ", "A1", ["wood", "holes"], 900),
+    (12, "plane", "B2", ["finish"], 1500),          # the same tool and shelf again
+    (13, None, "C9", None, 20),
+    (14, "", "C9", [], None),
+    (15, "rasp", None, ["wood"], 310),
+    (16, "rasp", None, ["horn"], 311),              # equal with a null in the key
 ]
-SCHEMA = "pos int, text string, author string, tags array<string>, age int"
-BASIC = {"remove_duplicates": True, "duplicate_keys": ["text", "author"],
-         "handle_missing": {"strategy": "default",
-                            "default_values": {"text": "N/A", "author": "Unknown", "tags": []}}}
+SPEC = {"remove_duplicates": True, "duplicate_keys": ["tool", "shelf"],
+        "handle_missing": {"strategy": "default", "default_values": {"tool": "unnamed", "shelf": "floor"}}}
 
 
-def items(spark):
-    return spark.createDataFrame(ITEMS, SCHEMA)
+def stock(spark):
+    return spark.createDataFrame(STOCK, SCHEMA)
 
 
-def test_clean_basic(spark):
-    good, rejected = clean(items(spark), BASIC, order_by="pos")
-    out = rows(good.orderBy("pos"))
-    assert len(out) == 4 and rejected is None
-    assert all(r["author"] is not None and r["tags"] is not None for r in out)
-    assert next(r for r in out if r["age"] == 25)["text"] == "Hello World"
-    assert next(r for r in out if r["age"] == 35)["text"] == "N/A"
+def test_chain_fills_then_dedupes_then_cleans(spark):
+    good, rejected = clean(stock(spark), SPEC, order_by="line")
+    got = {r["line"]: (r["tool"], r["shelf"]) for r in rows(good)}
+    assert got == {10: ("plane", "B2"), 11: ("brace and bit", "A1"), 13: ("unnamed", "C9"), 15: ("rasp", "floor")}
+    assert rejected is None
 
 
-def test_dedupe_first_wins(spark):
-    df = spark.createDataFrame([(1, "John", "a"), (2, "Jane", "b"), (1, "John", "c"), (3, "Bob", "d")],
-                               "id int, name string, tag string")
-    out = dedupe_first(with_input_order(df), ["id", "name"], "_row_order")
-    assert sorted((r["name"], r["tag"]) for r in rows(out)) == [("Bob", "d"), ("Jane", "b"), ("John", "a")]
+def test_first_line_wins_whatever_the_row_order(spark):
+    df = stock(spark).orderBy(F.desc("line"))
+    kept = {r["line"] for r in rows(dedupe_first(df, ["tool", "shelf"], "line"))}
+    assert kept == {10, 11, 13, 14, 15}
+    numbered = with_input_order(spark.createDataFrame([("saw", 2), ("saw", 1), ("axe", 3)], "t string, n int").coalesce(1))
+    assert sorted((r["t"], r["n"]) for r in rows(dedupe_first(numbered, ["t"], "_row_order"))) == [("axe", 3), ("saw", 2)]
 
 
-def test_dedupe_null_keys_and_absent_key(spark):
-    df = spark.createDataFrame([(0, None), (1, None), (2, "x")], "pos int, k string")
-    assert dedupe_first(df, ["k"], "pos").count() == 2
-    assert dedupe_first(df, ["k", "absent"], "pos").count() == 2
+def test_a_key_column_that_is_not_there_counts_as_null(spark):
+    assert dedupe_first(stock(spark), ["shelf", "row"], "line").count() == dedupe_first(stock(spark), ["shelf"], "line").count() == 4
 
 
-def test_drop_missing(spark):
-    out = drop_missing(items(spark), ["text", "author"])
-    assert sorted(r["pos"] for r in rows(out)) == [0, 2, 4]
-    assert handle_missing(items(spark), {"strategy": "drop"}, {"text": {"required": True}}).count() == 4
+def test_dropping_needs_a_value_in_every_required_field(spark):
+    assert sorted(r["line"] for r in rows(drop_missing(stock(spark), ["tool", "shelf"]))) == [10, 11, 12]
+    rules = {"grams": {"required": True}, "shelf": {"required": False}}
+    assert sorted(r["line"] for r in rows(handle_missing(stock(spark), {"strategy": "drop"}, rules))) == [10, 11, 12, 13, 15, 16]
+    assert handle_missing(stock(spark), {"strategy": "guess"}).count() == 7
 
 
-def test_fill_defaults(spark):
-    out = fill_missing(items(spark), {"text": "Default text", "author": "Unknown Author", "tags": ["default"],
-                                      "extra": "x"})
-    got = {r["pos"]: r for r in rows(out)}
-    assert got[1]["author"] == "Unknown Author" and got[3]["text"] == "Default text"
-    assert got[3]["tags"] == ["default"] and got[1]["tags"] == []        # [] is kept, not missing
-    assert all(r["extra"] == "x" for r in got.values())
-    assert interpolate_missing(items(spark), {"text": "Interpolated"}).count() == 5
+def test_defaults_fill_nulls_and_empty_texts_but_not_empty_lists(spark):
+    out = {r["line"]: r for r in rows(fill_missing(stock(spark), {"tool": "?", "uses": ["any"], "bought": "1999"}))}
+    assert (out[13]["tool"], out[14]["tool"], out[10]["tool"]) == ("?", "?", "plane")
+    assert out[13]["uses"] == ["any"] and out[14]["uses"] == []
+    assert {r["bought"] for r in out.values()} == {"1999"}
+    assert {r["line"] for r in rows(interpolate_missing(stock(spark), {"tool": "?"}))} == set(out)
 
 
-def test_interpolate_ffill(spark):
-    df = spark.createDataFrame([("a", 1, 10.0), ("a", 2, None), ("b", 1, None), ("b", 2, 5.0)], "g string, t int, v double")
-    out = interpolate_missing(df, {"v": 0.0}, method="ffill", partition_by=["g"], order_by="t")
-    assert {(r["g"], r["t"]): r["v"] for r in rows(out)} == {("a", 1): 10.0, ("a", 2): 10.0, ("b", 1): 0.0, ("b", 2): 5.0}
+def test_forward_fill(spark):
+    gauge = [("north", 1, 4.5), ("north", 2, None), ("north", 3, None), ("north", 4, 6.0), ("south", 1, None), ("south", 2, 7.25)]
+    df = spark.createDataFrame(gauge, "site string, hour int, level double")
+    out = interpolate_missing(df, {"level": -1.0}, method="ffill", partition_by=["site"], order_by="hour")
+    assert [r["level"] for r in rows(out.orderBy("site", "hour"))] == [4.5, 4.5, 4.5, 6.0, -1.0, 7.25]
+    with pytest.raises(ValueError):                 # never skipped in silence
+        interpolate_missing(df, {"level": -1.0}, method="ffill")
 
 
-def test_clean_strings_keeps_other_types(spark):
-    df = spark.createDataFrame([("  Complex\n\ttext  ", ["tag1", None, " tag2 "], {"source": "test"}, 42, "", None)],
-                               "text string, tags array<string>, metadata map<string,string>, number int, "
-                               "empty_string string, none_value string")
+def test_strings_are_cleaned_in_texts_and_lists_alone(spark):
+    df = spark.createDataFrame([("\t tin   snips\x07 ", [" a  b", None, ""], {"k": " raw "}, 3, " ", None)],
+                               "t string, l array<string>, m map<string,string>, n int, blank string, nothing string")
     r = rows(clean_strings(df))[0]
-    assert r["text"] == "Complex\n\ttext" and r["tags"] == ["tag1", None, "tag2"]
-    assert r["metadata"] == {"source": "test"} and r["number"] == 42
-    assert r["empty_string"] == "" and r["none_value"] is None
+    assert (r["t"], r["l"], r["m"], r["n"], r["blank"], r["nothing"]) == ("tin snips", ["a b", None, ""], {"k": " raw "}, 3, "", None)
 
 
-def test_validate_intended(spark):
-    df = spark.createDataFrame([("Valid", "25"), ("Also valid", "30"), (None, "25"), ("Bad age", "3.5")],
-                               "text string, age string")
-    rules = {"text": {"required": True, "type": "string"}, "age": {"required": False, "type": "int"}}
+def test_validation_splits_rows_and_counts_reasons(spark):
+    df = spark.createDataFrame([("drill", "7", "on"), ("lathe", "7.5", "off"), (None, "8", "perhaps"), ("vice", None, None)],
+                               "tool string, size string, ready string")
+    rules = {"tool": {"required": True, "type": "string"}, "size": {"type": "int"}, "ready": {"type": "bool"}}
     good, bad = validate(df, rules)
-    assert sorted(r["text"] for r in rows(good)) == ["Also valid", "Valid"]
-    assert sorted(tuple(r["_errors"]) for r in rows(bad)) == [("age:type_int",), ("text:missing",)]
+    assert sorted(r["tool"] for r in rows(good)) == ["drill", "vice"]
+    assert sorted(tuple(r["_errors"]) for r in rows(bad)) == [("size:type_int",), ("tool:missing", "ready:type_bool")]
     counts = {(r["field"], r["reason"]): r["failures"] for r in rows(error_counts(df, rules))}
-    assert counts == {("age", "type_int"): 1, ("text", "missing"): 1, ("*", "rejected_rows"): 2}
+    assert counts[("*", "rejected_rows")] == 2 and counts[("ready", "type_bool")] == 1
 
 
-def test_cleaning_stats(spark):
-    r = rows(cleaning_stats(items(spark), BASIC, "pos"))[0]
-    assert r == {"original_count": 5, "cleaned_count": 4, "removed_count": 1, "removal_rate": 0.2}
-    empty = spark.createDataFrame([], SCHEMA)
-    assert rows(cleaning_stats(empty, BASIC, "pos"))[0]["removal_rate"] == 0.0
+@pytest.mark.parametrize("extra", [{}, {"clean_before_dedupe": True}, {"field_validation": {"grams": {"required": True}}},
+                                   {"handle_missing": {"strategy": "drop"}, "field_validation": {"shelf": {"required": True}}},
+                                   {"drop_empty_rows": True}, {"clean_before_dedupe": True, "field_validation": {"tool": {"required": True, "type": "string"}}}])
+def test_statistics_say_what_clean_does(spark, extra):
+    more = spark.createDataFrame([(17, "  plane ", "B2", None, 5), (18, "rasp  ", None, None, None)], SCHEMA)
+    df, spec = stock(spark).unionByName(more), {**SPEC, **extra}
+    n = clean(df, spec, order_by="line")[0].count()
+    r = rows(cleaning_stats(df, spec, "line"))[0]
+    assert (r["original_count"], r["cleaned_count"], r["removed_count"]) == (9, n, 9 - n)
+    assert r["removal_rate"] == pytest.approx((9 - n) / 9)
 
 
-def test_drop_empty_rows(spark):
-    df = spark.createDataFrame([(None, None), ("a", None)], "a string, b string")
-    assert drop_empty_rows(df).count() == 1
+def test_statistics_of_nothing(spark):
+    assert rows(cleaning_stats(stock(spark).limit(0), SPEC, "line"))[0]["removal_rate"] == 0.0
 
 
-def test_clean_before_dedupe_option(spark):
-    df = spark.createDataFrame([(0, "a"), (1, " a ")], "pos int, t string")
-    spec = {"remove_duplicates": True, "duplicate_keys": ["t"]}
-    assert clean(df, spec, "pos")[0].count() == 2                      # as coded: dedupe first
-    assert clean(df, {**spec, "clean_before_dedupe": True}, "pos")[0].count() == 1
+def test_rows_without_any_value(spark):
+    df = spark.createDataFrame([(1, None, None), (2, None, "x"), (3, "y", None)], "id int, a string, b string")
+    assert sorted(r["id"] for r in rows(drop_empty_rows(df, ignore=["id"]))) == [2, 3]
+    assert drop_empty_rows(df).count() == 3

@@ -2,8 +2,11 @@
 
 import json
 import os
+import re
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import scratch_path
 from tessera.sources import (DocumentTable, backup, count_csv, count_jsonl, output_path, read_csv, read_jsonl,
@@ -20,19 +23,19 @@ def items(spark):
 
 def test_csv_roundtrip_and_cells(spark):
     path = write_csv(items(spark), scratch_path(spark, "t_csv"))
-    back = read_csv(spark, path)
+    back = read_csv(spark, path, multiline=True)
     assert back.columns == ["active", "age", "name", "run_id", "tags"]      # sorted union
     got = {r["name"]: r for r in rows(back)}
     assert got["Bob, \"Jr\""]["tags"] == "[]" and got["Ann"]["tags"] == '["a", "b"]'
     assert got["Ann"]["active"] == "True" and got["Cé\nline"]["age"] == ""
-    assert count_csv(spark, path) == 3
+    assert count_csv(spark, path, multiline=True) == 3
     text = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.endswith(".csv"))
     assert '"Bob, ""Jr"""' in text
 
 
 def test_csv_revive_json(spark):
     path = write_csv(items(spark), scratch_path(spark, "t_csv2"))
-    back = read_csv(spark, path, revive_json=True)
+    back = read_csv(spark, path, revive_json=True, multiline=True)
     r = {x["name"]: x for x in back.select(F.variant_get("name", "$", "string").alias("name"),
                                           F.try_variant_get("tags", "$", "array<string>").alias("tags")).collect()}
     assert r["Ann"]["tags"] == ["a", "b"]
@@ -64,9 +67,8 @@ def test_document_table(spark):
     t.save(items(spark), target_name="people")
     t.save(items(spark).limit(1).withColumn("name", F.lit("Zed")), target_name="people")
     assert t.count() == 4
-    ids = [r["id"] for r in t.table().collect()]
+    ids = [r["_id"] for r in t.load(items(spark).schema).collect()]
     assert len(set(ids)) == 4                                        # unique across writes
-    assert os.path.isdir(os.path.join(path, "_id_ranges"))           # no id-column scan per write
     newest = rows(t.load(items(spark).schema, limit=1))[0]
     assert newest["name"] == "Zed" and newest["target_name"] == "people"
     assert t.load(items(spark).schema, target_name="people").count() == 4
@@ -121,10 +123,41 @@ def test_csv_dialect_options(spark):
     assert '"a;b"' in text and '"say ""hi"""' in text and "1;" in text      # minimal quoting
     back = read_csv(spark, path, delimiter=";")
     assert sorted(r["t"] for r in back.collect()) == ["a;b", 'say "hi"']
-    # append keeps one header per file and the union of columns stays aligned
-    more = spark.createDataFrame([(3, "x", "extra")], "n int, t string, z string")
+    # appended files of other columns are read by their own header
+    more = spark.createDataFrame([("extra", 3, "x")], "a string, n int, t string")
     write_csv(more, path, delimiter=";", quote_all=False, mode="append")
-    assert read_csv(spark, path, delimiter=";").count() >= 3
+    write_csv(df, path, delimiter=";", quote_all=False, mode="append")
+    back = read_csv(spark, path, delimiter=";").collect()
+    assert sorted((r["n"], r["t"], r["a"] or "") for r in back) == [
+        ("1", "a;b", ""), ("1", "a;b", ""), ("2", 'say "hi"', ""), ("2", 'say "hi"', ""), ("3", "x", "extra")]
+    with open(os.path.join(path, "foreign.csv"), "w") as fh:
+        fh.write("t;n\nz;9\n")
+    with pytest.raises(Exception):                  # never a silent shift
+        read_csv(spark, path, delimiter=";").collect()
+
+
+def test_csv_line_breaks_and_numbers(spark):
+    df = spark.createDataFrame([("a\nb", 12345678.0, 1.5e-5), ("c", 1e16, -0.0)], "t string, x double, y double")
+    path = write_csv(df, scratch_path(spark, "t_lines"))
+    back = read_csv(spark, path, multiline=True).collect()
+    assert sorted((r["t"], r["x"], r["y"]) for r in back) == [("a\nb", "12345678.0", "1.5e-05"), ("c", "1e+16", "-0.0")]
+    assert count_csv(spark, path, multiline=True) == 2
+
+
+def test_table_keeps_ids_drops_bad_json_and_filters_hot_columns(spark):
+    path = scratch_path(spark, "t_ids")
+    hot = T.StructType([T.StructField("age", T.IntegerType())])
+    t = DocumentTable(spark, path, hot)
+    df = spark.createDataFrame([(77, "Ann", 3), (78, "Bo", 4)], "id long, name string, age int")
+    t.save(df, target_name="p", batch_key="first")
+    t.save(df, target_name="p", batch_key="first")
+    bad = t.table().where("hot_age = 3").withColumn("data", F.lit('{"id": 1, "name"'))
+    bad.drop("batch").write.partitionBy("target_name").parquet(path + "/batch=bad")
+    assert sorted((r["id"], r["name"]) for r in t.load(df.schema).collect()) == [(77, "Ann"), (78, "Bo")]
+    assert t.count() == 3
+    some = t.load(df.schema, where={"age": 4})
+    assert [r["id"] for r in some.collect()] == [78]
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(hot_age,4\)", some._jdf.queryExecution().executedPlan().toString())
 
 
 def test_jsonl_rejects(spark):

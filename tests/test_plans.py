@@ -11,7 +11,7 @@ from tests.conftest import SF001
 from tests.test_oracle import own
 
 PYTHON_OK = {"extract_title", "extract_nav_links", "next_link", "pagination_walk", "multi_target_extract",
-             "run_target_dry", "normalize_url", "jsonl_ascii_roundtrip", "flatten_json", "flatten_documents",
+             "extract_plain_selector", "run_result", "run_rejected", "run_target_dry", "jsonl_ascii_roundtrip", "flatten_json", "flatten_documents",
              "merge_versions", "merge_versions_documents"}
 
 

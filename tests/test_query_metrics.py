@@ -12,20 +12,19 @@ from tests.conftest import rows
 
 def store(spark):
     return spark.createDataFrame(
-        [(1, "John", 30, ["a"], True, "r1", None), (2, "Jane", 25, [], False, "r1", "x"),
-         (3, "Bob", 35, ["b"], True, "r2", None)],
-        "id long, name string, age int, tags array<string>, active boolean, run_id string, note string")
+        [(11, "crane", 12.5, ["lift"], True, "w7", None), (12, "winch", 3.0, [], False, "w7", "sold"),
+         (13, "hoist", 40.0, ["lift", "pull"], True, "w8", None), (14, "jack", 0.5, None, True, "w8", "")],
+        "id long, machine string, tonnes double, uses array<string>, working boolean, week string, note string")
 
 
 def test_search(spark):
     df = store(spark)
-    assert [r["name"] for r in rows(search(df, {"active": True, "run_id": "r1"}))] == ["John"]
-    assert search(df, {"note": None}).count() == 2                 # None matches explicit null
-    assert search(df, {"missing_field": 1}).count() == 0            # field must exist
-    assert filter_by_field(df, "active", True, limit=1).count() == 1
-    assert apply_limit(df, 0).count() == 3                         # falsy limit = all
-    ts = df.withColumn("created_at", F.col("age"))
-    assert [r["id"] for r in rows(newest_first(ts, "created_at", "id", limit=2))] == [3, 1]
+    assert [r["machine"] for r in rows(search(df, {"working": True, "week": "w7"}))] == ["crane"]
+    assert sorted(r["id"] for r in rows(search(df, {"note": None}))) == [11, 13]        # explicit null only
+    assert search(df, {"colour": "red"}).count() == 0               # a field that no row has
+    assert filter_by_field(df, "working", True, limit=2).count() == 2
+    assert apply_limit(df, 0).count() == 4                          # a falsy limit is none
+    assert [r["id"] for r in rows(newest_first(df, "tonnes", "id", limit=2))] == [13, 11]
 
 
 def test_chunks_split_hot_key(spark):
@@ -47,10 +46,10 @@ def test_merge_maps(spark):
     assert rows(df.select(tf.merge_maps("x", "y").alias("m")))[0]["m"] == {"a": "1", "b": "3", "c": "4"}
 
 
-def test_flatten_reference_example(spark):
-    df = spark.createDataFrame([(1, '{"a":{"b":{"c":1}},"x":[1,2,{"y":3}],"e":{}}')], "id int, j string")
-    out = {r["path"]: r["value"] for r in rows(flatten_json(df, "j", ["id"]))}
-    assert out == {"a.b.c": "1", "x.0": "1", "x.1": "2", "x.2.y": "3"}
+def test_flatten_paths_and_values(spark):
+    text = '{"ship":{"crew":{"cook":true,"mate":null},"holds":[[],{"tons":12.5},["tea"]]},"log":{},"port":"Emden"}'
+    out = [(r["path"], r["value"]) for r in rows(flatten_json(spark.createDataFrame([(1, text)], "id int, j string"), "j", ["id"]))]
+    assert out == [("ship.crew.cook", "true"), ("ship.crew.mate", None), ("ship.holds.1.tons", "12.5"), ("ship.holds.2.0", "tea"), ("port", "Emden")]
 
 
 def test_redact(spark):
@@ -95,7 +94,9 @@ def test_checks_and_quality(spark):
     assert suite["not_null"]["status"] == "unhealthy" and suite["positive"]["status"] == "healthy"
     assert suite["overall"]["status"] == "unhealthy"
     assert rows(metrics.quality_report(df))[0] == {"rows": 3, "null_cells": 1, "duplicate_rows": 1}
-    assert rows(metrics.storage_health(df, "t"))[0] == {"storage": "t", "status": "healthy", "row_count": 3}
+    assert rows(metrics.storage_health(lambda: df, spark, "t"))[0] == {"storage": "t", "status": "healthy", "row_count": 3, "error": None}
+    gone = rows(metrics.storage_health(lambda: spark.read.parquet("/tmp/no such table"), spark, "t"))[0]
+    assert gone["status"] == "unhealthy" and gone["row_count"] is None and gone["error"]
 
 
 def test_flatten_struct(spark):
@@ -106,23 +107,18 @@ def test_flatten_struct(spark):
     assert tuple(out.first()) == (1, 1, [1, 2])
 
 
-def test_run_log_and_all_targets(spark):
-    from tessera.plans.runner import append_run_log, run_all_targets, run_target
+def test_run_log(spark):
+    from tessera.plans.runner import append_run_log, run_target
     from tessera.session import scratch_path
-    from tests.test_extract import TWO_QUOTES, ITEM_PAGE, pages
-    pg = pages(spark, ("https://example.com", TWO_QUOTES), ("https://example.com/x", ITEM_PAGE))
-    quotes = {"name": "quotes", "extract": {"item_selector": "div.quote",
-                                             "fields": {"text": "span.text::text", "author": "small.author::text"}}}
-    items = {"name": "items", "extract": {"item_selector": "div.item", "fields": {"title": "h2.title::text"}}}
-    both = run_all_targets(pg, [quotes, items])
-    per = {r["target_name"]: r["count"] for r in both.groupBy("target_name").count().collect()}
-    assert per == {"quotes": 2, "items": 2}
-    out, rec = run_target(pg, quotes, run_id="r9", dry_run=True)
-    assert rec["status"] == "success" and rec["processed_count"] == 2 and rec["saved_count"] == 0
+    from tests.test_extract import catalogue, spec
     path = scratch_path(spark, "run_log")
-    append_run_log(spark, [rec], path)
+    done = run_target(catalogue(spark), spec(spark), run_id="r9", dry_run=True)[1]
+    failed = run_target(catalogue(spark), {**spec(spark), "extract": {}}, run_id="r10")[1]
+    append_run_log(spark, [done, failed], path)
     log = spark.read.parquet(path)
-    assert rows(metrics.job_counts(log, F.col("status") == "success"))[0]["successful_runs"] == 1
+    ok = F.col("status") == "success"
+    assert rows(metrics.job_counts(log, ok))[0] == {"total_runs": 2, "successful_runs": 1, "failed_runs": 1}
+    assert rows(metrics.active_runs(log, F.lit(True), ok))[0] == {"active_runs": 1, "queue_size": 0}
 
 
 def test_merge_versions_matches_recursive_merge(spark):

@@ -1,5 +1,6 @@
-"""Transformation (T1, T10-T15) on the reference's transformer fixtures."""
+"""Transformation (T1, T10-T15) on rows of a festival programme."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import computed
@@ -7,99 +8,102 @@ from tessera.operators.transform import (FunctionRegistry, add_computed_columns,
                                          convert_types, evaluate_expression, transform, transform_stats)
 from tests.conftest import rows
 
-QUOTES = [("Hello World", "John Doe", ["test"]), ("Be yourself", "Jane Smith", ["inspiration", "life"]),
-          ("Never give up", "Bob", [])]
-QSCHEMA = "quote_text string, quote_author string, quote_tags array<string>"
+SHOWS = [("Night of the organ", "mina van der Berg", "18.5", ["music", "church"]),
+         ("Juggling", "Ozan", "free", None), ("", None, "7", [])]
+SCHEMA = "show string, act string, fee string, kinds array<string>"
 
 
-def spec():
-    return {
-        "field_mapping": {"quote_text": "text", "quote_author": "author", "quote_tags": "tags"},
-        "type_conversions": {"text": "string", "author": "string", "tags": "array"},
-        "custom_functions": {"text_length": "text_length", "author_initials": "author_initials",
-                             "tag_count": "tag_count"},
-    }
+def spec() -> dict:
+    return {"field_mapping": {"show": "title", "act": "artist"}, "type_conversions": {"fee": "float", "title": "string"},
+            "custom_functions": {"letters": computed.text_length("title"), "signed": computed.author_initials("artist"),
+                                 "n_kinds": computed.tag_count("kinds"), "per_head": "fee / 4"}}
 
 
-def test_transform_basic(spark):
-    df = spark.createDataFrame(QUOTES, QSCHEMA)
-    out = transform(df, spec())
-    assert {"text", "author", "tags"} <= set(out.columns)
-    assert not {"quote_text", "quote_author", "quote_tags"} & set(out.columns)
-    first = rows(out)[0]
-    assert first["text_length"] == 11 and first["author_initials"] == "JD" and first["tag_count"] == 1
+def shows(spark):
+    return spark.createDataFrame(SHOWS, SCHEMA)
 
 
-def test_field_mapping_rules(spark):
-    df = spark.createDataFrame([("value1", "value2", "value3")], "old_field1 string, old_field2 string, unchanged string")
-    out = apply_field_mapping(df, {"old_field1": "new_field1", "old_field2": "new_field2", "absent": "x"})
-    assert out.columns == ["new_field1", "new_field2", "unchanged"]
-    assert rows(out)[0] == {"new_field1": "value1", "new_field2": "value2", "unchanged": "value3"}
-    # swap works; two olds onto one new: last wins; new name equal to an unmapped field: unmapped wins
-    df2 = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
-    assert rows(apply_field_mapping(df2, {"a": "b", "b": "a"}))[0] == {"b": 1, "a": 2, "c": 3}
-    assert rows(apply_field_mapping(df2, {"a": "x", "b": "x"}))[0] == {"x": 2, "c": 3}
-    assert rows(apply_field_mapping(df2, {"a": "c"}))[0] == {"c": 3, "b": 2}
+def test_mapping_then_conversion_then_functions(spark):
+    out = rows(transform(shows(spark), spec()))
+    assert [(r["title"], r["fee"], r["letters"], r["signed"], r["n_kinds"], r["per_head"]) for r in out[:2]] == [
+        ("Night of the organ", 18.5, 18, "MVDB", 2, 4.625), ("Juggling", None, 8, "O", None, None)]
+    assert out[1]["_raw"] == {"fee": "free"} and out[1]["_conv_errors"] == ["fee"] and not out[0]["_conv_errors"]
+    assert not {"show", "act"} & set(out[0])
 
 
-def test_type_conversions_keep_original(spark):
-    df = spark.createDataFrame([("Hello", "42", "true", "[1, 2, 3]", "tag1,tag2,tag3", "not_a_number")],
-                               "text string, number string, boolean string, array string, tags string, bad string")
-    out = convert_types(df, {"text": "string", "number": "int", "boolean": "bool", "array": "array",
-                             "tags": "array", "bad": "int", "unknown_type_col": "int", "text2": "weird"})
-    r = rows(out)[0]
-    assert r["text"] == "Hello" and r["number"] == 42 and r["boolean"] is True
-    assert r["array"] == ["1", "2", "3"] and r["tags"] == ["tag1", "tag2", "tag3"]
-    assert r["bad"] is None and r["_raw"] == {"bad": "not_a_number"} and r["_conv_errors"] == ["bad"]
+def test_mapping_rules(spark):
+    df = spark.createDataFrame([("w", "x", "y", "z")], "hall string, row string, seat string, gate string")
+    got = lambda m: rows(apply_field_mapping(df, m))[0]
+    moved = apply_field_mapping(df, {"seat": "place", "nowhere": "lost", "hall": "house"})
+    assert moved.columns == ["place", "house", "row", "gate"]              # mapped ones first, in the mapping's order
+    assert got({"row": "seat", "seat": "row"}) == {"seat": "x", "row": "y", "hall": "w", "gate": "z"}
+    assert got({"hall": "spot", "gate": "spot"})["spot"] == "z"            # the last of two
+    assert got({"hall": "gate"})["gate"] == "z"                            # a field that keeps its name
+    assert apply_field_mapping(df, {}).columns == df.columns
 
 
-def test_unknown_type_is_noop(spark):
-    df = spark.createDataFrame([("x",)], "a string")
-    assert convert_types(df, {"a": "Decimal128"}).columns == ["a"]
+@pytest.mark.parametrize("text, kind, value", [
+    ("-17.9", "int", -17), ("1_200", "int", 1200), (" 6 ", "int", 6), ("six", "int", None), ("", "int", None),
+    ("2.50", "float", 2.5), ("-Infinity", "float", float("-inf")), ("0x1p3", "float", None),
+    ("On", "bool", True), ("nope", "bool", False),
+    ('["p", 3, null]', "array", ["p", "3", None]), ("[4],[5]", "array", ["[4]", "[5]"]), ("p; q , r", "array", ["p; q", "r"]), ('[1],"x":[2]', "array", ["[1]", '"x":[2]']),
+    ('{"door": "left"}', "dict", {"door": "left"}), ('{"a": 1} {"b": 2}', "dict", None), ("door", "dict", None)])
+def test_conversions_of_texts(spark, text, kind, value):
+    r = rows(convert_types(spark.createDataFrame([(text,)], "v string"), {"v": kind}))[0]
+    assert r["v"] == value
+    if kind != "bool":
+        assert (r["_raw"] == {"v": text}) == (value is None) == (r["_conv_errors"] == ["v"])
 
 
-def test_custom_functions_see_same_row(spark):
-    df = spark.createDataFrame([("Hello World", "John Doe")], "text string, author string")
-    out = add_computed_columns(df, {"upper_text": computed.upper_text("text"),
-                                    "word_count": computed.text_word_count("text"),
-                                    "text": F.lit("overwritten"),
-                                    "copy": F.col("text")})
-    r = rows(out)[0]
-    assert r["upper_text"] == "HELLO WORLD" and r["word_count"] == 2
-    assert r["text"] == "overwritten" and r["copy"] == "Hello World"   # inputs kept (D8)
+def test_numbers_as_python_prints_them(spark):
+    numbers = [0.1, -0.0, 1e-4, 9.5e-5, 12500000.0, 3e15, 1e16, 2.25e21, float("nan"), float("-inf"), 123456789.125]
+    df = spark.createDataFrame([(x, True) for x in numbers], "x double, b boolean")
+    out = rows(convert_types(df, {"x": "string", "b": "string"}))
+    assert [r["x"] for r in out] == [str(x) for x in numbers] and out[0]["b"] == "True"
 
 
-def test_evaluator(spark):
-    df = spark.createDataFrame([("John", 30)], "name string, age int")
-    assert rows(evaluate_expression(df, "age * 2"), "result")[0]["result"] == 60
-    assert rows(evaluate_expression(df, "name"), "result")[0]["result"] == "John"
+def test_an_unknown_type_or_field_changes_nothing(spark):
+    out = convert_types(shows(spark), {"fee": "money", "stage": "int"})
+    assert out.columns == shows(spark).columns and rows(out) == rows(shows(spark))
+
+
+def test_functions_see_the_row_as_it_came(spark):
+    out = rows(add_computed_columns(shows(spark), {"show": F.lit("closed"), "was": F.col("show"), "loud": computed.upper_text("act")}))
+    assert (out[0]["show"], out[0]["was"], out[0]["loud"]) == ("closed", "Night of the organ", "MINA VAN DER BERG")
+
+
+def test_a_failing_expression_is_null_in_its_row_alone(spark):
+    df = spark.createDataFrame([(6, 2, "12"), (6, 0, "twelve"), (None, 1, None)], "a int, b int, t string")
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    out = rows(evaluate_expression(df, "a / b"))
+    assert [r["result"] for r in out] == [3.0, None, None]
+    out = rows(add_computed_columns(df, {"n": "cast(t AS int) + 1", "k": "element_at(array('p', 'q'), b + 1)", "m": "a % b"}))
+    assert [(r["n"], r["k"], r["m"]) for r in out] == [(13, None, 0), (None, "p", None), (None, "q", None)]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
 
 
 def test_registry(spark):
-    reg = FunctionRegistry()
-    reg.add("double_age", "age * 2")
-    reg.add("tmp", "age")
-    reg.remove("tmp")
-    assert reg.names() == ["double_age"]
-    df = spark.createDataFrame([("John", 30)], "name string, age int")
-    assert rows(transform(df, {}, reg))[0]["double_age"] == 60
-
-
-def test_transform_stats(spark):
-    df = spark.createDataFrame(QUOTES, QSCHEMA)
-    r = rows(transform_stats(df, transform(df, spec())))[0]
-    assert r["original_count"] == 3 and r["transformed_count"] == 3
-    assert r["added_fields"] == "_conv_errors,_raw,author,author_initials,tag_count,tags,text,text_length"
-    assert r["removed_fields"] == "quote_author,quote_tags,quote_text"
-
-
-def test_documented_builders(spark):
-    df = spark.createDataFrame([("Urgent: $1,234.50 due", "https://shop.example.com/items/1", None)],
-                               "text string, url string, tags array<string>")
-    out = rows(df.select(
-        computed.price_clean(F.regexp_extract("text", r"(\$[0-9,.]+)", 1)).alias("price"),
-        computed.url_category("url").alias("cat"), computed.domain("url").alias("dom"),
-        computed.keyword_category("text").alias("kw"), computed.text_hash("text").alias("h"),
-        computed.tag_count("tags").alias("tc")))[0]
-    assert out["price"] == 1234.5 and out["cat"] == "shop.example.com" and out["dom"] == "shop.example.com"
-    assert out["kw"] == "important" and len(out["h"]) == 32 and out["tc"] is None
+    reg = FunctionRegistry({"doubled": "fee * 2"})
+    reg.add("shout", lambda df: F.upper(df["show"]))
+    reg.add("unused", "1")
+    reg.remove("unused")
+    reg.remove("never there")
+    assert reg.names() == ["doubled", "shout"] and reg.get("doubled") == "fee * 2"
+    out = rows(transform(shows(spark), {"type_conversions": {"fee": "float"}}, reg))
+    assert [(r["doubled"], r["shout"]) for r in out] == [(37.0, "NIGHT OF THE ORGAN"), (None, "JUGGLING"), (14.0, "")]
+
+
+def test_statistics_name_the_fields(spark):
+    r = rows(transform_stats(shows(spark), transform(shows(spark).limit(2), spec())))[0]
+    assert (r["original_count"], r["transformed_count"]) == (3, 2)
+    assert r["removed_fields"] == "act,show" and r["common_fields"] == "fee,kinds"
+    assert set(r["added_fields"].split(",")) == {"title", "artist", "letters", "signed", "n_kinds", "per_head", "_raw", "_conv_errors"}
+
+
+def test_named_builders(spark):
+    df = spark.createDataFrame([("Tickets EUR 2,450.75 at the door, urgent", "ftp://files.stage.example:21/a/b?c", ["x"])],
+                               "note string, place string, marks array<string>")
+    r = rows(df.select(
+        computed.price_clean(F.regexp_extract("note", r"([0-9,.]+)", 1)).alias("price"), computed.url_category("place").alias("kind"),
+        computed.domain("place").alias("host"), computed.text_hash("note").alias("h"), computed.tag_count("marks").alias("n")))[0]
+    assert (r["price"], r["host"], len(r["h"]), r["n"]) == (2450.75, "files.stage.example:21", 32, 1) and r["kind"]
