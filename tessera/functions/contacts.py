@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tessera.functions._util import col
 from tessera.functions.text import WS
 
-# E-mail pattern (matched case-insensitively), then the US and the
+# E-mail pattern (matched case-insensitively, with word
+# boundaries between any letters), then the US and the
 # international phone patterns, in that order; "\s" spelled as Python's whitespace set.
-EMAIL_RE = r"(?i)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+EMAIL_RE = r"(?iU)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 PHONE_US_RE = rf"\+?1?[-.{WS}]?\(?[0-9]{{3}}\)?[-.{WS}]?[0-9]{{3}}[-.{WS}]?[0-9]{{4}}"
 PHONE_INTL_RE = rf"\+?[0-9]{{1,3}}[-.{WS}]?[0-9]{{3,4}}[-.{WS}]?[0-9]{{3,4}}[-.{WS}]?[0-9]{{4}}"
 

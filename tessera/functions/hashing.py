@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions._util import col
 
@@ -20,7 +21,10 @@ def generate_hash(c, algorithm: str = "md5") -> Column:
     raise ValueError(f"Unsupported hash algorithm: {algorithm}")
 
 
-def record_hash(columns, algorithm: str = "md5") -> Column:
-    """Hash of a record: JSON of the named columns in sorted key order."""
-    names = sorted(columns)
-    return generate_hash(F.to_json(F.struct(*[F.col(n) for n in names])), algorithm)
+def record_hash(df: DataFrame, columns: list[str] | None = None, algorithm: str = "md5") -> Column:
+    """Hash of a record: its JSON with sorted keys as ``json.dumps(item, sort_keys=True,
+    ensure_ascii=False)`` writes it, nulls included."""
+    from tessera.sources._json import py_json
+    names = sorted(columns or df.columns)
+    kind = T.StructType([df.schema[n] for n in names])
+    return generate_hash(py_json(F.struct(*[F.col(f"`{n}`") for n in names]), kind), algorithm)

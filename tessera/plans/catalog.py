@@ -314,6 +314,12 @@ def hashes(spark, d):
                        tf.generate_hash("text", "sha256").alias("sha256"))
 
 
+def record_hashes(spark, d):
+    """U4: digest of a record as sorted-key JSON, with a null."""
+    c = _t(spark, d, "customer").select("c_name", "c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("c_mktsegment"), "c_acctbal")
+    return c.select("c_custkey", tf.record_hash(c).alias("md5"))
+
+
 # Spark patterns that print the twelve parse_date formats (fixed, same order)
 _DATE_PRINT = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd",
                "MM/dd/yyyy", "dd/MM/yyyy", "MM-dd-yyyy", "dd-MM-yyyy", "MMMM dd, yyyy", "MMM dd, yyyy",
@@ -891,6 +897,7 @@ QUERIES = {
     "extract_domain": extract_domain_pages,
     "normalize_url": normalize_url_pages,
     "hashes": hashes,
+    "record_hashes": record_hashes,
     "parse_date": parse_date_orders,
     "file_size": file_size,
     "safe_filename": safe_filename_pages,

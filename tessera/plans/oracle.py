@@ -303,6 +303,8 @@ UNION ALL SELECT doc_id, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents""",
 UNION ALL SELECT doc_id, 'x.y', '1' FROM documents UNION ALL SELECT doc_id, 'x.y', '2' FROM documents
 UNION ALL SELECT doc_id, 'a.t', text FROM documents WHERE doc_id % 3 <> 0
 UNION ALL SELECT doc_id, 'a', CASE WHEN doc_id % 2 = 0 THEN '{}' ELSE source END FROM documents WHERE doc_id % 3 = 0""",
+    "record_hashes": """SELECT c_custkey, md5('{"c_acctbal": ' || c_acctbal || ', "c_custkey": ' || c_custkey || ', "c_mktsegment": '
+  || CASE WHEN c_mktsegment = 'BUILDING' THEN 'null' ELSE '"' || c_mktsegment || '"' END || ', "c_name": "' || c_name || '"}') AS md5 FROM customer""",
     "pagination_chain": """SELECT 'http://site.example/p/' || page_id AS url, CAST(page_id % 10 AS INTEGER) AS depth
 FROM pages p WHERE page_id % 10 < 5""",
     "extract_plain_selector": "SELECT page_id, CAST(0 AS INTEGER) AS item_pos, 'on' AS text, 'on' AS self FROM pages",
