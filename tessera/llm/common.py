@@ -23,7 +23,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``written`` has stored, once nothing is computed from it any more, and
+    let go of shuffle files that finished steps have left."""
+    for df in frames:
+        remove(df.sparkSession, df._written_to)
+    release(frames[0].sparkSession)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -32,6 +42,12 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bucket_count(spark: SparkSession, buckets: int | None) -> int:
+    """Buckets of a new table: as many as shuffles have partitions, unless given, so that
+    each task of a shuffle by the bucket column writes one."""
+    return int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def new_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -13,7 +13,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import kept_rows, written
+from tessera.llm.common import bucket_count, kept_rows, written
 from tessera.session import scratch_path
 
 #: White space that does not count when texts are compared.
@@ -31,15 +31,17 @@ class DigestIndex:
 
     ``dedup(batch)`` may be called batch after batch, also from later sessions. A batch
     that failed half-way can simply be given again: digests that did get in are then
-    known ones, whose stored keeper is the row that was accepted.
+    known ones, whose stored keeper is the row that was accepted. ``buckets`` is the number
+    of shuffle partitions where none is given; an index keeps the one that it began with.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        buckets = bucket_count(spark, buckets)
         self.spark = spark
         self.path = path or scratch_path(spark, "digest-index")
         self.table = "digest_index_" + hashlib.md5(self.path.encode()).hexdigest()
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT, n_chars BIGINT) "
-                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS "
+                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
                   f"LOCATION '{self.path}'")
         self.buckets = buckets
 

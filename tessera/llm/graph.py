@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import remove, written
 
 
 def _stars(edges: DataFrame, small: bool) -> DataFrame:
@@ -39,7 +39,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     now = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), name)
     seen = None
     while True:
-        now = written(_stars(_stars(now, small=False), small=True), name)
+        last, now = now, written(_stars(_stars(now, small=False), small=True), name)
+        remove(now.sparkSession, last._written_to)
         state = now.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
         if state == seen:
             break

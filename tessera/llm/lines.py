@@ -9,13 +9,15 @@ first occurrence.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import release, slices, text_bytes, written
+from tessera.llm.common import discard, release, slices, text_bytes, written
 
 #: Lines that the rolling hash sees, and the chance of a boundary after a line is one in MEAN.
 WINDOW, MEAN, LEAST_LINES = 2, 3, 2
@@ -54,71 +56,111 @@ def chunks(text: str | None, window: int = WINDOW, mean: int = MEAN) -> list[tup
     return [(b - a, "\n".join(lines[a:b])) for a, b in zip([0, *ends], ends)]
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW, mean: int = MEAN) -> DataFrame:
-    """_id, _row, chunk (from 0), lines, digest and piece for every chunk of every text."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.monotonically_increasing_id().alias("_row"),
-                       F.col(f"`{text_col}`").alias("_text"))
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, tag (a hash of the text) and text."""
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("tag"), text.alias("text"))
+
+
+def digested(docs: DataFrame, window: int, mean: int, digest: Callable[[str], bytes]) -> DataFrame:
+    """id, tag, row and the (lines, digest) of every chunk, for documents (id, tag, text)."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch, text_bytes(batch, "text")):
+                part = batch.slice(a, b - a)
+                found = [[{"lines": n, "digest": digest(c)} for n, c in chunks(t, window, mean)] for t in part.column("text").to_pylist()]
+                kind = pa.list_(pa.struct([("lines", pa.int32()), ("digest", pa.binary())]))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "tag", "row")), pa.array(found, kind)],
+                                                 names=["id", "tag", "row", "found"])
+
+    return docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        run, "id long, tag long, row long, found array<struct<lines:int,digest:binary>>")
+
+
+def _pieces(rows: DataFrame, window: int, mean: int) -> DataFrame:
+    """id, tag, chunk and piece of the chunks that rows (id, tag, text, wanted) name."""
 
     def run(batches):
         for batch in batches:
-            for a, b in slices(batch, text_bytes(batch, "_text")):
+            for a, b in slices(batch, text_bytes(batch, "text")):
                 part = batch.slice(a, b - a)
-                out = [(i, r, k, n, xxhash.xxh3_128_digest(c), c) for i, r, t in
-                       zip(*(part.column(x).to_pylist() for x in ("_id", "_row", "_text")))
-                       for k, (n, c) in enumerate(chunks(t, window, mean))]
+                out = []
+                for i, g, t, wanted in zip(*(part.column(c).to_pylist() for c in ("id", "tag", "text", "wanted"))):
+                    found = chunks(t, window, mean)
+                    out += [(i, g, k, found[k][1]) for k in wanted]
                 if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string()))],
-                        names=["_id", "_row", "chunk", "lines", "digest", "piece"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.string()))],
+                                                     names=["id", "tag", "chunk", "piece"])
+
+    return rows.mapInArrow(run, "id long, tag long, chunk int, piece string")
 
-    return rows.mapInArrow(run, "_id long, _row long, chunk int, lines int, digest binary, piece string")
 
+def _same(a: str, b: str) -> Column:
+    return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.tag") == F.col(f"{b}.tag"))
 
-def _first(*more: str) -> Column:
-    return F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row", "chunk", *more))
 
+def digest128(piece: str) -> bytes:
+    return xxhash.xxh3_128_digest(piece)
 
-def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mean: int = MEAN,
-                 least_lines: int = LEAST_LINES) -> DataFrame:
-    """Every chunk: _id, _row, chunk, lines, piece and removed.
 
-    A chunk of at least ``least_lines`` lines is removed if the same bytes occur before
-    it: in a document with a smaller id (null ids last; of one id, an earlier row) or
-    earlier in its own. Chunks whose digests agree but whose bytes differ both stay. Null
-    and empty texts have no chunks. Other columns of ``docs`` are not read.
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mean: int = MEAN,
+                    least_lines: int = LEAST_LINES, digest: Callable[[str], bytes] = digest128) -> DataFrame:
+    """id, tag, copy, chunk and lines of the chunks to remove.
+
+    A chunk of at least ``least_lines`` lines goes if the same bytes occur before it: in
+    a document with a smaller id (null ids last; of one id, an earlier row) or earlier in
+    its own. Chunks whose digests agree with the first one's but whose bytes differ stay.
+    ``tag`` is a hash of the text and ``copy`` numbers rows that have id and text in
+    common. Null and empty texts have no chunks. Other columns are not read.
     """
-    every = written(chunked(docs, id_col, text_col, window, mean), "chunks")
-    # one row per digest leaves a task, however often a chunk occurs
-    again = every.where(F.col("lines") >= least_lines).groupBy("digest").agg(
-        F.count(F.lit(1)).alias("times"), _first().alias("first")).where("times > 1")
-    first = written(again.select("digest", F.col("first._row").alias("first_row"), F.col("first.chunk").alias("first_chunk")), "repeated")
-    mine = every.select("_row", "chunk", "piece")
-    texts = first.join(mine, (F.col("_row") == F.col("first_row")) & (F.col("chunk") == F.col("first_chunk"))).select(
-        "digest", "first_row", "first_chunk", F.col("piece").alias("same"))
+    rows = _keyed(docs, id_col, text_col)
+    signed = written(digested(rows, window, mean, digest), "digests")
+    numbered = signed.withColumn("copy", F.row_number().over(Window.partitionBy("id", "tag").orderBy("row")))
+    every = numbered.select("id", "tag", "copy", "row", F.posexplode("found").alias("chunk", "c")).select(
+        "id", "tag", "copy", "row", "chunk", "c.lines", "c.digest").where(F.col("lines") >= least_lines)
+    # one row for each digest leaves a task, however often it occurs
+    again = every.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(
+        F.col("id").isNull().alias("none"), "id", "row", "chunk")).alias("first")).where("times > 1")
+    met = written(every.join(again, "digest").select("id", "tag", "copy", "chunk", "lines", "digest", (
+        (F.col("row") == F.col("first.row")) & (F.col("chunk") == F.col("first.chunk"))).alias("first")), "repeated")
+    wanted = met.groupBy("id", "tag").agg(F.collect_set("chunk").alias("wanted"))
+    texts = wanted.alias("w").join(rows.alias("t"), _same("w", "t")).select("w.id", "w.tag", "t.text", "w.wanted")
     # only chunks that occur again carry their bytes to the comparison
-    met = every.where(F.col("lines") >= least_lines).join(texts, "digest").where(F.col("piece") == F.col("same"))
-    gone = met.where((F.col("_row") != F.col("first_row")) | (F.col("chunk") != F.col("first_chunk"))).select(
-        F.col("_row").alias("r"), F.col("chunk").alias("c"))
-    gone = written(gone, "removed")
+    found = written(_pieces(texts, window, mean).dropDuplicates(["id", "tag", "chunk"]), "pieces")
     release(docs.sparkSession)
-    return every.join(gone, (F.col("_row") == F.col("r")) & (F.col("chunk") == F.col("c")), "left").select(
-        "_id", "_row", "chunk", "lines", "piece", F.col("r").isNotNull().alias("removed"))
+    whole = met.alias("m").join(found.alias("p"), _same("m", "p") & (F.col("m.chunk") == F.col("p.chunk"))).select("m.*", "p.piece")
+    first = whole.where("first").select("digest", F.col("piece").alias("same"))
+    gone = whole.where("NOT first").join(first, "digest").where(F.col("piece") == F.col("same"))
+    gone = written(gone.select("id", "tag", "copy", "chunk", "lines"), "removed")
+    discard(signed, met, found)
+    return gone
 
 
 def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mean: int = MEAN,
-                         least_lines: int = LEAST_LINES) -> DataFrame:
-    """_id, _row, text (what stays, chunks joined by line feeds), n_chunks, n_removed, lines_removed for every row of ``docs``.
+                         least_lines: int = LEAST_LINES, digest: Callable[[str], bytes] = digest128) -> DataFrame:
+    """_id, text (what stays, chunks joined by line feeds), n_chunks, n_removed and lines_removed for every row of ``docs``.
 
-    Null and empty texts come back as empty text without chunks.
+    See ``repeated_chunks`` for what goes. Null and empty texts come back as empty text
+    without chunks.
     """
-    found = dedup_chunks(docs, id_col, text_col, window, mean, least_lines)
-    pieces = F.transform(F.array_sort(F.collect_list(F.when(~F.col("removed"), F.struct("chunk", "piece")))), lambda p: p["piece"])
-    own = found.groupBy("_row").agg(
-        F.first("_id").alias("_id"), F.array_join(pieces, "\n").alias("text"), F.count(F.lit(1)).alias("n_chunks"),
-        F.sum(F.col("removed").cast("long")).alias("n_removed"),
-        F.sum(F.when(F.col("removed"), F.col("lines")).otherwise(0)).alias("lines_removed"))
-    text = F.col(f"`{text_col}`")
-    none = docs.where(text.isNull() | (text == "")).select(
-        F.lit(None).cast("long").alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"), F.lit("").alias("text"),
-        F.lit(0).cast("long").alias("n_chunks"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("lines_removed"))
-    return own.unionByName(none)
+    gone = repeated_chunks(docs, id_col, text_col, window, mean, least_lines, digest)
+    lists = gone.groupBy("id", "tag", "copy").agg(F.collect_list("chunk").alias("gone"), F.sum("lines").alias("lines"))
+    rows = _keyed(docs, id_col, text_col).withColumn("copy", F.row_number().over(Window.partitionBy("id", "tag").orderBy(F.lit(1))))
+    met = rows.alias("t").join(lists.alias("g"), _same("t", "g") & (F.col("t.copy") == F.col("g.copy")), "left").select(
+        "t.id", "t.text", "g.gone", F.coalesce("g.lines", F.lit(0)).cast("long").alias("lines"))
+
+    def run(batches):
+        for batch in batches:
+            for a, b in slices(batch, text_bytes(batch, "text")):
+                part = batch.slice(a, b - a)
+                texts, n, dropped = [], [], []
+                for t, g in zip(part.column("text").to_pylist(), part.column("gone").to_pylist()):
+                    found, out = chunks(t, window, mean), set(g or ())
+                    texts.append("\n".join(c for k, (_, c) in enumerate(found) if k not in out))
+                    n.append(len(found))
+                    dropped.append(len(out))
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(dropped, pa.int64()),
+                                                  part.column("lines")], names=["_id", "text", "n_chunks", "n_removed", "lines_removed"])
+
+    return met.mapInArrow(run, "_id long, text string, n_chunks long, n_removed long, lines_removed long")

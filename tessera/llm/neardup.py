@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import kept_rows, slices, text_bytes, written
+from tessera.llm.common import discard, kept_rows, slices, text_bytes, written
 from tessera.llm.graph import components
 
 SHINGLE, TREES, DEPTH, BASE = 5, 12, 6, 3
@@ -354,6 +354,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = classes.select("whole", "node", "id").join(label, "node", "left").select(
         "whole", "node", "id", F.coalesce("label", "node").alias("label"))
     of = written(of, "labels")
+    discard(classes, family, members)
     least = of.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.col("node").alias("row"))).alias("f"))
     of = of.join(least, "label").select("whole", F.col("f.id").alias("component_id"), F.col("f.row").alias("keep_row"))
     some = signed.where("n > 0").select("id", "row", "tag", "n", "whole").join(of, "whole").select(

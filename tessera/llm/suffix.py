@@ -18,7 +18,7 @@ more than once.
 
 from __future__ import annotations
 
-import gc
+import functools
 import uuid
 
 import numpy as np
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import make_folder, release, remove, slices, text_bytes, written
+from tessera.llm.common import bucket_count, discard, make_folder, release, remove, slices, text_bytes, written
 from tessera.session import scratch_path
 
 #: Bytes by which sampled suffixes are matched; a repeat must be longer.
@@ -176,18 +176,19 @@ class SuffixFamily:
     ``add(batch)`` gives the suffixes whose first bytes occur more than once, as far as
     the batch is concerned: its own and those of earlier batches that it meets. The table
     lies at ``path`` (any store that Spark writes). A batch whose adding failed can be
-    added again once ``forget`` has dropped its unfinished run.
+    added again once ``forget`` has dropped its unfinished run. ``buckets`` is the number
+    of shuffle partitions where none is given; a family keeps the one that it began with.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, length: int = 200, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str | None = None, length: int = 200, buckets: int | None = None):
         if length <= GRAM:
             raise ValueError(f"repeats must be longer than {GRAM} bytes")
-        self.spark, self.length, self.buckets = spark, length, buckets
+        self.spark, self.length, self.buckets = spark, length, bucket_count(spark, buckets)
         self.path = path or scratch_path(spark, "suffix-family")
         self.table = "suffix_family_" + uuid.uuid4().hex
         make_folder(spark, self.path)
         spark.sql(f"CREATE TABLE {self.table} (h BIGINT, c BIGINT, id BIGINT, tag INT, at BIGINT, more ARRAY<BIGINT>, run STRING) USING parquet "
-                  f"PARTITIONED BY (run) CLUSTERED BY (h) SORTED BY (h) INTO {int(buckets)} BUCKETS LOCATION '{self.path}'")
+                  f"PARTITIONED BY (run) CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
         spark.sql(f"MSCK REPAIR TABLE {self.table}")
         self.made = 0
 
@@ -389,11 +390,11 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
     spark, reach = docs.sparkSession, length - GRAM
     rows = keyed(docs, id_col, text_col)
     family = SuffixFamily(spark, length=length)
-    hits = None
+    parts = []
     for k in range(batches):
-        met = family.add(rows.where(F.pmod(F.xxhash64("id", F.lit("batch")), F.lit(batches)) == k))
-        hits = met if hits is None else hits.unionByName(met)
+        parts.append(family.add(rows.where(F.pmod(F.xxhash64("id", F.lit("batch")), F.lit(batches)) == k)))
         release(spark)
+    hits = functools.reduce(DataFrame.unionByName, parts)
     for _, name in family.runs():           # a family of this call alone; a lasting one would stay
         family.forget(name)
     spark.sql(f"DROP TABLE {family.table}")
@@ -403,10 +404,12 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
     own = written(own.join(copies.select(F.col("id").alias("i"), F.col("tag").alias("t"), "rows"),
                            F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t")), "left")
                   .select("h", "c", "id", "tag", "at", "more", (F.coalesce("rows", F.lit(1)) * times()).alias("n")), "hits")
-    release(spark)
+    discard(*parts)
     kinds = written(own.groupBy("h", "c").agg(F.sum("n").alias("n"), F.min(F.struct(F.col("id").isNull(), "id", "tag", "at")).alias("one")), "contexts")
     sizes = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
-    kinds = written(kinds.join(sizes, "h"), "kinds")
+    contexts, kinds = kinds, written(kinds.join(sizes, "h"), "kinds")
+    discard(contexts)
+    sizes = kinds.select("h", "kinds").distinct()
     some = written(_contexts(kinds.where("kinds > 1").select("h", "c", "one.id", "one.tag", "one.at"), rows, length), "bytes")
     release(spark)
     # groups whose surroundings are all alike need no look at their bytes
@@ -417,14 +420,14 @@ def find_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", tex
     if not many.isEmpty():
         rest = rest.unionByName(_counted(some.join(many, "h", "left_semi"), length))
     around = written(whole.unionByName(rest.where(F.size("spans") > 0)), "spans")
-    release(spark)
+    discard(some, kinds)
     # spans of every place of an entry, counted from the text's begin
     places_ = F.concat(F.array("at"), F.coalesce("more", F.array().cast("array<bigint>")))
     moved = F.flatten(F.transform(places_, lambda p: F.transform("spans", lambda s: F.struct(
         F.greatest(p + s["start"], F.lit(0)).alias("start"), (p + s["end"]).alias("end")))))
     found = own.join(around, ["h", "c"]).select("id", "tag", moved.alias("spans"))
     result = written(found.groupBy("id", "tag").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")), "repeats")
-    release(spark)
+    discard(own, around)
     return result
 
 

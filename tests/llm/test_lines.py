@@ -35,7 +35,7 @@ def test_against_brute_force(spark, make_docs):
     shared = "\n".join(f"shared line {i}" for i in range(20))
     rows = [(5, f"own {i}\nmore {i}\n{shared}\nend {i}") for i in (1,)] + [(i, f"own {i}\nmore {i}\n{shared}\nend {i}") for i in range(10, 30)]
     rows += [(40, None), (41, ""), (42, "single"), (42, "single"), (None, shared), (43, "a\na\na\na\na\na"), (44, shared + "\n" + shared), (5, rows[0][1])]
-    docs = make_docs([(*r, None, None, None, 1) for r in rows], ", chunk int")
+    docs = make_docs([(*r, None, None, None, 1) for r in rows], ", copy int")
     out = lines.drop_repeated_chunks(docs).collect()
     want = brute(rows)
     key = lambda r: (str(r[0]), r[1], r[2], r[3])
@@ -46,14 +46,10 @@ def test_against_brute_force(spark, make_docs):
     assert lines.drop_repeated_chunks(docs.limit(0)).count() == 0
 
 
-def test_bytes_decide_not_digests(spark, make_docs, monkeypatch):
-    docs = make_docs([(1, "aa\nbb"), (2, "cc\ndd"), (3, "aa\nbb")])
-    every = lines.chunked(docs, "doc_id", "text").collect()
-    same = spark.createDataFrame([(r._id, r._row, r.chunk, r.lines, bytearray(b"0"), r.piece) for r in every],
-                                 "_id long, _row long, chunk int, lines int, digest binary, piece string")
-    monkeypatch.setattr(lines, "chunked", lambda *a: same)
-    gone = {(r._id, r.piece) for r in lines.dedup_chunks(docs).collect() if r.removed}
-    assert all(i == 3 for i, _ in gone)
+def test_bytes_decide_not_digests(make_docs):
+    docs = make_docs([(1, "aa\nbb"), (2, "cc\ndd"), (3, "aa\nbb"), (4, "ee\nff")])
+    out = lines.repeated_chunks(docs, digest=lambda piece: b"all alike").collect()
+    assert {r.id for r in out} == {3}
 
 
 def test_query(spark):
