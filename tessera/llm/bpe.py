@@ -26,7 +26,7 @@ from tessera.llm.common import with_python_columns
 
 #: Pre-tokens (in each of two generations) and byte pairs that one Python worker remembers, and the
 #: longest pre-token it does.
-CACHE_WORDS, CACHE_PAIRS, CACHE_CHARS = 600_000, 500_000, 64
+CACHE_WORDS, CACHE_PAIRS, CACHE_CHARS = 450_000, 500_000, 64
 #: A letter, a digit, a white space and a sign that no pattern singles out, as Unicode has had them for long.
 STAND_INS = {r"\p{L}": "\u2135", r"\p{N}": "\u00b2", r"\s": "\u2003", "": "\u2603"}
 
