@@ -2,8 +2,8 @@
 
 Every operator is a plain function over DataFrames (or a Column -> Column builder),
 expressed with Catalyst expressions so that it plans, prunes and scales like any
-other Spark query. Python workers are used only for HTML parsing, relative URL
-joining and ASCII escaping of JSON lines.
+other Spark query. Python workers are used only for HTML parsing,
+JSON walking and ASCII escaping of JSON lines.
 
 Common entry points::
 

@@ -596,7 +596,7 @@ def convert_json_whole(spark, d):
 def null_on_error(spark, d):
     """An expression that fails is null in that row."""
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    out = evaluate_expression(li, "l_orderkey / (l_linenumber - 2)", "ratio")
+    out = evaluate_expression(li, "(l_orderkey + 1) / (l_linenumber - 2)", "ratio")
     return transform(out, {"custom_functions": {"as_int": "cast(l_returnflag AS int)", "third": "element_at(array(1, 2), l_linenumber)"}}).select(
         "l_orderkey", "l_linenumber", F.round("ratio", 6).alias("ratio"), "as_int", "third")
 

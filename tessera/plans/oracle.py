@@ -343,7 +343,7 @@ SELECT n AS original_count, k AS cleaned_count, n - k AS removed_count, round((n
 WHERE o_orderkey > 0 UNION ALL SELECT o_orderkey, '0.5', o_orderstatus FROM orders WHERE o_orderkey = 0""",
     "convert_json_whole": """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '[1]|[' || user_id || ']' ELSE CAST(user_id AS VARCHAR) END AS a,
   CASE WHEN event_id % 2 = 1 THEN json_extract_string(props, '$.k') END AS k, event_id % 2 = 0 AS failed FROM events""",
-    "null_on_error": """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 2 THEN round(l_orderkey / (l_linenumber - 2), 6) END AS ratio,
+    "null_on_error": """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 2 THEN round((l_orderkey + 1) / (l_linenumber - 2), 6) END AS ratio,
   CAST(NULL AS INTEGER) AS as_int, CASE WHEN l_linenumber <= 2 THEN CAST(l_linenumber AS INTEGER) END AS third FROM lineitem""",
     "registry_functions": "SELECT doc_id, n_chars, n_chars * 2 AS twice, right(text, 3) AS tail FROM documents",
     "bad_urls": """SELECT page_id, CASE page_id % 6 WHEN 0 THEN NULL WHEN 4 THEN 'other.example' ELSE '' END AS domain,
