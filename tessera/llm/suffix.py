@@ -34,8 +34,9 @@ from tessera.session import scratch_path
 #: Bytes by which sampled suffixes are matched; a repeat must be longer.
 GRAM = 48
 #: Bytes of text sampled at a time, places compared in one task, and those of one fingerprint
-#: from which a group counts as crowded.
-PART, TOGETHER, CROWDED = 1 << 20, 20_000, 4096
+#: from which a group counts as crowded; there, so many neighbouring strings are first judged by
+#: the bytes that all of them have.
+PART, TOGETHER, CROWDED, BLOCK = 1 << 20, 20_000, 65_536, 16
 
 _random = np.random.default_rng(48)
 _TABLE = _random.integers(0, 2 ** 64, 256, np.uint64, endpoint=False)
@@ -345,19 +346,45 @@ def _compared(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _counted(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for crowded groups: their strings are counted one by one, by 128-bit digests."""
+    """The same for crowded groups: their strings are counted one by one, by 128-bit digests.
+
+    Strings that begin within BLOCK bytes of each other have most of their bytes in
+    common. A place where these occur nowhere else of its group has no repeat there, so
+    only the blocks that others share are taken apart.
+    """
+    reach = length - GRAM
+
+    def blocks(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                out = []
+                part = batch.slice(start, 1024)
+                for h, c, k, x in zip(*(part.column(i).to_pylist() for i in ("h", "c", "n_left", "bytes"))):
+                    low, high = max(0, length - (len(x) - k)), min(reach, k)        # of strings that lie within
+                    out += [(h, c, a, xxhash.xxh3_128_digest(x[k - a:k - min(a + BLOCK - 1, reach) + length]))
+                            for a in range(0, reach + 1, BLOCK) if a <= high and a + BLOCK > low]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                                                     names=["h", "c", "block", "core"])
 
     def strings(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 out = []
                 part = batch.slice(start, 256)
-                for h, c, k, x in zip(*(part.column(i).to_pylist() for i in ("h", "c", "n_left", "bytes"))):
-                    out += [(h, c, k - i, xxhash.xxh3_128_digest(x[i:i + length])) for i in range(len(x) - length + 1) if i <= k]
+                for h, c, k, x, found in zip(*(part.column(i).to_pylist() for i in ("h", "c", "n_left", "bytes", "blocks"))):
+                    low, high = max(0, length - (len(x) - k)), min(reach, k)
+                    out += [(h, c, o, xxhash.xxh3_128_digest(x[k - o:k - o + length])) for a in found
+                            for o in range(max(a, low), min(a + BLOCK - 1, high) + 1)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                                                      names=["h", "c", "o", "digest"])
 
+    cores = written(contexts.mapInArrow(blocks, "h long, c long, block long, core binary"), "cores")
+    core = ["h", "block", "core"]
+    shared = cores.groupBy(*core).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*core)
+    live = cores.join(shared, core).groupBy("h", "c").agg(F.collect_set("block").alias("blocks"))
+    contexts = contexts.join(live, ["h", "c"])
     every = written(contexts.mapInArrow(strings, "h long, c long, o long, digest binary"), "strings")
     # at the same place in the string: one string seen from two places of a text is one occurrence
     same = ["h", "o", "digest"]
