@@ -125,7 +125,8 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = written(every.join(again, "digest").select("id", "tag", "copy", "chunk", "lines", "digest", (
         (F.col("row") == F.col("first.row")) & (F.col("chunk") == F.col("first.chunk"))).alias("first")), "repeated")
     wanted = met.groupBy("id", "tag").agg(F.collect_set("chunk").alias("wanted"))
-    texts = wanted.alias("w").join(rows.alias("t"), _same("w", "t")).select("w.id", "w.tag", "t.text", "w.wanted")
+    # merge joins of texts with lists at any size: a list small enough to broadcast here isn't so elsewhere
+    texts = wanted.alias("w").hint("merge").join(rows.alias("t"), _same("w", "t")).select("w.id", "w.tag", "t.text", "w.wanted")
     # only chunks that occur again carry their bytes to the comparison
     found = written(_pieces(texts, window, mean).dropDuplicates(["id", "tag", "chunk"]), "pieces")
     release(docs.sparkSession)
@@ -145,10 +146,16 @@ def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str
     without chunks.
     """
     gone = repeated_chunks(docs, id_col, text_col, window, mean, least_lines, digest)
-    lists = gone.groupBy("id", "tag", "copy").agg(F.collect_list("chunk").alias("gone"), F.sum("lines").alias("lines"))
-    rows = _keyed(docs, id_col, text_col).withColumn("copy", F.row_number().over(Window.partitionBy("id", "tag").orderBy(F.lit(1))))
-    met = rows.alias("t").join(lists.alias("g"), _same("t", "g") & (F.col("t.copy") == F.col("g.copy")), "left").select(
-        "t.id", "t.text", "g.gone", F.coalesce("g.lines", F.lit(0)).cast("long").alias("lines"))
+    # the same three columns number the copies and join them, so that texts are shuffled once
+    key = [F.coalesce("id", F.lit(0)).alias("key"), F.col("id").isNull().alias("none"), "tag"]
+    names = ["key", "none", "tag"]
+    lists = gone.groupBy(*key).agg(F.collect_list(F.struct("copy", "chunk", "lines")).alias("gone"))
+    rows = _keyed(docs, id_col, text_col).select("id", *key, "text").withColumn(
+        "copy", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(1))))
+    own = F.filter("gone", lambda g: g["copy"] == F.col("copy"))
+    met = rows.join(lists.hint("merge"), names, "left").withColumn("own", own).select(
+        "id", "text", F.transform("own", lambda g: g["chunk"]).alias("gone"),
+        F.coalesce(F.aggregate("own", F.lit(0).cast("long"), lambda n, g: n + g["lines"]), F.lit(0)).cast("long").alias("lines"))
 
     def run(batches):
         for batch in batches:
