@@ -1,7 +1,6 @@
 """HTML extraction (E1-E10) on pages of a parts catalogue and a tide table."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators.extract import (extract_items, extract_targets, next_links, pagination_walk, split_errors,
                                        with_provenance)
