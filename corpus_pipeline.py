@@ -25,7 +25,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.drop_near_duplicates(docs)
+    return neardup.drop_near_duplicates(docs, percent=80, trees=neardup.MOST_TREES)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

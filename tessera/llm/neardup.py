@@ -13,6 +13,8 @@ confirmed on full sets, within families:
 
 So a link is lost only if its two sets meet in no order: (1 - s^BASE)^TREES for sets of
 similarity s, about 1 in 90,000 at 0.85 and less above, unless a third set joins them.
+For lower limits ``trees`` can be more: at 0.8 it is 1 in 5,500 with 12 and 1 in 97,000
+with 16.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from tessera.llm.common import discard, kept_rows, slices, text_bytes, written
 from tessera.llm.graph import components
 
 SHINGLE, TREES, DEPTH, BASE = 5, 12, 6, 3
+#: Trees that signatures can have at most.
+MOST_TREES = 16
 #: Rows of a region that are compared with each other by sketch, and the share of hashes that must agree.
 REGION, AGREE = 256, 0.6
 #: Sets of a family that one task compares, orders in which a larger one is walked, and sets of one batch of families.
@@ -38,6 +42,9 @@ FAMILY, ORDERS, BATCH = 512, 4, 2048
 _random = np.random.default_rng(9)
 _MUL = _random.integers(0, 2 ** 63, TREES * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _random.integers(0, 2 ** 63, TREES * DEPTH, np.uint64)
+# the first TREES trees are the same however many follow
+_MUL = np.r_[_MUL, _random.integers(0, 2 ** 63, (MOST_TREES - TREES) * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)]
+_ADD = np.r_[_ADD, _random.integers(0, 2 ** 63, (MOST_TREES - TREES) * DEPTH, np.uint64)]
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -64,15 +71,16 @@ def shingles(text: str | None, k: int = SHINGLE) -> np.ndarray:
     return np.unique(total)
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """TREES * DEPTH 32-bit minima of a set's hashes."""
-    least = np.full(len(_MUL), np.iinfo(np.uint64).max, np.uint64)
+def signature(found: np.ndarray, trees: int = TREES) -> np.ndarray:
+    """``trees`` * DEPTH 32-bit minima of a set's hashes."""
+    mul, add = _MUL[:trees * DEPTH, None], _ADD[:trees * DEPTH, None]
+    least = np.full(len(mul), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(found), 1 << 14):        # bounded memory for very long texts
-        least = np.minimum(least, (found[None, at:at + (1 << 14)] * _MUL[:, None] + _ADD[:, None]).min(1))
+        least = np.minimum(least, (found[None, at:at + (1 << 14)] * mul + add).min(1))
     return (least >> np.uint64(32)).astype(">u4")
 
 
-def _signed(rows: DataFrame, k: int) -> DataFrame:
+def _signed(rows: DataFrame, k: int, trees: int = TREES) -> DataFrame:
     """id, row, tag, n, whole (digest of the set), sig, sketch for rows (id, row, tag, text)."""
 
     def run(batches):
@@ -80,7 +88,7 @@ def _signed(rows: DataFrame, k: int) -> DataFrame:
             for a, b in slices(batch, text_bytes(batch, "text")):
                 part = batch.slice(a, b - a)
                 sets = [shingles(t, k) for t in part.column("text").to_pylist()]
-                sigs = [signature(s) if len(s) else None for s in sets]
+                sigs = [signature(s, trees) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"), part.column("row"), part.column("tag"),
                     pa.array([len(s) for s in sets], pa.int64()),
@@ -132,10 +140,10 @@ def _region_edges(nodes: np.ndarray, keys: np.ndarray, sketches: np.ndarray, dep
             yield int(nodes[a]), int(nodes[a - 1])
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
+def _candidates(classes: DataFrame, trees: int = TREES) -> DataFrame:
     """Edges (a, b) between nodes of ``classes`` (node, sig, sketch): LCP neighbours in each order."""
     wide = DEPTH * 4
-    rows = classes.select("node", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    rows = classes.select("node", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     rows = rows.select(F.col("tree").cast("byte").alias("tree"), F.expr(f"substring(sig, tree * {wide} + 1, {wide})").alias("key"), "node", "sketch")
     # dealt by the whole place in the order: a crowded region spreads over as many tasks as it needs
     order = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
@@ -306,7 +314,8 @@ def _spanning(edges: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": nodes[out], "b": nodes[label[out]]}).astype("int64")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, k: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, k: int = SHINGLE,
+                    trees: int = TREES) -> DataFrame:
     """Decide every row: _id, _tag, n_shingles, component_id and kept.
 
     Rows are linked when 100 * intersection >= ``percent`` * union of their sets of
@@ -316,16 +325,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is null. One row of each component is kept, the one with the smallest
     id (of rows repeated with one id, one; nulls last). _tag is a hash of the text, which
     tells rows of one id apart. An empty table gives no rows; other columns are not read.
+    ``trees``, at most MOST_TREES, settles how rarely a link is missed (see above).
     """
+    if not ORDERS <= trees <= MOST_TREES:
+        raise ValueError(f"trees must be from {ORDERS} to {MOST_TREES}")
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
                        F.xxhash64(text).alias("tag"), text.alias("text"))
-    signed = written(_signed(rows, k), "signed")
+    signed = written(_signed(rows, k, trees), "signed")
     # copies count once from here on
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "tag", "sig", "sketch"))
     classes = written(signed.where("n > 0").groupBy("whole").agg(first.alias("f")).select(
         "whole", F.col("f.row").alias("node"), "f.id", "f.tag", "f.sig", "f.sketch"), "classes")
-    family = written(components(_candidates(classes.select("node", "sig", "sketch")), "families"), "family")
+    family = written(components(_candidates(classes.select("node", "sig", "sketch"), trees), "families"), "family")
     sizes = family.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     wanted = classes.select("node", "id", "tag", "sig").join(
         family.join(sizes, "label").select("node", F.col("label").alias("family"), "size"), "node")
@@ -365,7 +377,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return some.unionByName(none)
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
+                        trees: int = TREES) -> DataFrame:
     """The rows of ``docs`` that are kept, one of each component, with the columns of ``docs``."""
-    keep = near_duplicates(docs, id_col, text_col, percent).where("kept").select("_id", "_tag")
+    keep = near_duplicates(docs, id_col, text_col, percent, trees=trees).where("kept").select("_id", "_tag")
     return kept_rows(docs, keep.distinct(), id_col, F.xxhash64(F.col(f"`{text_col}`")))

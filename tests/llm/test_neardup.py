@@ -110,3 +110,27 @@ def test_components(spark):
                 label[a] = label[b] = min(label[a], label[b])
     assert got == label
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_stage_drops_pairs_from_80_percent(spark, make_docs):
+    """Pairs of similarity 0.80 to 0.85 count as copies in the pipeline's stage."""
+    import corpus_pipeline
+    from tests.conftest import SF001
+
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    every = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+    blank = {i for i, t in every if not shingle_set(t)}
+    assert {r.doc_id for r in stage(spark, docs, SF001).collect()} == {c for _, _, c in brute(every, 80)} | blank
+    rng = random.Random(11)
+    rows = []
+    for k in range(40):
+        words = [f"w{rng.random():.6f}" for _ in range(110)]
+        copy = list(words)
+        for at in (30, 75):
+            copy[at] = f"n{rng.random():.6f}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    a, b = (shingle_set(t) for _, t in rows[:2])
+    assert 0.8 <= len(a & b) / len(a | b) < 0.85
+    assert {r.doc_id for r in stage(spark, make_docs(rows), None).collect()} == {2 * k for k in range(40)}
+    assert neardup.near_duplicates(make_docs(rows)).where("kept").count() == len(rows)
