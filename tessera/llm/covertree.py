@@ -173,6 +173,12 @@ def _dealt(rows: DataFrame, pivots: np.ndarray, size: int) -> DataFrame:
         "id", "x", "pivot", F.pmod(F.xxhash64("id"), chunks).alias("chunk"))
 
 
+def _ended(x: Column) -> Column:
+    """``x`` without the zeros at its end, which change no product."""
+    zeros = F.array_position(F.transform(F.reverse(x), lambda v: v != 0), F.lit(True)) - 1      # -1: nothing else
+    return F.slice(x, F.lit(1), F.when(zeros >= 0, F.size(x) - zeros.cast("int")).otherwise(0))
+
+
 def _bound() -> Column:
     """The most that an inner product of two blocks can be."""
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
@@ -236,7 +242,9 @@ def topk(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<double>").alias("x"),
                           is_query.alias("asks")).where(F.col("id").isNotNull() & x.isNotNull()).where(~bad)
-    rows = rows.withColumn("x", F.transform(x, lambda v: F.floor(v * F.lit(scale))))
+    rows = rows.withColumn("x", _ended(F.transform(x, lambda v: F.floor(v * F.lit(scale)))))
+    # repeats go before there are trees: in one they would take several of a query's k places
+    rows = written(rows.groupBy("id", "x").agg(F.max("asks").alias("asks")), "rows")
     some = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
     width = max((len(r.x) for r in some), default=0)
     centres = np.array([np.pad(np.asarray(r.x, float), (0, width - len(r.x))) for r in some]).reshape(len(some), width)

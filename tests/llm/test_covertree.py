@@ -49,6 +49,17 @@ def test_ties_and_one_vector_for_a_third(spark):
     assert search(spark, rows, block_rows=16, query_rows=4, pivots=4) == brute(rows, 5, 5)
 
 
+def test_repeated_rows_take_one_place(spark):
+    rows = clustered(120, 4, 3)
+    want = brute(rows, 5, 5)
+    often = [rows[want[0, r][0]] for r in (1, 3)]
+    again = rows + often * 6 + [rows[0]] * 6 + [often[0]] * 80
+    assert search(spark, again, block_rows=1000, query_rows=1000, pivots=2) == want
+    assert search(spark, again, block_rows=16, query_rows=4, pivots=4) == want
+    ended = [(i, [*v, 0.0, 0.0]) for i, v in often for _ in range(3)]       # the same vectors, ended by zeros
+    assert search(spark, rows + ended, block_rows=1000, query_rows=1000, pivots=2) == want
+
+
 def test_few_rows(spark):
     assert search(spark, [(0, [1.0]), (1, [2.0])]) == {(0, 1): (1, 256 * 512)}
     assert search(spark, [(0, [1.0])]) == {} and search(spark, [(1, [1.0])]) == {} and search(spark, []) == {}
