@@ -578,6 +578,13 @@ def cleaning_stats_cleaned(spark, d):
     return out.withColumn("removal_rate", F.round("removal_rate", 6))
 
 
+def cleaning_stats_cleaned_texts(spark, d):
+    """C12 under cleaning before the dedupe, over whole texts between blanks that vary."""
+    docs = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("  "), "text", F.repeat(F.lit(" "), (F.col("doc_id") % 3).cast("int"))).alias("t"))
+    out = cleaning_stats(docs, {"remove_duplicates": True, "duplicate_keys": ["t"], "clean_before_dedupe": True}, "doc_id")
+    return out.withColumn("removal_rate", F.round("removal_rate", 6))
+
+
 def convert_large_and_unknown(spark, d):
     """Numbers of ten million and more as Python prints them; an unknown type changes nothing."""
     o = _t(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") * 1e7 + 0.5).alias("big"), F.col("o_orderstatus").alias("same"))
@@ -926,6 +933,7 @@ QUERIES = {
     "output_names": output_names,
     "drop_empty": drop_empty,
     "cleaning_stats_cleaned": cleaning_stats_cleaned,
+    "cleaning_stats_cleaned_texts": cleaning_stats_cleaned_texts,
     "convert_large_and_unknown": convert_large_and_unknown,
     "convert_json_whole": convert_json_whole,
     "null_on_error": null_on_error,

@@ -338,6 +338,8 @@ GROUP BY k.kind UNION ALL SELECT 'new table', 1, 0""",
   'out/target_name=' || c_mktsegment || '/run_id=r1/' || c_mktsegment || '_20240506_070809.csv' AS path FROM customer GROUP BY 1""",
     "drop_empty": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 > 0",
     "cleaning_stats_cleaned": f"""WITH n AS (SELECT count(*) AS n, count(DISTINCT {cs("'  ' || substr(text, 1, 1) || repeat(' ', CAST(doc_id % 3 AS INTEGER))")}) AS k FROM documents)
+SELECT n AS original_count, k AS cleaned_count, n - k AS removed_count, round((n - k) / n, 6) AS removal_rate FROM n""",
+    "cleaning_stats_cleaned_texts": f"""WITH n AS (SELECT count(*) AS n, count(DISTINCT {cs("'  ' || text || repeat(' ', CAST(doc_id % 3 AS INTEGER))")}) AS k FROM documents)
 SELECT n AS original_count, k AS cleaned_count, n - k AS removed_count, round((n - k) / n, 6) AS removal_rate FROM n""",
     "convert_large_and_unknown": """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '0000000.5' AS big, o_orderstatus AS same FROM orders
 WHERE o_orderkey > 0 UNION ALL SELECT o_orderkey, '0.5', o_orderstatus FROM orders WHERE o_orderkey = 0""",

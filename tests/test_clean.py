@@ -108,3 +108,14 @@ def test_rows_without_any_value(spark):
     df = spark.createDataFrame([(1, None, None), (2, None, "x"), (3, "y", None)], "id int, a string, b string")
     assert sorted(r["id"] for r in rows(drop_empty_rows(df, ignore=["id"]))) == [2, 3]
     assert drop_empty_rows(df).count() == 3
+
+
+def test_cleaning_stats_of_whole_texts(spark):
+    """Documents count as equal by their whole cleaned text, whatever blanks stand around it."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF001
+    texts = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").select("text").collect()]
+    r = entry.queries()["cleaning_stats_cleaned_texts"](spark, SF001).collect()[0]
+    k = len({" ".join(t.split()) for t in texts})
+    assert (r.original_count, r.cleaned_count) == (len(texts), k)
+    assert k > len({t.strip()[:1] for t in texts}) and r.removed_count > 0
