@@ -13,7 +13,8 @@ confirmed on full sets, within families:
 
 So a link is lost only if its two sets meet in no order: (1 - s^BASE)^TREES for sets of
 similarity s, about 1 in 90,000 at 0.85 and less above, unless a third set joins them.
-For lower limits ``trees`` can be more: at 0.8 it is 1 in 5,500 with 12 and 1 in 97,000
+Regions that are crowded at full depth are cut by node number, and tasks cut regions;
+the chance leaves both out. For lower limits ``trees`` can be more: at 0.8 it is 1 in 5,500 with 12 and 1 in 97,000
 with 16.
 """
 
