@@ -74,9 +74,12 @@ def slices(batch: pa.RecordBatch, sizes: list[int], limit: int = SLICE_BYTES) ->
 
 
 def text_bytes(batch: pa.RecordBatch, name: str) -> list[int]:
-    """UTF-8 bytes of every row's text, nulls as none."""
+    """Bytes of every row's text (UTF-8) or list of 32-bit numbers, nulls as none."""
     import pyarrow.compute as pc
-    return pc.fill_null(pc.binary_length(batch.column(name)), 0).to_pylist()
+    values = batch.column(name)
+    if pa.types.is_list(values.type):
+        return pc.multiply(pc.fill_null(pc.list_value_length(values), 0), 4).to_pylist()
+    return pc.fill_null(pc.binary_length(values), 0).to_pylist()
 
 
 def with_python_columns(df: DataFrame, column: str, make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
