@@ -157,13 +157,18 @@ def entries(docs: DataFrame, length: int) -> DataFrame:
                         part.column("tag").take(whose), pa.array(at[first]), pa.array(more, pa.list_(pa.int64()))],
                         names=["h", "c", "id", "tag", "at", "more"])
 
-    return docs.mapInArrow(run, "h long, c long, id long, tag int, at long, more array<long>")
+    return docs.mapInArrow(run, "h long, c long, id long, tag binary, at long, more array<long>")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, tag (a hash of the text, for rows of one id) and text."""
+    """id, tag (``text_tag``, for rows of one id) and text."""
     text = F.col(f"`{text_col}`")
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.hash(text).alias("tag"), text.alias("text"))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_tag(text).alias("tag"), text.alias("text"))
+
+
+def text_tag(text: Column) -> Column:
+    """What tells texts of one id (or of none) apart: 128 bits, so that no two of any corpus agree by chance."""
+    return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
 
 def times() -> Column:
@@ -188,7 +193,7 @@ class SuffixFamily:
         self.path = path or scratch_path(spark, "suffix-family")
         self.table = "suffix_family_" + uuid.uuid4().hex
         make_folder(spark, self.path)
-        spark.sql(f"CREATE TABLE {self.table} (h BIGINT, c BIGINT, id BIGINT, tag INT, at BIGINT, more ARRAY<BIGINT>, run STRING) USING parquet "
+        spark.sql(f"CREATE TABLE {self.table} (h BIGINT, c BIGINT, id BIGINT, tag BINARY, at BIGINT, more ARRAY<BIGINT>, run STRING) USING parquet "
                   f"PARTITIONED BY (run) CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
         spark.sql(f"MSCK REPAIR TABLE {self.table}")
         self.made = 0
@@ -482,7 +487,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     spans = find_repeats(docs, length, id_col, text_col, batches, crowded)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_record"), F.col(f"`{id_col}`").cast("long").alias("_id"),
-                       F.hash(text).alias("_tag"), text.alias("_text"))
+                       text_tag(text).alias("_tag"), text.alias("_text"))
     met = rows.join(spans, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tag") == F.col("tag")), "left").select("_record", "_text", "spans")
     met = met.select(*[c for c in met.columns if c != "_record"], "_record")
 

@@ -112,3 +112,14 @@ def test_query(spark):
     want = {i: (w[2], w[2] - len(w[0]), w[1], hashlib.sha256(w[0]).hexdigest()) for (i, _), w in zip(rows, brute(rows, 200))}
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op1_suffix_family"](spark, SF001).collect()}
     assert got == want
+
+
+def test_texts_whose_short_hashes_collide(spark, make_docs):
+    """Rows of one id and of none, among them two texts with one 32-bit hash: only what repeats goes."""
+    from pyspark.sql import functions as F
+    many = spark.range(200_000).select(F.concat_ws(" ", F.lit("no two of these"), F.sha2(F.col("id").cast("string"), 512)).alias("text"))
+    pair = many.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).where(F.size("texts") > 1).orderBy(F.array_min("texts")).first()
+    one, other = sorted(pair.texts)[:2]
+    rows = [(None, one), (None, other), (1, one[20:130])] + [(None, f"{i} " * 40) for i in range(30)] + [(2, one[::-1]), (2, other[::-1])]
+    got = check(make_docs(rows), rows, 64)
+    assert sum(n for i, _, n, _ in got if i == "2") == 0
