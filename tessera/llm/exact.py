@@ -66,9 +66,10 @@ class DigestIndex:
             digest(text).alias("digest"),
             F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars")), "digests")
         best = F.min(F.struct((-F.col("n_chars")).alias("less"), F.col("_id").isNull().alias("none"), "_id", "_row"))
-        groups = narrow.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+        # written, so that the aggregate comes before the joins: one row per digest leaves a map task, and either side
+        # of a join has one
+        groups = written(narrow.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")), "groups")
         known = self.rows().select("digest", F.col("keep_id").alias("known_id"))
-        # one row per digest on either side: no key is hot here
         met = written(groups.join(known.hint("merge"), "digest", "left_anti").select(
             "digest", F.col("best._id").alias("keep_id"), (-F.col("best.less")).alias("n_chars"),
             F.col("best._row").alias("keep_row"), "group_size"), "new-digests")
