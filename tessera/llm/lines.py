@@ -119,9 +119,10 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     numbered = signed.withColumn("copy", F.row_number().over(Window.partitionBy("id", "tag").orderBy("row")))
     every = numbered.select("id", "tag", "copy", "row", F.posexplode("found").alias("chunk", "c")).select(
         "id", "tag", "copy", "row", "chunk", "c.lines", "c.digest").where(F.col("lines") >= least_lines)
-    # one row for each digest leaves a task, however often it occurs
-    again = every.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(
-        F.col("id").isNull().alias("none"), "id", "row", "chunk")).alias("first")).where("times > 1")
+    # one row for each digest leaves a task, however often it occurs; written, so that the join has it and the
+    # chunks straight from their shuffles and a hot digest can be split
+    again = written(every.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(
+        F.col("id").isNull().alias("none"), "id", "row", "chunk")).alias("first")).where("times > 1"), "again")
     met = written(every.join(again, "digest").select("id", "tag", "copy", "chunk", "lines", "digest", (
         (F.col("row") == F.col("first.row")) & (F.col("chunk") == F.col("first.chunk"))).alias("first")), "repeated")
     wanted = met.groupBy("id", "tag").agg(F.collect_set("chunk").alias("wanted"))
@@ -134,7 +135,7 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = whole.where("first").select("digest", F.col("piece").alias("same"))
     gone = whole.where("NOT first").join(first, "digest").where(F.col("piece") == F.col("same"))
     gone = written(gone.select("id", "tag", "copy", "chunk", "lines"), "removed")
-    discard(signed, met, found)
+    discard(signed, again, met, found)
     return gone
 
 
