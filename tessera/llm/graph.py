@@ -8,39 +8,44 @@ from pyspark.sql import functions as F
 from tessera.llm.common import remove, written
 
 
-def _stars(edges: DataFrame, small: bool) -> DataFrame:
+def _stars(edges: DataFrame, small: bool, name: str) -> DataFrame:
     """One star step: a node's neighbours (smaller ones only, or all) go to its least neighbour.
 
-    The least one comes from an aggregate with partial sums on the map side and is joined
-    back, so that a node with a large share of all edges is no single task's matter.
+    The least one comes from an aggregate with partial results on the map side. It is written
+    before it is joined back: so both sides of the join are plain shuffles, and a node with a
+    large share of all edges can be split.
     """
     if small:
         to = edges.select(F.greatest("a", "b").alias("n"), F.least("a", "b").alias("m"))
     else:
         to = edges.select(F.col("a").alias("n"), F.col("b").alias("m")).unionAll(
             edges.select(F.col("b").alias("n"), F.col("a").alias("m")))
-    least = to.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("r"))
+    least = written(to.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("r")), "least")
     met = to.join(least, "n")
     if small:
         new = met.select(F.col("m").alias("a"), F.col("r").alias("b")).unionAll(
             least.select(F.col("n").alias("a"), F.col("r").alias("b")))
     else:
         new = met.where(F.col("m") > F.col("n")).select(F.col("m").alias("a"), F.col("r").alias("b"))
-    return new.where("a <> b").distinct()
+    new = written(new.where("a <> b").distinct(), name)
+    remove(new.sparkSession, least._written_to)
+    return new
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """node, label (least node of its component) of every node in ``edges`` (a, b: longs).
 
     Rounds of a large and a small star until nothing changes, a number that grows with
-    the logarithm of the size. Each round's edges are written to the shared folder.
+    the logarithm of the size. Each step's edges are written to the shared folder.
     Loops and repeated edges are fine; no edges give no rows.
     """
     now = written(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), name)
     seen = None
     while True:
-        last, now = now, written(_stars(_stars(now, small=False), small=True), name)
-        remove(now.sparkSession, last._written_to)
+        large = _stars(now, False, name)
+        last, now = now, _stars(large, True, name)
+        for old in (last, large):
+            remove(now.sparkSession, old._written_to)
         state = now.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
         if state == seen:
             break
