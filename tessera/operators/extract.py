@@ -209,34 +209,37 @@ def next_links(pages: DataFrame, next_selector: str, *, base_url: str | None = N
 def pagination_walk(pages: DataFrame, start_urls: DataFrame, next_selector: str, max_pages: int,
                     *, base_url: str | None = None, url_col: str = "url",
                     html_col: str = "html") -> DataFrame:
-    """E8 over stored pages. The next-link edge table (url -> next_url) is extracted
-    from all pages once and checkpointed; then each round is one join of the
-    frontier with the edges, minus already visited URLs (``left_anti``), up to
-    ``max_pages - 1`` rounds (each start URL yields at most ``max_pages`` pages).
-    Lineage is cut every round with a reliable checkpoint (shared checkpoint dir).
-    Returns (url, depth) of every visited URL that exists in ``pages``."""
+    """E8 over stored pages: (url, depth) of every stored URL that a walk from a start URL
+    reaches by next links, a walk having at most ``max_pages`` pages; depth is the least
+    number of links. Of copies of a page whose next links disagree the least link counts.
+
+    Path doubling: jumps of 1, 2, 4, ... links are made by joining the last ones with
+    themselves, and each lets all URLs reached so far jump once. A path of d links is the
+    sum of the jumps in d's binary form, so a walk of any depth (cycles included) takes
+    log2(max_pages) rounds of two joins on distinct URLs. Each round's tables are cut from
+    their lineage by a reliable checkpoint (shared checkpoint dir)."""
     from tessera.session import checkpoint_dir
     checkpoint_dir(pages.sparkSession)
-    # distinct edges and URLs: copies of one page (a hot URL) collapse in the
-    # map-side partial aggregation instead of skewing the joins below
-    edges = (next_links(pages, next_selector, base_url=base_url, url_col=url_col,
-                        html_col=html_col, keep=())
-             .filter(F.col("next_url").isNotNull())
-             .select("url", "next_url").distinct().checkpoint(eager=True))
-    page_urls = pages.select(F.col(url_col).alias("url")).distinct().checkpoint(eager=True)
-    frontier = (start_urls.select(F.col("url")).distinct()
-                .join(page_urls, "url", "left_semi")
-                .withColumn("depth", F.lit(0)))
-    visited = frontier.checkpoint(eager=True)
-    frontier = visited
-    for depth in range(1, max_pages):
-        nxt = (frontier.join(edges, "url").select(F.col("next_url").alias("url")).distinct()
-               .join(visited.select("url"), "url", "left_anti")
-               .join(page_urls, "url", "left_semi")
-               .withColumn("depth", F.lit(depth))
-               .checkpoint(eager=True))
-        if nxt.isEmpty():
+    # a row for each URL: copies of one page (a hot URL) collapse in the map-side partial
+    # aggregation instead of skewing the joins below
+    known = (next_links(pages, next_selector, base_url=base_url, url_col=url_col, html_col=html_col, keep=())
+             .groupBy("url").agg(F.min("next_url").alias("to")).where("url IS NOT NULL").checkpoint(eager=True))
+    stored = known.select("url")
+    jumps = known.where("to IS NOT NULL").join(stored.select(F.col("url").alias("to")), "to", "left_semi").select("url", "to")
+    reached = (start_urls.select(F.col("url")).distinct().join(stored, "url", "left_semi")
+               .withColumn("depth", F.lit(0)).checkpoint(eager=True))
+    step = 1
+    while step < max_pages:
+        jumps = jumps.checkpoint(eager=True)
+        landed = (reached.where(F.col("depth") + step < max_pages).join(jumps, "url")
+                  .select(F.col("to").alias("url"), (F.col("depth") + step).alias("depth")))
+        reached = reached.unionByName(landed).groupBy("url").agg(F.min("depth").alias("depth")).checkpoint(eager=True)
+        deepest = reached.agg(F.max("depth")).first()[0]
+        if deepest is None or deepest < step:       # depths have no gaps: nothing lies deeper
             break
-        visited = visited.unionByName(nxt)      # both parts are checkpointed: nothing is written again
-        frontier = nxt
-    return visited
+        step *= 2
+        if step >= max_pages:
+            break
+        on = jumps.select(F.col("url").alias("to"), F.col("to").alias("then"))
+        jumps = jumps.join(on, "to").select("url", F.col("then").alias("to"))
+    return reached

@@ -2,92 +2,74 @@
 
 Every version is flattened to (path, value) leaves (objects are descended into, lists
 are leaves: a later list replaces an earlier one whole; an empty object is a leaf of its
-own). The newest leaf of each path is found first, by an aggregate with partial results
-on the map side: an id with a large share of all versions is spread over its paths there.
-What is left of an id, one leaf for each path it ever had, is then folded in the order of
-versions: a leaf replaces what stands at its path or above it, an object replaces a
-scalar and joins an object.
+own). Merging is associative place by place, so it is done by aggregates with partial
+results on the map side and never for a whole id in one task: of each place the newest
+value and the newest empty object are kept, and of each place with something below it the
+newest version that has anything there. With that
+
+- a value stays if it is newer than every value above it, and no newer version has an
+  object in its place;
+- an empty object stays if it is newer than the values in its place and above, and nothing
+  below it is.
+
+Few places hold both a value and something below them; only these meet the leaves again.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.operators.flatten import flatten_json
+from tessera.session import checkpoint_dir
 
 _OBJECT = "{}"
 
 
-def fold(found: list[dict]) -> list[tuple[list[str], str | None]]:
-    """(path, value) of the merged document. ``found``: path, value, object (an empty
-    object stood there) in the order of versions."""
-    root: dict = {}
-    whole: list = []                # a version that is no object replaces the document
-    for leaf in found:
-        path = leaf["path"]
-        if not path:
-            if leaf["object"]:
-                whole = []
-            else:
-                root, whole = {}, [leaf["value"]]
-            continue
-        whole, node = [], root
-        for part in path[:-1]:
-            below = node.get(part)
-            if not isinstance(below, dict):
-                below = node[part] = {}
-            node = below
-        if not leaf["object"]:
-            node[path[-1]] = (leaf["value"],)
-        elif not isinstance(node.get(path[-1]), dict):
-            node[path[-1]] = {}
-    if whole:
-        return [([], whole[0])]
-    out: list[tuple[list[str], str | None]] = []
-    stack: list[tuple[list[str], object]] = [([], root)]
-    while stack:
-        path, v = stack.pop()
-        if isinstance(v, tuple):
-            out.append((path, v[0]))
-        elif v or not path:
-            stack.extend(([*path, k], x) for k, x in reversed(v.items()))
-        else:
-            out.append((path, _OBJECT))
-    return out
+def _same(a: str, b: str, id_cols: list[str], on: str) -> Column:
+    ids = [F.col(f"{a}.`{c}`").eqNullSafe(F.col(f"{b}.`{c}`")) for c in id_cols]
+    return functools.reduce(lambda x, y: x & y, ids, F.col(f"{a}.{on}") == F.col(f"{b}.{on}"))
 
 
 def merge_versions(df: DataFrame, id_cols: list[str], json_col: str, order_by: str | list[str],
                    separator: str = ".") -> DataFrame:
     """Rows (id_cols..., path, value) of the merged document of each id. ``order_by``
     names the version columns, the last ones breaking ties; versions equal in all of
-    them are ordered by a hash of their text. An empty object has the value ``{}``. Keys
-    that hold the separator are merged by their own name. Texts that are no JSON count as
-    no version."""
+    them are ordered by a hash of their text. An empty object has the value ``{}``. A
+    version that is no object replaces the document (its path is empty) and is replaced by
+    the next object; a document that ends empty has no rows. Keys that hold the separator
+    are merged by their own name. Texts that are no JSON count as no version."""
+    checkpoint_dir(df.sparkSession)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    rows = df.select(*id_cols, F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(order)],
-                                        F.xxhash64(json_col).alias("tie")).alias("_ver"), json_col)
-    flat = flatten_json(rows, json_col, [*id_cols, "_ver"], expand_arrays=False, path_parts=True, empty_objects=True)
-    newest = flat.groupBy(*id_cols, "path", "object").agg(
-        F.max_by("value", "_ver").alias("value"), F.max("_ver").alias("_ver"))
-    found = newest.groupBy(*id_cols).agg(
-        F.sort_array(F.collect_list(F.struct("_ver", "path", "object", "value"))).alias("_found"))
-    ids = found.schema.fields[:-1]
-    found = found.select(*id_cols, F.transform("_found", lambda x: F.struct(x["path"].alias("path"), x["object"].alias("object"),
-                                                                              x["value"].alias("value"))).alias("_found"))
-
-    def run(batches):
-        for batch in batches:
-            at, paths, values = [], [], []
-            for i, own in enumerate(batch.column("_found").to_pylist()):
-                for path, v in fold(own):
-                    at.append(i)
-                    paths.append(separator.join(path))
-                    values.append(v)
-            rows = batch.select(range(len(ids))).take(pa.array(at, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(paths, pa.string()), pa.array(values, pa.string())],
-                                             names=[*rows.schema.names, "path", "value"])
-
-    return found.mapInArrow(run, T.StructType([*ids, T.StructField("path", T.StringType()), T.StructField("value", T.StringType())]))
+    ids = [F.col(f"`{c}`") for c in id_cols]
+    rows = df.select(*ids, F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(order)],
+                                    F.xxhash64(json_col).alias("tie")).alias("_ver"), json_col)
+    flat = flatten_json(rows, json_col, [*id_cols, "_ver"], expand_arrays=False, path_parts=True, empty_objects=True, nodes=True)
+    value, empty = ~F.col("object"), F.col("object")
+    places = flat.groupBy(*ids, "at").agg(
+        F.first("path").alias("_path"), F.first("above").alias("_above"),
+        F.max(F.when(value, F.col("_ver"))).alias("_value_ver"),
+        F.max_by("value", F.when(value, F.col("_ver"))).alias("_value"),
+        F.max(F.when(empty, F.col("_ver"))).alias("_empty_ver")).checkpoint()
+    newest = F.greatest("_value_ver", "_empty_ver")
+    below = places.select(*ids, F.explode("_above").alias("at"), newest.alias("_below"))
+    both = (below.withColumn("_value_ver", F.lit(None).cast(places.schema["_value_ver"].dataType))
+            .unionByName(places.select(*ids, "at", F.lit(None).cast(places.schema["_value_ver"].dataType).alias("_below"), newest.alias("_value_ver")))
+            .groupBy(*ids, "at").agg(F.max("_below").alias("_below"), F.max("_value_ver").alias("_own")))
+    # places that are a leaf of some version and have leaves below them in others
+    torn = both.where("_below IS NOT NULL AND _own IS NOT NULL").drop("_own").checkpoint()
+    met = places.alias("p").join(torn.alias("t"), _same("p", "t", id_cols, "at"), "left").select("p.*", "t._below")
+    cuts = met.where("_below IS NOT NULL AND _value_ver IS NOT NULL").select(*ids, "at", F.col("_value_ver").alias("_cut"))
+    reached = places.select(*ids, F.col("at").alias("_leaf"), F.explode("_above").alias("at"))
+    cut = (reached.alias("r").join(cuts.alias("c"), _same("r", "c", id_cols, "at"))
+           .groupBy(*[F.col(f"r.`{c}`") for c in id_cols], F.col("r._leaf").alias("at")).agg(F.max("c._cut").alias("_cut")))
+    out = met.alias("m").join(cut.alias("c"), _same("m", "c", id_cols, "at"), "left").select("m.*", "c._cut")
+    after = lambda a, b: F.col(b).isNull() | (F.col(a) > F.col(b))
+    stays = F.col("_value_ver").isNotNull() & after("_value_ver", "_cut") & after("_value_ver", "_below") & after("_value_ver", "_empty_ver")
+    bare = (F.col("_empty_ver").isNotNull() & (F.size("_path") > 0) & after("_empty_ver", "_value_ver") & after("_empty_ver", "_cut")
+            & (F.col("_below").isNull() | (F.col("_below") < F.greatest("_value_ver", "_cut"))))
+    return out.where(F.coalesce(stays, F.lit(False)) | F.coalesce(bare, F.lit(False))).select(
+        *ids, F.array_join("_path", separator).alias("path"),
+        F.when(F.coalesce(stays, F.lit(False)), F.col("_value")).otherwise(F.lit(_OBJECT)).alias("value"))

@@ -402,11 +402,13 @@ def merge_versions_events(spark, d):
 def flatten_documents(spark, d):
     docs = _t(spark, d, "documents")
     j = F.to_json(F.struct("doc_id", F.struct("text", "lang").alias("body"), F.array(F.struct("source"), F.struct(F.col("lang").alias("source"))).alias("meta"), "n_chars"))
-    return flatten_json(docs.select("doc_id", j.alias("j")), "j", ["doc_id"])
+    odd = F.concat(F.lit(r'{"n":2.50,"big":1e400,"half":"\ud800.","\udfffk":[-0],"doc":'), j, F.lit("}"))
+    return flatten_json(docs.select("doc_id", odd.alias("j")), "j", ["doc_id"])
 
 
 def merge_versions_documents(spark, d):
-    """Scalars over objects, objects over scalars, empty objects, a dotted key, a tie."""
+    """Scalars over objects, objects over scalars, empty objects, a dotted key, a tie; and one
+    id with a quarter of all versions, each with a place of its own."""
     docs = _t(spark, d, "documents")
     js = F.to_json
     first = js(F.struct(F.struct(F.col("text").alias("t")).alias("a"), F.struct(F.lit(1).alias("y")).alias("x"),
@@ -415,7 +417,9 @@ def merge_versions_documents(spark, d):
                 (2, 1, F.lit('{"s":"second"}')), (3, 0, F.when(F.col("doc_id") % 2 == 0, F.lit('{"a":{}}')))]
     every = F.array(*[F.struct(F.lit(v).alias("ver"), F.lit(t).alias("tie"), j.alias("doc")) for v, t, j in versions])
     rows = docs.select("doc_id", F.explode(every).alias("e")).select("doc_id", "e.*").where("doc IS NOT NULL")
-    return merge_versions(rows, ["doc_id"], "doc", ["ver", "tie"])
+    own = F.concat(F.lit('{"k'), F.col("doc_id").cast("string"), F.lit('":{"half":"\\ud800"},"n":'), F.col("doc_id").cast("string"), F.lit('.50}'))
+    hot = docs.select(F.lit(-1).cast("long").alias("doc_id"), F.col("doc_id").cast("int").alias("ver"), F.lit(0).alias("tie"), own.alias("doc"))
+    return merge_versions(rows.unionByName(hot), ["doc_id"], "doc", ["ver", "tie"])
 
 
 def redact_customer(spark, d):
@@ -465,6 +469,7 @@ def target_filter(spark, d):
 def csv_roundtrip(spark, d):
     c = _t(spark, d, "customer")
     path = write_csv(c, scratch_path(spark, "customer_csv"))
+    write_csv(c.withColumn("c_name", F.concat("c_name", F.lit('\r\n"x",\n'))), path, mode="append")
     return read_csv(spark, path)
 
 
@@ -502,6 +507,7 @@ def backup_convert(spark, d):
     tpath = scratch_path(spark, "part_table")
     DocumentTable(spark, tpath).save(p, run_id="r1", target_name="parts")
     loaded = DocumentTable(spark, tpath).load(p.schema).select(*p.columns)
+    loaded = loaded.withColumn("p_type", F.regexp_replace("p_type", " ", "\r\n"))
     out = backup(loaded, scratch_path(spark, "part_backup") + ".csv")
     return read_csv(spark, out)
 
@@ -511,7 +517,7 @@ def csv_append_union(spark, d):
     c = _t(spark, d, "customer")
     path = write_csv(c.select("c_custkey", "c_name"), scratch_path(spark, "union_csv"))
     write_csv(c.select(F.lit("x").alias("a"), "c_custkey", (F.col("c_acctbal") * 1e6).alias("c_big")), path, mode="append")
-    write_csv(c.select("c_custkey", "c_name"), path, mode="append")
+    write_csv(c.select("c_custkey", F.concat("c_name", F.lit("\n"), "c_mktsegment").alias("c_name")), path, mode="append")
     return read_csv(spark, path).select("a", F.round(F.col("c_big").cast("double"), 2).alias("c_big"), "c_custkey", "c_name",
                                         F.length("c_big").alias("digits"))
 
@@ -543,8 +549,8 @@ def table_bad_json(spark, d):
 
 
 def counts_and_clear(spark, d):
-    """Records counted by kind of sink, and after clearing."""
-    c, out = _t(spark, d, "customer"), []
+    """Records (with line breaks) counted by kind of sink, and after clearing."""
+    c, out = _t(spark, d, "customer").withColumn("c_name", F.concat("c_name", F.lit("\nx\r"))), []
     for kind in ("csv", "jsonl", "table"):
         path = write_sink(c, kind, scratch_path(spark, f"count_{kind}"))
         count = {"csv": count_csv, "jsonl": count_jsonl, "table": lambda s, p: DocumentTable(s, p).count()}[kind]
@@ -572,14 +578,8 @@ def drop_empty(spark, d):
 
 
 def cleaning_stats_cleaned(spark, d):
-    """C12 under cleaning before the dedupe, as the flagship does it."""
-    docs = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("  "), F.substring("text", 1, 1), F.repeat(F.lit(" "), (F.col("doc_id") % 3).cast("int"))).alias("t"))
-    out = cleaning_stats(docs, {"remove_duplicates": True, "duplicate_keys": ["t"], "clean_before_dedupe": True}, "doc_id")
-    return out.withColumn("removal_rate", F.round("removal_rate", 6))
-
-
-def cleaning_stats_cleaned_texts(spark, d):
-    """C12 under cleaning before the dedupe, over whole texts between blanks that vary."""
+    """C12 under cleaning before the dedupe, as the flagship does it, over whole texts
+    between blanks that vary."""
     docs = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("  "), "text", F.repeat(F.lit(" "), (F.col("doc_id") % 3).cast("int"))).alias("t"))
     out = cleaning_stats(docs, {"remove_duplicates": True, "duplicate_keys": ["t"], "clean_before_dedupe": True}, "doc_id")
     return out.withColumn("removal_rate", F.round("removal_rate", 6))
@@ -651,12 +651,14 @@ def processed_at(spark, d):
 
 
 def storage_info_customer(spark, d):
+    """Files, and bytes without the files' headers."""
     c = _t(spark, d, "customer")
     path = write_csv(c, scratch_path(spark, "customer_info"))
-    n = count_csv(spark, path)
-    info = storage_info(spark, path, "customer_csv")
-    return info.select("storage", "exists", (F.col("files") > 0).alias("has_files"),
-                       (F.col("size_bytes") > 0).alias("has_bytes"), F.lit(n).cast("long").alias("row_count"))
+    n, header = count_csv(spark, path), len(",".join(f'"{x}"' for x in c.columns)) + 1
+    files = spark.read.text(path).select(F.input_file_name()).distinct().count()
+    return storage_info(spark, path, "customer_csv").select(
+        "storage", "exists", (F.col("files") - files).alias("files_unknown"),
+        (F.col("size_bytes") - F.col("files") * header).alias("data_bytes"), F.lit(n).cast("long").alias("row_count"))
 
 
 # ---------------------------------------------------------------- HTML extraction
@@ -664,17 +666,21 @@ SITE = "http://site.example/p/"
 
 
 def _chained(spark, d) -> DataFrame:
-    """Pages under chained addresses: the first link of a page leads to the next id."""
+    """Pages under chained addresses: the first link of a page leads to the next id, that of
+    every fiftieth 20 pages back."""
     pg = _t(spark, d, "pages")
     link = lambda e: F.concat(F.lit(SITE), e.cast("string"))
+    on = F.when(pg.page_id % 50 == 49, pg.page_id - 20).otherwise(pg.page_id + 1)
     return pg.select("page_id", link(pg.page_id).alias("url"),
-                     F.concat(F.lit('<nav><a class="next" href="'), link(pg.page_id + 1), F.lit('">on</a></nav>'), pg.html).alias("html"))
+                     F.concat(F.lit('<nav><a class="next" href="'), link(on), F.lit('">on</a></nav>'), pg.html).alias("html"))
 
 
 def pagination_chain(spark, d):
-    """Walks of at most 5 pages, from every page whose id ends in 0."""
+    """Every page, walked from those that no page links to; the chains end in cycles."""
     pg = _chained(spark, d)
-    return pagination_walk(pg, pg.where("page_id % 10 = 0").select("url"), "a.next::attr(href)", max_pages=5)
+    linked = next_links(pg, "a.next::attr(href)", keep=()).select(F.col("next_url").alias("url"))
+    starts = pg.select("url").join(linked, "url", "left_anti")
+    return pagination_walk(pg, starts, "a.next::attr(href)", max_pages=1_000_000)
 
 
 def extract_plain_selector(spark, d):
@@ -933,7 +939,6 @@ QUERIES = {
     "output_names": output_names,
     "drop_empty": drop_empty,
     "cleaning_stats_cleaned": cleaning_stats_cleaned,
-    "cleaning_stats_cleaned_texts": cleaning_stats_cleaned_texts,
     "convert_large_and_unknown": convert_large_and_unknown,
     "convert_json_whole": convert_json_whole,
     "null_on_error": null_on_error,

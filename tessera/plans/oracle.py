@@ -294,19 +294,28 @@ FROM c QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
   FROM (SELECT user_id, ts, event_id, {NESTED} AS j FROM events) e, json_tree(e.j) t
   WHERE (t.type <> 'OBJECT' OR CAST(t.value AS VARCHAR) = '{{}}') AND NOT contains(t.fullkey, '['))
 QUALIFY row_number() OVER (PARTITION BY user_id, path ORDER BY ts DESC, event_id DESC) = 1""",
-    "flatten_documents": """SELECT doc_id, 'doc_id' AS path, CAST(doc_id AS VARCHAR) AS value FROM documents
-UNION ALL SELECT doc_id, 'body.text', text FROM documents UNION ALL SELECT doc_id, 'body.lang', lang FROM documents
-UNION ALL SELECT doc_id, 'meta.0.source', source FROM documents
-UNION ALL SELECT doc_id, 'meta.1.source', lang FROM documents
-UNION ALL SELECT doc_id, 'n_chars', CAST(n_chars AS VARCHAR) FROM documents""",
+    "flatten_documents": """SELECT doc_id, 'doc.doc_id' AS path, CAST(doc_id AS VARCHAR) AS value FROM documents
+UNION ALL SELECT doc_id, 'doc.body.text', text FROM documents UNION ALL SELECT doc_id, 'doc.body.lang', lang FROM documents
+UNION ALL SELECT doc_id, 'doc.meta.0.source', source FROM documents
+UNION ALL SELECT doc_id, 'doc.meta.1.source', lang FROM documents
+UNION ALL SELECT doc_id, 'doc.n_chars', CAST(n_chars AS VARCHAR) FROM documents
+UNION ALL SELECT doc_id, o.path, o.value FROM documents,
+  (VALUES ('n', '2.50'), ('big', '1e400'), ('half', chr(65533) || '.'), (chr(65533) || 'k.0', '-0')) o(path, value)""",
     "merge_versions_documents": """SELECT doc_id, 's' AS path, 'second' AS value FROM documents
 UNION ALL SELECT doc_id, 'x.y', '1' FROM documents UNION ALL SELECT doc_id, 'x.y', '2' FROM documents
 UNION ALL SELECT doc_id, 'a.t', text FROM documents WHERE doc_id % 3 <> 0
-UNION ALL SELECT doc_id, 'a', CASE WHEN doc_id % 2 = 0 THEN '{}' ELSE source END FROM documents WHERE doc_id % 3 = 0""",
+UNION ALL SELECT doc_id, 'a', CASE WHEN doc_id % 2 = 0 THEN '{}' ELSE source END FROM documents WHERE doc_id % 3 = 0
+UNION ALL SELECT -1, 'k' || doc_id || '.half', chr(65533) FROM documents
+UNION ALL SELECT -1, 'n', max(doc_id) || '.50' FROM documents""",
     "record_hashes": """SELECT c_custkey, md5('{"c_acctbal": ' || c_acctbal || ', "c_custkey": ' || c_custkey || ', "c_mktsegment": '
   || CASE WHEN c_mktsegment = 'BUILDING' THEN 'null' ELSE '"' || c_mktsegment || '"' END || ', "c_name": "' || c_name || '"}') AS md5 FROM customer""",
-    "pagination_chain": """SELECT 'http://site.example/p/' || page_id AS url, CAST(page_id % 10 AS INTEGER) AS depth
-FROM pages p WHERE page_id % 10 < 5""",
+    "pagination_chain": """WITH RECURSIVE p AS (
+  SELECT 'http://site.example/p/' || page_id AS url,
+    'http://site.example/p/' || (CASE WHEN page_id % 50 = 49 THEN page_id - 20 ELSE page_id + 1 END) AS next_url FROM pages),
+walk(url, depth) AS (
+  SELECT url, 0 FROM p WHERE url NOT IN (SELECT next_url FROM p)
+  UNION SELECT n.url, w.depth + 1 FROM walk w JOIN p ON p.url = w.url JOIN p n ON n.url = p.next_url WHERE w.depth < 60)
+SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url""",
     "extract_plain_selector": "SELECT page_id, CAST(0 AS INTEGER) AS item_pos, 'on' AS text, 'on' AS self FROM pages",
     "run_result": """SELECT page_id, CAST(0 AS INTEGER) AS item_pos, page_id AS num, 'http://h.example/a/r/' || page_id AS link,
   'd' || page_id AS own, CASE WHEN page_id <> 3 THEN 12 / (page_id - 3) END AS ratio, CAST(NULL AS INTEGER) AS as_int
@@ -326,7 +335,8 @@ UNION ALL SELECT 'wrong', 'spec', 1""",
 SELECT r.run_id, 'records' AS target_name, 'success' AS status, scraped AS scraped_count, failed AS failed_count,
   good AS processed_count, CASE WHEN r.run_id = 'r3' THEN 0 ELSE good END AS saved_count,
   CASE WHEN r.run_id = 'r3' THEN 0 ELSE good END AS stored FROM n, (VALUES ('r1'), ('r2'), ('r3')) r(run_id)""",
-    "csv_append_union": """SELECT CAST(NULL AS VARCHAR) AS a, CAST(NULL AS DOUBLE) AS c_big, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+    "csv_append_union": """SELECT CAST(NULL AS VARCHAR) AS a, CAST(NULL AS DOUBLE) AS c_big, CAST(c_custkey AS VARCHAR) AS c_custkey,
+  CASE i WHEN 1 THEN c_name ELSE c_name || chr(10) || c_mktsegment END AS c_name,
   CAST(NULL AS INTEGER) AS digits FROM customer, (VALUES (1), (2)) v(i)
 UNION ALL SELECT 'x', round(c_acctbal * 1e6, 2), CAST(c_custkey AS VARCHAR), NULL, len(CAST(c_acctbal * 1e6 AS VARCHAR)) FROM customer""",
     "csv_dialect": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 'a;"b"; ' || o_orderpriority AS note FROM orders""",
@@ -337,9 +347,7 @@ GROUP BY k.kind UNION ALL SELECT 'new table', 1, 0""",
     "output_names": """SELECT c_mktsegment, count(*) AS n,
   'out/target_name=' || c_mktsegment || '/run_id=r1/' || c_mktsegment || '_20240506_070809.csv' AS path FROM customer GROUP BY 1""",
     "drop_empty": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 > 0",
-    "cleaning_stats_cleaned": f"""WITH n AS (SELECT count(*) AS n, count(DISTINCT {cs("'  ' || substr(text, 1, 1) || repeat(' ', CAST(doc_id % 3 AS INTEGER))")}) AS k FROM documents)
-SELECT n AS original_count, k AS cleaned_count, n - k AS removed_count, round((n - k) / n, 6) AS removal_rate FROM n""",
-    "cleaning_stats_cleaned_texts": f"""WITH n AS (SELECT count(*) AS n, count(DISTINCT {cs("'  ' || text || repeat(' ', CAST(doc_id % 3 AS INTEGER))")}) AS k FROM documents)
+    "cleaning_stats_cleaned": f"""WITH n AS (SELECT count(*) AS n, count(DISTINCT {cs("'  ' || text || repeat(' ', CAST(doc_id % 3 AS INTEGER))")}) AS k FROM documents)
 SELECT n AS original_count, k AS cleaned_count, n - k AS removed_count, round((n - k) / n, 6) AS removal_rate FROM n""",
     "convert_large_and_unknown": """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '0000000.5' AS big, o_orderstatus AS same FROM orders
 WHERE o_orderkey > 0 UNION ALL SELECT o_orderkey, '0.5', o_orderstatus FROM orders WHERE o_orderkey = 0""",
@@ -366,7 +374,9 @@ SELECT count_if(b AND NOT e) AS active_runs, count_if(NOT b AND NOT e) AS queue_
     "target_filter": "SELECT o_orderkey, o_totalprice, o_orderpriority AS target_name FROM orders WHERE o_orderpriority = '2-HIGH'",
 
     "csv_roundtrip": """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-  CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
+  CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name || chr(13) || chr(10) || '"x",' || chr(10), CAST(c_nationkey AS VARCHAR),
+  CAST(c_acctbal AS VARCHAR), c_mktsegment FROM customer""",
     "jsonl_roundtrip": "SELECT * FROM conversations",
     "jsonl_ascii_roundtrip": "SELECT doc_id, text FROM documents",
     "table_roundtrip": """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'r1' AS run_id,
@@ -374,10 +384,11 @@ SELECT count_if(b AND NOT e) AS active_runs, count_if(NOT b AND NOT e) AS queue_
     "export_target": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority, 'r1' AS run_id,
   o_orderpriority AS target_name FROM orders WHERE o_orderpriority = '1-URGENT'""",
-    "backup_convert": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
+    "backup_convert": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, replace(p_type, ' ', chr(13) || chr(10)) AS p_type,
   CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
-    "storage_info": """SELECT 'customer_csv' AS storage, true AS exists, true AS has_files, true AS has_bytes,
-  count(*) AS row_count FROM customer""",
+    "storage_info": """SELECT 'customer_csv' AS storage, true AS exists, 0 AS files_unknown,
+  CAST(sum(len(CAST(c_custkey AS VARCHAR)) + strlen(c_name) + len(CAST(c_nationkey AS VARCHAR)) + len(CAST(c_acctbal AS VARCHAR))
+    + strlen(c_mktsegment) + 15) AS BIGINT) AS data_bytes, count(*) AS row_count FROM customer""",
 
     "extract_title": f"SELECT page_id, {TITLE} AS title FROM pages",
     "extract_nav_links": NAV_LINKS,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,42 +31,74 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """``path`` and its sub-folders of files with other columns (hidden from plain reads
-    by their underscore)."""
+def csv_folders(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(folder, cells hold line breaks) of ``path`` and its sub-folders (hidden from plain
+    reads by their underscore): files with other columns, and whole batches with line breaks."""
     fs, p = _fs(spark, path)
     if not fs.exists(p) or fs.getFileStatus(p).isFile():
-        return [path]
-    more = [str(x.getPath()) for x in fs.listStatus(p) if x.isDirectory() and x.getPath().getName().startswith("_columns-")]
-    return [path, *sorted(more)]
+        return [(path, False)]
+    here = fs.listStatus(p)
+    names = [x.getPath().getName() for x in here if x.isDirectory()]
+    done = [n for n in names if n.startswith("_lines-") and fs.exists(_fs(spark, f"{path}/{n}/_done")[1])]
+    more = [(n, False) for n in sorted(names) if n.startswith("_columns-")] + [(n, True) for n in sorted(done)]
+    plain = any(x.isFile() and not x.getPath().getName().startswith(("_", ".")) for x in here)
+    own = [(path, False)] if plain or not more else []
+    return own + [(f"{path.rstrip('/')}/{n}", lines) for n, lines in more]
 
 
 def _reader(spark: SparkSession, delimiter: str, encoding: str, multiline: bool):
     # enforceSchema off: a file whose header differs from the first one's fails the read
-    return (spark.read.option("header", "true").option("sep", delimiter).option("multiLine", str(multiline).lower())
-            .option("quote", '"').option("escape", '"').option("encoding", encoding)
-            .option("inferSchema", "false").option("emptyValue", "").option("enforceSchema", "false"))
+    r = (spark.read.option("header", "true").option("sep", delimiter).option("multiLine", str(multiline).lower())
+         .option("quote", '"').option("escape", '"').option("encoding", encoding)
+         .option("inferSchema", "false").option("emptyValue", "").option("enforceSchema", "false"))
+    # a break within a cell must not be taken for the file's own line end
+    return r.option("lineSep", "\n") if multiline else r
 
 
 def write_csv(df: DataFrame, path: str, *, delimiter: str = ",", quote_all: bool = True,
               encoding: str = "utf-8", header: bool = True, mode: str = "overwrite") -> str:
     """Columns in sorted order, every cell text, quote character doubled.
     ``mode`` 'append' adds files; files with other columns than the first ones go to a
-    sub-folder for those columns, so that every folder has one header (D16)."""
+    sub-folder for those columns, so that every folder has one header (D16).
+
+    Whether any cell holds a line break is seen while the rows are written. Such a batch
+    stays in a folder of its own, which ``read_csv`` reads as records that span lines; all
+    other files can be split by lines when they are read."""
     spark = df.sparkSession
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and mode in ("error", "errorifexists", "ignore"):
+        if mode == "ignore":
+            return path
+        raise FileExistsError(path)
+    if mode == "overwrite":
+        fs.delete(p, True)
     cols = sorted(df.columns)
     out = df.select(*[csv_cell(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in cols])
-    to = path
-    fs, p = _fs(spark, path)
+    to = path.rstrip("/")
     if mode == "append" and header and fs.exists(p) and any(
             x.isFile() and not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(p)):
         if _reader(spark, delimiter, encoding, False).csv(path).columns != cols:
-            to = f"{path.rstrip('/')}/_columns-{hashlib.md5(repr(cols).encode()).hexdigest()[:12]}"
-    (out.write.mode(mode)
-        .option("header", str(header).lower()).option("sep", delimiter)
+            to = f"{to}/_columns-{hashlib.md5(repr(cols).encode()).hexdigest()[:12]}"
+    batch = uuid.uuid4().hex
+    own = f"{path.rstrip('/')}/_lines-{batch}"
+    seen = Observation(f"csv_{batch}")
+    broken = functools.reduce(lambda a, b: a | b, [F.col(f"`{c}`").rlike("[\r\n]") for c in cols], F.lit(False))
+    (out.observe(seen, F.max(F.coalesce(broken, F.lit(False)).cast("int")).alias("breaks")).write
+        .option("header", str(header).lower()).option("sep", delimiter).option("lineSep", "\n")
         .option("quoteAll", str(quote_all).lower()).option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
         .option("emptyValue", "").option("nullValue", "").option("encoding", encoding)
-        .csv(to))
+        .csv(own))
+    staged = _fs(spark, own)[1]
+    if seen.get.get("breaks") or any(set(c) & set("\r\n") for c in cols):
+        fs.create(_fs(spark, f"{own}/_done")[1]).close()
+        return path
+    fs.mkdirs(_fs(spark, to)[1])
+    for x in fs.listStatus(staged):
+        if x.getPath().getName().startswith("part-"):
+            fs.rename(x.getPath(), _fs(spark, f"{to}/{x.getPath().getName()}")[1])
+    fs.create(_fs(spark, f"{to}/_SUCCESS")[1], True).close()
+    fs.delete(staged, True)
     return path
 
 
@@ -73,13 +107,13 @@ def read_csv(spark: SparkSession, path: str, *, delimiter: str = ",", encoding:
     """S3: every column a string; empty cells (written for nulls) read back as ''.
     Files of other columns appended by ``write_csv`` are read by their own header and
     stacked by name (null where a file lacks the column); foreign files that disagree
-    with the first header fail the read instead of shifting. ``multiline`` is for cells
-    that hold line breaks; it makes a file one task's work. With ``revive_json`` cells
-    starting with '{' or '[' become VARIANT values when they parse
-    (``try_parse_json``), the other cells VARIANT strings."""
+    with the first header fail the read instead of shifting. Batches that ``write_csv``
+    found to hold line breaks are read as such, a file at a time; ``multiline`` says so of
+    foreign files. With ``revive_json`` cells starting with '{' or '[' become VARIANT
+    values when they parse (``try_parse_json``), the other cells VARIANT strings."""
     df = None
-    for folder in _folders(spark, path):
-        part = _reader(spark, delimiter, encoding, multiline).csv(folder)
+    for folder, lines in csv_folders(spark, path):
+        part = _reader(spark, delimiter, encoding, multiline or lines).csv(folder)
         # CSV keeps no null: an empty cell reads back as '' (as the reference does)
         part = part.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in part.columns])
         df = part if df is None else df.unionByName(part, allowMissingColumns=True)

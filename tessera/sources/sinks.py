@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.csv import write_csv
+from tessera.sources.csv import csv_folders, write_csv
 from tessera.sources.doctable import DocumentTable
 from tessera.sources.jsonl import write_jsonl
 
@@ -74,7 +74,7 @@ def storage_info(spark: SparkSession, path: str, name: str | None = None) -> Dat
                                      F.lit(0).cast("long").alias("files"),
                                      F.lit(0).cast("long").alias("size_bytes"),
                                      F.lit(None).cast("timestamp").alias("modified"))
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f for f, _ in csv_folders(spark, path)])
              .filter(~F.regexp_like(F.col("path"), F.lit(r"/[_.][^/]*$")))
              .select("length", "modificationTime"))
     return files.agg(F.count(F.lit(1)).cast("long").alias("files"),

@@ -182,3 +182,23 @@ def test_only_the_driver_has_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "GOT x" in out.stdout, out.stderr[-800:]
+
+
+def test_walks_by_doubling(spark):
+    """Chains, cycles, copies that disagree and links out of the table, for any number of pages."""
+    nxt = {i: i + 1 for i in range(40)} | {40: 30, 50: 51, 51: 52, 52: 50, 60: 99, 70: 70}
+    html = lambda to: f'<a class="n" href="http://t.example/{to}">on</a>'
+    pages = [(f"http://t.example/{i}", html(to)) for i, to in nxt.items()] + [("http://t.example/80", ""), ("http://t.example/51", html(53))]
+    df = spark.createDataFrame(pages * 2, "url string, html string")
+    starts = spark.createDataFrame([(f"http://t.example/{i}",) for i in (0, 25, 51, 60, 70, 80, 99, 0)], "url string")
+    for most in (1, 2, 3, 7, 8, 9, 33, 1000):
+        want = {}
+        for s in (0, 25, 51, 60, 70, 80):
+            at, d = s, 0
+            while d < most and (at in nxt or at == 80):
+                want[at] = min(d, want.get(at, d))
+                at, d = nxt.get(at), d + 1
+                if d > 200:
+                    break
+        got = {int(r.url.rsplit("/", 1)[1]): r.depth for r in pagination_walk(df, starts, "a.n::attr(href)", max_pages=most).collect()}
+        assert got == want, most

@@ -23,19 +23,19 @@ def items(spark):
 
 def test_csv_roundtrip_and_cells(spark):
     path = write_csv(items(spark), scratch_path(spark, "t_csv"))
-    back = read_csv(spark, path, multiline=True)
+    back = read_csv(spark, path)
     assert back.columns == ["active", "age", "name", "run_id", "tags"]      # sorted union
     got = {r["name"]: r for r in rows(back)}
     assert got["Bob, \"Jr\""]["tags"] == "[]" and got["Ann"]["tags"] == '["a", "b"]'
     assert got["Ann"]["active"] == "True" and got["Cé\nline"]["age"] == ""
-    assert count_csv(spark, path, multiline=True) == 3
-    text = "".join(open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.endswith(".csv"))
+    assert count_csv(spark, path) == 3
+    text = "".join(open(os.path.join(at, f)).read() for at, _, files in os.walk(path) for f in files if f.endswith(".csv"))
     assert '"Bob, ""Jr"""' in text
 
 
 def test_csv_revive_json(spark):
     path = write_csv(items(spark), scratch_path(spark, "t_csv2"))
-    back = read_csv(spark, path, revive_json=True, multiline=True)
+    back = read_csv(spark, path, revive_json=True)
     r = {x["name"]: x for x in back.select(F.variant_get("name", "$", "string").alias("name"),
                                           F.try_variant_get("tags", "$", "array<string>").alias("tags")).collect()}
     assert r["Ann"]["tags"] == ["a", "b"]
@@ -167,3 +167,22 @@ def test_jsonl_rejects(spark):
         fh.write('{broken\n\n{"name": "Zed", "age": 1}\n')
     good, bad = read_jsonl_with_rejects(spark, path, items(spark).schema)
     assert good.count() == 4 and bad.count() == 1
+
+
+@pytest.mark.parametrize("quote_all", [True, False])
+def test_csv_cells_with_line_breaks(spark, tmp_path, quote_all):
+    """What is written by default reads back; batches without breaks stay splittable."""
+    from tessera.sources.csv import csv_folders
+    path = str(tmp_path / "c")
+    odd = [("a\nb", 1), ("c", 2), ('q"\r\n"z,', 3), ("\r", 4), (" tail\n", 5), ("  ", 6)]
+    write_csv(spark.createDataFrame([("x", 0)], "s string, n int"), path, quote_all=quote_all)
+    write_csv(spark.createDataFrame(odd, "s string, n int").coalesce(1), path, mode="append", quote_all=quote_all)
+    write_csv(spark.createDataFrame([(" y ", 7)], "s string, n int"), path, mode="append", quote_all=quote_all)
+    got = {(r.s, r.n) for r in read_csv(spark, path).collect()}
+    assert got == {(s, str(n)) for s, n in [("x", 0), *odd, (" y ", 7)]}
+    assert count_csv(spark, path) == 8
+    assert [lines for _, lines in csv_folders(spark, path)] == [False, True]
+    write_csv(spark.createDataFrame([("z", 7)], "s string, n int"), path)
+    assert [(r.s, r.n) for r in read_csv(spark, path).collect()] == [("z", "7")]
+    write_csv(spark.createDataFrame(odd, "s string, n int"), path)
+    assert count_csv(spark, path) == 6 and [lines for _, lines in csv_folders(spark, path)] == [True]

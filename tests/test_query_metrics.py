@@ -1,5 +1,7 @@
 """Search (Q1-Q5), metrics (A1-A14), chunks, merge, flatten, redact."""
 
+import random
+
 from pyspark.sql import functions as F
 
 import tessera.functions as tf
@@ -135,14 +137,14 @@ def test_merge_versions_matches_recursive_merge(spark):
                     result[k] = v
         return result
 
-    def flat(d, p=""):
-        out = {}
+    def flat(d, p=None):
+        out = []                        # pairs: keys with dots may give one path twice
         for k, v in d.items():
-            key = f"{p}.{k}" if p else k
+            key = k if p is None else f"{p}.{k}"
             if isinstance(v, dict) and v:
-                out.update(flat(v, key))
+                out += flat(v, key)
             else:
-                out[key] = v if v != {} else "{}"
+                out.append((key, v if v != {} else "{}"))
         return out
 
     versions = {
@@ -154,15 +156,44 @@ def test_merge_versions_matches_recursive_merge(spark):
         3: [{"o": 5, "p": {}, "q": {"r": 1}}, {"o": {}, "p": {"z": 0}, "q": {}}],
         4: [{"a": {"b": 1}, "a.b": 2}, {"a": {"c": {}}}, {"a": {"c": 7}}],
     }
+    rng = random.Random(3)
+
+    def some(depth):
+        kinds = [lambda: rng.randrange(9), lambda: {}, lambda: [1, {"a": None}], lambda: None]
+        if depth < 4:
+            kinds += [lambda: {rng.choice("ab.c"): some(depth + 1) for _ in range(rng.randrange(1, 4))}] * 5
+        return rng.choice(kinds)()
+
+    def document():
+        d = some(0)
+        return d if isinstance(d, dict) else document()
+
+    for i in range(10, 90):
+        versions[i] = [document() for _ in range(rng.randrange(1, 7))]
+    versions[99] = [document() for _ in range(200)]         # an id with a great share of all versions
     rows_in = [(i, v, json.dumps(d)) for i, ds in versions.items() for v, d in enumerate(ds)]
     df = spark.createDataFrame(rows_in, "id int, ver int, doc string")
     got = {}
     for r in merge_versions(df, ["id"], "doc", "ver").collect():
-        got.setdefault(r["id"], {})[r["path"]] = r["value"]
+        got.setdefault(r["id"], []).append((r["path"], r["value"]))
     for i, ds in versions.items():
-        want = {k: (None if v is None else json.dumps(v, separators=(",", ":")) if isinstance(v, (list, bool)) else str(v))
-                for k, v in flat(merge_dicts(*ds)).items()}
-        assert got[i] == want
+        want = [(k, None if v is None else json.dumps(v, separators=(",", ":")) if isinstance(v, (list, bool)) else str(v))
+                for k, v in flat(merge_dicts(*ds))]
+        assert sorted(got.get(i, []), key=str) == sorted(want, key=str), i
+
+
+def test_any_json_row_is_flattened_and_merged(spark):
+    """Halves of surrogate pairs, numbers of any size, documents that are no objects."""
+    from tessera.operators.merge import merge_versions
+    docs = [(1, 0, r'{"k":"\ud800","\udfff":[2.50,"\ud83d\ude00"],"n":1e400,"m":-0}'), (1, 1, r'{"n":12345678901234567890123}'),
+            (2, 0, '{"a":{"b":1}}'), (2, 1, "7"), (3, 0, "[1]"), (3, 1, '{"a":{}}'), (4, 0, '{"a":1}'), (4, 1, "{}"), (5, 0, "null"),
+            (6, 0, '{"a":1}'), (6, 1, "3"), (6, 2, "{}"), (None, 0, '{"a":1}'), (None, 1, '{"b":2}'), (7, 0, "no json"), (8, 0, None)]
+    df = spark.createDataFrame(docs, "id int, ver int, doc string")
+    one = [(r.path, r.value) for r in flatten_json(df.limit(1), "doc", ["id"]).collect()]
+    assert one == [("k", "\ufffd"), ("\ufffd.0", "2.50"), ("\ufffd.1", "\U0001f600"), ("n", "1e400"), ("m", "-0")]
+    got = sorted(((r.id, r.path, r.value) for r in merge_versions(df, ["id"], "doc", "ver").collect()), key=str)
+    assert got == sorted([(1, "k", "\ufffd"), (1, "\ufffd", '[2.50,"\U0001f600"]'), (1, "n", "12345678901234567890123"), (1, "m", "-0"), (2, "", "7"),
+                          (3, "a", "{}"), (4, "a", "1"), (5, "", None), (None, "a", "1"), (None, "b", "2")], key=str)
 
 
 def test_flatten_long_strings_and_deep_nesting(spark):
@@ -178,7 +209,7 @@ def test_flatten_long_strings_and_deep_nesting(spark):
     assert by[1] == [("a", long)]
     assert by[2] == [(".".join(["0"] * 200), "1")]
     assert set(by) == {1, 2, 8, 9, 10}
-    assert by[8] == [("a.b", "1"), ("a.b", "2")] and by[9] == [("", "root")] and by[10] == [("", "1000.0")]
+    assert by[8] == [("a.b", "1"), ("a.b", "2")] and by[9] == [("", "root")] and by[10] == [("", "1e3")]
     cut = rows(flatten_json(spark.createDataFrame([(1, '{"a":{"b":[1,{"c":null}]}}')], "id int, j string"), "j", ["id"], max_depth=2))
     assert [(r["path"], r["value"]) for r in cut] == [("a.b", '[1,{"c":null}]')]
 
