@@ -5,7 +5,8 @@ the key ranges between splitters; ranges that hold more than their share are giv
 splitters of their own, drawn from within them, until none is overfull. Ranges are put
 end to end; sums over the ranges (bounded in number) say where each begins, and a window
 inside a range (bounded in size) says where each record lies. A shard is then an equal
-stretch of bytes: its last range is cut where the stretch ends.
+stretch of bytes: its last range is cut where the stretch ends, or, if a group of equal
+keys lies there that is no larger than a shard, before or after that group.
 """
 
 from __future__ import annotations
@@ -44,9 +45,11 @@ def shard_by_size(df: DataFrame, keys: list[Column], size: Column, shards: int,
 
     Returns _record (struct of all columns of ``df``, so no name clashes), _size, shard
     and slot (gapless from 0 in key order within a shard). ``keys`` are columns of
-    numbers, strings, dates or booleans; nulls sort first. Rows of equal keys are told
-    apart by a row number, so that one key with a third of all rows is subdivided like
-    any other range. A stretch is off by one record's size at most. A null size or one
+    numbers, strings, dates or booleans; nulls sort first. Rows whose first key is equal are
+    a group and lie in one shard, that of the group's middle, unless they hold more bytes
+    than a shard should: such a group (it may have a third of all rows) is subdivided like
+    any other range, its rows told apart by the other keys and a row number. So a stretch
+    is off by half a group's size at each end, and by half a record's where one is cut. A null size or one
     below 1 counts as 1. An empty table gives no rows; with fewer rows than shards some
     shards stay empty. Everything in ``df`` is written and shuffled once: pass ids and
     sizes rather than texts where that will do.
@@ -92,14 +95,23 @@ def shard_by_size(df: DataFrame, keys: list[Column], size: Column, shards: int,
                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"))
     inside = Window.partitionBy("_range").orderBy("_key")
     upto = inside.rowsBetween(Window.unboundedPreceding, -1)
-    placed = (ranged.select("_record", "_size", "_range",
+    placed = (ranged.select("_record", "_size", "_range", F.col("_key.k0").alias("_group"),
                             (F.row_number().over(inside) - 1).alias("i"),
                             F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("b"))
               .join(F.broadcast(starts), "_range"))
-    middle = (F.col("b0") + F.col("b")) * 2 + F.col("_size")
-    placed = written(placed.select(
-        "_record", "_size", (F.col("n0") + F.col("i")).alias("at"),
-        F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(2 * total))).cast("int").alias("shard")), "placed")
+
+    def stretch(begin: Column, length: Column) -> Column:
+        return F.least(F.lit(shards - 1), F.floor((begin * 2 + length) * shards / F.lit(2 * total))).cast("int")
+
+    begin = F.col("b0") + F.col("b")
+    placed = written(placed.select("_record", "_size", "_group", (F.col("n0") + F.col("i")).alias("at"), begin.alias("begin"),
+                                   stretch(begin, F.col("_size")).alias("shard")), "placed")
+    # a group lies across a cut: one for each cut at most
+    torn = placed.groupBy("_group").agg(F.min("begin").alias("g0"), F.sum("_size").alias("gb"), F.min("shard").alias("lo"), F.max("shard").alias("hi"))
+    torn = torn.where((F.col("lo") < F.col("hi")) & (F.col("gb") * shards <= F.lit(total))).select(
+        F.col("_group").alias("_torn"), stretch(F.col("g0"), F.col("gb")).alias("whole"))
+    placed = written(placed.join(F.broadcast(torn), F.col("_group").eqNullSafe(F.col("_torn")), "left").select(
+        "_record", "_size", "at", F.coalesce("whole", "shard").alias("shard")), "whole-groups")
     first = placed.groupBy("shard").agg(F.min("at").alias("first"))       # one row per shard
     return placed.join(F.broadcast(first), "shard").select(
         "_record", "_size", "shard", (F.col("at") - F.col("first")).alias("slot"))

@@ -24,7 +24,14 @@ def test_a_key_with_a_third_of_all_rows(spark):
                                   (F.col("id") % 50 + 1).alias("size"), F.lit(1).alias("_size"))
     out = shard_by_size(df, [F.col("k")], F.col("size"), 8, ranges=4).collect()
     at = check(out, 3000, 8)
-    balanced(at, sum(r._size for r in out), 8, 50)
+    total = sum(r._size for r in out)
+    groups = {}
+    for r in out:
+        groups.setdefault(r._record.k, []).append(r)
+    sizes = {k: sum(r._size for r in g) for k, g in groups.items()}
+    assert sizes[7] > total / 8 and len({r.shard for r in groups[7]}) > 1           # larger than a shard: subdivided
+    assert all(len({r.shard for r in g}) == 1 for k, g in groups.items() if sizes[k] <= total / 8)
+    balanced(at, total, 8, max(50, *(n for k, n in sizes.items() if n <= total / 8)))
     order = sorted(out, key=lambda r: (r.shard, r.slot))              # shards are stretches of key order
     assert [r._record.k for r in order] == sorted(r._record.k for r in out)
 
@@ -56,5 +63,10 @@ def test_query(spark):
     assert all((r.size, r.text_crc32) == (len(texts[r.doc_id]) + 16, zlib.crc32(texts[r.doc_id])) for r in out)
     at = check(out, len(texts), 40)
     sizes = [sum(r.size for r in at[s]) for s in range(40)]
-    assert max(sizes) - min(sizes) <= 2 * max(r.size for r in out)
+    groups = {}
+    for r in out:
+        groups.setdefault(texts[r.doc_id], []).append(r)
+    of = {t: sum(r.size for r in g) for t, g in groups.items()}
+    assert max(sizes) - min(sizes) <= 2 * max(of.values())
+    assert all(len({r.shard for r in g}) == 1 for t, g in groups.items() if of[t] <= sum(sizes) / 40)
     assert not any(x in df._jdf.queryExecution().toString() for x in ("Python", "Arrow", "Pandas"))
