@@ -28,7 +28,9 @@ from tessera.llm.common import with_python_columns
 #: The sign that stands for a space in pieces.
 SPACE_SIGN = "▁"
 #: Words (in each of two generations) that a Python worker remembers, the longest it does, and words looked up at once.
-CACHE_WORDS, CACHE_CHARS, TOGETHER = 250_000, 64, 1 << 18
+CACHE_WORDS, CACHE_CHARS, TOGETHER = 250_000, 64, 1 << 16
+#: Bytes of texts that stand in arrays at a time.
+SLICE = 2 << 20
 #: Kinds of pieces as the model file numbers them.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: What a pair of neighbours can be besides the piece they make: parts of some piece, or parts of none.
@@ -280,7 +282,7 @@ def encode(df: DataFrame, model_file: str, text_col: str = "text", out: str = "i
 
         return work
 
-    return with_python_columns(df, text_col, make, StructType([StructField(out, ArrayType(IntegerType()))]))
+    return with_python_columns(df, text_col, make, StructType([StructField(out, ArrayType(IntegerType()))]), SLICE)
 
 
 def decode(df: DataFrame, model_file: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -292,4 +294,4 @@ def decode(df: DataFrame, model_file: str, ids_col: str = "ids", out: str = "dec
         codec = _codec(model_file)
         return lambda ids: [pa.array([codec.decode(x) for x in ids.to_pylist()], pa.string())]
 
-    return with_python_columns(df, ids_col, make, StructType([StructField(out, StringType())]))
+    return with_python_columns(df, ids_col, make, StructType([StructField(out, StringType())]), SLICE)
