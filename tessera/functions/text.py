@@ -74,7 +74,7 @@ def slugify(c) -> Column:
     """Lower, strip, drop characters that are not word/space/hyphen, runs of
     hyphens or whitespace -> '-', trim hyphens, empty -> 'untitled'."""
     s = strip_ws(F.lower(col(c)))
-    s = F.regexp_replace(s, rf"[^\p{{L}}\p{{N}}_{WS}-]", "")
+    s = F.regexp_replace(s, rf"[^a-z0-9 \p{{L}}\p{{N}}_{WS}-]+", "")
     s = F.regexp_replace(F.translate(s, WS_CHARS, "-" * len(WS_CHARS)), "-{2,}", "-")
     s = F.btrim(s, F.lit("-"))
     return F.when(s == "", F.lit("untitled")).otherwise(s)

@@ -8,17 +8,18 @@ the de-duplication.
 
 from __future__ import annotations
 
-import json
-
 import functools
+import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import clean_string
+from tessera.operators.chunk import _TASK_BITS
 from tessera.operators.dedupe import dedupe_first
 from tessera.operators.validate import validate
+from tessera.session import scratch_path
 
 EMPTY_DEFAULT = object()
 
@@ -95,20 +96,45 @@ def fill_missing(df: DataFrame, defaults: dict) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
+def carry_forward(df: DataFrame, fields: list[str], partition_by: list[str], order_by) -> DataFrame:
+    """Nulls of ``fields`` become the last value before them in the same key's ``order_by``
+    order, as a segmented scan: rows are range-partitioned on (key, order), so that a key
+    with any share of the rows spans tasks; within a task the last value is a window over
+    that task's rows of the key; the last values of a key's earlier tasks (one row for
+    each key and task) give what goes before. Rows and their numbers are written once, as
+    another run of the sort could number ties otherwise."""
+    spark, keys = df.sparkSession, list(partition_by)
+    order = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
+    by = [*[_q(k) for k in keys], *[_q(c) if isinstance(c, str) else c for c in order]]
+    numbered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_number", F.monotonically_increasing_id())
+    path = scratch_path(spark, "carried")
+    numbered.write.parquet(path)
+    rows = spark.read.schema(numbered.schema).parquet(path).withColumn("_task", F.shiftright("_number", _TASK_BITS))
+    here = Window.partitionBy("_task", *[_q(k) for k in keys]).orderBy("_number").rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.groupBy("_task", *[_q(k) for k in keys]).agg(*[
+        F.max_by(_q(f), F.when(_q(f).isNotNull(), F.col("_number"))).alias(f"_end_{i}") for i, f in enumerate(fields)])
+    before = Window.partitionBy(*[_q(k) for k in keys]).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select(F.col("_task").alias("_t"), *[_q(k).alias(f"_key_{i}") for i, k in enumerate(keys)],
+                         *[F.last(f"_end_{i}", ignorenulls=True).over(before).alias(f"_start_{i}") for i in range(len(fields))])
+    same = F.col("_task") == F.col("_t")
+    for i, k in enumerate(keys):
+        same = same & _q(k).eqNullSafe(F.col(f"_key_{i}"))
+    filled = rows.withColumns({f"_here_{i}": F.last(_q(f), ignorenulls=True).over(here) for i, f in enumerate(fields)}).join(starts, same)
+    found = {f: F.coalesce(f"_here_{i}", f"_start_{i}") for i, f in enumerate(fields)}
+    return filled.select(*[found[c].alias(c) if c in found else _q(c) for c in df.columns])
+
+
 def interpolate_missing(df: DataFrame, defaults: dict, method: str | None = None,
                         partition_by: list[str] | None = None, order_by=None) -> DataFrame:
     """As in the reference, an alias of :func:`fill_missing`. With
     ``method='ffill'`` (extension) a null takes the last non-null value of the same
-    partition in ``order_by`` order before defaults apply; the window is always
-    partitioned so no single task sees the whole table."""
+    partition in ``order_by`` order (see :func:`carry_forward`) before defaults apply."""
     if method == "ffill":
         if not partition_by or order_by is None:
             raise ValueError("ffill needs partition_by and order_by")
-        from pyspark.sql import Window
-        w = (Window.partitionBy(*partition_by).orderBy(order_by)
-             .rowsBetween(Window.unboundedPreceding, 0))
-        df = df.withColumns({f: F.last(_q(f), ignorenulls=True).over(w)
-                             for f in defaults if f in df.columns})
+        fields = [f for f in defaults if f in df.columns and f not in partition_by]
+        if fields:
+            df = carry_forward(df, fields, partition_by, order_by)
     return fill_missing(df, defaults)
 
 

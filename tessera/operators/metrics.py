@@ -1,16 +1,20 @@
 """Run metrics and data-quality checks (A1-A14) as aggregations over tables.
 
 Every operator is a single aggregate (partial aggregation on the map side, one
-shuffle of at most #groups rows per task); nothing is collected to the driver.
+shuffle of at most #groups rows per task), but for the course of gauges, a prefix sum over
+ranges of time; only its totals, one for each task, are collected to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.chunk import _TASK_BITS
+from tessera.session import scratch_path
+
 # Upper bounds (seconds) of the duration histogram buckets; +Inf follows.
 DURATION_BUCKETS = [0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 25.0, 50.0, 100.0]
 
@@ -128,6 +132,40 @@ def active_runs(log: DataFrame, started: Column, ended: Column, run_id: str = "r
                     F.count_if(~F.col("_begun") & ~F.col("_ended")).cast("long").alias("queue_size"))
 
 
+def gauge_course(log: DataFrame, at: str, changes: dict[str, Column]) -> DataFrame:
+    """A7 gauges in the course of time: ``at`` and the value of each gauge once all that
+    happened at that time has. ``changes`` gives what a row adds to each gauge (null:
+    nothing). Rows without a time are not counted.
+
+    A prefix sum over the whole log without one task that sees it: changes are summed by
+    time on the map side, times are range-partitioned, and a task adds up its own range;
+    what went before is the sum of the earlier ranges' totals (one row for each task)."""
+    spark = log.sparkSession
+    names = list(changes)
+    steps = log.where(F.col(at).isNotNull()).groupBy(F.col(at).alias(at)).agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(n) for n, c in changes.items()])
+    numbered = steps.repartitionByRange(at).sortWithinPartitions(at).withColumn("_number", F.monotonically_increasing_id())
+    path = scratch_path(spark, "course")
+    numbered.write.parquet(path)
+    rows = spark.read.schema(numbered.schema).parquet(path).withColumn("_task", F.shiftright("_number", _TASK_BITS))
+    totals = rows.groupBy("_task").agg(*[F.sum(n).alias(n) for n in names]).orderBy("_task").collect()    # a row for each task
+    before, sums = [], [0] * len(names)
+    for r in totals:
+        before.append((r["_task"], *sums))
+        sums = [s + r[n] for s, n in zip(sums, names)]
+    starts = spark.createDataFrame(before, "_task long, " + ", ".join(f"_before_{i} {numbered.schema[n].dataType.simpleString()}" for i, n in enumerate(names)))
+    own = Window.partitionBy("_task").orderBy("_number").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.join(F.broadcast(starts), "_task").select(
+        at, *[(F.col(f"_before_{i}") + F.sum(n).over(own)).alias(n) for i, n in enumerate(names)])
+
+
+def gauge_peaks(course: DataFrame, at: str) -> DataFrame:
+    """Of each gauge of a course: its greatest value, when it was first reached, and the last value."""
+    names = [c for c in course.columns if c != at]
+    peak = lambda n: F.struct(F.lit(n).alias("gauge"), F.max(n).alias("peak"),
+                              F.min_by(at, F.struct(-F.col(n), F.col(at))).alias("peak_at"), F.max_by(n, at).alias("last_value"))
+    return course.agg(F.array(*[peak(n) for n in names]).alias("g")).select(F.explode("g").alias("g")).select("g.*")
+
+
 def quality_report(df: DataFrame) -> DataFrame:
     """Rows, total null cells and duplicated rows. One shuffle, of a 256-bit digest
     for each row rather than its cells (partial aggregation first)."""

@@ -8,6 +8,7 @@ driver from the schema, never a chain of ``withColumn`` calls.
 from __future__ import annotations
 
 import contextlib
+import threading
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -121,10 +122,22 @@ class FunctionRegistry:
 
     @staticmethod
     def register_pandas_udf(spark, name: str, fn: Callable, return_type) -> Callable:
+        """``fn`` (pandas Series -> Series) as the SQL function ``name`` of any spec."""
         udf = F.pandas_udf(fn, return_type)
         spark.udf.register(name, udf)
         return udf
 
+    @staticmethod
+    def register_generator(spark, name: str, handler: type, return_type) -> None:
+        """A row generator: a class whose ``eval`` yields rows, run Arrow-batched as the SQL
+        table function ``name``, for ``row_generators`` of any spec."""
+        spark.udtf.register(name, F.udtf(handler, returnType=return_type, useArrow=True))
+
+    @staticmethod
+    def unregister(spark, name: str) -> None:
+        """Forget a registered function or generator; a spec that names it then fails."""
+        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS `{name}`")
+
 
 def _resolve(df: DataFrame, fn) -> Column:
     if isinstance(fn, Column):
@@ -136,18 +149,23 @@ def _resolve(df: DataFrame, fn) -> Column:
     return fn(df)
 
 
+_resolving = threading.RLock()
+
+
 @contextlib.contextmanager
 def null_on_error(df: DataFrame):
     """Expressions resolved within give null where they fail (division by zero, a text
     that is no number, an index out of bounds) instead of ending the job: whether an
-    operation raises is settled when it is resolved. Whole numbers beyond 64 bits wrap."""
+    operation raises is settled when it is resolved. Whole numbers beyond 64 bits wrap.
+    The setting is the session's, so one thread at a time resolves expressions this way."""
     conf, key = df.sparkSession.conf, "spark.sql.ansi.enabled"
-    before = conf.get(key)
-    conf.set(key, "false")
-    try:
-        yield
-    finally:
-        conf.set(key, before)
+    with _resolving:
+        before = conf.get(key)
+        conf.set(key, "false")
+        try:
+            yield
+        finally:
+            conf.set(key, before)
 
 
 def add_computed_columns(df: DataFrame, functions) -> DataFrame:
@@ -167,11 +185,19 @@ def evaluate_expression(df: DataFrame, expr: str, name: str = "result") -> DataF
         return df.withColumn(name, F.expr(expr))
 
 
+def generate_rows(df: DataFrame, call: str) -> DataFrame:
+    """Each row beside every row that a registered table function yields for it, such as
+    ``"lines_of(text)"``; a row without any is dropped."""
+    return df.sparkSession.sql(f"SELECT _rows.*, _made.* FROM {{df}} AS _rows, LATERAL {call} AS _made", df=df)
+
+
 def transform(df: DataFrame, spec: dict, registry: FunctionRegistry | None = None) -> DataFrame:
-    """Mapping -> conversion -> computed columns (spec ``custom_functions`` plus
-    every function in the registry, D5)."""
+    """Mapping -> conversion -> row generators -> computed columns (spec
+    ``custom_functions`` plus every function in the registry, D5)."""
     df = apply_field_mapping(df, spec.get("field_mapping"))
     df = convert_types(df, spec.get("type_conversions"), spec.get("keep_raw", True))
+    for call in spec.get("row_generators") or ():
+        df = generate_rows(df, call)
     fns = dict(spec.get("custom_functions") or {})
     if registry is not None:
         fns.update(dict(registry.items()))
@@ -193,3 +219,24 @@ def transform_stats(original: DataFrame, transformed: DataFrame) -> DataFrame:
         F.array_join(arr(tf - of), ",").alias("added_fields"),
         F.array_join(arr(of - tf), ",").alias("removed_fields"),
         F.array_join(arr(of & tf), ",").alias("common_fields"))
+
+
+def variant_stats(original: DataFrame, transformed: DataFrame, column: str = "value") -> DataFrame:
+    """T13 for records without a schema (one VARIANT column): fields are the union over the
+    rows, as rows may hold different ones. Keys are aggregated on the map side, one row for
+    each field leaves a task; rows that are no objects have no fields."""
+    def fields(df: DataFrame, mark: str) -> DataFrame:
+        keys = F.map_keys(F.try_variant_get(column, "$", "map<string,variant>"))
+        return df.select(F.explode(keys).alias("field")).distinct().select("field", *[F.lit(mark == m).alias(m) for m in ("_o", "_t")])
+
+    def count(df: DataFrame, mark: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(*[(F.col("n") if mark == m else F.lit(None).cast("long")).alias(f"n{m}") for m in ("_o", "_t")])
+
+    both = fields(original, "_o").unionByName(fields(transformed, "_t")).groupBy("field").agg(F.max("_o").alias("_o"), F.max("_t").alias("_t"))
+    every = (both.unionByName(count(original, "_o"), allowMissingColumns=True).unionByName(count(transformed, "_t"), allowMissingColumns=True))
+    names = lambda cond: F.array_join(F.array_sort(F.collect_list(F.when(cond, F.col("field")))), ",")
+    o, t = F.coalesce("_o", F.lit(False)), F.coalesce("_t", F.lit(False))
+    return every.agg(
+        F.max("n_o").alias("original_count"), F.max("n_t").alias("transformed_count"),
+        F.count_if(o).cast("long").alias("original_field_count"), F.count_if(t).cast("long").alias("transformed_field_count"),
+        names(t & ~o).alias("added_fields"), names(o & ~t).alias("removed_fields"), names(o & t).alias("common_fields"))

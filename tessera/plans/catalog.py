@@ -14,17 +14,18 @@ from pyspark.sql import types as T
 from tessera import functions as tf
 from tessera.operators import computed, metrics
 from tessera.operators.chunk import assign_chunks
-from tessera.operators.clean import clean, clean_strings, cleaning_stats, drop_empty_rows, handle_missing
+from tessera.operators.clean import clean, clean_strings, cleaning_stats, drop_empty_rows, handle_missing, interpolate_missing
 from tessera.operators.dedupe import dedupe_first
 from tessera.operators.extract import extract_items, extract_targets, next_links, pagination_walk
 from tessera.operators.flatten import flatten_json
 from tessera.operators.merge import merge_versions
 from tessera.operators.search import filter_by_field, newest_first, search
 from tessera.operators.transform import (CONV_ERRORS_COL, FunctionRegistry, apply_field_mapping, convert_types,
-                                         evaluate_expression, transform, transform_stats)
+                                         evaluate_expression, transform, transform_stats, variant_stats)
 from tessera.operators.validate import ERRORS_COL, error_counts, validate
-from tessera.plans.runner import append_run_log, build_plan, failures, plan_only, run_all_targets, run_target
+from tessera.plans.runner import append_run_log, build_plan, failures, plan_only, run_all_targets, run_outputs, run_target
 from tessera.session import read_table, scratch_path, table_path
+from tessera.sources.batches import BatchStore
 from tessera.sources.csv import count_csv, read_csv, write_csv
 from tessera.sources.doctable import DocumentTable
 from tessera.sources.jsonl import count_jsonl, read_jsonl, write_jsonl
@@ -79,6 +80,16 @@ def missing_interpolate(spark, d):
     return handle_missing(_orders_with_gaps(spark, d), m)
 
 
+def missing_ffill(spark, d):
+    """Values carried forward; one key has a third of the rows."""
+    e = _t(spark, d, "events").select(
+        "event_id", "ts", F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("user_id")).alias("key"),
+        F.when(F.col("event_type").isin("click", "error"), F.col("value")).alias("value"),
+        F.when(F.col("event_type") == "purchase", F.col("event_type")).alias("kind"))
+    return interpolate_missing(e, {"value": -1.0, "kind": "none"}, "ffill", ["key"], ["ts", "event_id"]).select(
+        "event_id", "key", "value", "kind")
+
+
 # ---------------------------------------------------------------- de-duplication
 def dedupe_first_documents(spark, d):
     docs = _t(spark, d, "documents")
@@ -168,6 +179,13 @@ def transform_stats_documents(spark, d):
     return transform_stats(docs, transform(docs, transform_spec()))
 
 
+def transform_stats_variant(spark, d):
+    """T13 over records without a schema: each row has other fields."""
+    e = _t(spark, d, "events")
+    made = lambda name, more: e.select(F.parse_json(F.concat(F.lit('{"'), name, F.lit('":1,"p":'), "props", F.lit(more))).alias("value"))
+    return variant_stats(made(F.col("event_type"), "}"), made(F.upper("event_type"), ',"score":null}'))
+
+
 # ---------------------------------------------------------------- transformation
 def field_mapping(spark, d):
     c = _t(spark, d, "customer")
@@ -430,12 +448,34 @@ def redact_customer(spark, d):
                       F.col("extra")["segment"].alias("segment"))
 
 
+def redact_json_values(spark, d):
+    """U14 in JSON text and VARIANT at any depth, and in a map of structs."""
+    e = _t(spark, d, "events")
+    text = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "AUTH":'), "props",
+                    F.lit(', "l":[{"api_Token" : [1, {"x":"]"}], "n": 1.50}, "token"],"p":{"q":'), "props", F.lit("}}"))
+    pair = F.struct("event_type", "user_id")
+    rows = e.select("event_id", text.alias("doc"), F.parse_json(text).alias("v"), F.create_map(F.lit("secret"), pair, F.lit("plain"), pair).alias("m"))
+    out = tf.redact(rows, json_cols=("doc",))
+    got = lambda path: F.variant_get("v", path, "string")
+    return out.select("event_id", "doc", got("$.AUTH").alias("auth"), got("$.l[0].api_Token").alias("token"), got("$.p.q.k").alias("k"),
+                      *[F.col("m")[m][c].alias(f"{m}_{c}") for m in ("secret", "plain") for c in ("event_type", "user_id")])
+
+
 # ---------------------------------------------------------------- search (Q1-Q5)
 def search_eq(spark, d):
     e = _t(spark, d, "events")
     return search(e, {"event_type": "error", "props": '{"k": 69}'}).select("event_id", "user_id", "event_type", "value")
 
 
+def search_hot(spark, d):
+    """Equality on hot columns of stored items, by sorted files and Bloom filters."""
+    e = _t(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    hot = T.StructType([T.StructField("event_type", T.StringType()), T.StructField("user_id", T.LongType())])
+    t = DocumentTable(spark, scratch_path(spark, "events_hot"), hot)
+    t.save(e, target_name="events")
+    return t.load(e.schema, where={"event_type": "error", "user_id": 69}).select(*e.columns)
+
+
 def filter_field(spark, d):
     return filter_by_field(_t(spark, d, "orders"), "o_orderstatus", "F").select("o_orderkey", "o_totalprice")
 
@@ -542,9 +582,8 @@ def table_bad_json(spark, d):
     t = DocumentTable(spark, scratch_path(spark, "bad_json"))
     t.save(c, target_name="t", batch_key="b")
     cut = F.when(F.get_json_object("data", "$.c_custkey").cast("long") % 4 == 0, F.expr("substring(data, 1, length(data) - 3)")).otherwise(F.col("data"))
-    bad = scratch_path(spark, "bad_json_cut")
-    t.table().withColumn("data", cut).drop("batch").write.partitionBy("target_name").parquet(bad + "/batch=b")
-    t = DocumentTable(spark, bad)
+    rows, t = t.table().withColumn("data", cut), DocumentTable(spark, scratch_path(spark, "bad_json_cut"))
+    t.restore(rows)
     return t.load(c.schema).select("c_custkey", "c_name").withColumn("stored", F.lit(t.count()).cast("long"))
 
 
@@ -617,6 +656,22 @@ def registry_functions(spark, d):
     return transform(_t(spark, d, "documents").select("doc_id", "text", "n_chars"), {}, reg).drop("text")
 
 
+class _Sentences:
+    """A row generator: number and length of what lies between full stops."""
+
+    def eval(self, text: str):
+        for i, part in enumerate((text or "").split(". ")):
+            yield i, len(part)
+
+
+def registry_generators(spark, d):
+    """A row generator and an Arrow function, registered by name and used in a spec."""
+    FunctionRegistry.register_generator(spark, "sentences_of", _Sentences, "pos int, n int")
+    FunctionRegistry.register_pandas_udf(spark, "twice_of", lambda s: s * 2, "int")
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    return transform(docs, {"row_generators": ["sentences_of(text)"], "custom_functions": {"twice": "twice_of(n)"}}).drop("text")
+
+
 def bad_urls(spark, d):
     """Invalid authorities and references of many shapes."""
     pg = _t(spark, d, "pages")
@@ -644,6 +699,22 @@ def active_runs(spark, d):
     return metrics.active_runs(e, F.col("event_type") == "click", F.col("event_type") == "purchase", "user_id")
 
 
+def _course(spark, d) -> DataFrame:
+    e = _t(spark, d, "events")
+    kind = lambda k: (F.col("event_type") == k).cast("long")
+    return metrics.gauge_course(e, "ts", {"active": kind("click") - kind("purchase"), "queue": kind("signup") - kind("click")})
+
+
+def gauge_course(spark, d):
+    """Running jobs and the queue whenever they change."""
+    return _course(spark, d).select(tf.format_ntz("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "active", "queue")
+
+
+def gauge_peaks(spark, d):
+    """The peak of each gauge, and when it was reached."""
+    return metrics.gauge_peaks(_course(spark, d), "ts").withColumn("peak_at", tf.format_ntz("peak_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def processed_at(spark, d):
     """T11i: the time is the run's; its presence is what can be compared."""
     docs = _t(spark, d, "documents").select("doc_id")
@@ -748,6 +819,36 @@ def run_record(spark, d):
         F.coalesce("stored", F.lit(0)).alias("stored"))
 
 
+class _Interrupted(BatchStore):
+    """A store that fails between two writes of a batch."""
+
+    def commit(self, key, outputs):
+        def fails(_):
+            raise IOError("interrupted")
+        return super().commit(key, {**outputs, "run_log": fails})
+
+
+def run_outputs_stored(spark, d):
+    """Results, rejects, errors and log rows of all targets in one commit. The
+    first run fails between its writes and is given again, twice; a second run follows."""
+    path = scratch_path(spark, "run_outputs")
+    heads = {"name": "heads", "extract": {"item_selector": "html", "fields": {"title": "h1::text"}}}
+    specs = [{**RECORD_SPEC, "transformer": {}}, heads, {"name": "wrong", "extract": {"fields": {}}}]
+    pages, store = _record_pages(spark, d), BatchStore(spark, path)
+    for run, to in (("r1", _Interrupted(spark, path)), ("r1", store), ("r1", store), ("r2", store)):
+        try:
+            run_outputs(pages, specs, to, run)
+        except IOError:
+            pass
+    out = store.read("run_log").select("run_id", "target_name", F.explode(F.create_map(*[x for c in ("scraped", "failed", "processed", "saved") for x in (
+        F.lit(f"log: {c}"), F.col(f"{c}_count"))])).alias("output", "n"))
+    for key in ("r1", "r2"):
+        for name in ("results", "rejected", "errors"):
+            out = out.unionByName(store.read(name, key).groupBy("target_name").agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(key).alias("run_id"), "target_name", F.lit(name).alias("output"), "n"))
+    return out
+
+
 def extract_title(spark, d):
     pg = _t(spark, d, "pages")
     return extract_items(pg, "html", {"title": "h1::text"}).select("page_id", "title")
@@ -886,6 +987,7 @@ QUERIES = {
     "missing_drop": missing_drop,
     "missing_default": missing_default,
     "missing_interpolate": missing_interpolate,
+    "missing_ffill": missing_ffill,
     "dedupe_first": dedupe_first_documents,
     "dedupe_events": dedupe_events,
     "validate_good": validate_good,
@@ -895,6 +997,7 @@ QUERIES = {
     "clean_string_arrays": clean_string_arrays,
     "cleaning_stats": cleaning_stats_documents,
     "transform_stats": transform_stats_documents,
+    "transform_stats_variant": transform_stats_variant,
     "field_mapping": field_mapping,
     "convert_string": convert_string,
     "convert_int": convert_int,
@@ -924,6 +1027,7 @@ QUERIES = {
     "flatten_documents": flatten_documents,
     "merge_versions_documents": merge_versions_documents,
     "redact": redact_customer,
+    "redact_json": redact_json_values,
     "pagination_chain": pagination_chain,
     "extract_plain_selector": extract_plain_selector,
     "run_result": run_result,
@@ -931,6 +1035,7 @@ QUERIES = {
     "run_all_targets": run_all_targets_results,
     "run_all_failures": run_all_targets_failures,
     "run_record": run_record,
+    "run_outputs": run_outputs_stored,
     "csv_append_union": csv_append_union,
     "csv_dialect": csv_dialect,
     "table_own_id": table_own_id,
@@ -943,11 +1048,15 @@ QUERIES = {
     "convert_json_whole": convert_json_whole,
     "null_on_error": null_on_error,
     "registry_functions": registry_functions,
+    "registry_generators": registry_generators,
     "bad_urls": bad_urls,
     "scrape_counters": scrape_counters,
     "active_runs": active_runs,
+    "gauge_course": gauge_course,
+    "gauge_peaks": gauge_peaks,
     "processed_at": processed_at,
     "search_eq": search_eq,
+    "search_hot": search_hot,
     "filter_field": filter_field,
     "newest_topk": newest_topk,
     "target_filter": target_filter,

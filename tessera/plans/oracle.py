@@ -172,6 +172,9 @@ NESTED = """'{"u":{"id":' || CAST(user_id AS VARCHAR) || ',"t":"' || event_type
 
 TS6 = "'%Y-%m-%d %H:%M:%S.%f'"
 
+COURSE = """WITH c AS (SELECT ts, sum(sum((event_type = 'click')::INT - (event_type = 'purchase')::INT)) OVER (ORDER BY ts) AS active,
+  sum(sum((event_type = 'signup')::INT - (event_type = 'click')::INT)) OVER (ORDER BY ts) AS queue FROM events GROUP BY ts)"""
+
 SQL = {
     "flagship_clean_dedupe_transform": f"""
 WITH c AS (SELECT doc_id, {cs('text')} AS text, {cs('lang')} AS lang, {cs('source')} AS source FROM documents)
@@ -185,6 +188,11 @@ FROM c QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
     "missing_interpolate": f"""SELECT o_orderkey, {_fill('o_orderstatus', 'O')}, {_fill('o_orderpriority', '3-MEDIUM')}
   FROM ({GAPS})""",
 
+    "missing_ffill": """SELECT event_id, key,
+  coalesce(last_value(v IGNORE NULLS) OVER w, -1.0) AS value, coalesce(last_value(k IGNORE NULLS) OVER w, 'none') AS kind
+FROM (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS key,
+  CASE WHEN event_type IN ('click', 'error') THEN value END AS v, CASE WHEN event_type = 'purchase' THEN event_type END AS k FROM events)
+WINDOW w AS (PARTITION BY key ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
     "dedupe_first": """SELECT doc_id, lang, source, n_chars FROM documents
   QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
     "dedupe_events": """SELECT event_id, user_id, event_type, value FROM events
@@ -210,6 +218,10 @@ FROM c QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
   'body,origin,text_length,word_count' AS added_fields, 'source,text' AS removed_fields,
   'doc_id,lang,n_chars' AS common_fields FROM documents""",
 
+    "transform_stats_variant": """SELECT count(*) AS original_count, count(*) AS transformed_count,
+  count(DISTINCT event_type) + 1 AS original_field_count, count(DISTINCT event_type) + 2 AS transformed_field_count,
+  string_agg(DISTINCT upper(event_type), ',' ORDER BY upper(event_type)) || ',score' AS added_fields,
+  string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS removed_fields, 'p' AS common_fields FROM events""",
     "field_mapping": """SELECT c_name AS name, c_acctbal AS balance, c_mktsegment AS segment, c_custkey, c_nationkey
   FROM customer""",
     "convert_string": """SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
@@ -335,6 +347,14 @@ UNION ALL SELECT 'wrong', 'spec', 1""",
 SELECT r.run_id, 'records' AS target_name, 'success' AS status, scraped AS scraped_count, failed AS failed_count,
   good AS processed_count, CASE WHEN r.run_id = 'r3' THEN 0 ELSE good END AS saved_count,
   CASE WHEN r.run_id = 'r3' THEN 0 ELSE good END AS stored FROM n, (VALUES ('r1'), ('r2'), ('r3')) r(run_id)""",
+    "run_outputs": """WITH r AS (SELECT unnest(['r1', 'r2']) AS run_id),
+n AS (SELECT count_if(page_id % 7 <> 0) AS scraped, count_if(page_id % 7 = 0) AS bad, count_if(page_id % 7 <> 0 AND page_id % 5 = 0) AS out,
+  count_if(page_id % 7 <> 0 AND page_id % 5 <> 0) AS good, count(*) AS n FROM pages),
+v AS (SELECT 'records' AS target_name, unnest(['log: scraped', 'log: failed', 'log: processed', 'log: saved', 'results', 'rejected', 'errors']) AS output,
+    unnest([scraped, bad + out, good, good, good, out, bad]) AS n FROM n
+  UNION ALL SELECT 'heads', unnest(['log: scraped', 'log: failed', 'log: processed', 'log: saved', 'results']), unnest([n, 0, n, n, n]) FROM n
+  UNION ALL SELECT 'wrong', unnest(['log: scraped', 'log: failed', 'log: processed', 'log: saved', 'errors']), unnest([0, 1, 0, 0, 1]))
+SELECT run_id, target_name, output, n FROM r, v""",
     "csv_append_union": """SELECT CAST(NULL AS VARCHAR) AS a, CAST(NULL AS DOUBLE) AS c_big, CAST(c_custkey AS VARCHAR) AS c_custkey,
   CASE i WHEN 1 THEN c_name ELSE c_name || chr(10) || c_mktsegment END AS c_name,
   CAST(NULL AS INTEGER) AS digits FROM customer, (VALUES (1), (2)) v(i)
@@ -356,6 +376,8 @@ WHERE o_orderkey > 0 UNION ALL SELECT o_orderkey, '0.5', o_orderstatus FROM orde
     "null_on_error": """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 2 THEN round((l_orderkey + 1) / (l_linenumber - 2), 6) END AS ratio,
   CAST(NULL AS INTEGER) AS as_int, CASE WHEN l_linenumber <= 2 THEN CAST(l_linenumber AS INTEGER) END AS third FROM lineitem""",
     "registry_functions": "SELECT doc_id, n_chars, n_chars * 2 AS twice, right(text, 3) AS tail FROM documents",
+    "registry_generators": """SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, CAST(len(parts[i]) AS INTEGER) AS n, CAST(2 * len(parts[i]) AS INTEGER) AS twice
+FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(text, '. ') AS parts FROM documents))""",
     "bad_urls": """SELECT page_id, CASE page_id % 6 WHEN 0 THEN NULL WHEN 4 THEN 'other.example' ELSE '' END AS domain,
   CASE page_id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'https://base.example/x/' || page_id WHEN 2 THEN 'https://base.example/x/y/z?q=' || page_id
     WHEN 3 THEN 'https://base.example/x/y/a/' || page_id WHEN 4 THEN 'https://other.example/' || page_id
@@ -364,10 +386,17 @@ WHERE o_orderkey > 0 UNION ALL SELECT o_orderkey, '0.5', o_orderstatus FROM orde
   count_if(event_type <> 'error') AS processed, count_if(event_type = 'error') AS failed FROM events GROUP BY 1""",
     "active_runs": """WITH r AS (SELECT user_id, bool_or(event_type = 'click') AS b, bool_or(event_type = 'purchase') AS e FROM events GROUP BY 1)
 SELECT count_if(b AND NOT e) AS active_runs, count_if(NOT b AND NOT e) AS queue_size FROM r""",
+    "gauge_course": f"""{COURSE} SELECT strftime(ts, {TS6}) AS ts, CAST(active AS BIGINT) AS active, CAST(queue AS BIGINT) AS queue FROM c""",
+    "gauge_peaks": f"""{COURSE}, g AS (SELECT ts, 'active' AS gauge, active AS v FROM c UNION ALL SELECT ts, 'queue', queue FROM c)
+SELECT gauge, CAST(max(v) AS BIGINT) AS peak, strftime(arg_min(ts, (-v, ts)), {TS6}) AS peak_at, CAST(arg_max(v, ts) AS BIGINT) AS last_value FROM g GROUP BY gauge""",
     "processed_at": "SELECT doc_id, true AS has_time FROM documents",
     "redact": """SELECT '***REDACTED***' AS c_custkey, c_name, '***REDACTED***' AS c_nationkey, c_acctbal, c_mktsegment,
   '***REDACTED***' AS api_token, c_mktsegment AS segment FROM customer""",
 
+    "redact_json": """SELECT event_id, '{"id": ' || event_id || ', "AUTH":"***REDACTED***", "l":[{"api_Token" : "***REDACTED***", "n": 1.50}, "token"],"p":{"q":'
+  || props || '}}' AS doc, '***REDACTED***' AS auth, '***REDACTED***' AS token, props ->> '$.k' AS k,
+  '***REDACTED***' AS secret_event_type, CAST(NULL AS BIGINT) AS secret_user_id, event_type AS plain_event_type, user_id AS plain_user_id FROM events""",
+    "search_hot": "SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'error' AND user_id = 69",
     "search_eq": """SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'error' AND props = '{"k": 69}'""",
     "filter_field": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
     "newest_topk": f"SELECT event_id, strftime(ts, {TS6}) AS ts FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 10",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tessera.operators.htmltree import compile_selector
 from tessera.operators.transform import transform
 from tessera.operators.validate import ERRORS_COL
 from tessera.session import checkpoint_dir
+from tessera.sources.batches import BatchStore
 from tessera.sources.sinks import SINK_KINDS, write_sink
 
 
@@ -28,7 +30,7 @@ SPEC_KEYS = {"name", "extract", "provenance", "order_by", "cleaner", "transforme
 EXTRACT_KEYS = {"item_selector", "fields", "keep", "multi"}
 CLEANER_KEYS = {"remove_duplicates", "duplicate_keys", "handle_missing", "field_validation", "clean_before_dedupe",
                 "drop_empty_rows", "clean_strings"}
-TRANSFORMER_KEYS = {"field_mapping", "type_conversions", "custom_functions", "keep_raw"}
+TRANSFORMER_KEYS = {"field_mapping", "type_conversions", "row_generators", "custom_functions", "keep_raw"}
 STRATEGIES = {"drop", "default", "interpolate"}
 
 
@@ -224,3 +226,67 @@ def run_all_targets(pages: DataFrame, specs: list[dict], run_id: str = "all",
     if out is None:
         raise ValueError("; ".join(f"{n}: {r}" for n, r in wrong) or "no targets")
     return out, log
+
+
+def _log_of_run(run_id: str, specs: list[dict], store: BatchStore, seconds: Callable[[], float]) -> Callable[[dict], DataFrame]:
+    """The run log's rows, one for each target, counted from the outputs as they were stored."""
+    def made(written: dict[str, DataFrame]) -> DataFrame:
+        counted = None
+        for name, column in (("extracted", "scraped_count"), ("errors", "failed_count"), ("rejected", "failed_count"), ("results", "processed_count")):
+            part = written[name].groupBy("target_name").agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit(column))
+            counted = part if counted is None else counted.unionByName(part)
+        kinds = ("scraped_count", "failed_count", "processed_count")
+        wide = counted.groupBy("target_name").agg(*[F.sum(F.when(F.col("what") == k, F.col("n"))).alias(k) for k in kinds])
+        known = [(s.get("name"), "; ".join(spec_problems(s)) or None) for s in specs]
+        every = written["results"].sparkSession.createDataFrame(known, "target_name string, error string")
+        count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+        return every.join(wide, "target_name", "left").select(
+            F.lit(run_id).alias("run_id"), "target_name", F.when(F.col("error").isNull(), "success").otherwise("failed").alias("status"),
+            F.lit(round(seconds(), 3)).alias("duration_s"), *[count(k).alias(k) for k in kinds], count("processed_count").alias("saved_count"),
+            F.lit(store.path).alias("output_path"), F.lit(False).alias("dry_run"), "error",
+            F.current_timestamp().alias("finished_at"))
+
+    return made
+
+
+def run_outputs(pages: DataFrame, specs: list[dict], store: BatchStore, run_id: str | None = None,
+                keep: tuple = ("page_id",), key: str | None = None) -> bool:
+    """Run several targets and store all that comes of it as one batch: ``results``
+    (stacked by name), ``rejected`` (rows that validation rejects, as JSON text, with the
+    reasons), ``errors`` (pages and items whose extraction failed, and targets whose spec is
+    wrong) and ``run_log`` (a row for each target, as ``append_run_log`` stores them).
+
+    Pages are parsed once. All four become visible together; a run that fails half-way
+    leaves none, and ``key`` (``run_id`` unless given) is stored once however often it is
+    given. Returns whether this call stored it."""
+    spark, run_id = pages.sparkSession, run_id or f"run_{uuid.uuid4().hex[:12]}"
+    key = key or run_id
+    if store.manifests.has(key):
+        return False
+    start = time.time()
+    wrong = [(s.get("name"), "; ".join(spec_problems(s))) for s in specs if spec_problems(s)]
+    sound = [s for s in specs if not spec_problems(s)]
+    if not sound:
+        raise ValueError("; ".join(f"{n}: {r}" for n, r in wrong) or "no targets")
+    items = _all_items(pages, sound, keep)
+    place = [*keep, "source_url", "item_pos"]
+    results = rejects = errors = None
+    for spec in sound:
+        own = items.filter(F.col("target_name") == spec["name"]).select(*place, *spec["extract"]["fields"], "_error")
+        good, rejected, failed = build_plan(pages, spec, run_id, items=own)
+        failed = failed.select(F.lit(spec["name"]).alias("target_name"), *place, F.col("_error").alias("reason"))
+        results = good if results is None else results.unionByName(good, allowMissingColumns=True)
+        errors = failed if errors is None else errors.unionByName(failed)
+        if rejected is not None:
+            row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rejected.columns if c != ERRORS_COL]), {"ignoreNullFields": "false"})
+            part = rejected.select(F.lit(spec["name"]).alias("target_name"), *place, F.array_join(ERRORS_COL, ",").alias("reason"), row.alias("data"))
+            rejects = part if rejects is None else rejects.unionByName(part)
+    nothing = lambda df, own: [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in place if c not in own]
+    if rejects is None:
+        rejects = errors.where("false").withColumn("data", F.lit(None).cast("string"))
+    if wrong:
+        errors = errors.unionByName(spark.createDataFrame(wrong, "target_name string, reason string").select(
+            "target_name", *nothing(errors, ()), "reason"))
+    extracted = items.where("_error IS NULL").select("target_name", *place)
+    return store.commit(key, {"extracted": extracted, "results": results, "rejected": rejects, "errors": errors,
+                              "run_log": _log_of_run(run_id, specs, store, lambda: time.time() - start)})

@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, app: str = "tessera",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # streaming state on local disk and in the checkpoint, not in the executors' memory
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # HTML pages can be large: keep one Arrow batch into the Python workers small
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.ui.enabled": "false",

@@ -4,12 +4,16 @@ prune folders (Q5, S16)."""
 
 from __future__ import annotations
 
+import datetime as dt
+import itertools
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.batches import Manifests, file_name
+
 DOC_FIELDS = [
     T.StructField("seq", T.LongType()),
     T.StructField("data", T.StringType()),
@@ -21,17 +25,19 @@ _BAD = "_bad_json"
 
 
 class DocumentTable:
-    """Append-only table. ``hot`` declares item fields that are stored beside the JSON
-    with their types, so that filters on them reach the files."""
+    """Append-only table of batches (see ``tessera.sources.batches``). ``hot`` declares item
+    fields that are stored beside the JSON with their types; a file's rows are sorted by
+    them, and each has a Bloom filter, so that a search for a value skips the pages, row
+    groups and files that don't hold it."""
 
     def __init__(self, spark: SparkSession, path: str, hot: T.StructType | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         self.hot = list(hot.fields) if hot else []
+        self.manifests = Manifests(spark, path)
         self.schema = T.StructType([*DOC_FIELDS, *[T.StructField(f"hot_{f.name}", f.dataType) for f in self.hot], *PARTITIONS])
 
     def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+        return self.manifests.fs(path)
 
     def exists(self) -> bool:
         fs, p = self._fs(self.path)
@@ -47,47 +53,62 @@ class DocumentTable:
         """Each row -> JSON text in ``data``; ``run_id``/``target_name`` copied
         from the row (or the arguments), ``created_at`` = write time; appended.
 
-        A batch is written to a hidden folder, which then gets its name by one rename:
-        it is there as a whole or not at all. A ``batch_key`` (such as that of a
-        streaming micro-batch) that is already stored is skipped, so a replayed batch
-        does not add its rows twice."""
-        key = batch_key or uuid.uuid4().hex
-        name = "".join(c if c.isalnum() else f"~{ord(c):x}" for c in key)
-        done, to = self._fs(f"{self.path}/batch={name}")
-        if done.exists(to):
-            return self.path
+        A batch is there as a whole or not at all: readers see the folders that manifests
+        name. A ``batch_key`` (such as that of a streaming micro-batch) that is already
+        stored is skipped, so a replayed batch does not add its rows twice."""
         cols = [F.col(f"`{c}`") for c in df.columns]
         run = F.col("run_id") if "run_id" in df.columns else F.lit(run_id)
         target = F.col("target_name") if "target_name" in df.columns else F.lit(target_name)
         hot = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f"hot_{f.name}")
                for f in self.hot]
-        out = df.select(
+        created = dt.datetime.now(dt.timezone.utc)
+        return self.restore(df.select(
             F.monotonically_increasing_id().alias("seq"),
             F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("data"),
-            F.current_timestamp().alias("created_at"),
+            F.lit(created.isoformat()).cast("timestamp").alias("created_at"),
             run.cast("string").alias("run_id"), *hot,
-            target.cast("string").alias("target_name"))
-        staged = f"{self.path}/_staged-{uuid.uuid4().hex}"
+            target.cast("string").alias("target_name")), batch_key, created)
+
+    def restore(self, rows: DataFrame, batch_key: str | None = None, created: dt.datetime | None = None) -> str:
+        """Store rows as ``table`` gives them, unchanged, as one batch."""
+        key = batch_key or uuid.uuid4().hex
+        if self.manifests.has(key):
+            return self.path
+        folder = f"{file_name(key)}-{uuid.uuid4().hex[:12]}"
+        names = [f"hot_{f.name}" for f in self.hot]
+        n = Observation(f"rows_{uuid.uuid4().hex}")
         # few files for each target, a large target split among tasks
-        out.hint("rebalance", "target_name").write.partitionBy("target_name").parquet(staged)
-        if not done.rename(self._fs(staged)[1], to) and not done.exists(to):
-            raise IOError(f"batch {key!r} could not be given its place in {self.path}")
+        out = rows.drop("batch").hint("rebalance", "target_name").sortWithinPartitions("target_name", *names)
+        w = out.observe(n, F.count(F.lit(1)).alias("rows")).write.partitionBy("target_name")
+        for c in names:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
+        w.parquet(f"{self.path}/batch={folder}")
+        self.manifests.add(key, {"folder": folder, "created_at": (created or dt.datetime.now(dt.timezone.utc)).isoformat(),
+                                 "rows": n.get.get("rows", 0)})
         return self.path
 
-    def table(self) -> DataFrame:
-        if not self.exists():
+    def table(self, newest: int | None = None) -> DataFrame:
+        """All rows, or those of the newest batches that hold ``newest`` rows together."""
+        batches = self.manifests.all()[::-1]
+        if newest is not None:
+            held = [0, *itertools.accumulate(m["rows"] for m in batches)]
+            batches = [m for m, before in zip(batches, held) if before < newest]
+        folders = [f"{self.path}/batch={m['folder']}" for m in batches]
+        # a batch without rows has a folder without files
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders)
 
     def load(self, schema=None, limit: int | None = None, target_name: str | None = None,
              ordered: bool = False, where: dict | None = None) -> DataFrame:
         """Newest first (``_id``, the batch and the row's number in it, breaks ties,
         D25); rows whose JSON does not parse are skipped. With ``schema`` the JSON
         becomes typed columns, the item's own ``id`` among them, else one VARIANT.
-        ``where`` (field -> value) compares hot columns. A limit reads the newest rows
-        (per-task top-k, no full sort); without one the rows come unordered unless
-        ``ordered=True`` asks for the global sort."""
-        t = self.table()
+        ``where`` (field -> value) compares hot columns. A limit opens the newest batches
+        that hold so many rows and no others, and takes the newest rows (per-task top-k,
+        no full sort); without one the rows come unordered unless ``ordered=True`` asks
+        for the global sort."""
+        t = self.table(limit if limit and target_name is None and not where else None)
         if target_name is not None:
             t = t.filter(F.col("target_name") == target_name)
         for name, value in (where or {}).items():

@@ -9,15 +9,12 @@ trigger); ``processing_time='30 minutes'`` is the interval job.
 
 from __future__ import annotations
 
-import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators.dedupe import dedupe_first
-
 
 def read_file_stream(spark: SparkSession, source_dir: str, schema, fmt: str = "parquet",
                      glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -64,33 +61,50 @@ def incremental_run(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], sin
     return q
 
 
+def incremental_outputs(stream: DataFrame, specs: list[dict], store_path: str, checkpoint: str, *, run: str = "run",
+                        keep: tuple = ("page_id",), processing_time: str | None = None, wait: bool = True) -> StreamingQuery:
+    """W1 for whole runs: every micro-batch of pages is a run of all targets, whose results,
+    rejects, errors and log rows are stored together (see ``run_outputs``); a batch that
+    is replayed after a failure is stored once."""
+    from tessera.plans.runner import run_outputs
+    from tessera.sources.batches import BatchStore
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        run_outputs(batch, specs, BatchStore(batch.sparkSession, store_path), f"{run}-{batch_id}", keep, f"{checkpoint}#{batch_id}")
+
+    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
+    q = w.start()
+    if wait and not processing_time:
+        q.awaitTermination()
+    return q
+
+
 def dedupe_run(stream: DataFrame, keys: list[str], order_by: list[str], sink_path: str, checkpoint: str,
                *, processing_time: str | None = None, wait: bool = True) -> StreamingQuery:
     """C5 across micro-batches. The first row of a key stays for ever, however late
     the next one comes: rows of an earlier batch win, within a batch the first in
-    ``order_by``. Keys may be null. The sink holds one folder for each batch and is
-    itself the store of known keys; a replayed batch is held against the other folders
-    and overwrites its own."""
-    spark = stream.sparkSession
+    ``order_by``. Keys may be null.
+
+    Known keys are the query's state, kept by Spark's state store beside the checkpoint: a
+    batch looks up its own keys and no others, so its cost is that of its rows, however
+    many batches came before (RocksDB keeps the state on disk, see ``get_spark``). Rows are
+    reduced to one for each key in the map tasks. A key's row carries the time of its
+    batch, which a replayed batch gets again from the log: a key that has one time only is
+    new in this batch. The sink holds one folder for each batch; a replayed batch finds
+    the state as it was and overwrites its own."""
+    row = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    seen = (stream.withColumn("_arrived", F.current_timestamp()).groupBy(*[F.col(f"`{k}`").alias(f"_key_{k}") for k in keys]).agg(
+        F.min_by(row, F.struct("_arrived", *order_by)).alias("_row"),
+        F.min("_arrived").alias("_first"), F.max("_arrived").alias("_last")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        first = dedupe_first(batch, keys, order_by)
-        earlier = [f"{sink_path.rstrip('/')}/batch_id={i}" for i in range(batch_id)]
-        earlier = [p for p in earlier if _exists(spark, p)]
-        if earlier:
-            known = spark.read.schema(batch.schema).parquet(*earlier).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-            same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
-            first = first.join(known, functools.reduce(lambda a, b: a & b, same), "left_anti")
-        first.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+        new = batch.where(F.col("_first") == F.col("_last")).select("_row.*")
+        new.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
 
-    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = seen.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     q = w.start()
     if wait and not processing_time:
         q.awaitTermination()
     return q
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

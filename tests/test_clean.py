@@ -115,7 +115,34 @@ def test_cleaning_stats_of_whole_texts(spark):
     import __spark_entry__ as entry
     from tests.conftest import SF001
     texts = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").select("text").collect()]
-    r = entry.queries()["cleaning_stats_cleaned_texts"](spark, SF001).collect()[0]
+    r = entry.queries()["cleaning_stats_cleaned"](spark, SF001).collect()[0]
     k = len({" ".join(t.split()) for t in texts})
     assert (r.original_count, r.cleaned_count) == (len(texts), k)
     assert k > len({t.strip()[:1] for t in texts}) and r.removed_count > 0
+
+
+def test_values_carried_across_tasks(spark, monkeypatch):
+    """One key with most rows spans tasks; null keys and nulls before the first value."""
+    import random
+
+    from tessera.operators.clean import carry_forward
+    rng = random.Random(4)
+    data = [(k, t, rng.choice([None, None, None, t * 10]), rng.choice([None, f"s{t}"]))
+            for k, n in (("hot", 400), ("b", 30), (None, 20), ("late", 5)) for t in range(n)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, t int, x int, s string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = carry_forward(df, ["x", "s"], ["k"], ["t"])
+        assert out.columns == df.columns
+        got = sorted(((r.k, r.t, r.x, r.s) for r in out.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = []
+    for key in {k for k, *_ in data}:
+        x = s = None
+        for k, t, a, b in sorted((r for r in data if r[0] == key), key=lambda r: r[1]):
+            x, s = x if a is None else a, s if b is None else b
+            want.append((k, t, x, s))
+    assert got == sorted(want, key=str)
+    assert carry_forward(df.limit(0), ["x"], ["k"], ["t"]).count() == 0

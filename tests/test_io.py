@@ -152,7 +152,7 @@ def test_table_keeps_ids_drops_bad_json_and_filters_hot_columns(spark):
     t.save(df, target_name="p", batch_key="first")
     t.save(df, target_name="p", batch_key="first")
     bad = t.table().where("hot_age = 3").withColumn("data", F.lit('{"id": 1, "name"'))
-    bad.drop("batch").write.partitionBy("target_name").parquet(path + "/batch=bad")
+    t.restore(bad)
     assert sorted((r["id"], r["name"]) for r in t.load(df.schema).collect()) == [(77, "Ann"), (78, "Bo")]
     assert t.count() == 3
     some = t.load(df.schema, where={"age": 4})
@@ -186,3 +186,65 @@ def test_csv_cells_with_line_breaks(spark, tmp_path, quote_all):
     assert [(r.s, r.n) for r in read_csv(spark, path).collect()] == [("z", "7")]
     write_csv(spark.createDataFrame(odd, "s string, n int"), path)
     assert count_csv(spark, path) == 6 and [lines for _, lines in csv_folders(spark, path)] == [True]
+
+
+def test_half_written_batches_are_not_seen(spark, tmp_path):
+    from tessera.sources.batches import BatchStore
+    store = BatchStore(spark, str(tmp_path / "s"))
+    a, b = spark.range(3), spark.range(10, 12).withColumn("x", F.lit("y"))
+
+    def fails(_):
+        raise IOError("between two writes")
+
+    with pytest.raises(IOError):
+        store.commit("k", {"first": a, "second": fails})
+    with pytest.raises(FileNotFoundError):
+        store.read("first")
+    n = lambda done: done["first"].agg(F.count(F.lit(1)).alias("n"))
+    assert store.commit("k", {"first": a, "counted": n}) and not store.commit("k", {"first": a.unionAll(a), "counted": n})
+    assert store.commit("l/2", {"first": b, "counted": n})
+    assert sorted((r.id, r.x) for r in store.read("first").collect()) == [(0, None), (1, None), (2, None), (10, "y"), (11, "y")]
+    assert sorted(r.n for r in store.read("counted").collect()) == [2, 3] and store.rows("first") == 5
+    assert store.read("counted", "l/2").first().n == 2
+    assert not store.manifests.add("k", {}) and [m["key"] for m in store.manifests.all()] == ["k", "l/2"]
+
+
+def test_table_opens_the_newest_batches_and_skips_pages(spark, tmp_path):
+    hot = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.StringType())])
+    t = DocumentTable(spark, str(tmp_path / "t"), hot)
+    for k in range(4):
+        t.save(spark.range(k * 10, k * 10 + 10).select(F.col("id").alias("n"), F.lit(f"b{k}").alias("s")), target_name="p", batch_key=f"k{k}")
+    t.save(spark.range(0).select(F.col("id").alias("n"), F.lit("none").alias("s")), target_name="p", batch_key="empty")
+    schema = T.StructType(hot.fields)
+    newest = t.load(schema, limit=12)
+    assert all("batch=k3" in f or "batch=k2" in f or "empty" in f for f in newest.inputFiles())
+    assert sorted(r.n for r in newest.collect())[-10:] == list(range(30, 40)) and newest.count() == 12
+    assert t.load(schema).count() == 40 and DocumentTable(spark, str(tmp_path / "none")).load(schema).count() == 0
+    # a value is looked for in few pages of a large file
+    big = DocumentTable(spark, str(tmp_path / "big"), hot)
+    big.save(spark.range(200_000).select((F.col("id") * 7919 % 200_003).alias("n"), F.lit("x").alias("s")).coalesce(1), target_name="p")
+    one = big.table().where("hot_n = 15838").select("seq")
+    assert "PushedFilters: [IsNotNull(hot_n), EqualTo(hot_n,15838)]" in one._jdf.queryExecution().toString()
+    one.collect()
+
+    def scans(plan):
+        found = [plan] if "Scan" in plan.nodeName() else []
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return scans(plan.executedPlan())
+        kids = plan.children()
+        return found + [s for i in range(kids.size()) for s in scans(kids.apply(i))]
+
+    df = big.table().where("hot_n = 15838").select("seq")
+    q = df._jdf.queryExecution().executedPlan()
+    rows = q.executeCollect()
+    read = sum(s.metrics().apply("numOutputRows").value() for s in scans(q))
+    assert len(rows) == 1 and read < 100_000
+
+
+def test_rows_come_back_as_they_were(spark, tmp_path):
+    t, u = DocumentTable(spark, str(tmp_path / "t")), DocumentTable(spark, str(tmp_path / "u"))
+    t.save(spark.createDataFrame([(1, "a"), (2, None)], "n int, target_name string"), run_id="r")
+    u.restore(t.table(), "copy")
+    u.restore(t.table(), "copy")
+    drop = lambda d: sorted((r.data, r.run_id, r.target_name, r.created_at) for r in d.table().collect())
+    assert drop(t) == drop(u) and u.count() == 2

@@ -237,3 +237,45 @@ def test_check_suite_error_status(spark):
     suite = {x["check_name"]: x["status"] for x in rows(metrics.check_suite(df, {
         "ok": F.count_if(F.col("k") < 0), "broken": F.count_if(F.col("missing_column") > 0)}))}
     assert suite == {"ok": "healthy", "broken": "error", "overall": "unhealthy"}
+
+
+def test_gauges_over_time(spark):
+    data = [(i % 50, [1, -1, 1][i % 3]) for i in range(400)] + [(None, 7), (3, None)]
+    log = spark.createDataFrame(data, "t int, d int").repartition(6)
+    course = metrics.gauge_course(log, "t", {"up": F.col("d"), "down": -F.col("d")})
+    want, total = {}, 0
+    for t in range(50):
+        total += sum(d for x, d in data if x == t and d is not None)
+        want[t] = total
+    assert {r.t: (r.up, r.down) for r in course.collect()} == {t: (v, -v) for t, v in want.items()}
+    peaks = {r.gauge: (r.peak, r.peak_at, r.last_value) for r in metrics.gauge_peaks(course, "t").collect()}
+    top = max(want.values())
+    assert peaks["up"] == (top, min(t for t, v in want.items() if v == top), want[49])
+    assert metrics.gauge_course(log.limit(0), "t", {"up": F.col("d")}).count() == 0
+
+
+def test_redacted_json_text():
+    from tessera.functions.structs import redacted_json as r
+    hidden = '"***REDACTED***"'
+    assert r(' { "a" : 1.50 , "Password":"x\\"y", "l": [ {"auth":{"q":[1,{"z":"}"}]}}, "key", null ] } ') == (
+        ' { "a" : 1.50 , "Password":' + hidden + ', "l": [ {"auth":' + hidden + '}, "key", null ] } ')
+    assert r('{"key":[1,2],"b":{"token":null}}') == '{"key":' + hidden + ',"b":{"token":' + hidden + "}}"
+    assert r('{"\\u0074oken":1}') == '{"\\u0074oken":' + hidden + "}"
+    for same in ('"key"', "[]", "{}", "12", '["token", "secret"]', '{"a":"key"}', "no { json", "", '{"token": 1', None):
+        assert r(same) == same
+    deep = '{"a":' * 30_000 + '{"key":1}' + "}" * 30_000
+    assert r(deep) == deep.replace('"key":1', '"key":' + hidden)
+
+
+def test_redact_keeps_types_of_nested_maps(spark):
+    from pyspark.sql import types as T
+    kind = "id int, m map<string,struct<n:int,s:string,l:array<string>>>, mm map<string,map<string,int>>, js string"
+    row = (1, {"secret": (1, "x", ["y"]), "open": (2, "z", None)}, {"auth": {"a": 1}, "b": {"token": 2, "c": 3}}, '{"token":1}')
+    df = spark.createDataFrame([row, (2, None, None, None)], kind).withColumn("v", F.parse_json("js"))
+    out = tf.redact(df, json_cols=("js",))
+    assert isinstance(out.schema["m"].dataType.valueType, T.StructType) and isinstance(out.schema["v"].dataType, T.VariantType)
+    r = {x.id: x for x in out.withColumn("v", F.to_json("v")).collect()}
+    hidden = "***REDACTED***"
+    assert r[1].m["secret"].asDict() == {"n": None, "s": hidden, "l": [hidden]} and r[1].m["open"].asDict() == {"n": 2, "s": "z", "l": None}
+    assert r[1].mm == {"auth": {"a": hidden}, "b": {"token": hidden, "c": "3"}} or r[1].mm["b"] == {"token": hidden, "c": "3"}
+    assert r[1].js == r[1].v == '{"token":"' + hidden + '"}' and r[2].m is None and r[2].js is None

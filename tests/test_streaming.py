@@ -79,3 +79,72 @@ def test_stream_table_sink_replay_safe(spark):
     t.save(fn(batch), run_id="x", target_name="t", batch_key="replayed#0")
     t.save(fn(batch), run_id="x", target_name="t", batch_key="replayed#0")
     assert t.count() == 2 * n
+
+
+def test_dedupe_state_is_replayed_and_looked_up(spark, monkeypatch):
+    """A batch whose sink write failed comes again with the same rows; a batch reads its own keys only."""
+    src, out, check = (scratch_path(spark, n) for n in ("w2_src", "w2_out", "w2_ck"))
+    schema = "user_id long, event_type string, ts long"
+    run = lambda: dedupe_run(read_file_stream(spark, src, schema), ["user_id", "event_type"], ["ts"], out, check)
+    add = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    read = lambda: sorted((tuple(r) for r in spark.read.parquet(out).drop("batch_id").collect()), key=str)
+    add([(i, "a", 100 - i) for i in range(50)] + [(1, "a", 5)] * 20)
+    run()
+    first = [(i, "a", 5 if i == 1 else 100 - i) for i in range(50)]
+    assert read() == sorted(first, key=str)
+    add([(1, "a", 0), (1, "b", 3), (1, "b", 2), (None, None, 1)])
+    from pyspark.sql.readwriter import DataFrameWriter
+    whole = DataFrameWriter.parquet
+
+    def broken(self, path, *a, **k):
+        if "w2_out" in path:
+            raise IOError("the sink is away")
+        return whole(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", broken)
+    with pytest.raises(Exception, match="the sink is away"):
+        run()
+    monkeypatch.undo()
+    q = run()                       # the failed batch again
+    assert read() == sorted([*first, (1, "b", 2), (None, None, 1)], key=str)
+    state = q.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 52 and state["numRowsUpdated"] == 3
+    q = run()                       # nothing new: nothing happens
+    assert len(read()) == 52
+
+
+def test_runs_of_micro_batches_are_stored_once(spark, monkeypatch):
+    """Results, rejects, errors and log rows of each batch appear together; a batch that failed half-way comes again."""
+    from tessera.sources.batches import BatchStore
+    from tessera.streaming.incremental import incremental_outputs
+    src, path, check = (scratch_path(spark, n) for n in ("runs_src", "runs_store", "runs_ck"))
+    schema = "page_id long, url string, html string"
+    page = lambda i: (i, f"http://h.example/{i}", f'<p class="r"><b>{i if i % 3 else "n/a"}</b><a href="{"//[x" if i % 4 == 0 else "y"}">l</a></p>')
+    add = lambda ids: spark.createDataFrame([page(i) for i in ids], schema).coalesce(1).write.mode("append").parquet(src)
+    specs = [{"name": "recs", "extract": {"item_selector": "p.r", "fields": {"n": "b::text", "l": "a::attr(href)"}},
+              "cleaner": {"field_validation": {"n": {"type": "int", "required": True}}}},
+             {"name": "heads", "extract": {"item_selector": "p.r", "fields": {"t": "b::text"}}}]
+    run = lambda: incremental_outputs(read_file_stream(spark, src, schema), specs, path, check)
+    add(range(12))
+    run()
+    add(range(12, 20))
+    whole = BatchStore.commit
+
+    def interrupted(self, key, outputs):
+        def fails(_):
+            raise IOError("lost between two writes")
+        return whole(self, key, {**outputs, "run_log": fails})
+
+    monkeypatch.setattr(BatchStore, "commit", interrupted)
+    with pytest.raises(Exception, match="lost between"):
+        run()
+    monkeypatch.undo()
+    run()
+    run()
+    store = BatchStore(spark, path)
+    ids = lambda name, target: sorted(r.page_id for r in store.read(name).where(F.col("target_name") == target).collect())
+    assert ids("results", "recs") == [i for i in range(20) if i % 3 and i % 4]
+    assert ids("rejected", "recs") == [i for i in range(20) if i % 3 == 0 and i % 4] and ids("errors", "recs") == list(range(0, 20, 4))
+    assert ids("results", "heads") == list(range(20))
+    log = store.read("run_log").where("target_name = 'recs'").orderBy("run_id").collect()
+    assert [(r.run_id, r.scraped_count, r.failed_count, r.processed_count) for r in log] == [("run-0", 9, 6, 6), ("run-1", 6, 4, 4)]

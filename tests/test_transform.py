@@ -107,3 +107,38 @@ def test_named_builders(spark):
         computed.price_clean(F.regexp_extract("note", r"([0-9,.]+)", 1)).alias("price"), computed.url_category("place").alias("kind"),
         computed.domain("place").alias("host"), computed.text_hash("note").alias("h"), computed.tag_count("marks").alias("n")))[0]
     assert (r["price"], r["host"], len(r["h"]), r["n"]) == (2450.75, "files.stage.example:21", 32, 1) and r["kind"]
+
+
+def test_generators_and_arrow_functions_by_name(spark):
+    class Kinds:
+        def eval(self, kinds):
+            for k in kinds or []:
+                yield k, len(k)
+
+    FunctionRegistry.register_generator(spark, "kinds_of", Kinds, "kind string, n int")
+    FunctionRegistry.register_pandas_udf(spark, "plus_one", lambda s: s + 1, "int")
+    df = spark.createDataFrame([(1, ["a", "bc"]), (2, []), (3, None)], "id int, ks array<string>")
+    spec = {"row_generators": ["kinds_of(ks)"], "custom_functions": {"m": "plus_one(n)"}}
+    assert [(r["id"], r["kind"], r["n"], r["m"]) for r in rows(transform(df, spec))] == [(1, "a", 1, 2), (1, "bc", 2, 3)]
+    for name in ("kinds_of", "plus_one"):
+        FunctionRegistry.unregister(spark, name)
+    with pytest.raises(Exception, match="kinds_of|RESOLVE"):
+        transform(df, spec).collect()
+
+
+def test_fields_are_the_union_over_rows(spark):
+    from tessera.operators.transform import variant_stats
+    docs = lambda *texts: spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("value"))
+    r = rows(variant_stats(docs('{"a":1,"b":{"x":2}}', '{"c":null}', "[1]", "null"), docs('{"b":1,"d":2}', '{"a":0}')))[0]
+    assert (r["original_count"], r["transformed_count"], r["original_field_count"], r["transformed_field_count"]) == (4, 2, 3, 3)
+    assert (r["added_fields"], r["removed_fields"], r["common_fields"]) == ("d", "c", "a,b")
+    r = rows(variant_stats(docs("{}").limit(0), docs('{"z":1}')))[0]
+    assert (r["original_count"], r["transformed_count"], r["added_fields"], r["removed_fields"]) == (0, 1, "z", "")
+
+
+def test_expressions_resolved_by_many_threads(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    df = spark.createDataFrame([(1, 0)], "a int, b int")
+    with ThreadPoolExecutor(8) as pool:
+        out = list(pool.map(lambda _: evaluate_expression(df, "a / b"), range(40)))
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true" and all(x.first()["result"] is None for x in out[::13])
