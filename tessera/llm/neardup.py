@@ -13,8 +13,9 @@ confirmed on full sets, within families:
 
 So a link is lost only if its two sets meet in no order: (1 - s^BASE)^TREES for sets of
 similarity s, about 1 in 90,000 at 0.85 and less above, unless a third set joins them.
-Regions that are crowded at full depth are cut by node number, and tasks cut regions;
-the chance leaves both out. For lower limits ``trees`` can be more: at 0.8 it is 1 in 5,500 with 12 and 1 in 97,000
+A region that is crowded at a tree's full depth is ordered by the next tree's hashes; what
+is alike in both trees is cut by node number, and tasks cut regions: the chance leaves these
+out. For lower limits ``trees`` can be more: at 0.8 it is 1 in 5,500 with 12 and 1 in 97,000
 with 16.
 """
 
@@ -145,7 +146,9 @@ def _candidates(classes: DataFrame, trees: int = TREES) -> DataFrame:
     """Edges (a, b) between nodes of ``classes`` (node, sig, sketch): LCP neighbours in each order."""
     wide = DEPTH * 4
     rows = classes.select("node", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    rows = rows.select(F.col("tree").cast("byte").alias("tree"), F.expr(f"substring(sig, tree * {wide} + 1, {wide})").alias("key"), "node", "sketch")
+    # after a tree's own hashes come those of the next one: where many rows share the first, the others order them
+    key = F.expr(f"concat(substring(sig, tree * {wide} + 1, {wide}), substring(sig, (tree + 1) % {trees} * {wide} + 1, {wide}))")
+    rows = rows.select(F.col("tree").cast("byte").alias("tree"), key.alias("key"), "node", "sketch")
     # dealt by the whole place in the order: a crowded region spreads over as many tasks as it needs
     order = rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
     most = 16 * REGION
@@ -156,7 +159,7 @@ def _candidates(classes: DataFrame, trees: int = TREES) -> DataFrame:
             n = batch.num_rows
             if not n:
                 continue
-            now = (np.asarray(batch.column("tree")), np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(n, DEPTH),
+            now = (np.asarray(batch.column("tree")), np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(n, 2 * DEPTH),
                    np.asarray(batch.column("node")), np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(n, -1))
             held, edges = _walk(now if held is None else tuple(np.concatenate(x) for x in zip(held, now)), most, False)
             if edges:
@@ -173,22 +176,26 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _walk(rows: tuple, most: int, last: bool) -> tuple[tuple | None, list[tuple[int, int]]]:
-    """(rows still held, edges) of whole regions; the last one is held back until it has ended or has ``most`` rows."""
+    """(rows still held, edges) of whole regions. The last one is held back until it has ended; once it has more
+    than ``most`` rows it is cut where a deeper region of it begins, which is held back whole."""
     tree, key, node, sketch = rows
-    starts = np.flatnonzero(np.r_[True, (tree[1:] != tree[:-1]) | (key[1:, :BASE] != key[:-1, :BASE]).any(1)])
-    ends = np.r_[starts[1:], len(node)]
-    edges: list[tuple[int, int]] = []
-    keep = None
+    n, at, stop = len(node), len(node), len(node)
+    new = np.r_[True, (tree[1:] != tree[:-1]) | (key[1:, :BASE] != key[:-1, :BASE]).any(1)]
     if not last:
-        if ends[-1] - starts[-1] <= most:
-            keep, starts, ends = slice(starts[-1], None), starts[:-1], ends[:-1]
-        else:
-            keep = slice(len(node) - 1, None)       # goes on from its last row
-    for a, b in zip(starts, ends):
+        at = stop = np.flatnonzero(new)[-1]
+        for depth in range(BASE, key.shape[1]):
+            if n - at <= most:
+                break
+            deeper = np.flatnonzero(key[at + 1:, depth] != key[at:-1, depth]) + at + 1
+            at = stop = deeper[-1] if len(deeper) else at
+        if n - at > most:
+            at, stop = n - 1, n             # alike in everything: goes on from its last row
+    starts = np.flatnonzero(new[:stop])
+    edges: list[tuple[int, int]] = []
+    for a, b in zip(starts, np.r_[starts[1:], stop]):
         if b - a > 1:
-            for c in range(a, b, most):
-                edges += _region_edges(node[c:b][:most + 1], key[c:b][:most + 1], sketch[c:b][:most + 1])
-    return (None if keep is None else tuple(x[keep] for x in rows)), edges
+            edges += _region_edges(node[a:b], key[a:b], sketch[a:b])
+    return (None if last else tuple(x[at:] for x in rows)), edges
 
 
 def shared(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
@@ -226,7 +233,8 @@ def _unpacked(column) -> list[np.ndarray]:
 
 def _small_families(members: DataFrame, percent: int) -> DataFrame:
     """Final edges of families (family, node, set) that fit one task."""
-    batches = -(-members.count() // BATCH)
+    # as many tasks as any shuffle has at least: comparing takes time, not bytes, so small ones must not be put together
+    batches = max(-(-members.count() // BATCH), int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -236,7 +244,7 @@ def _small_families(members: DataFrame, percent: int) -> DataFrame:
             out += [(nodes[i], nodes[j]) for i, j in enumerate(label) if i != j]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    dealt = members.withColumn("batch", F.pmod(F.xxhash64("family"), F.lit(max(batches, 1))))
+    dealt = members.withColumn("batch", F.pmod(F.xxhash64("family"), F.lit(batches))).repartition(batches, "batch")
     return dealt.groupBy("batch").applyInPandas(compare, "a long, b long")
 
 

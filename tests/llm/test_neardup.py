@@ -134,3 +134,24 @@ def test_stage_drops_pairs_from_80_percent(spark, make_docs):
     assert 0.8 <= len(a & b) / len(a | b) < 0.85
     assert {r.doc_id for r in stage(spark, make_docs(rows), None).collect()} == {2 * k for k in range(40)}
     assert neardup.near_duplicates(make_docs(rows)).where("kept").count() == len(rows)
+
+
+def test_pairs_in_a_crowd_are_found(make_docs, monkeypatch):
+    """Many documents share a template of half their shingles: regions are crowded at every depth of a tree."""
+    monkeypatch.setattr(neardup, "REGION", 16)
+    rng = random.Random(8)
+    word = lambda: f"w{rng.random():.7f}"
+    template, rows, pairs = [word() for _ in range(120)], [], []
+    for k in range(600):
+        own = [word() for _ in range(70)]
+        rows.append((2 * k, " ".join(template + own)))
+        if k % 3 == 0:                      # the template stays, 3 of the other words change
+            for _ in range(3):
+                own[rng.randrange(len(own))] = word()
+            rows.append((2 * k + 1, " ".join(template + own)))
+            pairs.append((2 * k, 2 * k + 1))
+    sets = {i: shingle_set(t) for i, t in rows}
+    want = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    got = {r._id: r.component_id for r in neardup.near_duplicates(make_docs(rows)).collect()}
+    assert len(want) > 150 and all(got[a] == got[b] for a, b in want)
+    assert len(set(got.values())) == len(rows) - len(want)
