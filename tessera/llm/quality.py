@@ -137,20 +137,23 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     """A machine trained on the labelled rows of ``docs``.
 
     ``labels`` has ``id_col`` and ``label_col`` (0 or 1; other values and nulls are
-    ignored). About ``sample_rows`` of its rows are used, chosen by a hash of the id:
-    that bounds what is broadcast and trained on, at any size of input. Without labelled
-    rows every score is 0.5. ``meta`` names numeric columns of ``docs``.
+    ignored; of repeated ids one row counts, 1 if any of them says so). About
+    ``sample_rows`` ids are used, chosen by a hash: that bounds what is broadcast at any size
+    of input. Each is trained on once, on the row of ``docs`` whose text has the greatest hash if
+    several have the id: that bounds the training, whatever share of the rows one id has.
+    Without labelled rows every score is 0.5. ``meta`` names numeric columns of ``docs``.
     """
     spark = docs.sparkSession
     given = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("_y"))
-    given = given.where("_id IS NOT NULL AND _y IN (0, 1)")
+    given = given.where("_id IS NOT NULL AND _y IN (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y"))
     n = given.count()
     chance = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = given.where(chance < F.lit(sample_rows / max(n, 1)))
     names = [f"_m{i}" for i in range(len(meta))]
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"),
                        *[F.col(f"`{c}`").cast("double").alias(k) for c, k in zip(meta, names)])
-    met = rows.join(F.broadcast(sample), "_id")             # about sample_rows rows, whatever the input
+    met = rows.join(F.broadcast(sample), "_id").groupBy("_id").agg(F.max_by(
+        F.struct("_text", *names, "_y"), F.xxhash64("_text")).alias("r")).select("_id", "r.*")
 
     def features(batches):
         for batch in batches:

@@ -62,3 +62,13 @@ def test_held_out_rows_of_the_table(spark):
     labels = [r for r in spark.read.parquet(f"{SF01}/labels.parquet").collect() if got[r.doc_id].held_out]
     right = [got[r.doc_id].predicted == r.quality for r in labels]
     assert len(right) > 50 and np.mean(right) > 0.95
+
+
+def test_one_id_with_a_third_of_all_rows(spark):
+    """Labels and documents repeated under one id are trained on once: the machine is the same without them."""
+    docs = [(i, (GOOD if i % 3 else BAD) * (1 + i % 7)) for i in range(60)]
+    labels = [(i, int(i % 3 > 0)) for i in range(60)]
+    frame = lambda rows, kind: spark.createDataFrame(rows, kind)
+    once = quality.fit(frame(docs, "doc_id long, text string"), frame(labels, "doc_id long, quality int"))
+    more = quality.fit(frame(docs + [docs[4]] * 40, "doc_id long, text string"), frame(labels + [labels[4]] * 40 + [(4, 0)], "doc_id long, quality int"))
+    assert once.w0 == more.w0 and (once.w == more.w).all() and (once.v == more.v).all()
