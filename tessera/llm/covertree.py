@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 
-#: Rows of a candidate and a query block, pivots, and query blocks that meet a tree in one task.
-BLOCK_ROWS, QUERY_ROWS, PIVOTS, TOGETHER = 4096, 512, 64, 16
+#: Rows of a candidate and a query block, pivots (at least, and at most), and query blocks that meet a tree in one task.
+BLOCK_ROWS, QUERY_ROWS, PIVOTS, MOST_PIVOTS, TOGETHER = 4096, 512, 64, 8192, 16
 #: Rows of a leaf, queries that stay one group, and children into which a larger group is still split.
 LEAF, QUERY_LEAF, SPLIT = 64, 64, 16
 
@@ -226,7 +226,7 @@ def _top(scores: DataFrame, k: int) -> DataFrame:
 
 
 def topk(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-         scale: float = 256.0, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, pivots: int = PIVOTS) -> DataFrame:
+         scale: float = 256.0, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS, pivots: int | None = None) -> DataFrame:
     """Each query's ``k`` best other rows: query_id, rank, vec_id, score.
 
     Components become floor(scale * x); the score is the integer inner product (exact as
@@ -236,7 +236,9 @@ def topk(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id
     vectors of different lengths the shorter one counts as ended by zeros. Rows repeated
     with one id and vector count once. With fewer than ``k`` candidates all are returned;
     without rows, none. ``pivots`` rows, chosen by a hash of the id, only decide which
-    rows share a block: every row is searched whatever they are.
+    rows share a block: every row is searched whatever they are. Unless given there is one
+    for each block's worth of rows, from PIVOTS to MOST_PIVOTS, so that blocks stay small and
+    their rows near each other as the data grow.
     """
     x = F.col("x")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
@@ -245,6 +247,8 @@ def topk(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id
     rows = rows.withColumn("x", _ended(F.transform(x, lambda v: F.floor(v * F.lit(scale)))))
     # repeats go before there are trees: in one they would take several of a query's k places
     rows = written(rows.groupBy("id", "x").agg(F.max("asks").alias("asks")), "rows")
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(PIVOTS, rows.count() // block_rows))
     some = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
     width = max((len(r.x) for r in some), default=0)
     centres = np.array([np.pad(np.asarray(r.x, float), (0, width - len(r.x))) for r in some]).reshape(len(some), width)
