@@ -216,7 +216,7 @@ def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text",
     """``df`` plus ``out``: the packed ids (little-endian unsigned 32-bit) of each whole text.
 
     A null or empty text has no ids (empty binary). Rows are independent: repeated rows
-    give repeated results. Existing columns stay; ``out`` must be a new name.
+    give repeated results. A column of ``df`` named ``out`` gives way to the ids; all others stay.
     """
     def make():
         codec = _codec(rank_file, pattern)

@@ -2,7 +2,7 @@ import hashlib
 import re
 from collections import defaultdict
 
-from tessera.llm import exact
+from tessera.llm import common, exact
 
 
 def brute(rows):
@@ -53,3 +53,20 @@ def test_copies_dropped_with_all_columns(spark, make_docs):
     assert out.columns == docs.columns
     assert sorted((r.doc_id, r.kept) for r in out.collect()) == [(2, 2), (3, 3)]
     assert exact.drop_exact_copies(docs.limit(0), exact.DigestIndex(spark)).count() == 0
+
+
+def test_one_row_per_digest_leaves_a_map_task(spark, make_docs, monkeypatch):
+    """The aggregate is done before the shuffle, and the joins after it have no raw rows."""
+    plans = {}
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return common.written(df, name)
+
+    monkeypatch.setattr(exact, "written", seen)
+    docs = make_docs([(i, "the same text") for i in range(50)] + [(90, "another")])
+    exact.DigestIndex(spark).dedup(docs).collect()
+    groups = plans["groups"]
+    assert "partial_min" in groups and groups.index("Exchange hashpartitioning(digest") < groups.index("partial_min")
+    assert "LeftAnti" in plans["new-digests"] and "Aggregate" not in plans["new-digests"]
+    assert "Aggregate" not in plans["old-digests"]

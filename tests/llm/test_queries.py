@@ -83,3 +83,7 @@ def test_pipeline_on_odd_rows(spark, make_docs):
         assert out.columns == docs.columns, name
         out.collect()
         assert stage(spark, docs.limit(0), SF001).count() == 0
+    packed = dict(corpus_pipeline.STAGES)["packing"]
+    out = packed(spark, docs, SF001).collect()
+    assert len({(r.doc_id, r.piece, r.sequence_id, r.offset) for r in out}) == len(out) > len(rows)        # the long text has several pieces
+    assert {r.doc_id for r in out} == {1, 2, None, 4, 5, 6} and packed(spark, docs.limit(0), SF001).count() == 0
