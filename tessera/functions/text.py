@@ -70,20 +70,19 @@ def clean_text(c) -> Column:
     return F.translate(s, "“”‘’", "\"\"''")
 
 
+def _with(c: Column, body) -> Column:
+    """``body`` over a value that is computed once (copied into an expression it would
+    be computed wherever it is named)."""
+    return F.element_at(F.transform(F.array(c), body), 1)
+
+
 def slugify(c) -> Column:
     """Lower, strip, drop characters that are not word/space/hyphen, runs of
     hyphens or whitespace -> '-', trim hyphens, empty -> 'untitled'."""
     s = strip_ws(F.lower(col(c)))
-    s = F.regexp_replace(s, rf"[^a-z0-9 \p{{L}}\p{{N}}_{WS}-]+", "")
+    s = F.regexp_replace(s, rf"[^\p{{L}}\p{{N}}_{WS}-]+", "")
     s = F.regexp_replace(F.translate(s, WS_CHARS, "-" * len(WS_CHARS)), "-{2,}", "-")
-    s = F.btrim(s, F.lit("-"))
-    return F.when(s == "", F.lit("untitled")).otherwise(s)
-
-
-def _with(c: Column, body) -> Column:
-    """``body`` over a value that is computed once (copied into an expression it would
-    be computed wherever it is named)."""
-    return F.element_at(F.transform(F.array(c), body), 1)
+    return _with(F.btrim(s, F.lit("-")), lambda x: F.when(x == "", F.lit("untitled")).otherwise(x))
 
 
 def safe_filename(c) -> Column:
