@@ -149,13 +149,72 @@ def write_warc(records: DataFrame, path: str, compression: str = "none") -> None
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """header, block and whole (the block is as long as its header says) of the records in WARC files.
 
-    Files are split where a line begins a record; a block that holds such a line itself
-    comes back cut, and whole is false.
+    Files are split where a line begins a record. Where that is within a block, as a foreign
+    record may hold such a line itself, lengths disagree; the pieces of such a file are put
+    together in their order, by Content-Length, in one pass over them. Records that are still
+    not as long as they say (a file that is cut off) have whole false. Bytes that are no UTF-8
+    become U+FFFD in header and block.
     """
-    text = spark.read.option("lineSep", VERSION + END).text(path).where("value <> ''")
-    at = F.locate(END + END, F.col("value"))
-    head = F.substring("value", F.lit(1), at - 1)
-    rest = F.expr(f"substring(value, locate('{END}{END}', value) + 4)")
-    block = F.regexp_replace(rest, r"\r\n\r\n\z", "")
-    length = F.regexp_extract(head, r"(?i)(?:^|\r\n)Content-Length: *([0-9]+)", 1).cast("long")
-    return text.select(F.concat(F.lit(VERSION + END), head).alias("header"), block.alias("block"), (F.octet_length(block) == length).alias("whole"))
+    pieces = spark.read.option("lineSep", VERSION + END).text(path).select(
+        F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    torn = pieces.mapInArrow(_lengths, "file string, torn boolean").where("torn").select("file").distinct()
+    plain = pieces.join(torn, "file", "left_anti").select("file", "value")
+    # a file's pieces in their order, streamed through one task
+    again = pieces.join(torn, "file", "left_semi").repartition("file").sortWithinPartitions("file", "start", "n").select("file", "value")
+    kind = "header string, block string, whole boolean"
+    return plain.mapInArrow(_records(False), kind).unionByName(again.mapInArrow(_records(True), kind))
+
+
+_length = re.compile(rb"(?i)(?:^|\r\n)Content-Length: *([0-9]+)")
+
+
+def _parts(data: bytes) -> tuple[bytes, bytes, int]:
+    """Header and rest of a piece, and how many bytes the rest lacks (below 0: too many)."""
+    head, _, rest = data.partition(END.encode() * 2)
+    stated = _length.search(head)
+    return head, rest, int(stated[1]) - len(rest) if stated else 0
+
+
+def _lengths(batches):
+    """Whether a file has a piece that isn't a whole record."""
+    for batch in batches:
+        found = []
+        for value in batch.column("value").to_pylist():
+            lacks = _parts(value)[2] if value else 0
+            found.append(lacks not in (0, -2 * len(END)))
+        yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(found, pa.bool_())], names=["file", "torn"])
+
+
+def _records(join: bool):
+    """What turns pieces into records; with ``join`` a piece takes the next ones until it is as long as it says."""
+
+    def record_of(data: bytes) -> tuple[str, str, bool]:
+        head, rest, lacks = _parts(data)
+        end = len(rest) + lacks if lacks <= 0 and _length.search(head) else len(rest.removesuffix(END.encode() * 2))
+        return VERSION + END + head.decode(errors="replace"), rest[:end].decode(errors="replace"), lacks <= 0
+
+    def run(batches):
+        held, of = b"", None
+        for batch in batches:
+            out = []
+            for file, value in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist()):
+                if held and join and file == of and _parts(held)[2] > 0:
+                    held += (VERSION + END).encode() + value
+                else:
+                    if held:
+                        out.append(record_of(held))
+                    held, of = value, file
+                if not join and held:
+                    out.append(record_of(held))
+                    held = b""
+            if out:
+                yield _batch(out)
+        if held:
+            yield _batch([record_of(held)])
+
+    def _batch(out):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.string(), pa.bool_()))],
+                                          names=["header", "block", "whole"])
+
+    return run

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import html
+import re
 from html.parser import HTMLParser
 
 from tessera.llm import warc
@@ -60,6 +61,27 @@ def test_files_come_back(spark, tmp_path):
     assert sorted((r.header, r.block) for r in back) == sorted((r.header, r.block) for r in made.collect())
 
 
+def test_foreign_records_by_their_length(spark, tmp_path):
+    """Blocks that hold the line that begins a record, in the middle, at the ends and twice; a file that is cut off."""
+    blocks = [b"one", b"x WARC/1.1\r\nfalse\r\n\r\nmore", b"WARC/1.1\r\n", b"", b"a\r\n\r\n", b"WARC/1.1\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nz",
+              "é\n".encode() * 2000 + b"WARC/1.1\r\n"]
+    record = lambda i, b: b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, len(b), b)
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "plain.warc").write_bytes(record(90, b"fine") + record(91, b"also"))
+    (tmp_path / "w" / "torn.warc").write_bytes(b"".join(record(i, b) for i, b in enumerate(blocks)))
+    (tmp_path / "w" / "cut.warc").write_bytes(record(92, b"kept") + record(93, b"x" * 50)[:-30])
+    for split in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            got = {int(re.search("<(\\d+)>", r.header)[1]): (r.block, r.whole) for r in warc.read_warc(spark, str(tmp_path / "w")).collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert got == {**{i: (b.decode(), True) for i, b in enumerate(blocks)}, 90: ("fine", True), 91: ("also", True), 92: ("kept", True),
+                       93: ("x" * 24, False)}
+    (tmp_path / "none").mkdir()
+    assert warc.read_warc(spark, str(tmp_path / "none")).count() == 0
+
+
 class Plain(HTMLParser):
     """Words of a page by the standard library's parser."""
 
