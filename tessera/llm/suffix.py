@@ -13,7 +13,8 @@ family as a run of rank 0. Two runs of one rank are merged to one of the next, s
 batches leave about log n runs. Suffixes that agree in their first bytes are then compared
 byte by byte in both directions: they are sorted as suffixes and as reversed prefixes, and
 the longest common extensions of neighbours tell which strings through the place occur
-more than once.
+more than once. Suffixes whose surroundings agree in a second 64-bit fingerprint as well count
+as equal without that look.
 """
 
 from __future__ import annotations
