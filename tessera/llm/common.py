@@ -131,3 +131,14 @@ def release(spark: SparkSession) -> None:
     import gc
     gc.collect()
     spark._jvm.System.gc()
+
+
+def drawn(rows: DataFrame, by: list[str], about: int, total: int) -> list:
+    """About ``about`` of ``rows`` (``total`` in number; all, if no more), chosen and ordered by a hash of
+    the columns ``by``: the same ones each time. Every task sends its share alone, where the
+    first rows of an order would be sent by each."""
+    h = F.pmod(F.xxhash64(*by, F.lit("draw")), F.lit(1 << 40))
+    some = rows.withColumn("_draw", h)
+    if total > about:
+        some = some.where(F.col("_draw") < int((1 << 40) * about / total))
+    return sorted(some.collect(), key=lambda r: r["_draw"])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import drawn, written
 
 #: Rows of a candidate and a query block, pivots (at least, and at most), and query blocks that meet a tree in one task.
 BLOCK_ROWS, QUERY_ROWS, PIVOTS, MOST_PIVOTS, TOGETHER = 4096, 512, 64, 8192, 16
@@ -235,7 +235,7 @@ def topk(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id
     with a null id, a null vector or null or non-finite components take no part. Of
     vectors of different lengths the shorter one counts as ended by zeros. Rows repeated
     with one id and vector count once. With fewer than ``k`` candidates all are returned;
-    without rows, none. ``pivots`` rows, chosen by a hash of the id, only decide which
+    without rows, none. ``pivots`` rows, chosen by a hash, only decide which
     rows share a block: every row is searched whatever they are. Unless given there is one
     for each block's worth of rows, from PIVOTS to MOST_PIVOTS, so that blocks stay small and
     their rows near each other as the data grow.
@@ -247,9 +247,10 @@ def topk(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id
     rows = rows.withColumn("x", _ended(F.transform(x, lambda v: F.floor(v * F.lit(scale)))))
     # repeats go before there are trees: in one they would take several of a query's k places
     rows = written(rows.groupBy("id", "x").agg(F.max("asks").alias("asks")), "rows")
+    n = rows.count()
     if pivots is None:
-        pivots = min(MOST_PIVOTS, max(PIVOTS, rows.count() // block_rows))
-    some = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
+        pivots = min(MOST_PIVOTS, max(PIVOTS, n // block_rows))
+    some = drawn(rows, ["id", "x"], 2 * pivots, n)[:pivots]
     width = max((len(r.x) for r in some), default=0)
     centres = np.array([np.pad(np.asarray(r.x, float), (0, width - len(r.x))) for r in some]).reshape(len(some), width)
     empty = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
