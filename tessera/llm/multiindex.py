@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, written
+from tessera.llm.common import discard, drawn, written
 from tessera.llm.covertree import products
 
 #: Rows that codebooks are fitted on, steps of that, most codewords of a half, and rows that a cell should hold.
@@ -265,7 +265,7 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, positives: int =
     are enough as partners, since they tie everywhere. With fewer partners than asked for all
     are returned; without anchors, none. Other columns are never looked at.
 
-    The codebooks are fitted on ``SAMPLE_ROWS`` rows chosen by a hash of the id; they decide
+    The codebooks are fitted on about ``SAMPLE_ROWS`` rows chosen by a hash; they decide
     only how rows are stored: every row is indexed, and the result is exact whatever they are.
     """
     spark = vectors.sparkSession
@@ -284,7 +284,7 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column, positives: int =
     if not stats[0]:
         return spark.createDataFrame([], out)
     width = max(2, stats[1])
-    some = [r.x for r in rows.orderBy(F.xxhash64("id"), "id").select("x").limit(SAMPLE_ROWS).collect()]
+    some = [r.x for r in drawn(rows.select("id", "x"), ["id", "x"], SAMPLE_ROWS, stats[0])]
     index = Index((np.empty((0, 0)),) * 2, (width + 1) // 2, width)
     sample = index.matrix(some).astype(float)
     k = min(MOST_CODEWORDS, max(1, round((stats[0] / CELL_ROWS) ** 0.5)))
