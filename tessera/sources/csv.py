@@ -70,8 +70,8 @@ def write_csv(df: DataFrame, path: str, *, delimiter: str = ",", quote_all: bool
         if mode == "ignore":
             return path
         raise FileExistsError(path)
-    if mode == "overwrite":
-        fs.delete(p, True)
+    if mode == "overwrite" and fs.exists(p) and fs.getFileStatus(p).isFile():
+        fs.delete(p, False)
     cols = sorted(df.columns)
     out = df.select(*[csv_cell(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in cols])
     to = path.rstrip("/")
@@ -90,6 +90,10 @@ def write_csv(df: DataFrame, path: str, *, delimiter: str = ",", quote_all: bool
         .option("emptyValue", "").option("nullValue", "").option("encoding", encoding)
         .csv(own))
     staged = _fs(spark, own)[1]
+    if mode == "overwrite":                 # what was there goes once the new rows are written, be they read from it
+        for x in fs.listStatus(p):
+            if x.getPath().getName() != staged.getName():
+                fs.delete(x.getPath(), True)
     if seen.get.get("breaks") or any(set(c) & set("\r\n") for c in cols):
         fs.create(_fs(spark, f"{own}/_done")[1]).close()
         return path

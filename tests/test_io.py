@@ -185,6 +185,9 @@ def test_csv_cells_with_line_breaks(spark, tmp_path, quote_all):
     write_csv(spark.createDataFrame([("z", 7)], "s string, n int"), path)
     assert [(r.s, r.n) for r in read_csv(spark, path).collect()] == [("z", "7")]
     write_csv(spark.createDataFrame(odd, "s string, n int"), path)
+    write_csv(read_csv(spark, path).unionAll(spark.createDataFrame([("8", "new")], "n string, s string")), path)       # onto itself
+    assert count_csv(spark, path) == 7
+    write_csv(read_csv(spark, path).where("s <> 'new'"), path)
     assert count_csv(spark, path) == 6 and [lines for _, lines in csv_folders(spark, path)] == [True]
 
 
