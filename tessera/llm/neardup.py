@@ -232,7 +232,7 @@ def _unpacked(column) -> list[np.ndarray]:
 
 
 def _small_families(members: DataFrame, percent: int) -> DataFrame:
-    """Final edges of families (family, node, set) that fit one task."""
+    """Final edges of families (family, node, set) that fit one task: from each set to the least node of its component."""
     # as many tasks as any shuffle has at least: comparing takes time, not bytes, so small ones must not be put together
     batches = max(-(-members.count() // BATCH), int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -277,10 +277,9 @@ def _walked(members: DataFrame, percent: int) -> DataFrame:
     return order.mapInArrow(run, "a long, b long")
 
 
-def _rest(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Edges between every set that isn't in its family's largest component and all others of the family."""
-    own = written(members.join(labels, "node", "left").select(
-        "family", "node", "found", F.coalesce("label", "node").alias("label")), "large-families")
+def _rest(own: DataFrame, percent: int) -> DataFrame:
+    """Edges between the components (family, node, found, label) of large families: from every set that isn't
+    in its family's largest component to all others of the family. Their ends are labels."""
     sizes = own.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"),
                                        F.max("n").alias("most"))
@@ -290,12 +289,12 @@ def _rest(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
     part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).alias("part")
     every = rows.select(F.col("family").alias("f"), block, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-                        F.col("node").alias("of"), F.col("found").alias("its"))
+                        F.col("label").alias("of"), F.col("found").alias("its"))
     few = rows.where("label <> main").select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block_"),
-                                             part.alias("part_"), "node", "found")
+                                             part.alias("part_"), "label", "found")
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        x, y = a["of"].to_numpy(), b["node"].to_numpy()
+        x, y = a["of"].to_numpy(), b["label"].to_numpy()
         if not len(x) or not len(y):
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
         i, j = np.nonzero(linked(_unpacked(a["its"]), percent, _unpacked(b["found"])))
@@ -364,14 +363,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = met.select("family", "size", "node", "sig", "text").mapInArrow(
         sets, "family long, size long, node long, sig binary, found binary")
     members = written(members, "members")
-    edges = written(_small_families(members.where(F.col("size") <= FAMILY).select("family", "node", "found"), percent), "links")
+    links = written(_small_families(members.where(F.col("size") <= FAMILY).select("family", "node", "found"), percent), "links")
+    # a family is whole in its task, so these are components already
+    label = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
     large = members.where(F.col("size") > FAMILY)
     if not large.isEmpty():
         large = written(large.dropDuplicates(["node"]), "large")
         walked = written(_walked(large, percent), "walked")
-        rest = written(_rest(large.select("family", "node", "found"), components(walked, "walked-components"), percent), "rest")
-        edges = edges.unionAll(walked).unionAll(rest)
-    label = components(edges, "final")
+        own = written(large.join(components(walked, "walked-components"), "node", "left").select(
+            "family", "node", "found", F.coalesce("label", "node").alias("label")), "large-families")
+        joined = components(_rest(own, percent), "rest").select(F.col("node").alias("label"), F.col("label").alias("least"))
+        label = label.unionAll(own.select("node", "label").join(joined, "label", "left").select("node", F.coalesce("least", "label")))
     of = classes.select("whole", "node", "id").join(label, "node", "left").select(
         "whole", "node", "id", F.coalesce("label", "node").alias("label"))
     of = written(of, "labels")

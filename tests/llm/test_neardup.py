@@ -155,3 +155,30 @@ def test_pairs_in_a_crowd_are_found(make_docs, monkeypatch):
     got = {r._id: r.component_id for r in neardup.near_duplicates(make_docs(rows)).collect()}
     assert len(want) > 150 and all(got[a] == got[b] for a, b in want)
     assert len(set(got.values())) == len(rows) - len(want)
+
+
+def test_stars_need_no_rounds(spark, monkeypatch):
+    """Edges that are separate stars already are written once, no edges too; a chain ends without a round that only confirms."""
+    wrote = []
+    monkeypatch.setattr(graph, "written", lambda df, name, f=graph.written: wrote.append(name) or f(df, name))
+    stars = [(9 * k + i, 9 * k) for k in range(20) for i in range(1, 9)]
+    got = {tuple(r) for r in graph.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == set(stars) | {(b, b) for _, b in stars} and len(wrote) == 1
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0 and len(wrote) == 2
+    low = -2 ** 63
+    got = {tuple(r) for r in graph.components(spark.createDataFrame([(low, 5), (7, 5)], "a long, b long")).collect()}
+    assert got == {(low, low), (5, low), (7, low)} and len(wrote) == 5
+
+
+def test_small_families_are_components(make_docs, corpus, monkeypatch):
+    """A family that one task compares whole isn't taken through rounds again."""
+    calls = []
+    monkeypatch.setattr(neardup, "components", lambda edges, name, f=graph.components: calls.append(name) or f(edges, name))
+    check(neardup.near_duplicates(make_docs(corpus)).collect(), corpus)
+    assert calls == ["families"]
+
+
+def test_what_the_walk_misses_is_found(make_docs, corpus, monkeypatch):
+    monkeypatch.setattr(neardup, "FAMILY", 8)
+    monkeypatch.setattr(neardup, "_walked", lambda members, percent, f=neardup._walked: f(members, percent).where("a % 3 = 0"))
+    check(neardup.near_duplicates(make_docs(corpus)).collect(), corpus)
